@@ -33,6 +33,8 @@ WIDTH_FACTOR = 3
 #: Characters of a group of texts; counters, and fingerprints, of a shard.
 GROUP_CHARS, SHARD_COUNTERS, SHARD_PRINTS = 2_500_000, 1 << 21, 1 << 19
 GROUPS_PER_PARTITION = 2
+#: Slots of the table in which a group looks up its counters.
+MARKS = 1 << 23
 ASK = "shard int, kind int, grp int, cells binary"
 
 
@@ -96,62 +98,65 @@ def _ask_counters(group: Group, width: int) -> Iterator[tuple[int, bytes]]:
 
 
 def _estimated(group: Group, width: int, answers: dict[int, bytes]) -> np.ndarray:
-    """Which windows the merged sketch counts at least twice."""
+    """Which windows the merged sketch counts at least twice, and a few more: the test is a table of MARKS slots."""
     rows = group.counters(width)
-    known = np.unique(np.concatenate(rows))
-    twice = known[_flags(known // SHARD_COUNTERS, answers)]
+    known = np.sort(np.concatenate(rows))
+    known = known[np.diff(known, prepend=-1) != 0]
+    marks = np.zeros(MARKS, bool)
+    marks[known[_flags(known // SHARD_COUNTERS, answers)] % MARKS] = True
     seen = np.ones(len(group.high), bool)
     for cells in rows:
-        seen &= np.isin(cells, twice)
+        seen &= marks[cells % MARKS]
     return seen
 
 
 PRINT = np.dtype([("high", "<u8"), ("low", "<u8")])
 
 
-def _prints(group: Group, chosen: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The chosen windows' distinct fingerprints by shard, their counts capped at two, and each one's shard."""
-    both = np.empty(int(chosen.sum()), PRINT)
-    both["high"], both["low"] = group.high[chosen], group.low[chosen]
-    shard = (both["high"] % U64(shards)).astype(np.int64)
-    order = np.lexsort((both["low"], both["high"], shard))
-    both, shard = both[order], shard[order]
-    new = np.ones(len(both), bool)
-    new[1:] = both[1:] != both[:-1]
-    counts = np.diff(np.flatnonzero(np.append(new, True)))
-    return both[new], np.minimum(counts, 2).astype(np.uint8), shard[new]
+def _distinct(high: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the fingerprints, and where a new one starts in it."""
+    order = np.argsort(high)
+    same = high[order][1:] == high[order][:-1]
+    if (same & (low[order][1:] != low[order][:-1])).any():  # equal first halves
+        order = np.lexsort((low, high))
+        same = (high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1])
+    return order, np.concatenate((np.ones(min(1, len(order)), bool), ~same))
 
 
 def _ask_prints(group: Group, chosen: np.ndarray, shards: int) -> Iterator[tuple[int, bytes]]:
-    prints, counts, shard = _prints(group, chosen, shards)
-    for a, b in _runs(shard):
-        yield int(shard[a]), prints[a:b].tobytes() + np.packbits(counts[a:b] - 1).tobytes() + int(b - a).to_bytes(4, "little")
+    """Shard, and the chosen windows' distinct fingerprints with a bit for those that the group itself repeats."""
+    high, low = group.high[chosen], group.low[chosen]
+    order, new = _distinct(high, low)
+    again = np.diff(np.flatnonzero(np.append(new, True))) > 1
+    prints = np.empty(len(again), PRINT)
+    prints["high"], prints["low"] = high[order][new], low[order][new]
+    for a, b in _runs(_print_shard(prints["high"], shards)):
+        yield int(_print_shard(prints["high"][a : a + 1], shards)[0]), prints[a:b].tobytes() + np.packbits(again[a:b]).tobytes() + int(b - a).to_bytes(4, "little")
+
+
+def _print_shard(high: np.ndarray, shards: int) -> np.ndarray:
+    """Ascending with the fingerprint."""
+    return (high // U64(-(-(2**64) // shards) if shards > 1 else 2**64 - 1)).astype(np.int64).clip(max=shards - 1)
 
 
 def _repeated(group: Group, chosen: np.ndarray, shards: int, answers: dict[int, bytes]) -> np.ndarray:
     """Which windows start twice or more in the corpus, exactly."""
-    prints, _, shard = _prints(group, chosen, shards)
-    both = prints[_flags(shard, answers)]
     out, at = np.zeros(len(chosen), bool), np.flatnonzero(chosen)
-    high, low = group.high[at], group.low[at]
-    out[at] = np.isin(high, both["high"])
-    mixed = np.intersect1d(both["high"], prints[~_flags(shard, answers)]["high"])
-    if len(mixed):  # equal first halves with different answers: the second halves decide
-        pairs = set(both.tolist())
-        for k in np.flatnonzero(np.isin(high, mixed)):
-            out[at[k]] = (int(high[k]), int(low[k])) in pairs
+    order, new = _distinct(group.high[at], group.low[at])
+    said = _flags(_print_shard(group.high[at][order][new], shards), answers)
+    out[at[order]] = said[np.cumsum(new) - 1]
     return out
 
 
 def _merge_counters(table: pa.Table) -> list[bytes]:
-    total = np.zeros(SHARD_COUNTERS, np.uint8)
-    asked = [_unpacked(x.as_py()) for x in table.column("cells")]
-    for cells in asked:
-        first = np.ones(len(cells), bool)
-        first[1:] = cells[1:] != cells[:-1]
-        total[cells[first]] = np.minimum(total[cells[first]] + 1, 2)
-        total[cells[~first]] = 2
-    return [np.packbits(total[np.unique(cells)] >= 2).tobytes() for cells in asked]
+    total, asked = np.zeros(SHARD_COUNTERS, np.uint8), []
+    for x in table.column("cells"):
+        cells = _unpacked(x.as_py())
+        again = np.diff(cells, prepend=-1) == 0
+        asked.append(cells[~again])
+        total[asked[-1]] = np.minimum(total[asked[-1]] + 1, 2)
+        total[cells[again]] = 2
+    return [np.packbits(total[cells] >= 2).tobytes() for cells in asked]
 
 
 def _merge_prints(table: pa.Table) -> list[bytes]:
@@ -162,9 +167,7 @@ def _merge_prints(table: pa.Table) -> list[bytes]:
         prints.append(np.frombuffer(raw, PRINT, n))
         counts.append(np.unpackbits(np.frombuffer(raw[16 * n : -4], np.uint8), count=n) + 1)
     every, n = np.concatenate(prints), np.concatenate(counts)
-    order = np.lexsort((every["low"], every["high"]))
-    new = np.ones(len(every), bool)
-    new[1:] = every[order][1:] != every[order][:-1]
+    order, new = _distinct(every["high"], every["low"])
     key = np.empty(len(every), np.int64)
     key[order] = np.cumsum(new) - 1
     twice = np.bincount(key, weights=n) >= 2 if len(every) else np.zeros(0, bool)
