@@ -21,6 +21,24 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The document columns, and a score learnt without the held-out quarter of the ids."""
+    from .quality_crf import fit, score
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    out = score(docs, fit(docs, labels, learn_from=~held_out))
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import fit, rate
+
+    docs = _table(spark, sf_dir, "documents")
+    out = rate(docs, fit(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(len(w) - 34)) AS i, w FROM d WHERE len(w) >= 35),
@@ -35,7 +53,11 @@ FROM d LEFT JOIN g USING (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {"op8_substring_dedup": op8_substring_dedup}
+    return {
+        "op1_quality_classifier": op1_quality_classifier,
+        "op8_substring_dedup": op8_substring_dedup,
+        "op10_quality_rules": op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
