@@ -14,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring_dedup import remove_repeated_windows
 
@@ -55,6 +61,7 @@ FROM d LEFT JOIN g USING (doc_id)
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op7_decontaminate": op7_decontaminate,
         "op8_substring_dedup": op8_substring_dedup,
         "op10_quality_rules": op10_quality_rules,
     }
