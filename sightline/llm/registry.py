@@ -37,6 +37,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import near_duplicate_classes
+
+    return near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality_rules import fit, rate
 
@@ -63,6 +69,7 @@ def queries() -> dict[str, Query]:
         "op1_quality_classifier": op1_quality_classifier,
         "op7_decontaminate": op7_decontaminate,
         "op8_substring_dedup": op8_substring_dedup,
+        "op9_near_dedup": op9_near_dedup,
         "op10_quality_rules": op10_quality_rules,
     }
 
