@@ -29,3 +29,8 @@ def cut(frame: DataFrame) -> DataFrame:
 def text_size(frame: DataFrame, column: str) -> int:
     """Characters in the column, over all rows; sizes partitions only."""
     return frame.agg(F.sum(F.length(column))).first()[0] or 0
+
+
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Let Arrow batches end at size bytes as well as at a row count, so that long texts don't pile up in a Python worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

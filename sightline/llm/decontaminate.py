@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import ALNUM, U64, buffers, lowered, mix, slabs, span_hash, spans, windows
+from .cluster import bounded_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 20, 8
@@ -150,6 +151,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     and items that are null or have under five words match nothing; repeated rows and items each
     get their rows; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     id_type, item_type = docs.schema[id_col].dataType, benchmark.schema[item_col].dataType
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     schema = f"_id {id_type.simpleString()}, _item {item_type.simpleString()}, similarity double, start_word long"
@@ -196,6 +198,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
 
         return run
 
+    bounded_batches(docs.sparkSession)
     for block in _blocks(benchmark, item_col, item_text_col):
         docs = docs.mapInArrow(passes(block), docs.schema)
     return docs

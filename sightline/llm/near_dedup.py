@@ -14,14 +14,16 @@ one point per shingle.
 
 Finding links without emitting all pairs of a group:
 1. Texts with equal words are one node, so copies never meet each other again.
-2. In every band bucket each node is paired with the bucket's leader. STARS rounds choose
-   different leaders; later ones pair only nodes that are not yet in the leader's component.
-3. What is left in buckets that still hold several components is paired exhaustively across
-   components, so no link between different texts that share a bucket is lost.
-A pair whose signatures' bits differ too much for a similarity of 0.8 (FAR: over five standard
-deviations) is not verified; all others are, exactly.
-
-BANDS x ROWS registers: a pair at similarity 0.8 shares a bucket with probability 0.99997.
+2. In every band bucket each node is paired with the bucket's leader and the pairs are verified.
+3. Buckets that still hold several components are searched across components. A bucket goes to one
+   task in blocks of BLOCK nodes (a larger one as pairs of blocks); a pair is looked at only in
+   the first bucket that it shares, and not once links found there already connect it. Only links
+   that join components leave the task, so no link between different texts that share a bucket is
+   lost and no group's pairs are listed.
+A pair whose whole signatures differ too much for a similarity of 0.8 (in over FAR registers, four
+standard deviations above the mean) is not verified; all others are, exactly.
+
+BANDS x ROWS registers are banded: a pair at 0.8 shares a bucket with probability 0.99997.
 """
 
 from __future__ import annotations
@@ -33,15 +35,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .arrays import ALNUM, U64, buffers, lowered, mix, shingles, slabs, span_hash, spans
-from .cluster import cut
+from .cluster import bounded_batches, cut
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
-REGISTERS = BANDS * ROWS
-#: Of 128 one-bit signature parts, 12.8 differ at similarity 0.8 on average, with a deviation of 3.4.
-FAR = 30
-STARS = 2
-SLAB = 1 << 21
+REGISTERS = 256
+#: Four bits of each register are compared: at similarity 0.8, 48 registers differ on average, with a deviation of 6.2.
+FAR = 74
+BLOCK = 512
+#: Bytes of texts that are sketched together.
+SLAB = 1 << 19
 
 
 def _multisets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -92,14 +95,15 @@ def bagminhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
 
 
 def _banded(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket keys (n, BANDS), and two 64-bit words of one bit per register."""
+    """Bucket keys (n, BANDS), and four bits of each register, packed."""
     bits = mix(signature.view(U64).reshape(signature.shape), 31)
     with np.errstate(over="ignore"):
         keys = np.zeros((len(bits), BANDS), U64)
         for r in range(ROWS):
-            keys = mix(keys + bits[:, r::ROWS][:, :BANDS], 32 + r)
+            keys = mix(keys + bits[:, r * BANDS : (r + 1) * BANDS], 32 + r)
         keys = mix(keys + np.arange(BANDS, dtype=U64), 40)
-    return keys, np.packbits((bits[:, :128] & U64(1)).astype(np.uint8), axis=1).view(U64)
+    four = (bits & U64(15)).astype(np.uint8)
+    return keys, four[:, ::2] << 4 | four[:, 1::2]
 
 
 def _key(key: np.ndarray) -> pa.Array:
@@ -107,7 +111,7 @@ def _key(key: np.ndarray) -> pa.Array:
 
 
 def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, node (16 bytes; null without words), bands (packed), bits_a, bits_b of every row."""
+    """id, node (16 bytes; null without words), bands and signature (packed) of every row."""
 
     def run(batches):
         for batch in batches:
@@ -131,15 +135,14 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         batch.column("_id").slice(i, j - i),
                         pa.array(np.where(filled, _key(key).to_numpy(zero_copy_only=False), None), pa.binary()),
                         pa.array([packed[size * k : size * (k + 1)] for k in back], pa.binary()),
-                        pa.array(bits[back, 0].view(np.int64)),
-                        pa.array(bits[back, 1].view(np.int64)),
+                        pa.array([bits[k].tobytes() for k in back], pa.binary()),
                     ],
-                    ["_id", "node", "bands", "bits_a", "bits_b"],
+                    ["_id", "node", "bands", "signature"],
                 )
 
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return texts.mapInArrow(run, f"_id {id_type}, node binary, bands binary, bits_a long, bits_b long")
+    return texts.mapInArrow(run, f"_id {id_type}, node binary, bands binary, signature binary")
 
 
 def with_key(docs: DataFrame, text_col: str, name: str) -> DataFrame:
@@ -163,21 +166,18 @@ def with_key(docs: DataFrame, text_col: str, name: str) -> DataFrame:
 
 def _similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Weighted Jaccard similarity of the texts of each pair."""
-    out = np.zeros(len(a))
-    sides = []
-    for column in (a, b):
-        data, offsets = buffers(lowered(column))
-        parts = [(i, _multisets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])) for i, j in slabs(offsets)]
-        sides.append([np.concatenate([x[k] + (i if k == 0 else 0) for i, x in parts]) if parts else np.zeros(0, np.int64) for k in range(3)])
-    (ra, ha, ca), (rb, hb, cb) = sides
-    row, value = np.concatenate([ra, rb]), np.concatenate([ha, hb])
-    count = np.concatenate([ca, cb])
-    order = np.lexsort((value, row))
+    (data_a, off_a), (data_b, off_b) = (buffers(lowered(x)) for x in (a, b))
+    return np.concatenate([_alike([(data_a[off_a[i] : off_a[j]], off_a[i : j + 1] - off_a[i]), (data_b[off_b[i] : off_b[j]], off_b[i : j + 1] - off_b[i])], j - i) for i, j in slabs(off_a + off_b)] or [np.zeros(0)])
+
+
+def _alike(sides: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
+    row, value, count = (np.concatenate(x) for x in zip(*(_multisets(*side)[:3] for side in sides), strict=True))
+    order = np.argsort(value ^ mix(row.astype(U64), 5))
     row, value, count = row[order], value[order], count[order]
     twin = np.flatnonzero((row[1:] == row[:-1]) & (value[1:] == value[:-1]))
-    both = np.bincount(row[twin], weights=np.minimum(count[twin], count[twin + 1]), minlength=len(out))
-    total = np.bincount(row, weights=count, minlength=len(out))
-    return np.divide(both, total - both, out=out, where=total > both)
+    both = np.bincount(row[twin], weights=np.minimum(count[twin], count[twin + 1]), minlength=n)
+    total = np.bincount(row, weights=count, minlength=n)
+    return np.divide(both, total - both, out=np.zeros(n), where=total > both)
 
 
 def _verified(pairs: DataFrame, content: DataFrame, least: float) -> DataFrame:
@@ -210,56 +210,95 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _near(a: str, b: str) -> Column:
-    return F.bit_count(F.col(f"{a}.bits_a").bitwiseXOR(F.col(f"{b}.bits_a"))) + F.bit_count(F.col(f"{a}.bits_b").bitwiseXOR(F.col(f"{b}.bits_b"))) <= FAR
+    """Whether at most FAR registers differ in their four bits."""
+
+    def differing(n: Column, x: Column) -> Column:
+        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
+        return n + F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.aggregate(F.zip_with(f"{a}.signature", f"{b}.signature", lambda x, y: x.bitwiseXOR(y)), F.lit(0), differing) <= FAR
+
+
+def _roots(parent: np.ndarray) -> np.ndarray:
+    while (parent[parent] != parent).any():
+        parent = parent[parent]
+    return parent
+
+
+def _joining_links(table: pa.Table, least: float) -> pa.Table:
+    """Links between the two blocks of a tile that join different components."""
+    n = table.num_rows
+    node = table.column("node").to_pylist()
+    _, parent = np.unique(table.column("component").to_numpy(zero_copy_only=False), return_inverse=True)
+    _, first = np.unique(parent, return_index=True)
+    parent = first[parent]
+    half = np.array(table.column("half").to_pylist())
+    left, right = (np.arange(n), np.arange(n)) if (half == half[0]).all() and table.column("i")[0] == table.column("j")[0] else (np.flatnonzero(half == 0), np.flatnonzero(half == 1))
+    bands = np.frombuffer(b"".join(table.column("bands").to_pylist()), "<i8").reshape(n, BANDS)
+    signature = np.array(table.column("signature").to_pylist(), np.int64).view(np.uint8).reshape(n, -1)
+    four = np.concatenate([signature & 15, signature >> 4], axis=1)
+    here = int(np.flatnonzero((bands == table.column("bucket")[0].as_py()).all(axis=0))[0])
+    pairs, alike = [], []
+    for x in left:
+        y = right[right > x] if left is right or len(left) == n else right
+        y = y[(parent[y] != parent[x]) & ~(bands[y, :here] == bands[x, :here]).any(axis=1)]
+        apart = (four[y] != four[x]).sum(axis=1)
+        pairs.append(np.column_stack([np.full((apart <= FAR).sum(), x), y[apart <= FAR]]))
+        alike.append(apart[apart <= FAR])
+    pairs = np.concatenate([*pairs, np.zeros((0, 2), np.int64)])[np.argsort(np.concatenate([*alike, np.zeros(0, np.int64)]), kind="stable")]
+    text, links = table.column("_text").combine_chunks(), []
+    while len(pairs):
+        now, pairs = pairs[:128], pairs[128:]
+        for x, y in now[_similarities(text.take(pa.array(now[:, 0])), text.take(pa.array(now[:, 1]))) >= least].tolist():
+            parent = _roots(parent)
+            if parent[x] != parent[y]:
+                links.append((node[x], node[y]))
+                parent[max(parent[x], parent[y])] = min(parent[x], parent[y])
+        parent = _roots(parent)
+        pairs = pairs[parent[pairs[:, 0]] != parent[pairs[:, 1]]]
+    return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
 
 
 def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float) -> tuple[DataFrame, DataFrame]:
     """The rows' (_id, node), and (node, component) for the nodes with a link."""
+    bounded_batches(docs.sparkSession)
     sketch = cut(_sketch(docs, id_col, text_col))
-    nodes = sketch.where(F.col("node").isNotNull()).groupBy("node").agg(*(F.any_value(c).alias(c) for c in ("bands", "bits_a", "bits_b")))
+    nodes = sketch.where(F.col("node").isNotNull()).groupBy("node").agg(F.any_value("bands").alias("bands"))
 
     def split(batches):
         for batch in batches:
-            n = batch.num_rows
             keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), "<i8")
-            at = pa.array(np.repeat(np.arange(n), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *(batch.column(c).take(at) for c in ("node", "bits_a", "bits_b"))], ["bucket", "node", "bits_a", "bits_b"])
+            at = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column("node").take(at)], ["bucket", "node"])
 
-    banded = nodes.mapInArrow(split, "bucket long, node binary, bits_a long, bits_b long")
+    def spread(batches):
+        for batch in batches:
+            words = pa.array(np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<i8"))
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (REGISTERS // 16))
+            yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("bands"), pa.ListArray.from_arrays(offsets, words)], ["node", "bands", "signature"])
+
+    banded = nodes.mapInArrow(split, "bucket long, node binary")
     shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     buckets = cut(banded.join(shared, "bucket", "left_semi"))
     members = buckets.select("node").distinct()
+    signed = sketch.join(members, "node", "left_semi").groupBy("node").agg(F.any_value("bands").alias("bands"), F.any_value("signature").alias("signature"))
+    signed = cut(signed.mapInArrow(spread, "node binary, bands binary, signature array<long>"))
     content = cut(with_key(docs.select(F.col(text_col).cast("string").alias("_text")), "_text", "node").join(members, "node", "left_semi").groupBy("node").agg(F.min("_text").alias("_text")))
-    links = None
-    labels = None
-    tested = None
-    for turn in range(STARS + 1):
-        now = buckets
-        if labels is not None:
-            now = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        else:
-            now = now.withColumn("component", F.col("node"))
-        if turn:
-            mixed = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y").select("bucket")
-            now = cut(now.join(mixed, "bucket", "left_semi"))
-            if now.isEmpty():
-                break
-        if turn < STARS:
-            order = F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "bits_a", "bits_b", "component")
-            lead = now.groupBy("bucket").agg(F.min(order).alias("y"))
-            met = now.alias("x").join(lead.select("bucket", "y.*").alias("y"), "bucket")
-        else:
-            met = now.alias("x").join(now.alias("y"), "bucket")
-        apart = F.col("x.component") != F.col("y.component") if turn < STARS else F.col("x.component") < F.col("y.component")
-        pairs = met.where(apart & _near("x", "y")).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = cut(pairs)
-        found = cut(_verified(pairs, content, least))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        if turn == 0 or not found.isEmpty():
-            labels = components(links)
+
+    lead = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("lead"))).alias("y"))
+    stars = buckets.join(lead.select("bucket", "y.lead"), "bucket").where("node != lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
+    stars = stars.join(signed.alias("x"), F.col("a") == F.col("x.node")).join(signed.alias("y"), F.col("b") == F.col("y.node")).where(_near("x", "y")).select("a", "b")
+    labels = components(_verified(stars, content, least))
+
+    now = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k")).where("x != y").select("bucket", "k")
+    active = now.join(mixed, "bucket").withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), "k").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    tiles = active.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("half"), "node", "component")
+    told = tiles.join(signed, "node").join(content, "node")
+    more = cut(told.groupBy("bucket", "i", "j").applyInArrow(lambda table: _joining_links(table, least), "a binary, b binary"))
+    if not more.isEmpty():
+        # the components so far are stars around their smallest nodes
+        labels = components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a != b")))
     return sketch.select("_id", "node"), labels
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from . import linestats as ls
 from .arrays import buffers, slabs
+from .cluster import bounded_batches
 
 SAMPLE, ROUNDS, L2 = 3000, 150, 1e-3
 
@@ -215,6 +216,7 @@ def score(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "
     whole texts of any length count; equal texts get equal scores; other columns are ignored.
     """
 
+    bounded_batches(docs.sparkSession)
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(model.score(batch.column("_text")))], ["_id", "score"])
@@ -226,6 +228,8 @@ def score(docs: DataFrame, model: Crf, id_col: str = "doc_id", text_col: str = "
 def keep_good(docs: DataFrame, model: Crf, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of docs that score at least threshold, with all their columns."""
 
+    bounded_batches(docs.sparkSession)
+
     def run(batches):
         for batch in batches:
             yield batch.filter(pa.array(model.score(batch.column(text_col)) >= threshold))
