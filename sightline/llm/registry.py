@@ -14,6 +14,32 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract
+
+    return extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import new_folder, read, write
+
+    folder = new_folder(spark)
+    files = write(_table(spark, sf_dir, "pages"), folder)
+    return read(spark, folder, files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan
+
+    return scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_leaks
 
@@ -51,6 +77,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+OP5_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+q AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, lower(sha1(b)) AS payload_digest, max(page_id) OVER (PARTITION BY b) AS largest FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> largest THEN largest END AS refers_to
+FROM q
+"""
+
 OP8_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 p AS (SELECT doc_id, unnest(range(len(w) - 34)) AS i, w FROM d WHERE len(w) >= 35),
@@ -67,6 +102,10 @@ FROM d LEFT JOIN g USING (doc_id)
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op3_html_text": op3_html_text,
+        "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_warc": op5_warc,
+        "op6_license_scan": op6_license_scan,
         "op7_decontaminate": op7_decontaminate,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_near_dedup": op9_near_dedup,
@@ -75,4 +114,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_substring_dedup": OP8_SQL}
+    return {"op5_warc": OP5_SQL, "op8_substring_dedup": OP8_SQL}
