@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -14,6 +14,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secret_scan import BASE, scan, written
+
+    out = scan(_table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda s: s["kind"] < len(BASE))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    n = [count(k).alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
+    return out.select("doc_id", *n, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written(F.col("found")).alias("spans"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_text import extract
 
@@ -77,6 +90,28 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def _secret_sql() -> str:
+    from .secret_scan import ADDED, BASE
+
+    rules = (*BASE, *ADDED)
+    quote = lambda p: "'" + p.replace("'", "''") + "'"
+    lists = ", ".join(
+        f"""list_filter(list_transform(range(len(regexp_extract_all(t, {quote(r.pattern)}))), lambda k: [
+        coalesce(list_sum(list_transform(string_split_regex(t, {quote(r.pattern)})[1 : k + 1], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(regexp_extract_all(t, {quote(r.pattern)})[1 : k], lambda x: length(x))), 0),
+        {n}, length(regexp_extract_all(t, {quote(r.pattern)})[k + 1]), length(regexp_extract_all(t, {quote(r.pattern)}, {r.group})[k + 1])]), lambda s: s[4] >= {r.least})"""
+        for n, r in enumerate(rules)
+    )
+    names = "[" + ", ".join(f"'{r.kind}'" for r in rules) + "]"
+    text = lambda xs: f"array_to_string(list_transform({xs}, lambda s: concat({names}[CAST(s[2] AS BIGINT) + 1], ':', CAST(s[1] AS BIGINT), ':', CAST(s[1] + s[3] AS BIGINT))), ',')"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS (SELECT doc_id, list_sort(flatten([{lists}])) AS s FROM d)
+SELECT doc_id, {", ".join(f"CAST(len(list_filter(s, lambda x: x[2] = {k})) AS BIGINT) AS n_{r.kind}" for k, r in enumerate(BASE))},
+  sha256({text(f"list_filter(s, lambda x: x[2] < {len(BASE)})")}) AS base_sha256, {text("s")} AS spans
+FROM f
+"""
+
+
 OP5_SQL = """
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
 q AS (SELECT page_id, CAST(octet_length(b) AS BIGINT) AS payload_bytes, lower(sha1(b)) AS payload_digest, max(page_id) OVER (PARTITION BY b) AS largest FROM p)
@@ -99,9 +134,16 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op2_secret_scan": op2_secret_scan,
         "op3_html_text": op3_html_text,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_warc": op5_warc,
@@ -110,8 +152,9 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality_rules": op10_quality_rules,
+        "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5_SQL, "op8_substring_dedup": OP8_SQL}
+    return {"op2_secret_scan": _secret_sql(), "op5_warc": OP5_SQL, "op8_substring_dedup": OP8_SQL}
