@@ -78,7 +78,9 @@ def bagminhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
         ticks = tick[:, None] + np.arange(burst, dtype=U64)
         a = mix(seed[:, None] ^ mix(ticks, 23), 24)
         u = ((a >> U64(11)).astype(float) + 0.5) / 2.0**53
-        at = time[:, None] + np.cumsum(-np.log(u) / rate[:, None], axis=1)
+        steps = -np.log(u) / rate[:, None]
+        steps[:, 0] += time
+        at = np.cumsum(steps, axis=1)  # added one by one, so that equal multisets get equal times whatever the burst
         b = mix(a, 25)
         slot = doc[:, None] * registers + ((b >> U64(32)) % U64(registers)).astype(np.int64)
         take = at <= latest[doc][:, None]

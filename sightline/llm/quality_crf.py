@@ -20,7 +20,7 @@ from . import linestats as ls
 from .arrays import buffers, slabs
 from .cluster import bounded_batches
 
-SAMPLE, ROUNDS, L2 = 3000, 150, 1e-3
+SAMPLE, ROUNDS, L2 = 1200, 150, 1e-3
 
 
 def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
