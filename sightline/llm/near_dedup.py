@@ -43,6 +43,8 @@ REGISTERS = 256
 #: Four bits of each register are compared: at similarity 0.8, 48 registers differ on average, with a deviation of 6.2.
 FAR = 74
 BLOCK = 512
+#: Bytes of the texts that a task compares at once.
+PAIR_BYTES = 1 << 20
 #: Bytes of texts that are sketched together.
 SLAB = 1 << 19
 
@@ -168,8 +170,10 @@ def with_key(docs: DataFrame, text_col: str, name: str) -> DataFrame:
 
 def _similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
     """Weighted Jaccard similarity of the texts of each pair."""
-    (data_a, off_a), (data_b, off_b) = (buffers(lowered(x)) for x in (a, b))
-    return np.concatenate([_alike([(data_a[off_a[i] : off_a[j]], off_a[i : j + 1] - off_a[i]), (data_b[off_b[i] : off_b[j]], off_b[i : j + 1] - off_b[i])], j - i) for i, j in slabs(off_a + off_b)] or [np.zeros(0)])
+    out, total = [np.zeros(0)], buffers(a)[1] + buffers(b)[1]
+    for i, j in slabs(total, PAIR_BYTES):
+        out.append(_alike([buffers(lowered(x.slice(i, j - i))) for x in (a, b)], j - i))
+    return np.concatenate(out)
 
 
 def _alike(sides: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
@@ -189,6 +193,7 @@ def _verified(pairs: DataFrame, content: DataFrame, least: float) -> DataFrame:
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(_similarities(batch.column("text_a"), batch.column("text_b")) >= least))
+            pa.default_memory_pool().release_unused()
 
     return sided.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
@@ -249,8 +254,10 @@ def _joining_links(table: pa.Table, least: float) -> pa.Table:
         alike.append(apart[apart <= FAR])
     pairs = np.concatenate([*pairs, np.zeros((0, 2), np.int64)])[np.argsort(np.concatenate([*alike, np.zeros(0, np.int64)]), kind="stable")]
     text, links = table.column("_text").combine_chunks(), []
+    size = np.diff(buffers(text)[1])
     while len(pairs):
-        now, pairs = pairs[:128], pairs[128:]
+        few = max(1, int(np.searchsorted(np.cumsum(size[pairs[:128]].sum(axis=1)), PAIR_BYTES)))
+        now, pairs = pairs[:few], pairs[few:]
         for x, y in now[_similarities(text.take(pa.array(now[:, 0])), text.take(pa.array(now[:, 1]))) >= least].tolist():
             parent = _roots(parent)
             if parent[x] != parent[y]:
@@ -258,6 +265,7 @@ def _joining_links(table: pa.Table, least: float) -> pa.Table:
                 parent[max(parent[x], parent[y])] = min(parent[x], parent[y])
         parent = _roots(parent)
         pairs = pairs[parent[pairs[:, 0]] != parent[pairs[:, 1]]]
+    pa.default_memory_pool().release_unused()
     return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
 
 

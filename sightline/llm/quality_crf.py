@@ -191,7 +191,8 @@ def train(texts: list[str], good: np.ndarray, rounds: int = ROUNDS) -> Crf:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", learn_from: Column | None = None, sample: int = SAMPLE) -> Crf:
     """Train on the sample labelled rows (of those where learn_from holds) whose ids have the smallest hashes.
 
-    Conflicting labels of an id count as the larger; null ids and labels are left out. Without any
+    Conflicting labels of an id count as the larger; null ids and labels are left out; of rows with one id the
+    least text counts. Without any
     labelled row the model scores everything 0.5.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
@@ -201,7 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     chosen = known.groupBy("_id").agg(F.max("_y").alias("_y"))
     halves = [chosen.where(c).orderBy(F.xxhash64("_id"), "_id").limit(sample // 2) for c in (F.col("_y") == 1, F.col("_y") != 1)]
     chosen = halves[0].unionByName(halves[1])
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").select(F.coalesce("_text", F.lit("")).alias("_text"), "_y")
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.coalesce(F.min("_text"), F.lit("")).alias("_text"))
     got = sorted((r["_text"], r["_y"]) for r in rows.collect())
     if not got:
         width = line_features(*buffers(pa.array(["a"])))[0].shape[1]

@@ -128,7 +128,8 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     """
     bounded_batches(pages.sparkSession)
     told = _told(pages, id_col, url_col, html_col)
-    sample = pages.orderBy(F.xxhash64(id_col), id_col).select(id_col, url_col, html_col).limit(SAMPLE_RECORDS).collect()
+    chosen = pages.select(id_col).distinct().orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_RECORDS)  # ids first: each task sends its smallest ones
+    sample = pages.select(id_col, url_col, html_col).join(F.broadcast(chosen), id_col).limit(SAMPLE_RECORDS).collect()
     dictionary = train([record(r[0], r[1], (r[2] or "").encode(), None, False) for r in sample])
 
     def run(batches):
