@@ -35,7 +35,7 @@ def first_filled(*names: Column | str) -> Column:
 
 
 def split_values(x: Column | str) -> Column:
-    return F.filter(F.transform(F.split(c(x), "[,\r\n]+"), F.trim), lambda v: v != "")
+    return F.filter(F.transform(F.split(c(x), "[,\r\n]+"), lambda v: F.trim(v)), lambda v: v != "")
 
 
 def canonical_number(x: Column | str) -> Column:
@@ -168,3 +168,14 @@ def box_ratio(x: Column | str, y: Column | str, area: float) -> Column:
 def reasons(*pairs: tuple[Column, str]) -> Column:
     """The names whose condition holds, in order."""
     return F.array_compact(F.array(*(F.when(cond, name) for cond, name in pairs)))
+
+
+def range_list(x: Column | str) -> Column:
+    """'0-3,7' as distinct integers in order of appearance; a descending range is an error."""
+
+    def one(part: Column) -> Column:
+        ends = F.split(part, "-")
+        lo, hi = F.get(ends, F.lit(0)).cast("int"), F.coalesce(F.get(ends, F.lit(1)), F.get(ends, F.lit(0))).cast("int")
+        return F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi))).otherwise(F.raise_error(F.lit("descending range")).cast("array<int>"))
+
+    return F.array_distinct(F.flatten(F.transform(split_values(x), one)))
