@@ -53,7 +53,7 @@ def nearest_in_time(left: DataFrame, right: DataFrame, keys: list[str], t: str,
     b = right.select(*keys, t, F.col(t).alias("_r"), F.col(right_id).alias("_id"), F.lit(0).alias("_left"))
     both = a.unionByName(b, allowMissingColumns=True)
     hit = F.when(F.col("_left") == 0, F.struct("_r", "_id"))
-    back = W.partitionBy(*keys).orderBy(t, "_left", "_id").rowsBetween(W.unboundedPreceding, 0)
+    back = W.partitionBy(*keys).orderBy(t, "_left", F.col("_id").desc()).rowsBetween(W.unboundedPreceding, 0)
     ahead = W.partitionBy(*keys).orderBy(F.col(t).desc(), "_left", F.col("_id").desc()).rowsBetween(W.unboundedPreceding, 0)
     out = both.withColumns({"_b": F.last(hit, True).over(back), "_f": F.last(hit, True).over(ahead)}).where("_left = 1")
     db, df_ = F.col(t) - F.col("_b._r"), F.col("_f._r") - F.col(t)

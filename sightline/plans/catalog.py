@@ -60,7 +60,8 @@ def r6(x, name: str):
     return F.round(x, 6).alias(name)
 
 
-n_rows = F.count(F.lit(1))
+def n_rows(name: str):
+    return F.count(F.lit(1)).alias(name)
 
 
 # quality control ------------------------------------------------------------------------------
@@ -96,14 +97,14 @@ def frame_stride_limit(spark, sf):
 def qc_camera_stats(spark, sf):
     ok = F.col("decode_ok") & (F.col("tag_count") >= 4)
     return metrics(spark, sf).groupBy("camera").agg(
-        n_rows.alias("images"), F.count_if("decode_ok").alias("decoded"), F.count_if(~F.col("decode_ok")).alias("failed"), F.count_if(ok).alias("passing"), F.sum("tag_count").alias("tags"),
+        n_rows("images"), F.count_if("decode_ok").alias("decoded"), F.count_if(~F.col("decode_ok")).alias("failed"), F.count_if(ok).alias("passing"), F.sum("tag_count").alias("tags"),
         F.max("tag_count").alias("max_tags"), F.min(F.when(ok, F.col("frame"))).alias("first_passing"), F.max(F.when(ok, F.col("frame"))).alias("last_passing"),
     )
 
 
 @query(f"WITH {M} SELECT frame, camera, count(*) AS images, count(*) FILTER (WHERE decode_ok) AS decoded, round(count(*) FILTER (WHERE decode_ok) / count(*), 6) AS ratio FROM m GROUP BY ROLLUP (frame, camera)")
 def qc_time_rollup(spark, sf):
-    return metrics(spark, sf).rollup("frame", "camera").agg(n_rows.alias("images"), F.count_if("decode_ok").alias("decoded")).withColumn("ratio", F.round(F.col("decoded") / F.col("images"), 6))
+    return metrics(spark, sf).rollup("frame", "camera").agg(n_rows("images"), F.count_if("decode_ok").alias("decoded")).withColumn("ratio", F.round(F.col("decoded") / F.col("images"), 6))
 
 
 @query("SELECT c_custkey AS missing FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
@@ -126,14 +127,16 @@ def staging_plan(spark, sf):
 @query(f"WITH {RES} SELECT scope, count(*) AS n, round(avg(residual), 6) AS mean FROM (SELECT unnest(['all', 'ok', 'used_after_gate']) AS scope, * FROM r) WHERE scope = 'all' OR (scope = 'ok' AND status <> 'R') OR (scope = 'used_after_gate' AND used = 'O') GROUP BY scope")
 def residual_scope(spark, sf):
     scopes = S.reasons((F.lit(True), "all"), (F.col("status") != "R", "ok"), (F.col("used") == "O", "used_after_gate"))
-    return residuals(spark, sf).select(F.explode(scopes).alias("scope"), "residual").groupBy("scope").agg(n_rows.alias("n"), r6(F.avg("residual"), "mean"))
+    return residuals(spark, sf).select(F.explode(scopes).alias("scope"), "residual").groupBy("scope").agg(n_rows("n"), r6(F.avg("residual"), "mean"))
 
 
-SUMMARY = "count(*) AS n, round(avg(residual), 6) AS mean, round(quantile_cont(residual, 0.5), 6) AS median, round(quantile_cont(residual, 0.9), 6) AS p90, round(max(residual), 6) AS worst, round(avg(CASE WHEN residual < 30 THEN 1.0 ELSE 0.0 END), 6) AS under_30"
+#: The mean is taken over whole units of 1e-5, so that the order of addition can't move a rounding.
+SUMMARY = "count(*) AS n, round(sum(CAST(round(residual * 100000) AS BIGINT)) / count(*) / 100000, 6) AS mean, round(quantile_cont(residual, 0.5), 6) AS median, round(quantile_cont(residual, 0.9), 6) AS p90, round(max(residual), 6) AS worst, round(avg(CASE WHEN residual < 30 THEN 1.0 ELSE 0.0 END), 6) AS under_30"
 
 
 def summary():
-    return [n_rows.alias("n"), r6(F.avg("residual"), "mean"), r6(S.q_lin("residual", 0.5), "median"), r6(S.q_lin("residual", 0.9), "p90"), r6(F.max("residual"), "worst"), r6(F.avg((F.col("residual") < 30).cast("double")), "under_30")]
+    mean = F.sum(F.round(F.col("residual") * 100000).cast("bigint")) / F.count(F.lit(1)) / 100000
+    return [n_rows("n"), r6(mean, "mean"), r6(S.q_lin("residual", 0.5), "median"), r6(S.q_lin("residual", 0.9), "p90"), r6(F.max("residual"), "worst"), r6(F.avg((F.col("residual") < 30).cast("double")), "under_30")]
 
 
 @query(f"WITH {RES} SELECT camera, frame, tag, face, {SUMMARY} FROM r GROUP BY GROUPING SETS ((camera), (frame), (tag), (face))")
@@ -159,8 +162,8 @@ c AS (SELECT frame, cameras, obs, round(med, 6) AS med, round(p90, 6) AS p90, ar
 
 def frame_candidates(spark, sf):
     r = residuals(spark, sf)
-    cams = r.groupBy("frame", "camera").agg(n_rows.alias("n")).groupBy("frame").agg(F.count_if(F.col("n") >= 2).alias("cameras"))
-    f = r.groupBy("frame").agg(n_rows.alias("obs"), S.q_lin("residual", 0.5).alias("med"), S.q_lin("residual", 0.9).alias("p90"))
+    cams = r.groupBy("frame", "camera").agg(n_rows("n")).groupBy("frame").agg(F.count_if(F.col("n") >= 2).alias("cameras"))
+    f = r.groupBy("frame").agg(n_rows("obs"), S.q_lin("residual", 0.5).alias("med"), S.q_lin("residual", 0.9).alias("p90"))
     why = S.reasons((F.col("obs") < 300, "few_observations"), (F.col("cameras") < 90, "few_cameras"), (F.col("med") > 35.5, "median"), (F.col("p90") > 66, "p90"))
     return f.join(cams, "frame").select("frame", "cameras", "obs", r6(F.col("med"), "med"), r6(F.col("p90"), "p90"), F.array_join(why, ",").alias("reasons"))
 
@@ -178,12 +181,12 @@ def best_frames(spark, sf):
 
 @query(f"WITH {FRAMES} SELECT reason, count(*) AS n FROM (SELECT unnest(string_split(reasons, ',')) AS reason FROM c WHERE reasons <> '') GROUP BY reason")
 def rejection_histogram(spark, sf):
-    return frame_candidates(spark, sf).where("reasons <> ''").select(F.explode(F.split("reasons", ",")).alias("reason")).groupBy("reason").agg(n_rows.alias("n"))
+    return frame_candidates(spark, sf).where("reasons <> ''").select(F.explode(F.split("reasons", ",")).alias("reason")).groupBy("reason").agg(n_rows("n"))
 
 
 @query(f"WITH {RES}, p AS (SELECT frame, camera, count(*) AS n FROM r GROUP BY ALL) SELECT frame, string_agg(concat(camera, ':', n), ',' ORDER BY camera) AS counts FROM p GROUP BY frame")
 def per_frame_camera_map(spark, sf):
-    per = residuals(spark, sf).groupBy("frame", "camera").agg(n_rows.alias("n"))
+    per = residuals(spark, sf).groupBy("frame", "camera").agg(n_rows("n"))
     entries = F.array_sort(F.collect_list(F.struct("camera", "n")))
     return per.groupBy("frame").agg(F.array_join(F.transform(entries, lambda e: F.concat_ws(":", e["camera"].cast("string"), e["n"].cast("string"))), ",").alias("counts"))
 
@@ -191,7 +194,7 @@ def per_frame_camera_map(spark, sf):
 @query("WITH f AS (SELECT doc_id, unnest(list_filter([CASE WHEN quality = 1 THEN 'accepted' END, CASE WHEN toxic = 1 THEN 'prior' END, CASE WHEN quality = 0 AND toxic = 0 THEN 'other' END], lambda x: x IS NOT NULL)) AS g FROM labels) SELECT g AS grp, count(*) AS n, min(doc_id) AS first_id FROM f GROUP BY g")
 def overlapping_groups(spark, sf):
     flags = S.reasons((F.col("quality") == 1, "accepted"), (F.col("toxic") == 1, "prior"), ((F.col("quality") == 0) & (F.col("toxic") == 0), "other"))
-    return t(spark, sf, "labels").select("doc_id", F.explode(flags).alias("grp")).groupBy("grp").agg(n_rows.alias("n"), F.min("doc_id").alias("first_id"))
+    return t(spark, sf, "labels").select("doc_id", F.explode(flags).alias("grp")).groupBy("grp").agg(n_rows("n"), F.min("doc_id").alias("first_id"))
 
 
 @query(f"WITH {RES} SELECT camera, list_sort(list(residual))[1 + count(*) // 2] AS hi_median, list_sort(list(residual))[1 + CAST(floor(0.9 * (count(*) - 1)) AS INT)] AS lo_p90, round(median(residual), 6) AS mid FROM r GROUP BY camera")
@@ -206,7 +209,7 @@ COVER = f"c AS (SELECT l_suppkey AS camera, count(*) AS points, count(DISTINCT f
 
 def coverage(spark, sf):
     li = t(spark, sf, "lineitem")
-    return li.groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows.alias("points"), F.countDistinct(F.floor(F.col("l_partkey") / 4)).alias("tags"), F.countDistinct(F.date_format("l_shipdate", "yyyy-MM")).alias("frames"), r6(S.box_ratio("l_quantity", "l_tax", 4.0), "box_ratio"))
+    return li.groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows("points"), F.countDistinct(F.floor(F.col("l_partkey") / 4)).alias("tags"), F.countDistinct(F.date_format("l_shipdate", "yyyy-MM")).alias("frames"), r6(S.box_ratio("l_quantity", "l_tax", 4.0), "box_ratio"))
 
 
 @query(f"WITH {COVER} SELECT * FROM c")
@@ -223,10 +226,10 @@ def coverage_status(spark, sf):
 
 @query("WITH v AS (SELECT o_orderkey AS frame, o_orderstatus FROM orders), p AS (SELECT l_orderkey AS frame, l_suppkey AS camera, count(*) AS n FROM lineitem GROUP BY ALL), h AS (SELECT th, v.frame, count(p.camera) FILTER (WHERE p.n >= th) AS cameras FROM v CROSS JOIN (SELECT unnest([1, 2]) AS th) LEFT JOIN p ON p.frame = v.frame GROUP BY ALL) SELECT CAST(th AS INT) AS threshold, cameras, count(*) AS frames FROM h GROUP BY ALL")
 def coverage_histogram(spark, sf):
-    per = t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("frame"), "l_suppkey").agg(n_rows.alias("n")).groupBy("frame").agg(F.count_if(F.col("n") >= 1).alias("c1"), F.count_if(F.col("n") >= 2).alias("c2"))
+    per = t(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("frame"), "l_suppkey").agg(n_rows("n")).groupBy("frame").agg(F.count_if(F.col("n") >= 1).alias("c1"), F.count_if(F.col("n") >= 2).alias("c2"))
     frames = t(spark, sf, "orders").select(F.col("o_orderkey").alias("frame")).join(per, "frame", "left")
     both = frames.select(F.inline(F.array(*(F.struct(F.lit(k).alias("threshold"), F.coalesce(f"c{k}", F.lit(0)).alias("cameras")) for k in (1, 2)))))
-    return both.groupBy("threshold", "cameras").agg(n_rows.alias("frames"))
+    return both.groupBy("threshold", "cameras").agg(n_rows("frames"))
 
 
 @query("WITH s AS (SELECT DISTINCT l_orderkey AS f, l_suppkey AS c FROM lineitem WHERE l_suppkey <= 60), p AS (SELECT x.c AS a, y.c AS b, count(*) AS n FROM s x JOIN s y ON x.f = y.f AND x.c < y.c GROUP BY ALL) SELECT x.s_suppkey AS camera_a, y.s_suppkey AS camera_b, coalesce(n, 0) AS shared FROM supplier x JOIN supplier y ON x.s_suppkey < y.s_suppkey AND y.s_suppkey <= 60 LEFT JOIN p ON a = x.s_suppkey AND b = y.s_suppkey")
@@ -245,19 +248,19 @@ def positive_runs(spark, sf):
 def timeline_dense(spark, sf):
     d = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("camera"), F.to_date("l_shipdate").alias("day")).where("camera <= 5")
     every = d.groupBy("camera").agg(F.sequence(F.min("day"), F.max("day")).alias("days")).select("camera", F.explode("days").alias("day"))
-    return every.join(d.groupBy("camera", "day").agg(n_rows.alias("n")), ["camera", "day"], "left").select("camera", F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
+    return every.join(d.groupBy("camera", "day").agg(n_rows("n")), ["camera", "day"], "left").select("camera", F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
 
 
 @query("WITH g AS (SELECT strftime(l_shipdate, '%Y-%m') AS frame, CAST(l_partkey // 4 AS BIGINT) AS tag, count(DISTINCT l_suppkey) AS cameras, count(*) AS items FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_suppkey) >= 2) SELECT frame, tag, cameras, items FROM g QUALIFY row_number() OVER (PARTITION BY frame ORDER BY cameras DESC, items DESC, tag) <= 3")
 def shared_tags_topk_per_frame(spark, sf):
-    g = t(spark, sf, "lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("frame"), S.floor_div("l_partkey", 4).alias("tag")).agg(F.countDistinct("l_suppkey").alias("cameras"), n_rows.alias("items")).where("cameras >= 2")
+    g = t(spark, sf, "lineitem").groupBy(F.date_format("l_shipdate", "yyyy-MM").alias("frame"), S.floor_div("l_partkey", 4).alias("tag")).agg(F.countDistinct("l_suppkey").alias("cameras"), n_rows("items")).where("cameras >= 2")
     return g.withColumn("_n", F.row_number().over(W.partitionBy("frame").orderBy(F.desc("cameras"), F.desc("items"), "tag"))).where("_n <= 3").drop("_n")
 
 
 @query("WITH g AS (SELECT l_suppkey AS camera, l_partkey // 4 AS tag, avg(l_quantity) AS x, avg(l_tax) AS y FROM lineitem GROUP BY ALL) SELECT camera, round(avg(x), 6) AS cx, round(avg(y), 6) AS cy, count(*) AS tags FROM g GROUP BY camera")
 def centroid_of_centroids(spark, sf):
     g = t(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("camera"), S.floor_div("l_partkey", 4).alias("tag")).agg(F.avg("l_quantity").alias("x"), F.avg("l_tax").alias("y"))
-    return g.groupBy("camera").agg(r6(F.avg("x"), "cx"), r6(F.avg("y"), "cy"), n_rows.alias("tags"))
+    return g.groupBy("camera").agg(r6(F.avg("x"), "cx"), r6(F.avg("y"), "cy"), n_rows("tags"))
 
 
 @query("WITH g AS (SELECT l_orderkey AS s, min(l_linenumber) AS lo, max(l_linenumber) AS hi, count(DISTINCT l_linenumber) AS n FROM lineitem GROUP BY ALL) SELECT s AS session, lo = 1 AND hi = n AS contiguous, CAST(hi - n AS BIGINT) AS missing, CAST((SELECT max(n) FROM g) - n AS BIGINT) AS tail_short FROM g")
@@ -343,7 +346,7 @@ def dataset_merge_rebase(spark, sf):
 def dataset_intersect_keys(spark, sf):
     k = t(spark, sf, "events").select("user_id", "event_type").distinct()
     every = k.agg(F.countDistinct("event_type").alias("all"))
-    return k.groupBy("user_id").agg(n_rows.alias("n")).join(F.broadcast(every)).where("n = all").select("user_id")
+    return k.groupBy("user_id").agg(n_rows("n")).join(F.broadcast(every)).where("n = all").select("user_id")
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d %H') AS filename, max(event_id) FILTER (WHERE event_type = 'view') AS view, max(event_id) FILTER (WHERE event_type = 'click') AS click, dense_rank() OVER (ORDER BY strftime(ts, '%Y-%m-%d %H')) - 1 AS imageset_index FROM events WHERE event_type IN ('view', 'click') GROUP BY 1")
@@ -357,7 +360,7 @@ def shard_align(spark, sf):
 def subsample_with_fallback(spark, sf):
     k = t(spark, sf, "lineitem").join(t(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey"), "left").withColumn("keep", F.when(F.col("p_size") > 10, F.pmod("p_size", F.lit(2)) == 0).otherwise(F.pmod("l_partkey", F.lit(3)) == 0))
     n = k.withColumn("kept", F.count_if("keep").over(W.partitionBy("l_orderkey")))
-    return n.where("keep or kept < 2").groupBy("l_orderkey").agg(n_rows.alias("n"), F.max("kept").alias("kept"))
+    return n.where("keep or kept < 2").groupBy("l_orderkey").agg(n_rows("n"), F.max("kept").alias("kept"))
 
 
 CASC = """l AS (SELECT c_nationkey AS nation, c_mktsegment AS segment, c_custkey AS payload FROM customer WHERE c_custkey % 7 = 0),
@@ -386,7 +389,7 @@ def status_update_anti(spark, sf):
 @query("SELECT 'common' AS kind, count(*) AS n FROM (SELECT o_custkey FROM orders INTERSECT SELECT c_custkey FROM customer) UNION ALL SELECT 'missing', count(*) FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders) UNION ALL SELECT 'either', count(*) FROM (SELECT o_custkey FROM orders UNION SELECT c_custkey FROM customer)")
 def set_ops(spark, sf):
     o, k = t(spark, sf, "orders").select(F.col("o_custkey").alias("k")), t(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
-    n = lambda df, kind: df.agg(n_rows.alias("n")).select(F.lit(kind).alias("kind"), "n")
+    n = lambda df, kind: df.agg(n_rows("n")).select(F.lit(kind).alias("kind"), "n")
     return n(o.intersect(k), "common").unionByName(n(k.subtract(o), "missing")).unionByName(n(o.union(k).distinct(), "either"))
 
 
@@ -399,7 +402,7 @@ def union_ragged(spark, sf):
 
 @query("SELECT l_suppkey AS camera, coalesce(s_name, 'unknown') AS label, coalesce(n_name, 'unknown') AS machine, count(*) AS n FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey LEFT JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL")
 def manifest_lookup(spark, sf):
-    per = t(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows.alias("n"))  # before the join: one row per camera
+    per = t(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows("n"))  # before the join: one row per camera
     s = t(spark, sf, "supplier").join(t(spark, sf, "nation"), F.col("n_nationkey") == F.col("s_nationkey"), "left")
     return per.join(s, F.col("s_suppkey") == F.col("camera"), "left").select("camera", F.coalesce("s_name", F.lit("unknown")).alias("label"), F.coalesce("n_name", F.lit("unknown")).alias("machine"), "n")
 
@@ -423,7 +426,7 @@ def ordered_key_lookup(spark, sf):
 @query("WITH q AS (SELECT l_suppkey AS k, count(*) AS n, list_sort(list(l_extendedprice)) AS v FROM lineitem GROUP BY ALL), f AS (SELECT k, n, v[1 + CAST(floor(0.25 * n + 0.5) AS INT)] AS q1, v[1 + CAST(floor(0.75 * n + 0.5) AS INT)] AS q3 FROM q) SELECT k AS camera, count(*) AS kept, round(max(l_extendedprice), 6) AS worst FROM lineitem JOIN f ON k = l_suppkey WHERE n < 8 OR l_extendedprice BETWEEN q1 - 0.5 * (q3 - q1) AND q3 + 0.5 * (q3 - q1) GROUP BY k")
 def iqr_outlier_filter(spark, sf):
     kept = R.fenced(t(spark, sf, "lineitem"), "l_suppkey", "l_extendedprice", 0.5)
-    return kept.groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows.alias("kept"), r6(F.max("l_extendedprice"), "worst"))
+    return kept.groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows("kept"), r6(F.max("l_extendedprice"), "worst"))
 
 
 @query("WITH m AS (SELECT user_id, median(value) AS med FROM events GROUP BY ALL), d AS (SELECT e.user_id, any_value(med) AS med, median(abs(value - med)) AS mad FROM events e JOIN m ON m.user_id = e.user_id GROUP BY ALL), g AS (SELECT *, greatest(5.0, med + 1.0 * 1.4826 * mad) AS gate FROM d) SELECT g.user_id, round(any_value(med), 6) AS med, round(any_value(mad), 6) AS mad, round(any_value(gate), 6) AS gate, count(*) FILTER (WHERE value <= gate) AS n_kept, round(median(value) FILTER (WHERE value <= gate), 6) AS kept_median FROM events e JOIN g ON g.user_id = e.user_id GROUP BY g.user_id")
@@ -435,17 +438,17 @@ def mad_gate(spark, sf):
 @query("WITH e AS (SELECT l_quantity - 25 AS x, l_discount * 500 - 25 AS y FROM lineitem), b AS (SELECT CAST(floor(10 * (x / 25 + 1)) AS BIGINT) AS bx, CAST(floor(10 * (y / 25 + 1)) AS BIGINT) AS bye FROM e) SELECT bx AS bin_x, bye AS bin_y, count(*) AS n FROM b WHERE bx BETWEEN 0 AND 19 AND bye BETWEEN 0 AND 19 GROUP BY ALL")
 def error_histogram_2d(spark, sf):
     b = t(spark, sf, "lineitem").select(F.floor(10 * ((F.col("l_quantity") - 25) / 25 + 1)).alias("bin_x"), F.floor(10 * ((F.col("l_discount") * 500 - 25) / 25 + 1)).alias("bin_y"))
-    return b.where("bin_x between 0 and 19 and bin_y between 0 and 19").groupBy("bin_x", "bin_y").agg(n_rows.alias("n"))
+    return b.where("bin_x between 0 and 19 and bin_y between 0 and 19").groupBy("bin_x", "bin_y").agg(n_rows("n"))
 
 
 @query("SELECT l_suppkey AS camera, CAST(floor(l_quantity) AS BIGINT) AS x, least(255, count(*)) AS heat FROM lineitem GROUP BY ALL")
 def running_saturating_count(spark, sf):
-    return t(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("camera"), F.floor("l_quantity").alias("x")).agg(F.least(F.lit(255), n_rows).alias("heat"))
+    return t(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("camera"), F.floor("l_quantity").alias("x")).agg(F.least(F.lit(255), F.count(F.lit(1))).alias("heat"))
 
 
 @query("SELECT event_type, round(exp(avg(ln(value))), 6) AS geometric_mean, round(avg(value), 6) AS mean, round(var_samp(value), 6) AS variance, count(*) AS n FROM events WHERE value > 0 GROUP BY event_type")
 def moments(spark, sf):
-    return t(spark, sf, "events").where("value > 0").groupBy("event_type").agg(r6(F.exp(F.avg(F.ln("value"))), "geometric_mean"), r6(F.avg("value"), "mean"), r6(F.var_samp("value"), "variance"), n_rows.alias("n"))
+    return t(spark, sf, "events").where("value > 0").groupBy("event_type").agg(r6(F.exp(F.avg(F.ln("value"))), "geometric_mean"), r6(F.avg("value"), "mean"), r6(F.var_samp("value"), "variance"), n_rows("n"))
 
 
 @query("""WITH s AS (SELECT median(l_extendedprice) AS med, max(l_quantity) AS top, count(DISTINCT l_suppkey) AS cams, min(l_discount) AS low FROM lineitem), g AS (SELECT unnest([{'name': 'median', 'value': med, 'op': '<=', 'threshold': 40000.0}, {'name': 'top', 'value': top, 'op': '<', 'threshold': 50.0}, {'name': 'cameras', 'value': CAST(cams AS DOUBLE), 'op': '>=', 'threshold': 10.0}, {'name': 'absent', 'value': CAST(NULL AS DOUBLE), 'op': '>', 'threshold': 0.0}], recursive := true) FROM s)
@@ -478,7 +481,7 @@ def prior_delta_gate(spark, sf):
 @query("SELECT l_suppkey AS camera, count(*) AS n_input, count(*) FILTER (WHERE l_returnflag = 'R') AS invalid, count(*) FILTER (WHERE l_returnflag <> 'R' AND l_extendedprice <= 50000) AS kept, count(*) FILTER (WHERE l_returnflag = 'R' OR l_extendedprice > 50000) AS removed FROM lineitem GROUP BY l_suppkey")
 def gate_accounting(spark, sf):
     bad, in_ = F.col("l_returnflag") == "R", F.col("l_extendedprice") <= 50000
-    return t(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows.alias("n_input"), F.count_if(bad).alias("invalid"), F.count_if(~bad & in_).alias("kept"), F.count_if(bad | ~in_).alias("removed"))
+    return t(spark, sf, "lineitem").groupBy(F.col("l_suppkey").alias("camera")).agg(n_rows("n_input"), F.count_if(bad).alias("invalid"), F.count_if(~bad & in_).alias("kept"), F.count_if(bad | ~in_).alias("removed"))
 
 
 # scalars and structures -----------------------------------------------------------------------
@@ -545,7 +548,7 @@ def similarity_self_join(spark, sf):
 
 @query("SELECT label, round(median(CAST(embedding[1] AS DOUBLE)), 6) AS m1, round(median(CAST(embedding[2] AS DOUBLE)), 6) AS m2, round(median(CAST(embedding[3] AS DOUBLE)), 6) AS m3, count(*) AS n FROM embeddings GROUP BY label")
 def component_median(spark, sf):
-    return t(spark, sf, "embeddings").groupBy("label").agg(*(r6(F.median(F.element_at("embedding", k).cast("double")), f"m{k}") for k in (1, 2, 3)), n_rows.alias("n"))
+    return t(spark, sf, "embeddings").groupBy("label").agg(*(r6(F.median(F.element_at("embedding", k).cast("double")), f"m{k}") for k in (1, 2, 3)), n_rows("n"))
 
 
 GRAPH = "g AS (SELECT DISTINCT o_custkey AS a, 1000000 + l_partkey AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_partkey % 40 = 0 AND o_custkey % 10 = 0)"
@@ -562,7 +565,7 @@ def component_labels(spark, sf):
 @query("SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS roles, count(*) AS turns, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY conv_id")
 def ordered_sequences(spark, sf):
     rows = F.array_sort(F.collect_list(F.struct("turn", "role")))
-    return t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda x: x["role"]), ">").alias("roles"), n_rows.alias("turns"), F.sum(F.length("text")).alias("chars"))
+    return t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda x: x["role"]), ">").alias("roles"), n_rows("turns"), F.sum(F.length("text")).alias("chars"))
 
 
 @query("SELECT lo AS day, event_type, count(*) AS n FROM (SELECT date_trunc('day', ts) AS lo, event_type FROM events) GROUP BY ALL")

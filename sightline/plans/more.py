@@ -46,7 +46,7 @@ RASTER = "g AS (SELECT CAST(floor(l_quantity) AS BIGINT) AS x, CAST(round(l_disc
 
 
 def raster(spark, sf):
-    return t(spark, sf, "lineitem").groupBy(F.floor("l_quantity").alias("x"), F.round(F.col("l_discount") * 100).cast("bigint").alias("y")).agg(n_rows.alias("v"))
+    return t(spark, sf, "lineitem").groupBy(F.floor("l_quantity").alias("x"), F.round(F.col("l_discount") * 100).cast("bigint").alias("y")).agg(n_rows("v"))
 
 
 @query(f"WITH {RASTER}, a AS (SELECT x, y, sum(v) OVER (PARTITION BY y ORDER BY x) AS s FROM g) SELECT x, y, CAST(sum(s) OVER (PARTITION BY x ORDER BY y) AS BIGINT) AS integral FROM a")
@@ -62,7 +62,7 @@ def half_scale(spark, sf):
 
 @query(f"WITH {RASTER} SELECT count(*) AS n, min(v) AS least, max(v) AS most, round(avg(v), 6) AS mean, round(median(v), 6) AS median, round(avg(v) FILTER (WHERE v <> 20), 6) AS mean_excluding FROM g")
 def raster_stats(spark, sf):
-    return raster(spark, sf).agg(n_rows.alias("n"), F.min("v").alias("least"), F.max("v").alias("most"), r6(F.avg("v"), "mean"), r6(F.median("v"), "median"), r6(F.avg(F.when(F.col("v") != 20, F.col("v"))), "mean_excluding"))
+    return raster(spark, sf).agg(n_rows("n"), F.min("v").alias("least"), F.max("v").alias("most"), r6(F.avg("v"), "mean"), r6(F.median("v"), "median"), r6(F.avg(F.when(F.col("v") != 20, F.col("v"))), "mean_excluding"))
 
 
 @query(f"WITH {RASTER}, l AS (SELECT g.x, g.y, 4 * g.v - coalesce(a.v, 0) - coalesce(b.v, 0) - coalesce(c.v, 0) - coalesce(d.v, 0) AS l FROM g LEFT JOIN g a ON a.x = g.x - 1 AND a.y = g.y LEFT JOIN g b ON b.x = g.x + 1 AND b.y = g.y LEFT JOIN g c ON c.x = g.x AND c.y = g.y - 1 LEFT JOIN g d ON d.x = g.x AND d.y = g.y + 1) SELECT round(var_pop(l), 6) AS sharpness FROM l")
@@ -111,7 +111,7 @@ def vector_consensus(spark, sf):
     x, y = near.alias("x"), e.alias("y")
     d = F.sqrt((F.col("x.a") - F.col("y.a")) * (F.col("x.a") - F.col("y.a")) + (F.col("x.b") - F.col("y.b")) * (F.col("x.b") - F.col("y.b")))
     pairs = x.join(y, (F.col("x.label") == F.col("y.label")) & (F.col("x.ha") == F.col("y.ga")) & (F.col("x.hb") == F.col("y.gb")) & (d <= 0.1))
-    score = pairs.groupBy(F.col("x.label").alias("label"), F.col("x.vec_id").alias("hyp")).agg(n_rows.alias("votes"), F.round(F.sum(d), 9).alias("cost"))
+    score = pairs.groupBy(F.col("x.label").alias("label"), F.col("x.vec_id").alias("hyp")).agg(n_rows("votes"), F.round(F.sum(d), 9).alias("cost"))
     return score.withColumn("_n", F.row_number().over(W.partitionBy("label").orderBy(F.desc("votes"), "cost", "hyp"))).where("_n = 1").select("label", "hyp", "votes")
 
 
@@ -180,7 +180,7 @@ def stage_fingerprint(spark, sf):
 
 @query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total, round(avg(value), 6) AS mean, round(var_samp(value), 4) AS variance, min(value) AS least, max(value) AS most FROM events GROUP BY event_type")
 def timers(spark, sf):
-    return t(spark, sf, "events").groupBy("event_type").agg(n_rows.alias("n"), F.round(F.sum("value"), 4).alias("total"), r6(F.avg("value"), "mean"), F.round(F.var_samp("value"), 4).alias("variance"), F.min("value").alias("least"), F.max("value").alias("most"))
+    return t(spark, sf, "events").groupBy("event_type").agg(n_rows("n"), F.round(F.sum("value"), 4).alias("total"), r6(F.avg("value"), "mean"), F.round(F.var_samp("value"), 4).alias("variance"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
 @query("SELECT c_name, row_number() OVER (ORDER BY try_cast(c_mktsegment AS BIGINT) IS NULL, try_cast(c_mktsegment AS BIGINT), c_mktsegment, c_custkey) AS pos FROM customer")
@@ -193,7 +193,7 @@ def text_log_scan(spark, sf):
     """Line-wise scan of text logs with a captured number."""
     lines = t(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("l"))
     number = F.nullif(F.regexp_extract("l", r"(\d{1,9})", 1), F.lit("")).try_cast("bigint")
-    return lines.groupBy("doc_id").agg(n_rows.alias("lines"), F.count_if(F.regexp_like("l", F.lit(r"\d"))).alias("with_digits"), F.max(number).alias("largest"))
+    return lines.groupBy("doc_id").agg(n_rows("lines"), F.count_if(F.regexp_like("l", F.lit(r"\d"))).alias("with_digits"), F.max(number).alias("largest"))
 
 
 @query("WITH d AS (SELECT vec_id, label, unnest(range(8)) AS tag, unnest(list_transform(range(8), lambda k: embedding[4 * k + 1 : 4 * k + 4])) AS corners FROM embeddings), c AS (SELECT *, tag % 3 <> 2 AS valid, len(list_filter(corners, lambda x: abs(x) < 0.25)) = 4 AS whole FROM d) SELECT vec_id, count(*) FILTER (WHERE valid AND whole) AS tags, count(*) FILTER (WHERE NOT valid) AS invalid_id, count(*) FILTER (WHERE valid AND NOT whole) AS malformed FROM c GROUP BY vec_id")
