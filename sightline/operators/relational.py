@@ -39,6 +39,20 @@ def stride_limit(df: DataFrame, order: list[Column], stride: int, most: int) ->
     return kept.withColumn("out_index", F.floor(F.col("_n") / stride).cast("bigint")).where(F.col("out_index") < most).drop("_n")
 
 
+def dense_index(df: DataFrame, key: str, name: str, parts: int = 64) -> DataFrame:
+    """Rank from 0 by a numeric key (unique), without sending all rows to one task.
+
+    Rows fall into ranges between approximate quantiles; a row's rank is its rank in the range plus
+    the sizes of the ranges before, of which there are at most parts.
+    """
+    bounds = sorted(set(df.approxQuantile(key, [k / parts for k in range(1, parts)], 0.002)))
+    ranged = df.withColumn("_range", sum((F.when(F.col(key) > b, 1).otherwise(0) for b in bounds), F.lit(0)))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_size")
+    rank = F.row_number().over(W.partitionBy("_range").orderBy(key)) - 1
+    return ranged.withColumn("_rank", rank).join(F.broadcast(before), "_range").withColumn(name, (F.col("_rank") + F.col("_before")).cast("bigint")).drop("_range", "_rank", "_before")
+
+
 def runs(df: DataFrame, keys: list[str], order: Column, positive: Column) -> DataFrame:
     """Per key: number of maximal runs of positive rows, and the longest."""
     w = W.partitionBy(*keys).orderBy(order)

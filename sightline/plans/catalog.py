@@ -114,9 +114,9 @@ def qc_missing_members(spark, sf):
 
 @query(f"WITH {GATE} SELECT s.frame, c.s_suppkey AS camera, CASE WHEN b.camera IS NULL THEN 'missing_metric_row' ELSE 'staged' END AS reason, b.decode_ok AND b.tag_count >= 4 AS passes FROM s CROSS JOIN supplier c LEFT JOIN b ON b.frame = s.frame AND b.camera = c.s_suppkey WHERE s.status = 'selected'")
 def staging_plan(spark, sf):
-    """Selected frames x manifest cameras is the plan itself; the manifest is a bounded dimension, checked by the gate."""
-    cams = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("camera")).agg(F.collect_set("camera").alias("cameras"))
-    frames = gate(spark, sf).where("status = 'selected'").select("frame").join(F.broadcast(cams)).select("frame", F.explode("cameras").alias("camera"))
+    """Selected frames x manifest cameras is the plan itself. Frames are months, so their list is bounded; each camera carries it."""
+    months = gate(spark, sf).where("status = 'selected'").agg(F.collect_set("frame").alias("frames"))
+    frames = t(spark, sf, "supplier").select(F.col("s_suppkey").alias("camera")).join(F.broadcast(months)).select("camera", F.explode("frames").alias("frame"))
     b = best(spark, sf)
     return frames.join(b, ["frame", "camera"], "left").select("frame", "camera", F.when(F.col("tag_count").isNull(), "missing_metric_row").otherwise("staged").alias("reason"), (F.col("decode_ok") & (F.col("tag_count") >= 4)).alias("passes"))
 
@@ -376,7 +376,7 @@ def cascading_key_join(spark, sf):
 
 @query("WITH m AS (SELECT o_orderkey AS old, row_number() OVER (ORDER BY o_orderkey) - 1 AS new FROM orders WHERE o_orderstatus = 'F') SELECT new AS imageset_index, l_linenumber, CAST(floor(l_partkey / 4.0) * 4 + (l_partkey + 1) % 4 AS BIGINT) AS feature_id FROM lineitem JOIN m ON old = l_orderkey")
 def id_remap_join(spark, sf):
-    m = t(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), (F.row_number().over(W.orderBy("o_orderkey")) - 1).cast("bigint").alias("imageset_index"))
+    m = R.dense_index(t(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "imageset_index")
     return t(spark, sf, "lineitem").join(m, "l_orderkey").select("imageset_index", "l_linenumber", S.remap_corner("l_partkey", 1).alias("feature_id"))
 
 
@@ -416,7 +416,7 @@ def overlay_merge(spark, sf):
 @query("SELECT p_partkey, CASE WHEN s_suppkey IS NOT NULL THEN 'id' WHEN n_nationkey IS NOT NULL THEN 'size' END AS hit, coalesce(s_name, n_name) AS target FROM part LEFT JOIN supplier ON s_suppkey = p_partkey LEFT JOIN nation ON n_nationkey = p_size WHERE s_suppkey IS NOT NULL OR n_nationkey IS NOT NULL")
 def ordered_key_lookup(spark, sf):
     p, s, n = t(spark, sf, "part"), t(spark, sf, "supplier"), t(spark, sf, "nation")
-    j = p.join(s, F.col("s_suppkey") == F.col("p_partkey"), "left").join(F.broadcast(n), F.col("n_nationkey") == F.col("p_size"), "left").where("s_suppkey is not null or n_nationkey is not null")
+    j = p.join(s, F.col("s_suppkey") == F.col("p_partkey"), "left").join(n, F.col("n_nationkey") == F.col("p_size"), "left").where("s_suppkey is not null or n_nationkey is not null")
     return j.select("p_partkey", F.when(F.col("s_suppkey").isNotNull(), "id").otherwise("size").alias("hit"), F.coalesce("s_name", "n_name").alias("target"))
 
 
@@ -487,10 +487,10 @@ def gate_accounting(spark, sf):
 # scalars and structures -----------------------------------------------------------------------
 
 
-@query("SELECT c_name, row_number() OVER (ORDER BY regexp_replace(c_name, '\\d+', '', 'g'), CAST(regexp_extract(c_name, '(\\d+)', 1) AS BIGINT), c_name) AS pos FROM customer")
+@query("SELECT c_name, row_number() OVER (PARTITION BY c_nationkey ORDER BY regexp_replace(c_name, '\\d+', '', 'g'), CAST(regexp_extract(c_name, '(\\d+)', 1) AS BIGINT), c_name) AS pos FROM customer")
 def natural_sort_rank(spark, sf):
-    """Driver names share a text part, so the text and then the number order them alike."""
-    w = W.orderBy(S.natural_key("c_name"))
+    """Rank within the nation. Driver names share a text part, so the text and then the number order them alike."""
+    w = W.partitionBy("c_nationkey").orderBy(S.natural_key("c_name"))
     return t(spark, sf, "customer").select("c_name", F.row_number().over(w).cast("bigint").alias("pos"))
 
 

@@ -183,9 +183,9 @@ def timers(spark, sf):
     return t(spark, sf, "events").groupBy("event_type").agg(n_rows("n"), F.round(F.sum("value"), 4).alias("total"), r6(F.avg("value"), "mean"), F.round(F.var_samp("value"), 4).alias("variance"), F.min("value").alias("least"), F.max("value").alias("most"))
 
 
-@query("SELECT c_name, row_number() OVER (ORDER BY try_cast(c_mktsegment AS BIGINT) IS NULL, try_cast(c_mktsegment AS BIGINT), c_mktsegment, c_custkey) AS pos FROM customer")
+@query("SELECT c_name, row_number() OVER (PARTITION BY c_nationkey ORDER BY try_cast(c_mktsegment AS BIGINT) IS NULL, try_cast(c_mktsegment AS BIGINT), c_mktsegment, c_custkey) AS pos FROM customer")
 def numeric_first_rank(spark, sf):
-    return t(spark, sf, "customer").select("c_name", F.row_number().over(W.orderBy(*S.numeric_first("c_mktsegment"), F.col("c_custkey"))).cast("bigint").alias("pos"))
+    return t(spark, sf, "customer").select("c_name", F.row_number().over(W.partitionBy("c_nationkey").orderBy(*S.numeric_first("c_mktsegment"), F.col("c_custkey"))).cast("bigint").alias("pos"))
 
 
 @query("SELECT doc_id, count(*) AS lines, count(*) FILTER (WHERE regexp_matches(l, '\\d')) AS with_digits, max(try_cast(nullif(regexp_extract(l, '(\\d{1,9})', 1), '') AS BIGINT)) AS largest FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY doc_id")

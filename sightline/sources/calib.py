@@ -122,3 +122,13 @@ class CalibDataSource(DataSource):
 
     def reader(self, schema) -> DataSourceReader:
         return CalibReader(self.options["path"], self.options.get("table", "features"))
+
+
+def save(path: str, **tables) -> None:
+    """Write DataFrames cameras, imagesets, features and geometry as one file: the format is one file, so its rows meet here."""
+    from pyarrow import fs
+
+    rows = {k: [tuple(r) for r in df.select(*(c.split()[0] for c in TABLES[k].split(", "))).toLocalIterator()] for k, df in tables.items()}
+    system, at = fs.FileSystem.from_uri(path) if ":" in path else (fs.LocalFileSystem(), path)
+    with system.open_output_stream(at, compression=None) as f:
+        f.write(encode({k: rows.get(k, []) for k in TABLES}))

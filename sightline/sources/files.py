@@ -97,3 +97,69 @@ def discover(spark: SparkSession, path: str, pattern: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
     named = files.withColumn("name", F.regexp_extract("path", "([^/]*)$", 1)).where(F.col("name").rlike(pattern)).dropDuplicates(["path"])
     return named.select("path", "name", "length", F.regexp_extract("path", "([^/]+)/([^/]+)/[^/]*$", 1).alias("time"), F.regexp_extract("path", "([^/]+)/([^/]+)/[^/]*$", 2).alias("camera"))
+
+
+def simple_yaml(text: str) -> dict:
+    """'key: value' lines; values become bool, int, float or text, in that order of trial. Comments and blank lines are skipped."""
+    out = {}
+    for line in text.splitlines():
+        line = line.split("#", 1)[0].strip()
+        if ":" not in line:
+            continue
+        key, value = (p.strip() for p in line.split(":", 1))
+        if value.lower() in ("true", "false"):
+            out[key] = value.lower() == "true"
+            continue
+        for kind in (int, float, str):
+            try:
+                out[key] = kind(value.strip("'\""))
+                break
+            except ValueError:
+                continue
+    return out
+
+
+POSE = ("index", "tx", "ty", "tz", "qx", "qy", "qz", "qw")
+
+
+def read_poses(spark: SparkSession, path: str, count: int | None = None) -> DataFrame:
+    """Poses of a YAML list of mappings (index, tx .. qw), one key per line; with count, absent indices come with used = false."""
+    pairs = _lines(spark, path).select("source_file", "source_offset", F.regexp_extract("line", r"^\s*(-?)\s*(\w+)\s*:\s*(\S+)\s*$", 1).alias("dash"), F.regexp_extract("line", r"^\s*(-?)\s*(\w+)\s*:\s*(\S+)\s*$", 2).alias("k"), F.regexp_extract("line", r"^\s*(-?)\s*(\w+)\s*:\s*(\S+)\s*$", 3).alias("v"))
+    w = W.partitionBy("source_file").orderBy("source_offset")
+    items = pairs.where(F.col("k").isin(*POSE)).withColumn("item", F.sum((F.col("dash") == "-").cast("int")).over(w))
+    poses = items.groupBy("source_file", "item").agg(*(F.max(F.when(F.col("k") == k, F.col("v"))).cast("int" if k == "index" else "double").alias(k) for k in POSE)).select(*POSE)
+    if count is None:
+        return poses.withColumn("used", F.lit(True))
+    return spark.range(count).select(F.col("id").cast("int").alias("index")).join(poses, "index", "left").withColumn("used", F.col("qw").isNotNull())
+
+
+def write_poses(df: DataFrame, path: str) -> None:
+    """The list that read_poses reads, one item per row."""
+    lines = F.concat_ws("\n", *(F.concat(F.lit("- " if k == "index" else "  "), F.lit(f"{k}: "), F.col(k).cast("string")) for k in POSE))
+    df.select(lines.alias("value")).write.mode("overwrite").text(path)
+
+
+def write_obj(df: DataFrame, path: str) -> None:
+    """Points (x, y, z) as vertices."""
+    df.select(F.format_string("v %s %s %s", *(F.col(c).cast("string") for c in "xyz")).alias("value")).write.mode("overwrite").text(path)
+
+
+def ply(points: list[tuple], names: tuple[str, ...] = ("x", "y", "z")) -> str:
+    """An ASCII PLY cloud."""
+    head = ["ply", "format ascii 1.0", f"element vertex {len(points)}", *(f"property float {n}" for n in names), "end_header"]
+    return "\n".join([*head, *(" ".join(map(repr, p)) for p in points)]) + "\n"
+
+
+def read_ply(spark: SparkSession, path: str) -> DataFrame:
+    """Vertices of an ASCII PLY cloud, with all their properties as columns."""
+    first = spark.read.option("wholetext", True).text(path).select(F.regexp_extract("value", r"(?s)^(.*?end_header)\r?\n", 1)).first()[0]
+    names = [line.split()[-1] for line in first.splitlines() if line.startswith("property ") and " list " not in line]
+    rows = _lines(spark, path).withColumn("body", F.max(F.when(F.col("line") == "end_header", F.col("source_offset"))).over(W.partitionBy("source_file")))
+    parts = F.split(F.trim("line"), r"\s+")
+    return rows.where("source_offset > body and trim(line) <> ''").select(*(F.get(parts, F.lit(k)).cast("double").alias(n) for k, n in enumerate(names)))
+
+
+def read_mesh_project(spark: SparkSession, path: str) -> DataFrame:
+    """Meshes of a mesh-project XML: label, filename, matrix text."""
+    df = spark.read.option("rowTag", "MLMesh").option("attributePrefix", "_").format("xml").load(path)
+    return df.select(F.col("_label").alias("label"), F.col("_filename").alias("filename"), F.trim(F.col("MLMatrix44").cast("string")).alias("matrix"))

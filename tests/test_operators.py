@@ -113,3 +113,29 @@ def test_streams_equal_batch(spark, tmp_path):
     q = counted.writeStream.format("memory").queryName("counted").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert values(spark.table("counted")) == values(windows.counts(df, "ts", "user_id"))
+
+
+def test_yaml_poses_and_clouds(spark, tmp_path):
+    assert files.simple_yaml("a: 1\nb: 2.5 # c\nc: true\nd: 'x y'\n\n# e: 1") == {"a": 1, "b": 2.5, "c": True, "d": "x y"}
+    df = spark.createDataFrame([(2, 1.0, 2.0, 3.0, 0.0, 0.0, 0.0, 1.0), (0, 4.0, 5.0, 6.0, 0.0, 0.0, 1.0, 0.0)], "index int, tx double, ty double, tz double, qx double, qy double, qz double, qw double")
+    files.write_poses(df.coalesce(1), str(tmp_path / "poses"))
+    got = files.read_poses(spark, str(tmp_path / "poses"), 3)
+    assert [(r.index, r.tx, r.used) for r in got.orderBy("index").collect()] == [(0, 4.0, True), (1, None, False), (2, 1.0, True)]
+    (tmp_path / "c.ply").write_text(files.ply([(1.0, 2.0, 3.0), (4.0, 5.0, 6.5)]))
+    assert values(files.read_ply(spark, str(tmp_path / "c.ply"))) == [(1.0, 2.0, 3.0), (4.0, 5.0, 6.5)]
+    (tmp_path / "m.mlp").write_text('<MeshLabProject><MeshGroup><MLMesh label="a" filename="a.ply"><MLMatrix44>1 0 0 0</MLMatrix44></MLMesh></MeshGroup></MeshLabProject>')
+    assert values(files.read_mesh_project(spark, str(tmp_path / "m.mlp"))) == [("a", "a.ply", "1 0 0 0")]
+
+
+def test_calib_save(spark, tmp_path):
+    cams = spark.createDataFrame([(0, 4, 5)], calib.TABLES["cameras"])
+    sets = spark.createDataFrame([(0, "n")], calib.TABLES["imagesets"])
+    feats = spark.createDataFrame([(0, 0, 0, 1.0, 2.0, 3)], calib.TABLES["features"])
+    calib.save(str(tmp_path / "o.bin"), cameras=cams, imagesets=sets, features=feats)
+    assert calib.decode((tmp_path / "o.bin").read_bytes())["features"] == [(0, 0, 0, 1.0, 2.0, 3)]
+
+
+def test_dense_index(spark):
+    df = spark.createDataFrame([(k * 7919 % 1000,) for k in range(300)], "k long").distinct()
+    want = {k: n for n, k in enumerate(sorted(r.k for r in df.collect()))}
+    assert {r.k: r.i for r in R.dense_index(df, "k", "i", 8).collect()} == want
