@@ -120,7 +120,7 @@ def test_yaml_poses_and_clouds(spark, tmp_path):
     df = spark.createDataFrame([(2, 1.0, 2.0, 3.0, 0.0, 0.0, 0.0, 1.0), (0, 4.0, 5.0, 6.0, 0.0, 0.0, 1.0, 0.0)], "index int, tx double, ty double, tz double, qx double, qy double, qz double, qw double")
     files.write_poses(df.coalesce(1), str(tmp_path / "poses"))
     got = files.read_poses(spark, str(tmp_path / "poses"), 3)
-    assert [(r.index, r.tx, r.used) for r in got.orderBy("index").collect()] == [(0, 4.0, True), (1, None, False), (2, 1.0, True)]
+    assert [(r["index"], r.tx, r.used) for r in got.orderBy("index").collect()] == [(0, 4.0, True), (1, None, False), (2, 1.0, True)]
     (tmp_path / "c.ply").write_text(files.ply([(1.0, 2.0, 3.0), (4.0, 5.0, 6.5)]))
     assert values(files.read_ply(spark, str(tmp_path / "c.ply"))) == [(1.0, 2.0, 3.0), (4.0, 5.0, 6.5)]
     (tmp_path / "m.mlp").write_text('<MeshLabProject><MeshGroup><MLMesh label="a" filename="a.ply"><MLMatrix44>1 0 0 0</MLMatrix44></MLMesh></MeshGroup></MeshLabProject>')
