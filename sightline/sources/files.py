@@ -12,7 +12,7 @@ LINEAGE = ("source_file", "source_offset")
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their file and their number in it (from 0), in file order."""
-    rows = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("source_file"), F.posexplode(F.split("value", "\r?\n", -1)).alias("source_offset", "line"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.posexplode(F.split("value", "\r?\n", -1)).alias("source_offset", "line"))
     return rows
 
 
@@ -152,7 +152,7 @@ def ply(points: list[tuple], names: tuple[str, ...] = ("x", "y", "z")) -> str:
 
 def read_ply(spark: SparkSession, path: str) -> DataFrame:
     """Vertices of an ASCII PLY cloud, with all their properties as columns."""
-    first = spark.read.option("wholetext", True).text(path).select(F.regexp_extract("value", r"(?s)^(.*?end_header)\r?\n", 1)).first()[0]
+    first = spark.read.text(path, wholetext=True).select(F.regexp_extract("value", r"(?s)^(.*?end_header)\r?\n", 1)).first()[0]
     names = [line.split()[-1] for line in first.splitlines() if line.startswith("property ") and " list " not in line]
     rows = _lines(spark, path).withColumn("body", F.max(F.when(F.col("line") == "end_header", F.col("source_offset"))).over(W.partitionBy("source_file")))
     parts = F.split(F.trim("line"), r"\s+")
