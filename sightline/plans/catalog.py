@@ -232,11 +232,11 @@ def coverage_histogram(spark, sf):
     return both.groupBy("threshold", "cameras").agg(n_rows("frames"))
 
 
-@query("WITH s AS (SELECT DISTINCT l_orderkey AS f, l_suppkey AS c FROM lineitem WHERE l_suppkey <= 60), p AS (SELECT x.c AS a, y.c AS b, count(*) AS n FROM s x JOIN s y ON x.f = y.f AND x.c < y.c GROUP BY ALL) SELECT x.s_suppkey AS camera_a, y.s_suppkey AS camera_b, coalesce(n, 0) AS shared FROM supplier x JOIN supplier y ON x.s_suppkey < y.s_suppkey AND y.s_suppkey <= 60 LEFT JOIN p ON a = x.s_suppkey AND b = y.s_suppkey")
+@query("WITH s AS (SELECT DISTINCT l_orderkey AS f, l_suppkey AS c FROM lineitem), p AS (SELECT x.c AS a, y.c AS b, count(*) AS n FROM s x JOIN s y ON x.f = y.f AND x.c < y.c GROUP BY ALL) SELECT x.s_suppkey AS camera_a, y.s_suppkey AS camera_b, coalesce(n, 0) AS shared FROM supplier x JOIN supplier y ON x.s_suppkey < y.s_suppkey LEFT JOIN p ON a = x.s_suppkey AND b = y.s_suppkey")
 def covisibility_pairs(spark, sf):
-    """Cameras 1 to 60 stand for the studio's rig: the reference's camera domain is small, the instants grow."""
-    views = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("f"), F.col("l_suppkey").alias("camera")).where("camera <= 60")
-    return R.covisible_pairs(views, "f", "camera", t(spark, sf, "supplier").select(F.col("s_suppkey").alias("camera")).where("camera <= 60"))
+    """Every pair is a result row, shared instants or none: the output is the camera domain squared, the join runs on instants."""
+    views = t(spark, sf, "lineitem").select(F.col("l_orderkey").alias("f"), F.col("l_suppkey").alias("camera"))
+    return R.covisible_pairs(views, "f", "camera", t(spark, sf, "supplier").select(F.col("s_suppkey").alias("camera")))
 
 
 @query("WITH e AS (SELECT user_id, event_id, ts, value > 50 AS p FROM events), g AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - row_number() OVER (PARTITION BY user_id, p ORDER BY ts, event_id) AS run FROM e), k AS (SELECT user_id, run, count(*) AS n FROM g WHERE p GROUP BY ALL) SELECT user_id, count(*) AS n_runs, max(n) AS longest_run FROM k GROUP BY user_id")
@@ -244,9 +244,9 @@ def positive_runs(spark, sf):
     return R.runs(t(spark, sf, "events"), ["user_id"], F.struct("ts", "event_id"), F.col("value") > 50)
 
 
-@query("WITH d AS (SELECT l_suppkey AS camera, CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_suppkey <= 5), s AS (SELECT camera, min(day) AS lo, max(day) AS hi FROM d GROUP BY camera), a AS (SELECT camera, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM s), n AS (SELECT camera, day, count(*) AS n FROM d GROUP BY ALL) SELECT a.camera, strftime(a.day, '%Y-%m-%d') AS day, coalesce(n.n, 0) AS n FROM a LEFT JOIN n ON a.camera = n.camera AND a.day = n.day")
+@query("WITH d AS (SELECT l_suppkey AS camera, CAST(l_shipdate AS DATE) AS day FROM lineitem), s AS (SELECT camera, min(day) AS lo, max(day) AS hi FROM d GROUP BY camera), a AS (SELECT camera, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS day FROM s), n AS (SELECT camera, day, count(*) AS n FROM d GROUP BY ALL) SELECT a.camera, strftime(a.day, '%Y-%m-%d') AS day, coalesce(n.n, 0) AS n FROM a LEFT JOIN n ON a.camera = n.camera AND a.day = n.day")
 def timeline_dense(spark, sf):
-    d = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("camera"), F.to_date("l_shipdate").alias("day")).where("camera <= 5")
+    d = t(spark, sf, "lineitem").select(F.col("l_suppkey").alias("camera"), F.to_date("l_shipdate").alias("day"))
     every = d.groupBy("camera").agg(F.sequence(F.min("day"), F.max("day")).alias("days")).select("camera", F.explode("days").alias("day"))
     return every.join(d.groupBy("camera", "day").agg(n_rows("n")), ["camera", "day"], "left").select("camera", F.date_format("day", "yyyy-MM-dd").alias("day"), F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -363,14 +363,14 @@ def subsample_with_fallback(spark, sf):
     return n.where("keep or kept < 2").groupBy("l_orderkey").agg(n_rows("n"), F.max("kept").alias("kept"))
 
 
-CASC = """l AS (SELECT c_nationkey AS nation, c_mktsegment AS segment, c_custkey AS payload FROM customer WHERE c_custkey % 7 = 0),
+CASC = """l AS (SELECT c_nationkey AS nation, c_mktsegment AS segment, c_custkey AS payload FROM customer WHERE c_acctbal > 8500),
 k1 AS (SELECT nation, segment, min(payload) AS p FROM l GROUP BY ALL HAVING min(payload) = max(payload)), k2 AS (SELECT nation, min(payload) AS p FROM l GROUP BY ALL HAVING min(payload) = max(payload))"""
 
 
 @query(f"WITH {CASC} SELECT c_custkey, coalesce(k1.p, k2.p) AS payload, CASE WHEN k1.p IS NOT NULL THEN 1 WHEN k2.p IS NOT NULL THEN 2 ELSE 0 END AS matched_level FROM customer LEFT JOIN k1 ON k1.nation = c_nationkey AND k1.segment = c_mktsegment LEFT JOIN k2 ON k2.nation = c_nationkey")
 def cascading_key_join(spark, sf):
-    cust = t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
-    lookup = cust.where("c_custkey % 7 = 0").select("nation", "segment", F.col("c_custkey").alias("payload"))
+    cust = t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), "c_acctbal")
+    lookup = cust.where("c_acctbal > 8500").select("nation", "segment", F.col("c_custkey").alias("payload"))
     return R.cascading_lookup(cust, lookup, [["nation", "segment"], ["nation"]], "payload").select("c_custkey", "payload", "matched_level")
 
 
@@ -551,15 +551,13 @@ def component_median(spark, sf):
     return t(spark, sf, "embeddings").groupBy("label").agg(*(r6(F.median(F.element_at("embedding", k).cast("double")), f"m{k}") for k in (1, 2, 3)), n_rows("n"))
 
 
-GRAPH = "g AS (SELECT DISTINCT o_custkey AS a, 1000000 + l_partkey AS b FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_partkey % 40 = 0 AND o_custkey % 10 = 0)"
+NEAR = "g AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.label = y.label AND x.vec_id < y.vec_id AND sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (x.c - y.c) * (x.c - y.c)) <= 0.05)"
 
 
-@query(f"WITH RECURSIVE {GRAPH}, u AS (SELECT a, b FROM g UNION SELECT b, a FROM g), w(n, r) AS (SELECT a, a FROM u UNION SELECT u.b, w.r FROM w JOIN u ON u.a = w.n) SELECT n AS node, min(r) AS component FROM w GROUP BY n")
+@query(f"WITH RECURSIVE {E4}, {NEAR}, u AS (SELECT a, b FROM g UNION SELECT b, a FROM g), w(n, r) AS (SELECT a, a FROM u UNION SELECT u.b, w.r FROM w JOIN u ON u.a = w.n) SELECT n AS node, min(r) AS component FROM w GROUP BY n")
 def component_labels(spark, sf):
-    """Co-occurrence graph of some customers and parts; the filter defines the graph."""
-    li, o = t(spark, sf, "lineitem").where("l_partkey % 40 = 0"), t(spark, sf, "orders").where("o_custkey % 10 = 0")
-    edges = o.join(li, F.col("l_orderkey") == F.col("o_orderkey")).select(F.col("o_custkey").alias("a"), (F.col("l_partkey") + 1000000).alias("b")).distinct()
-    return R.component_labels(edges)
+    """Components of the graph of vectors that lie close to each other."""
+    return R.component_labels(similarity_self_join(spark, sf), "id_a", "id_b")
 
 
 @query("SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS roles, count(*) AS turns, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY conv_id")

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from sightline.plans import catalog, more  # noqa: F401
+from sightline.plans import catalog, extra, more  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
