@@ -11,6 +11,7 @@ or by the words of their class, id or role.
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
@@ -41,7 +42,12 @@ BOILERPLATE_WORDS = {
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dd", "dt", "option", "legend", "summary", "figcaption"}
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+#: End tags other than CLOSE_ACROSS don't reach beyond these; elements that may hold an article.
+ENCLOSING = {"td", "th", "table", "article", "body"}
+CLOSE_ACROSS = {"table", "article", "body", "html", "tr", "tbody", "thead", "tfoot", "main", "div", "section", "td", "th"}
+HOLDERS = {"html", "body", "div", "main", "article", "section", "center", "table", "tbody", "tr", "td"}
+
+_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
 _SPACE = re.compile(r"\s+")
@@ -50,12 +56,15 @@ _NAME_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 @dataclass
 class Element:
+    """path is the number of its tag path; in_article: whether an article or main element holds it."""
+
     tag: str
     parent: Element | None
-    path: str
+    path: int
     boilerplate: bool
+    in_article: bool
     votes: float = 0.0
-    children: list = field(default_factory=list)
+    chosen: bool = False
 
 
 @dataclass
@@ -77,16 +86,25 @@ def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
-def parse(source: str) -> tuple[Element, list[Text]]:
-    """The element tree and the text nodes in page order, with the number of the block each belongs to."""
-    root = Element("", None, "", False)
+def parse(source: str) -> tuple[list[Element], list[Text]]:
+    """The elements in page order, the root first, and the text nodes with the number of the block each belongs to."""
+    root = Element("", None, 0, False, False)
     at, position, block = root, 0, 0
-    texts: list[Text] = []
+    elements, texts = [root], []
+    paths: dict[tuple[int, str], int] = {}
+    open_tags: dict[str, int] = {}
 
     def put(raw: str) -> None:
         if raw:
             texts.append(Text(raw, at, block))
 
+    def close(upto: Element) -> None:
+        """Leave upto and all that is open in it."""
+        nonlocal at
+        while at is not upto.parent:
+            open_tags[at.tag] -= 1
+            at = at.parent
+
     for m in _TOKEN.finditer(source):
         if m.start() < position:
             continue
@@ -97,49 +115,47 @@ def parse(source: str) -> tuple[Element, list[Text]]:
             if m[0].startswith("<![CDATA["):
                 put(html.escape(m[0][9:].removesuffix("]]>"), quote=False))
             continue
-        if m[1]:
-            if tag in BLOCK:
-                block += 1
-            up = at
-            while up is not root and up.tag != tag:
-                if up.tag in ("td", "th", "table", "article", "body") and tag not in ("table", "article", "body", "html", "tr", "tbody", "thead", "tfoot", "main", "div", "section"):
-                    up = root
-                    break
-                up = up.parent
-            if up is not root:
-                at = up.parent
-            continue
         if tag in BLOCK:
             block += 1
+        if m[1]:
+            if open_tags.get(tag):
+                up = at
+                while up.tag != tag:
+                    if up.tag in ENCLOSING and tag not in CLOSE_ACROSS:
+                        up = None
+                        break
+                    up = up.parent
+                if up is not None:
+                    close(up)
+            continue
         if tag in CLOSES_P or tag in CLOSES:
             ends, stops = ({"p"}, {"td", "th", "table", "button", "object"}) if tag in CLOSES_P else CLOSES[tag]
-            up = at
-            while up is not root and up.tag not in ends and up.tag not in stops:
-                if up.tag in BLOCK and up.tag not in ("p",) and tag in CLOSES_P:
-                    break
-                up = up.parent
-            if up is not root and up.tag in ends:
-                at = up.parent
+            if any(open_tags.get(e) for e in ends):
+                up = at
+                while up is not root and up.tag not in ends and up.tag not in stops and not (tag in CLOSES_P and up.tag in BLOCK):
+                    up = up.parent
+                if up.tag in ends:
+                    close(up)
         if tag in VOID:
             if tag == "br":
                 put(" ")
             continue
-        inside = any(e.tag in ("article", "main") for e in _line(at))
-        child = Element(tag, at, f"{at.path}/{tag}", at.boilerplate or _is_boilerplate(tag, m[3], inside))
-        at.children.append(child)
+        path = paths.setdefault((at.path, tag), len(paths) + 1)
+        child = Element(tag, at, path, at.boilerplate or _is_boilerplate(tag, m[3], at.in_article), at.in_article or tag in ("article", "main"))
+        elements.append(child)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, position)
+            end = _raw_end(tag).search(source, position)
             position = end.end() if end else len(source)
         elif not m[3].endswith("/"):
             at = child
+            open_tags[tag] = open_tags.get(tag, 0) + 1
     put(source[position:])
-    return root, texts
+    return elements, texts
 
 
-def _line(element: Element):
-    while element is not None:
-        yield element
-        element = element.parent
+@functools.cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I)
 
 
 def _smooth(values: list[float]) -> list[float]:
@@ -152,7 +168,7 @@ def _smooth(values: list[float]) -> list[float]:
     return out
 
 
-def select(nodes: list[tuple[str, str]]) -> list[bool]:
+def select(nodes: list[tuple[int, str]]) -> list[bool]:
     """Which (path, text) nodes are content: fused tag-path ratios at or above their standard deviation."""
     length, marks, count = {}, {}, {}
     for path, text in nodes:
@@ -172,27 +188,29 @@ def main_text(source: str | None) -> str:
     """The article's blocks, joined by line feeds; empty for a null or textless page."""
     if not source:
         return ""
-    root, texts = parse(source)
+    elements, texts = parse(source)
     whole = [(t, clean) for t in texts if not t.element.boilerplate and (clean := _SPACE.sub(" ", html.unescape(t.raw)).strip())]
     if not whole:
         return ""
-    for (t, clean), chosen in zip(whole, select([(t.element.path, clean) for t, clean in whole]), strict=True):
-        if chosen:
-            for e in _line(t.element):
-                e.votes += len(clean)
-    holder = root
-    articles = [e for e in _elements(root) if e.tag in ("article", "main") and not e.boilerplate]
-    best = max(articles, key=lambda e: e.votes, default=None)
+    for (t, clean), content in zip(whole, select([(t.element.path, clean) for t, clean in whole]), strict=True):
+        if content:
+            t.element.votes += len(clean)
+    heaviest: dict[int, Element] = {}
+    for e in reversed(elements[1:]):  # children come after their parents
+        e.parent.votes += e.votes
+        if id(e.parent) not in heaviest or e.votes >= heaviest[id(e.parent)].votes:
+            heaviest[id(e.parent)] = e
+    holder = root = elements[0]
+    best = max((e for e in elements if e.tag in ("article", "main") and not e.boilerplate), key=lambda e: e.votes, default=None)
     if best is not None and best.votes >= 0.5 * root.votes:
         holder = best
-    while True:
-        heavy = max(holder.children, key=lambda e: e.votes, default=None)
-        if heavy is None or heavy.boilerplate or heavy.votes < 0.9 * root.votes or heavy.tag not in ("html", "body", "div", "main", "article", "section", "center", "table", "tbody", "tr", "td"):
-            break
+    while (heavy := heaviest.get(id(holder))) is not None and not heavy.boilerplate and heavy.votes >= 0.9 * root.votes and heavy.tag in HOLDERS:
         holder = heavy
+    for e in elements:
+        e.chosen = e is holder or (e.parent is not None and e.parent.chosen)
     blocks, last = [], None
     for t in texts:
-        if t.element.boilerplate or not any(e is holder for e in _line(t.element)):
+        if t.element.boilerplate or not t.element.chosen:
             continue
         if t.block != last:
             blocks.append([])
@@ -202,14 +220,6 @@ def main_text(source: str | None) -> str:
     return "\n".join(x for x in lines if x)
 
 
-def _elements(root: Element):
-    stack = [root]
-    while stack:
-        e = stack.pop()
-        yield e
-        stack += reversed(e.children)
-
-
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of pages: id, url and text, the main text of the whole html.
 

@@ -345,3 +345,12 @@ def test_pipeline(spark, tmp_path):
     assert set(kept) == {k for k in range(80) if k % 4} | {202}
     assert "abcdef123456" not in kept[202]
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(kept)
+
+
+def test_html_nesting_is_linear():
+    assert html_text.main_text("<div>" * 20000 + "Deep text, here." + "</div>" * 20000) == "Deep text, here."
+    assert html_text.main_text("<b>" * 5000 + "<p>x</p>" * 5000) == "\n".join(["x"] * 5000)
+    assert html_text.main_text("<div>" * 20000 + "</x></span>" * 20000) == ""
+    assert html_text.main_text('<p title="a>b">One, two.</p><p title="x>Three, four.</p>').startswith("One, two.")
+    assert html_text.main_text("<table><tr><td>Cell, one.<td>Two.</table>") == "Cell, one.\nTwo."
+    assert html_text.main_text("<ul><li>a, one<ul><li>b, two</ul><li>c, three</ul>") == "a, one\nb, two\nc, three"
