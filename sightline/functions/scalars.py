@@ -80,7 +80,7 @@ def numeric_first(x: Column | str) -> list[Column]:
 
 
 def _sorted(x: Column | str) -> Column:
-    return F.array_sort(F.collect_list(c(x)))
+    return F.sort_array(F.collect_list(c(x)))
 
 
 def q_lin(x: Column | str, q: float) -> Column:
@@ -88,6 +88,19 @@ def q_lin(x: Column | str, q: float) -> Column:
     return F.percentile(c(x), q)
 
 
+def q_lins(x: Column | str, *qs: float) -> Column:
+    """Several linear quantiles as an array, from one sorted list of the group."""
+    v, n = _sorted(x), F.count(c(x))
+
+    def at(q: float) -> Column:
+        place = F.lit(q) * (n - 1)
+        low = F.floor(place).cast("int")
+        a, b = F.get(v, low), F.get(v, F.least(low + 1, n.cast("int") - 1))
+        return a + (b - a) * (place - low)
+
+    return F.array(*map(at, qs))
+
+
 def q_hi(x: Column | str) -> Column:
     """Upper median: element n div 2."""
     return F.get(_sorted(x), F.floor(F.count(c(x)) / 2).cast("int"))

@@ -141,7 +141,7 @@ def greedy_selection(df: DataFrame, key: str, order: list[str], value: str, gap:
 
     A grouped fold: the state after each row depends on all earlier choices of the key.
     """
-    rows = F.array_sort(F.collect_list(F.struct(*order, value)))
+    rows = F.sort_array(F.collect_list(F.struct(*order, value)))
     start = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("near"), F.lit(0).alias("full"))
 
     def step(acc: Column, r: Column) -> Column:

@@ -136,7 +136,7 @@ SUMMARY = "count(*) AS n, round(sum(CAST(round(residual * 100000) AS BIGINT)) /
 
 def summary():
     mean = F.sum(F.round(F.col("residual") * 100000).cast("bigint")) / F.count(F.lit(1)) / 100000
-    return [n_rows("n"), r6(mean, "mean"), r6(S.q_lin("residual", 0.5), "median"), r6(S.q_lin("residual", 0.9), "p90"), r6(F.max("residual"), "worst"), r6(F.avg((F.col("residual") < 30).cast("double")), "under_30")]
+    return [n_rows("n"), r6(mean, "mean"), r6(S.q_lins("residual", 0.5, 0.9)[0], "median"), r6(S.q_lins("residual", 0.5, 0.9)[1], "p90"), r6(F.max("residual"), "worst"), r6(F.avg((F.col("residual") < 30).cast("double")), "under_30")]
 
 
 @query(f"WITH {RES} SELECT camera, frame, tag, face, {SUMMARY} FROM r GROUP BY GROUPING SETS ((camera), (frame), (tag), (face))")
@@ -163,7 +163,7 @@ c AS (SELECT frame, cameras, obs, round(med, 6) AS med, round(p90, 6) AS p90, ar
 def frame_candidates(spark, sf):
     r = residuals(spark, sf)
     cams = r.groupBy("frame", "camera").agg(n_rows("n")).groupBy("frame").agg(F.count_if(F.col("n") >= 2).alias("cameras"))
-    f = r.groupBy("frame").agg(n_rows("obs"), S.q_lin("residual", 0.5).alias("med"), S.q_lin("residual", 0.9).alias("p90"))
+    f = r.groupBy("frame").agg(n_rows("obs"), S.q_lins("residual", 0.5, 0.9)[0].alias("med"), S.q_lins("residual", 0.5, 0.9)[1].alias("p90"))
     why = S.reasons((F.col("obs") < 300, "few_observations"), (F.col("cameras") < 90, "few_cameras"), (F.col("med") > 35.5, "median"), (F.col("p90") > 66, "p90"))
     return f.join(cams, "frame").select("frame", "cameras", "obs", r6(F.col("med"), "med"), r6(F.col("p90"), "p90"), F.array_join(why, ",").alias("reasons"))
 
@@ -187,7 +187,7 @@ def rejection_histogram(spark, sf):
 @query(f"WITH {RES}, p AS (SELECT frame, camera, count(*) AS n FROM r GROUP BY ALL) SELECT frame, string_agg(concat(camera, ':', n), ',' ORDER BY camera) AS counts FROM p GROUP BY frame")
 def per_frame_camera_map(spark, sf):
     per = residuals(spark, sf).groupBy("frame", "camera").agg(n_rows("n"))
-    entries = F.array_sort(F.collect_list(F.struct("camera", "n")))
+    entries = F.sort_array(F.collect_list(F.struct("camera", "n")))
     return per.groupBy("frame").agg(F.array_join(F.transform(entries, lambda e: F.concat_ws(":", e["camera"].cast("string"), e["n"].cast("string"))), ",").alias("counts"))
 
 
@@ -562,7 +562,7 @@ def component_labels(spark, sf):
 
 @query("SELECT conv_id, string_agg(role, '>' ORDER BY turn) AS roles, count(*) AS turns, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY conv_id")
 def ordered_sequences(spark, sf):
-    rows = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    rows = F.sort_array(F.collect_list(F.struct("turn", "role")))
     return t(spark, sf, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(rows, lambda x: x["role"]), ">").alias("roles"), n_rows("turns"), F.sum(F.length("text")).alias("chars"))
 
 

@@ -27,8 +27,8 @@ def projection_status(spark, sf):
 @query("SELECT n_regionkey AS grp, list_sort(list(n_nationkey)) = list_sort(list(n_nationkey) FILTER (WHERE n_nationkey < 24)) AS equal, max(n_nationkey) - min(n_nationkey) AS spread, CASE WHEN max(n_nationkey) - min(n_nationkey) > 20 THEN 'uneven' ELSE 'aligned' END AS label FROM nation GROUP BY n_regionkey")
 def layout_gate(spark, sf):
     """Observed ids against expected ids as sorted lists, and the spread of counts."""
-    observed = F.array_sort(F.collect_list("n_nationkey"))
-    expected = F.array_sort(F.collect_list(F.when(F.col("n_nationkey") < 24, F.col("n_nationkey"))))
+    observed = F.sort_array(F.collect_list("n_nationkey"))
+    expected = F.sort_array(F.collect_list(F.when(F.col("n_nationkey") < 24, F.col("n_nationkey"))))
     spread = F.max("n_nationkey") - F.min("n_nationkey")
     return t(spark, sf, "nation").groupBy(F.col("n_regionkey").alias("grp")).agg((observed == expected).alias("equal"), spread.alias("spread"), F.when(spread > 20, "uneven").otherwise("aligned").alias("label"))
 
