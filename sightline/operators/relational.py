@@ -179,3 +179,24 @@ def component_labels(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         labels = after.select("node", "component")
         if after.where("old <> component").isEmpty():
             return labels
+
+
+def quantiles_by(df: DataFrame, sets: list[list[str]], value: str, qs: list[float], others: list[Column]) -> DataFrame:
+    """Grouping sets with exact linear quantiles (q0, q1, ...) and other aggregates.
+
+    Ranks come from a sort that can spill, so no group is held as an array; the rows next to each
+    quantile's place are then picked by ordinary aggregates.
+    """
+    keys = list(dict.fromkeys(k for g in sets for k in g))
+    rows = F.array(*(F.struct(F.lit(n).alias("_set"), *((F.col(k) if k in g else F.lit(None).cast(df.schema[k].dataType)).alias(k) for k in keys)) for n, g in enumerate(sets)))
+    long = df.select(F.col(value), F.explode(rows).alias("_g")).select(value, "_g.*")
+    w = W.partitionBy("_set", *keys)
+    ranked = long.withColumns({"_i": F.row_number().over(w.orderBy(value)) - 1, "_n": F.count(value).over(w)})
+    aggs = list(others)
+    for k, q in enumerate(qs):
+        place = F.lit(q) * (F.col("_n") - 1)
+        low = F.floor(place)
+        a = F.max(F.when(F.col("_i") == low, F.col(value)))
+        b = F.max(F.when(F.col("_i") == F.least(low + 1, F.col("_n") - 1), F.col(value)))
+        aggs.append((a + (b - a) * F.max(place - low)).alias(f"q{k}"))
+    return ranked.groupBy("_set", *keys).agg(*aggs).drop("_set")

@@ -134,15 +134,13 @@ def residual_scope(spark, sf):
 SUMMARY = "count(*) AS n, round(sum(CAST(round(residual * 100000) AS BIGINT)) / count(*) / 100000, 6) AS mean, round(quantile_cont(residual, 0.5), 6) AS median, round(quantile_cont(residual, 0.9), 6) AS p90, round(max(residual), 6) AS worst, round(avg(CASE WHEN residual < 30 THEN 1.0 ELSE 0.0 END), 6) AS under_30"
 
 
-def summary():
-    mean = F.sum(F.round(F.col("residual") * 100000).cast("bigint")) / F.count(F.lit(1)) / 100000
-    return [n_rows("n"), r6(mean, "mean"), r6(S.q_lins("residual", 0.5, 0.9)[0], "median"), r6(S.q_lins("residual", 0.5, 0.9)[1], "p90"), r6(F.max("residual"), "worst"), r6(F.avg((F.col("residual") < 30).cast("double")), "under_30")]
-
-
 @query(f"WITH {RES} SELECT camera, frame, tag, face, {SUMMARY} FROM r GROUP BY GROUPING SETS ((camera), (frame), (tag), (face))")
 def residual_summary_4way(spark, sf):
-    keys = [F.col(k) for k in ("camera", "frame", "tag", "face")]
-    return residuals(spark, sf).groupingSets([[k] for k in keys], *keys).agg(*summary())
+    sets = ["camera", "frame", "tag", "face"]
+    mean = F.sum(F.round(F.col("residual") * 100000).cast("bigint")) / F.count(F.lit(1)) / 100000
+    others = [n_rows("n"), r6(mean, "mean"), r6(F.max("residual"), "worst"), r6(F.avg((F.col("residual") < 30).cast("double")), "under_30")]
+    out = R.quantiles_by(residuals(spark, sf).select(*sets, "residual"), [[k] for k in sets], "residual", [0.5, 0.9], others)
+    return out.select(*sets, "n", "mean", r6(F.col("q0"), "median"), r6(F.col("q1"), "p90"), "worst", "under_30")
 
 
 @query(f"WITH {RES} SELECT camera, frame, l_orderkey, l_linenumber, l_partkey, residual FROM r ORDER BY residual DESC, l_orderkey, l_linenumber, l_partkey, camera LIMIT 100")
