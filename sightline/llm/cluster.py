@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sightline.functions.ship import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset (tests), a temporary one is set."""
@@ -33,4 +35,5 @@ def text_size(frame: DataFrame, column: str) -> int:
 
 def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
     """Let Arrow batches end at size bytes as well as at a row count, so that long texts don't pile up in a Python worker."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
