@@ -1,11 +1,13 @@
 """License scans: which license notices a text holds.
 
-Method: a template with n shingles of five words is looked for in windows of 2n shingles that step
-by n, so an occurrence of up to n + 1 shingles lies wholly in one window. Each window and template
-has REGISTERS min-hashes, and each is a band of its own. A window that holds at least 0.8 of a
-template has a Jaccard similarity of 0.8 / 2.2 = 0.36 or more with it and so shares a band with a
-probability of 1 - 0.64 ** 24 = 0.99998. The exact share of the template's distinct shingles in the
-window then decides. Words are runs of letters and digits in lower case.
+Method: texts are cut into blocks of a quarter of a template's n shingles of five words. Each block
+and template has REGISTERS min-hashes, and each is a band of its own; a block that shares a band
+makes the whole text a candidate for the template. A text that holds at least 0.8 of a template,
+in one stretch or with other words between its parts, has it in blocks whose Jaccard similarities
+with the template add up to 0.8 / 1.25 = 0.64 or more, and a band is shared with a probability of
+that sum, so one of them is with 1 - 0.36 ** 24 (less than 1e-10 is missed). The exact share of
+the template's distinct shingles in the whole text then decides. Words are runs of letters and
+digits in lower case.
 """
 
 from __future__ import annotations
@@ -60,43 +62,62 @@ class Templates:
         self.minima = {n: np.array([[_register(h, r).min() for _, h in group] for r in range(REGISTERS)], U64) for n, group in self.by_size.items()}
 
     def search(self, data: np.ndarray, offsets: np.ndarray, least: float) -> dict[tuple[int, str], tuple[float, int]]:
-        """(row, template) -> largest containment and the first word of the first window that has it."""
+        """(row, template) -> containment in the whole row and the first word of the shortest stretch that has all of it."""
         hashes, word, first = _shingles(data, offsets)
         if not len(hashes):
             return {}
         counts = np.diff(first)
         blocks = {}
         for n in self.by_size:
-            per_row = -(-counts // n)
+            step = max(1, n // 4)
+            per_row = -(-counts // step)
             row = np.repeat(np.arange(len(counts)), per_row)
-            start = first[:-1][row] + n * (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row))
-            follows = np.append(row[1:] == row[:-1], False)
-            blocks[n] = (start, row, follows, np.zeros((len(start), len(self.by_size[n])), bool))
+            start = first[:-1][row] + step * (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row))
+            blocks[n] = (step, start, row, np.zeros((len(self.by_size[n]), len(start)), bool))
         for r in range(REGISTERS):
             value = _register(hashes, r)
-            for n, (start, _, follows, hit) in blocks.items():
-                low = value if n == 1 else np.minimum.reduceat(value, start)
-                window = low.copy()
-                window[:-1] = np.where(follows[:-1], np.minimum(low[:-1], low[1:]), low[:-1])
+            low = {1: value}
+            for n, (step, start, _, hit) in blocks.items():
+                if step not in low:
+                    low[step] = np.minimum.reduceat(value, start)
                 for k, least_value in enumerate(self.minima[n][r]):
-                    hit[:, k] |= window == least_value
+                    hit[k] |= low[step] == least_value
         found: dict[tuple[int, str], tuple[float, int]] = {}
-        for n, (start, row, _, hit) in blocks.items():
-            for w, k in zip(*np.nonzero(hit), strict=True):
-                name, template = self.by_size[n][k]
-                held = hashes[start[w] : min(start[w] + 2 * n, first[row[w] + 1])]
-                share = float(np.isin(template, held).sum() / len(template))
-                key = (int(row[w]), name)
-                if share >= least and share > found.get(key, (0.0, 0))[0]:
-                    found[key] = (share, int(word[start[w] + np.flatnonzero(np.isin(held, template))[0]]))
+        for n, (_, _, row, hit) in blocks.items():
+            for k, (name, template) in enumerate(self.by_size[n]):
+                for w in np.unique(row[hit[k]]).tolist():
+                    held = hashes[first[w] : first[w + 1]]
+                    which = np.minimum(np.searchsorted(template, held), len(template) - 1)
+                    at = np.flatnonzero(template[which] == held)
+                    which = which[at]
+                    share = float(len(np.unique(which)) / len(template))
+                    if share >= least:
+                        found[w, name] = (share, int(word[first[w] + _shortest(at, which)]))
         return found
 
 
+def _shortest(at: np.ndarray, which: np.ndarray) -> int:
+    """Where the shortest stretch of the rising positions at starts that has every kind in which; the first of equal ones."""
+    at, which = at.tolist(), which.tolist()
+    missing, inside = len(set(which)), {}
+    best, begin, i = at[-1] - at[0] + 1, at[0], 0
+    for p, k in zip(at, which, strict=True):
+        inside[k] = inside.get(k, 0) + 1
+        missing -= inside[k] == 1
+        while inside[which[i]] > 1:
+            inside[which[i]] -= 1
+            i += 1
+        if not missing and p - at[i] < best:
+            best, begin = p - at[i], at[i]
+    return begin
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, least: float = CONTAINMENT) -> DataFrame:
     """One row per row of docs and template that it holds: id, license, containment (share of the template's shingles) and start_word.
 
-    start_word (from 0) is where the best window's first matching shingle starts. Texts that are
-    null or have under five words match nothing; repeated rows each get their rows; other columns
+    The share is that of the whole text, so other words may stand between a notice's parts.
+    start_word (from 0) is where the shortest stretch that holds all of those shingles starts, the
+    first of equal ones. Texts that are null or have under five words match nothing; repeated rows each get their rows; other columns
     are ignored. Templates are a fixed, small set.
     """
     bounded_batches(docs.sparkSession)

@@ -168,6 +168,23 @@ def test_licenses(spark):
     assert {(r.doc_id, r.license) for r in got} == want and len(want) >= len(license_scan.TEMPLATES) + 1
 
 
+def test_licenses_with_words_between(spark):
+    rows, want, begins = [], set(), {}
+    for name, template in license_scan.TEMPLATES.items():
+        words, c = template.split(), set(five(template))
+        for lead in range(len(c) if len(c) >= 20 else 0):
+            for gap in (8, 20, 40):
+                t = " ".join([text(lead, lead) if lead else "", *words[: len(words) // 2], text(gap, gap), *words[len(words) // 2 :], text(lead + 9, 12)])
+                rows.append((len(rows), t))
+                begins[rows[-1][0], name] = lead
+    for i, t in rows:
+        have = set(five(t))
+        want |= {(i, name) for name, x in license_scan.TEMPLATES.items() if len(set(five(x)) & have) >= 0.8 * len(set(five(x)))}
+    got = {(r.doc_id, r.license): r.start_word for r in license_scan.scan(docs(spark, rows)).collect()}
+    assert set(got) == want and set(begins) <= want and len({name for _, name in begins}) >= 4
+    assert all(got[k] == lead for k, lead in begins.items())
+
+
 # classifier and rules
 
 
