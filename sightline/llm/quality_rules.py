@@ -3,8 +3,8 @@
 The forest is grown from the label-1 rows of a bounded sample of labelled rows (SAMPLE rows, a
 parameter) that pass the base rules; each tree
 splits a random feature at a random value, so a row that ends after few splits is anomalous.
-The verdict's threshold is calibrated on the same sample: the cut of the anomaly score with the
-best balanced accuracy for the labels. Every row is scored.
+The verdict's threshold is calibrated on all labelled rows that pass: the cut of the anomaly score
+with the best balanced accuracy for the labels. Every row is scored.
 """
 
 from __future__ import annotations
@@ -13,16 +13,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import linestats as ls
 from .arrays import buffers, slabs, span_hash, windows
 from .cluster import bounded_batches
+from .cluster import cut as checkpointed
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 EXTRA = ("n_upper", "n_marks")
 TREES, SUBSAMPLE, SAMPLE = 200, 128, 4000
+BINS = 1 << 14
 SEED = 17
 
 
@@ -120,22 +122,40 @@ def grow(x: np.ndarray, trees: int = TREES, subsample: int = SUBSAMPLE, seed: in
     return Forest(feature, value, float(max(_expected(n), 1e-9)))
 
 
-def calibrate(score: np.ndarray, good: np.ndarray) -> float:
-    """The cut c for which "score < c means good" has the best balanced accuracy; above every score if one label is missing."""
-    if good.all() or not good.any():
+def calibrate(scored: DataFrame) -> float:
+    """The cut c for which "score < c means good" has the best balanced accuracy; above every score if one label is missing.
+
+    scored has a row per labelled row: score (0 to 1) and good. The driver sees the label counts of
+    BINS ranges of the score; those ranges that can hold the best cut are then searched score by score.
+    """
+    counts = (F.sum(F.when(c, 1).otherwise(0)).alias(n) for c, n in ((F.col("good"), "g"), (~F.col("good"), "b")))
+    scores = checkpointed(scored.groupBy("score").agg(*counts).withColumn("bin", F.floor(F.col("score") * BINS)))
+    bins = sorted(scores.groupBy("bin").agg(F.sum("g"), F.sum("b"), F.min("score")).collect())
+    g, b = (np.array([r[k] for r in bins], np.int64) for k in (1, 2))
+    if not g.sum() or not b.sum():
         return 2.0
-    order = np.argsort(score, kind="stable")
-    s, g = score[order], good[order]
-    right = np.cumsum(g) / g.sum() + 1 - np.cumsum(~g) / (~g).sum()
-    right[:-1][s[1:] == s[:-1]] = -1  # no cut between equal scores
-    k = int(np.argmax(right))
-    return float((s[k] + s[k + 1]) / 2) if k + 1 < len(s) else 2.0
+    g_end, b_end, n_g, n_b = np.cumsum(g), np.cumsum(b), int(g.sum()), int(b.sum())
+    most = g_end / n_g + 1 - (b_end - b) / n_b  # a bin's cuts are at most this good
+    chosen = np.flatnonzero(most >= (g_end / n_g + 1 - b_end / n_b).max()).tolist()
+    rows = [(bins[k][0], int(g_end[k] - g[k]), int(b_end[k] - b[k]), bins[k + 1][3] if k + 1 < len(bins) else None) for k in chosen]
+    before = scored.sparkSession.createDataFrame(rows, "bin long, g_before long, b_before long, next_bin double")
+    by_score = Window.partitionBy("bin").orderBy("score")
+    good, bad = (F.col(f"{k}_before") + F.sum(k).over(by_score.rowsBetween(Window.unboundedPreceding, 0)) for k in ("g", "b"))
+    right = good / F.lit(n_g) + 1 - bad / F.lit(n_b)
+    found = scores.join(F.broadcast(before), "bin").select("score", right.alias("right"), F.coalesce(F.lead("score").over(by_score), "next_bin").alias("next"))
+    best = found.orderBy(F.desc("right"), "score").first()
+    return 2.0 if best["next"] is None else (best["score"] + best["next"]) / 2
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Forest | None:
-    """Grow and calibrate the forest on the sample rows whose ids have the smallest hashes; None without labelled rows."""
+    """Grow the forest on the sample rows whose ids have the smallest hashes and calibrate it on all; None without labelled rows in the sample that pass the base rules.
+
+    Conflicting labels of an id count as the larger. Of rows with one id the least text grows the
+    forest, and the least anomaly of those that pass counts for the cut.
+    """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y"))
-    chosen = known.groupBy("_id").agg(F.max("_y").alias("_y")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    known = known.groupBy("_id").agg(F.max("_y").alias("_y"))
+    chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text")).join(F.broadcast(chosen), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text")).select("_y", "_text")
 
     def stats(batches):
@@ -150,7 +170,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     order = sorted(range(len(got["y"])), key=lambda k: (got["x"][k], got["y"][k]))
     x, y = np.array([got["x"][k] for k in order]), np.array([got["y"][k] == 1 for k in order])
     forest = grow(x[y] if y.any() else x)
-    forest.cut = calibrate(forest.anomaly(x), y)
+    passed = rate(docs, forest, id_col, text_col).where(~F.col("base_failed")).groupBy(F.col(id_col).alias("_id")).agg(F.min("anomaly").alias("score"))
+    forest.cut = calibrate(passed.join(known, "_id").select("score", (F.col("_y") == 1).alias("good")))
     return forest
 
 

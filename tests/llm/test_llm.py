@@ -248,6 +248,20 @@ def test_rules(spark):
     assert all(r.kept == (not r.base_failed) for r in quality_rules.rate(docs(spark, rows), None).collect())
 
 
+def test_cut_uses_all_labels(spark):
+    rows = [(k, text(k, 90) if k % 3 else junk(k)) for k in range(120)]
+    noisy = {k: int((k % 3 > 0) != (k % 11 == 0)) for k, _ in rows}
+    labels = spark.createDataFrame(list(noisy.items()), "doc_id long, quality int")
+    for sample in (20, 4000):
+        forest = quality_rules.fit(docs(spark, rows), labels, sample=sample)
+        got = [(r.anomaly, noisy[r.doc_id]) for r in quality_rules.rate(docs(spark, rows), forest).collect() if not r.base_failed]
+        levels, n = sorted({a for a, _ in got}), Counter(y for _, y in got)
+        accuracy = [sum(y for a, y in got if a <= s) / n[1] + 1 - sum(1 - y for a, y in got if a <= s) / n[0] for s in levels]
+        k = accuracy.index(max(accuracy))
+        assert len(got) > 100 and forest.cut == (levels[k] + levels[k + 1]) / 2
+    assert quality_rules.fit(docs(spark, rows), labels.where("quality = 1")).cut == 2.0
+
+
 # secrets
 
 
