@@ -20,7 +20,7 @@ from . import linestats as ls
 from .arrays import buffers, slabs
 from .cluster import bounded_batches
 
-SAMPLE, ROUNDS, L2 = 1200, 150, 1e-3
+SAMPLE, ROUNDS, L2 = 3000, 150, 1e-3
 
 
 def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,6 +68,23 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
 _ENDS = ls._table(b".!?")
 
 
+def _slab_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features and first line of each row, made slab by slab and kept once."""
+    parts, counts = [], [np.zeros(1, np.int64)]
+    for i, j in slabs(offsets):
+        x, _, first = line_features(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        parts.append(x)
+        counts.append(np.diff(first))
+    first = np.cumsum(np.concatenate(counts))
+    out = np.empty((first[-1], parts[0].shape[1] if parts else 0))
+    at = len(out)
+    while parts:
+        x = parts.pop()
+        out[at - len(x) : at] = x
+        at -= len(x)
+    return out, first
+
+
 def _chains(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows with lines, longest first, and their lengths."""
     length = np.diff(first)
@@ -135,28 +152,32 @@ class Crf:
         good = np.bincount(row, weights=size * marginal, minlength=len(first) - 1)
         return np.where(total > 0, good / np.maximum(total, 1), np.nan), marginal, row
 
-    def score(self, column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-        data, offsets = buffers(column)
+    def means(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The first of evidence(), slab by slab."""
         got = [self.evidence(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])[0] for i, j in slabs(offsets)]
-        mean = np.concatenate([*got, np.zeros(0)])
+        return np.concatenate([*got, np.zeros(0)])
+
+    def score(self, column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+        mean = self.means(*buffers(column))
         return np.where(np.isnan(mean), self.empty, 1 / (1 + np.exp(-(self.slope * np.nan_to_num(mean) + self.bias))))
 
 
 def train(texts: list[str], good: np.ndarray, rounds: int = ROUNDS) -> Crf:
     """Gradient ascent (Adam) on the chains' conditional likelihood, both labels weighing alike; then the logistic step."""
     data, offsets = buffers(pa.array(texts, pa.string()))
-    x, size, first = line_features(data, offsets)
-    mean = x.mean(0) if len(x) else np.zeros(x.shape[1])
-    scale = np.maximum(x.std(0), 1e-6) if len(x) else np.ones(x.shape[1])
+    z, first = _slab_features(data, offsets)
+    mean = np.array([c.mean() for c in z.T]) if len(z) else np.zeros(z.shape[1])
+    scale = np.array([max(c.std(), 1e-6) for c in z.T]) if len(z) else np.ones(z.shape[1])
     mean[-3], scale[-3] = 0, 1  # the constant
-    z = (x - mean) / scale
+    z -= mean
+    z /= scale
     row = np.repeat(np.arange(len(texts)), np.diff(first))
     y = good[row].astype(int)
     later = np.arange(len(row)) > first[:-1][row]
     share = {v: max(1, int((good == v).sum())) for v in (False, True)}
     weight = (np.where(good, 0.5 / share[True], 0.5 / share[False]) / np.maximum(np.diff(first), 1))[row]
-    model = Crf(mean, scale, np.zeros(x.shape[1]), np.zeros((2, 2)))
-    state = [np.zeros(x.shape[1] + 4), np.zeros(x.shape[1] + 4)]
+    model = Crf(mean, scale, np.zeros(z.shape[1]), np.zeros((2, 2)))
+    state = [np.zeros(z.shape[1] + 4), np.zeros(z.shape[1] + 4)]
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[later], y[later]), weight[later])
     for step in range(1, rounds + 1):
@@ -168,7 +189,8 @@ def train(texts: list[str], good: np.ndarray, rounds: int = ROUNDS) -> Crf:
         move = 0.1 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
         model.weight = model.weight + move[:-4]
         model.trans = model.trans + move[-4:].reshape(2, 2)
-    seen_mean = model.evidence(data, offsets)[0]
+    del z
+    seen_mean = model.means(data, offsets)
     full = ~np.isnan(seen_mean)
     t, target = seen_mean[full], good[full].astype(float)
     if target.any() and not target.all():

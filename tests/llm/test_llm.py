@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -206,6 +207,22 @@ def test_classifier_held_out(spark):
     assert quality_crf.score(docs(spark, []), quality_crf.fit(docs(spark, rows), labels.limit(0))).count() == 0
 
 
+def test_classifier_sample_and_memory(spark, monkeypatch):
+    rows = [(k, text(k, 20) if k % 2 else junk(k)) for k in range(1400)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    seen = []
+    with monkeypatch.context() as m:
+        m.setattr(quality_crf, "train", lambda texts, good: seen.append((len(texts), int(good.sum()))))
+        quality_crf.fit(docs(spark, rows), labels)
+    assert seen == [(1400, 700)]
+    long = [text(k, 400) for k in range(500)]
+    tracemalloc.start()
+    quality_crf.train(long, np.arange(500) % 2 == 0, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * sum(map(len, long))
+
+
 def test_forward_backward_matches_enumeration():
     rng = np.random.default_rng(5)
     node, trans, first = rng.normal(size=(7, 2)), rng.normal(size=(2, 2)), np.array([0, 3, 3, 7])
