@@ -7,6 +7,9 @@ bits, and the index holds every such block value, so no item within the radius i
 similarity of 0.8 a fingerprint differs by 10 bits on average (standard deviation 3); RADIUS is
 that plus 3.5 deviations. The exact weighted Jaccard similarity of the shingle multisets decides.
 
+Items of one to four words are one shingle of all their words and are looked up among the runs of
+as many words, which are equal (similarity 1) or not.
+
 Windows without any shingle of an item of their length have similarity 0 to all such items, so
 only the others are fingerprinted. Words are runs of letters and digits in lower case. Items are
 the stated query set: they are taken in blocks of about BLOCK_ITEMS, one pass over the texts each.
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import ALNUM, U64, buffers, lowered, mix, slabs, span_hash, spans, windows
+from .arrays import ALNUM, U64, Words, buffers, lowered, mix, slabs, span_hash, spans, windows
 from .cluster import bounded_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -33,11 +36,10 @@ _BYTE = np.arange(256, dtype=np.uint8)
 _NEAR = np.flatnonzero(np.unpackbits(_BYTE[:, None], axis=1).sum(1) <= RADIUS // BLOCKS).astype(np.uint8)
 
 
-def _shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Fingerprint, first word and row bounds of the full shingles."""
-    words = spans(data, offsets, ALNUM)
-    start, row = windows(words.first, SHINGLE)
-    return span_hash(words.hashes(), start, start + SHINGLE, 1), start - words.first[:-1][row], np.searchsorted(row, np.arange(len(offsets)))
+    start, row = windows(words.first, size)
+    return span_hash(words.hashes(), start, start + size, 1), start - words.first[:-1][row], np.searchsorted(row, np.arange(len(words.first)))
 
 
 def _votes(hashes: np.ndarray) -> np.ndarray:
@@ -58,9 +60,15 @@ class Items:
 
     def __init__(self, rows: list[tuple]):
         self.rows = [r for r in rows if r[1]]
-        data, offsets = buffers(lowered(pa.array([r[1] for r in self.rows], pa.string())))
-        hashes, _, first = _shingles(data, offsets)
+        words = spans(*buffers(lowered(pa.array([r[1] for r in self.rows], pa.string()))), ALNUM)
+        hashes, _, first = _shingles(words)
         size = np.diff(first)
+        # number of words -> fingerprint -> the items that are this one shingle
+        self.short: dict[int, dict[int, list[int]]] = {}
+        n_words = np.diff(words.first)
+        for k in np.flatnonzero((n_words > 0) & (n_words < SHINGLE)).tolist():
+            whole = span_hash(words.hashes(), words.first[k : k + 1], words.first[k + 1 : k + 2], 1)
+            self.short.setdefault(int(n_words[k]), {}).setdefault(int(whole[0]), []).append(k)
         total = _votes(hashes)
         print_ = _simhash(total, first[:-1], first[1:])
         self.ids = [r[0] for r in self.rows]
@@ -91,9 +99,24 @@ class Items:
 
     def search(self, data: np.ndarray, offsets: np.ndarray, least: float) -> dict[tuple[int, int], tuple[float, int]]:
         """(row, item) -> best similarity and the first word of the first window that has it."""
+        words = spans(data, offsets, ALNUM)
+        return self._search_short(words) | self._search_long(words, least)
+
+    def _search_short(self, words: Words) -> dict[tuple[int, int], tuple[float, int]]:
+        found: dict[tuple[int, int], tuple[float, int]] = {}
+        for n, items in self.short.items():
+            hashes, word, first = _shingles(words, n)
+            at = np.flatnonzero(np.isin(hashes, np.array(list(items), U64)))
+            row = np.searchsorted(first, at, "right") - 1
+            for k, w in zip(at.tolist(), row.tolist(), strict=True):
+                for item in items[int(hashes[k])]:
+                    found.setdefault((w, item), (1.0, int(word[k])))
+        return found
+
+    def _search_long(self, words: Words, least: float) -> dict[tuple[int, int], tuple[float, int]]:
         if not len(self.known):
             return {}
-        hashes, word, first = _shingles(data, offsets)
+        hashes, word, first = _shingles(words)
         near = np.flatnonzero(self.marks[hashes & U64(MARKS - 1)])
         at = np.minimum(np.searchsorted(self.known, hashes[near]), len(self.known) - 1)
         near, at = near[self.known[at] == hashes[near]], at[self.known[at] == hashes[near]]
@@ -147,8 +170,9 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[Items]:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """One row per row of docs and item that a window of it repeats: id, item id, similarity and start_word (from 0).
 
-    similarity is that of the best window, start_word the first such window's first word. Texts
-    and items that are null or have under five words match nothing; repeated rows and items each
+    similarity is that of the best window, start_word the first such window's first word. An item
+    of one to four words matches where all its words follow each other. Texts and items that are
+    null or wordless match nothing; repeated rows and items each
     get their rows; other columns are ignored.
     """
     bounded_batches(docs.sparkSession)

@@ -157,6 +157,19 @@ def test_decontamination(spark):
     assert decontaminate.find_leaks(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_short_items(spark):
+    items = [(1, "Zebra"), (2, "zebra, crossing"), (3, "One zebra crossing here"), (4, "ZEBRA"), (5, "--"), (6, text(500, 15)), (7, "crossing zebra")]
+    rows = [*EDGE, (20, f"{text(1, 9)} one zebra-crossing here {text(2, 9)} zebra"), (21, "Zebra"), (22, "zebra cross"), (23, f"x {text(500, 15)}"), (24, "crossing"), (25, "zebra")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for some in (bench, bench.where("item_id <> 6")):
+        got = {(r.doc_id, r.item_id): (r.similarity, r.start_word) for r in decontaminate.find_leaks(docs(spark, rows), some).collect()}
+        want = {(20, 1): 10, (20, 4): 10, (20, 2): 10, (20, 3): 9, **{(d, i): 0 for d in (21, 22, 25) for i in (1, 4)}}
+        assert {k: v for k, v in got.items() if k[1] != 6} == {k: (1.0, w) for k, w in want.items()}
+        assert ((23, 6) in got) == (some is bench)
+        clean = decontaminate.drop_leaks(docs(spark, rows), some)
+        assert {r.doc_id for r in clean.collect()} == {i for i, _ in rows} - {i for i, _ in got}
+
+
 def test_licenses(spark):
     rows = [*EDGE, *((100 + k, f"{text(k, 30)}\n{t}\n{text(k + 50, 9)}") for k, t in enumerate(license_scan.TEMPLATES.values())), (99, license_scan.TEMPLATES["MIT"])]
     want = set()
