@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .arrays import ALNUM, U64, buffers, lowered, mix, shingles, slabs, span_hash, spans
+from .arrays import ALNUM, U64, Words, buffers, lowered, mix, shingles, slabs, span_hash, spans
 from .cluster import bounded_batches, cut
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -149,6 +149,13 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.mapInArrow(run, f"_id {id_type}, node binary, bands binary, signature binary")
 
 
+def text_keys(words: Words) -> np.ndarray:
+    """The key of each row's words (node); None without words."""
+    word = words.hashes()
+    key = np.column_stack([span_hash(mix(word, k), words.first[:-1], words.first[1:], k) for k in (1, 2)])
+    return np.where(np.diff(words.first) > 0, _key(key).to_numpy(zero_copy_only=False), None)
+
+
 def with_key(docs: DataFrame, text_col: str, name: str) -> DataFrame:
     """docs with the key of each text's words in one more column; null without words."""
 
@@ -158,9 +165,7 @@ def with_key(docs: DataFrame, text_col: str, name: str) -> DataFrame:
             keys = []
             for i, j in slabs(offsets):
                 words = spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], ALNUM)
-                word = words.hashes()
-                key = np.column_stack([span_hash(mix(word, k), words.first[:-1], words.first[1:], k) for k in (1, 2)])
-                keys += np.where(np.diff(words.first) > 0, _key(key).to_numpy(zero_copy_only=False), None).tolist()
+                keys += text_keys(words).tolist()
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.binary())], [*batch.schema.names, name])
 
     from pyspark.sql.types import BinaryType, StructType
@@ -312,6 +317,11 @@ def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float)
     return sketch.select("_id", "node"), labels
 
 
+def linked_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
+    """(node, component) for the text keys that have a near duplicate."""
+    return _rows_and_labels(docs, id_col, text_col, least)[1]
+
+
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """One row per row of docs: id and class_id, the smallest id of its near-duplicate class.
 

@@ -36,7 +36,7 @@ def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
-    return pack(_table(spark, sf_dir, "documents"))
+    return pack(_table(spark, sf_dir, "documents"), near=True)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -353,6 +353,17 @@ def test_packing(spark):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_packing_parts_near_copies(spark, tmp_path):
+    rows = [(k, text(k, 60), f"s{k}") for k in range(12)] + [(20 + k, edited(text(k, 60), k, 1), f"t{k}") for k in range(12)] + [(40, text(0, 60).upper(), "u"), (41, None, "v"), (42, "", "w"), (43, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.op4_best_fit_packing(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _, _ in rows)
+    at = {r.doc_id: r.bin_id for r in got}
+    near = [(a, b) for a, t, _ in rows for b, u, _ in rows if a < b and t and u and alike(five(t), five(u)) >= 0.8]
+    assert len(near) >= 12 and all(at[a] != at[b] for a, b in near)
+    assert len(set(at.values())) == 3 and len({at[41], at[42], at[43]}) == 1
+
+
 def test_best_fit_is_tightest():
     # residuals after 60, 55, 52: 40, 45, 48; a 38 goes to the tightest, one that conflicts with the next goes on to its successor
     assert packing.pack_shard([60, 55, 52, 38, 38], ["a", "b", "c", "d", "b"], [None] * 5, 100) == [0, 1, 2, 0, 2]
