@@ -2,11 +2,16 @@
 
 A page becomes a sequence of text nodes, each with its root-to-leaf tag path. Per path, text length
 and punctuation are added up and divided by the number of nodes; the two ratios are smoothed over
-neighbouring nodes with a Gaussian, fused (their product) and thresholded by their standard
-deviation. The selected nodes vote, with their text, for the element that holds the article: from
-the root, the search descends as long as one child holds nearly all of the selected text. All
-blocks of that element are the main text, but for subtrees that are boilerplate by their element
-or by the words of their class, id or role.
+neighbouring nodes of the same parent path with a Gaussian, fused (their geometric mean) and
+weighted by a prior: the first element of the path whose class, id or role names boilerplate
+scales it by PRIOR, each further one by AGAIN. Paths at or above the deviation of the fused values, held between LOW and HIGH of the
+leading path's value, are selected, and all their nodes are content.
+
+The content nodes vote, with their text, for the element that holds them: from the root, the search
+descends as long as one child holds nearly all votes. The text is that of the blocks with a content
+node in that element; its other blocks stay if no element in it names them boilerplate and they lie
+between content blocks, right after their headings, or if the element is an article or mostly content. So a wrapper's name
+alone drops nothing, and without selected paths nothing comes out.
 """
 
 from __future__ import annotations
@@ -31,12 +36,12 @@ BLOCK = {
     "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main",
     "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
-BOILERPLATE = {"head", "nav", "footer", "aside", "form", "button", "select", "input", "menu", "dialog", "noscript", "template", "svg", "canvas", "object", "audio", "video", "math", "map", *RAW}
+NEVER = {"head", "nav", "footer", "aside", "button", "select", "input", "menu", "dialog", "noscript", "template", "svg", "canvas", "object", "audio", "video", "math", "map", *RAW}
 BOILERPLATE_ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar"}
 BOILERPLATE_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies",
     "disqus", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo",
-    "promoted", "related", "recommended", "reply", "replies", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "subscription", "teaser", "toolbar", "widget",
+    "promoted", "related", "recommended", "reply", "replies", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget",
 }
 #: A paragraph ends where one of these opens; a list item, cell or term where its like opens.
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dd", "dt", "option", "legend", "summary", "figcaption"}
@@ -45,7 +50,13 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl
 #: End tags other than CLOSE_ACROSS don't reach beyond these; elements that may hold an article.
 ENCLOSING = {"td", "th", "table", "article", "body"}
 CLOSE_ACROSS = {"table", "article", "body", "html", "tr", "tbody", "thead", "tfoot", "main", "div", "section", "td", "th"}
-HOLDERS = {"html", "body", "div", "main", "article", "section", "center", "table", "tbody", "tr", "td"}
+HOLDERS = {"html", "body", "div", "form", "main", "article", "section", "center", "span", "table", "tbody", "tr", "td"}
+#: Words that take back the boilerplate word after them, as in has-sidebar.
+NEGATING = {"has", "with", "no", "without"}
+
+PRIOR, AGAIN, LOW, HIGH, HOLDS, MOSTLY = 0.05, 0.3, 0.2, 0.5, 0.9, 0.8
+#: Characters that a page must have under boilerplate names for them to pass as its content.
+NAMED_LEAST = 160
 
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
@@ -56,15 +67,17 @@ _NAME_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 @dataclass
 class Element:
-    """path is the number of its tag path; in_article: whether an article or main element holds it."""
+    """path is the number of its tag path; never: not page text; named: elements from the root on with a boilerplate name; in_article: whether an article or main element holds it."""
 
     tag: str
     parent: Element | None
     path: int
-    boilerplate: bool
+    never: bool
+    named: int
     in_article: bool
     votes: float = 0.0
-    chosen: bool = False
+    plain: float = 0.0
+    inside: bool = False
 
 
 @dataclass
@@ -74,24 +87,30 @@ class Text:
     block: int
 
 
-def _is_boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in BOILERPLATE or (tag == "header" and not inside_article):
-        return True
+def _marks(tag: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether the element is never page text, and whether its attributes (or being a form) name boilerplate."""
+    if tag in NEVER or (tag == "header" and not in_article):
+        return True, False
+    named = tag == "form"
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         value, name = "".join(values), name.lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value.lower() in BOILERPLATE_ROLE):
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not BOILERPLATE_WORDS.isdisjoint(w.lower() for w in _NAME_WORD.findall(value)):
-            return True
-    return False
-
-
-def parse(source: str) -> tuple[list[Element], list[Text]]:
-    """The elements in page order, the root first, and the text nodes with the number of the block each belongs to."""
-    root = Element("", None, 0, False, False)
+        if name == "hidden":
+            return True, False
+        if (name == "aria-hidden" and value == "true") or (name == "role" and value.lower() in BOILERPLATE_ROLE):
+            named = True
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            words = ["", *(w.lower() for w in _NAME_WORD.findall(value))]
+            named = named or any(w in BOILERPLATE_WORDS and before not in NEGATING for before, w in zip(words, words[1:], strict=False))
+    return False, named
+
+
+def parse(source: str) -> tuple[list[Element], list[Text], list[int]]:
+    """The elements in page order, the root first; the text nodes with the number of the block each belongs to; each path's parent path."""
+    root = Element("", None, 0, False, 0, False)
     at, position, block = root, 0, 0
     elements, texts = [root], []
-    paths: dict[tuple[int, str], int] = {}
+    paths: dict[tuple[int, str, bool], int] = {}
+    parents = [0]
     open_tags: dict[str, int] = {}
 
     def put(raw: str) -> None:
@@ -140,8 +159,11 @@ def parse(source: str) -> tuple[list[Element], list[Text]]:
             if tag == "br":
                 put(" ")
             continue
-        path = paths.setdefault((at.path, tag), len(paths) + 1)
-        child = Element(tag, at, path, at.boilerplate or _is_boilerplate(tag, m[3], at.in_article), at.in_article or tag in ("article", "main"))
+        never, named = _marks(tag, m[3], at.in_article)
+        path = paths.setdefault((at.path, tag, named), len(parents))
+        if path == len(parents):
+            parents.append(at.path)
+        child = Element(tag, at, path, at.never or never, at.named + named, at.in_article or tag in ("article", "main"))
         elements.append(child)
         if tag in RAW:
             end = _raw_end(tag).search(source, position)
@@ -150,7 +172,7 @@ def parse(source: str) -> tuple[list[Element], list[Text]]:
             at = child
             open_tags[tag] = open_tags.get(tag, 0) + 1
     put(source[position:])
-    return elements, texts
+    return elements, texts, parents
 
 
 @functools.cache
@@ -158,68 +180,110 @@ def _raw_end(tag: str) -> re.Pattern:
     return re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I)
 
 
-def _smooth(values: list[float]) -> list[float]:
-    """A Gaussian of deviation 1 over two nodes to either side."""
-    kernel = [math.exp(-k * k / 2) for k in range(-2, 3)]
+_KERNEL = [(k, math.exp(-2 * k * k)) for k in range(-1, 2)]
+
+
+def _smooth(values: list[float], family: list[int]) -> list[float]:
+    """A Gaussian of deviation 1/2 over the nodes on either side, those of the same family only."""
     out = []
-    for i in range(len(values)):
-        parts = [(w, values[i + k]) for k, w in zip(range(-2, 3), kernel, strict=True) if 0 <= i + k < len(values)]
-        out.append(sum(w * v for w, v in parts) / sum(w for w, _ in parts))
+    for i, mine in enumerate(family):
+        total = weight = 0.0
+        for k, w in _KERNEL:
+            if 0 <= i + k < len(values) and family[i + k] == mine:
+                total, weight = total + w * values[i + k], weight + w
+        out.append(total / weight)
     return out
 
 
-def select(nodes: list[tuple[int, str]]) -> list[bool]:
-    """Which (path, text) nodes are content: fused tag-path ratios at or above their standard deviation."""
-    length, marks, count = {}, {}, {}
-    for path, text in nodes:
+def content_paths(nodes: list[tuple[int, int, str]], parents: list[int]) -> set[int]:
+    """The paths, of nodes given as (path, boilerplate names on it, text), whose fused and weighted ratio passes the threshold."""
+    length, marks, count, named = {}, {}, {}, {}
+    for path, names, text in nodes:
         length[path] = length.get(path, 0) + len(text)
         marks[path] = marks.get(path, 0) + len(_PUNCTUATION.findall(text))
         count[path] = count.get(path, 0) + 1
-    by_length = _smooth([length[p] / count[p] for p, _ in nodes])
-    by_marks = _smooth([marks[p] / count[p] for p, _ in nodes])
-    fused = [a * (b + 0.1) for a, b in zip(by_length, by_marks, strict=True)]
-    mean = sum(fused) / len(fused)
-    spread = math.sqrt(sum((v - mean) ** 2 for v in fused) / len(fused))
-    cut = min(spread, max(fused))
-    return [v >= cut for v in fused]
+        named[path] = names
+    family = [parents[p] for p, _, _ in nodes]
+    by_length = _smooth([length[p] / count[p] for p, _, _ in nodes], family)
+    by_marks = _smooth([marks[p] / count[p] for p, _, _ in nodes], family)
+    fused = dict.fromkeys(count, 0.0)
+    prior = {p: PRIOR * AGAIN ** (n - 1) if n else 1.0 for p, n in named.items()}
+    for (p, _, _), a, b in zip(nodes, by_length, by_marks, strict=True):
+        fused[p] += math.sqrt(a * (b + 0.03)) * prior[p] / count[p]
+    leader = max(fused, key=lambda p: fused[p] * length[p])
+    if named[leader] and sum(n for p, n in length.items() if named[p]) < NAMED_LEAST:
+        unnamed = [n for n in nodes if not n[1]]
+        return content_paths(unnamed, parents) if unnamed else set()
+    mean = sum(v * count[p] for p, v in fused.items()) / len(nodes)
+    spread = math.sqrt(sum(count[p] * (v - mean) ** 2 for p, v in fused.items()) / len(nodes))
+    cut = min(max(spread, LOW * fused[leader]), HIGH * fused[leader])
+    return {p for p, v in fused.items() if v >= cut}
+
+
+def _holder(elements: list[Element]) -> Element:
+    """The element that holds the votes: the deepest with HOLDS of them, or the article or main element around it."""
+    heaviest: dict[int, Element] = {}
+    for e in reversed(elements[1:]):  # children come after their parents
+        e.parent.votes += e.votes
+        e.parent.plain += e.plain
+        if id(e.parent) not in heaviest or e.votes >= heaviest[id(e.parent)].votes:
+            heaviest[id(e.parent)] = e
+    holder = root = elements[0]
+    while (heavy := heaviest.get(id(holder))) is not None and heavy.votes >= HOLDS * root.votes and heavy.tag in HOLDERS:
+        holder = heavy
+    for tag in ("article", "main"):
+        up = holder
+        while up is not None and up.tag != tag:
+            up = up.parent
+        if up is not None:
+            return up
+    return holder
 
 
 def main_text(source: str | None) -> str:
     """The article's blocks, joined by line feeds; empty for a null or textless page."""
     if not source:
         return ""
-    elements, texts = parse(source)
-    whole = [(t, clean) for t in texts if not t.element.boilerplate and (clean := _SPACE.sub(" ", html.unescape(t.raw)).strip())]
-    if not whole:
+    elements, texts, parents = parse(source)
+    shown = [(t, clean) for t in texts if not t.element.never and (clean := _SPACE.sub(" ", html.unescape(t.raw)).strip())]
+    if not shown:
         return ""
-    for (t, clean), content in zip(whole, select([(t.element.path, clean) for t, clean in whole]), strict=True):
-        if content:
+    content = content_paths([(t.element.path, t.element.named, clean) for t, clean in shown], parents)
+    for t, clean in shown:
+        t.element.plain += len(clean)
+        if t.element.path in content:
             t.element.votes += len(clean)
-    heaviest: dict[int, Element] = {}
-    for e in reversed(elements[1:]):  # children come after their parents
-        e.parent.votes += e.votes
-        if id(e.parent) not in heaviest or e.votes >= heaviest[id(e.parent)].votes:
-            heaviest[id(e.parent)] = e
-    holder = root = elements[0]
-    best = max((e for e in elements if e.tag in ("article", "main") and not e.boilerplate), key=lambda e: e.votes, default=None)
-    if best is not None and best.votes >= 0.5 * root.votes:
-        holder = best
-    while (heavy := heaviest.get(id(holder))) is not None and not heavy.boilerplate and heavy.votes >= 0.9 * root.votes and heavy.tag in HOLDERS:
-        holder = heavy
+    if not content:
+        return ""
+    holder = _holder(elements)
     for e in elements:
-        e.chosen = e is holder or (e.parent is not None and e.parent.chosen)
-    blocks, last = [], None
-    for t in texts:
-        if t.element.boilerplate or not t.element.chosen:
-            continue
-        if t.block != last:
-            blocks.append([])
-            last = t.block
-        blocks[-1].append(t.raw)
-    lines = (_SPACE.sub(" ", html.unescape("".join(b))).strip() for b in blocks)
+        e.inside = e is holder or (e.parent is not None and e.parent.inside)
+    inside = [t for t in texts if t.element.inside and not t.element.never]
+    by_path = {t.block for t, _ in shown if t.element.inside and t.element.path in content}
+    first, last = min(by_path), max(by_path)
+    unnamed = sum(len(clean) for t, clean in shown if t.element.inside and t.element.named == holder.named)
+    whole = holder.tag == "article" or (holder.tag not in ("", "html", "body") and holder.votes >= MOSTLY * unnamed)
+    title = _title_blocks(shown, holder, first)
+    for t, _ in reversed(shown):  # headings right before the content
+        if t.element.inside and t.block < first:
+            if not re.fullmatch("h[1-6]", t.element.tag):
+                break
+            title.add(t.block)
+    blocks: dict[int, list[str]] = {}
+    for t in [*(t for t, _ in shown if t.block in title and not t.element.inside), *inside]:
+        if t.element.path in content or (t.element.named <= holder.named and (whole or t.block in title or first <= t.block <= last)):
+            blocks.setdefault(t.block, []).append(t.raw)
+    lines = (_SPACE.sub(" ", html.unescape("".join(b))).strip() for b in blocks.values())
     return "\n".join(x for x in lines if x)
 
 
+def _title_blocks(shown: list[tuple[Text, str]], holder: Element, first: int) -> set[int]:
+    """The block of the last h1 before the content that stands beside its holder, or beside the holder's parent, if these aren't the page's body."""
+    beside = [e for e in (holder.parent, holder.parent.parent if holder.parent else None) if e is not None and e.tag not in ("", "html", "body")]
+    found = [t.block for t, _ in shown if t.element.tag == "h1" and not t.element.inside and t.block < first and any(t.element.parent is e for e in beside) and t.element.named <= holder.named]
+    return set(found[-1:])
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per row of pages: id, url and text, the main text of the whole html.
 
