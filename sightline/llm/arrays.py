@@ -1,13 +1,15 @@
 """Vectorised text primitives: whole Arrow batches of UTF-8 as numpy arrays.
 
 A batch of texts is one byte buffer plus row offsets. Words, windows and their 64-bit
-fingerprints come from prefix sums over that buffer, so no Python code runs per word.
+fingerprints come from sums over that buffer, so no Python code runs per word. A word's or line's
+fingerprint adds a random number for each (place, byte), so no two words are equal by construction;
+a window's is a polynomial of its words' fingerprints.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,8 @@ import pyarrow as pa
 U64 = np.uint64
 _BASE = {0: 0x9E3779B97F4A7C15, 1: 0xD1342543DE82EF95, 2: 0xAF251AF3B0F025B5}
 _powers: dict[tuple[int, bool], np.ndarray] = {}
+_PLACES = 64
+_places: dict[int, np.ndarray] = {}
 
 #: Bytes that belong to words cut at the six ASCII white-space characters.
 SPACE_CUT = np.ones(256, bool)
@@ -52,7 +56,7 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of values[start:end] for each pair, independent of where the span lies."""
+    """Polynomial hash of the fingerprints values[start:end] for each pair, independent of where the span lies."""
     with np.errstate(over="ignore"):
         sums = np.zeros(len(values) + 1, U64)
         np.cumsum(values * powers(len(values), base), out=sums[1:])
@@ -61,6 +65,28 @@ def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
     return mix(out)
 
 
+def byte_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """Fingerprint of the bytes data[start:end] of each span; spans don't overlap. Another seed gives an independent one."""
+    if seed not in _places:
+        _places[seed] = mix(np.arange(_PLACES * 256, dtype=U64), 100 + seed)
+    length = end - start
+    begin = np.cumsum(length) - length
+    n = int(length.sum())
+    out = np.zeros(len(start), U64)
+    if n:
+        place = np.arange(n)
+        byte = data[place + np.repeat(start - begin, length)]
+        place -= np.repeat(begin, length)
+        value = _places[seed][(place & (_PLACES - 1)) << 8 | byte]
+        if length.max() > _PLACES:
+            far = np.flatnonzero(place >= _PLACES)
+            value[far] *= mix((place[far] // _PLACES).astype(U64), 200 + seed) | U64(1)
+        some = length > 0
+        out[some] = np.add.reduceat(value, begin[some])
+    with np.errstate(over="ignore"):
+        return mix(out + length.astype(U64) * U64(0xC2B2AE3D27D4EB4F), seed)
+
+
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string or binary column and the n+1 row offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -97,13 +123,27 @@ class Words:
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    _known: dict[int, np.ndarray] = field(default_factory=dict)
 
     @property
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
-    def hashes(self, base: int = 0) -> np.ndarray:
-        return span_hash(self.data.astype(U64) + U64(1), self.start, self.end, base)
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A fingerprint of each word."""
+        if seed not in self._known:
+            self._known[seed] = byte_hash(self.data, self.start, self.end, seed)
+        return self._known[seed]
+
+    def keys(self) -> np.ndarray:
+        """A 128-bit fingerprint of each row's word sequence, as two columns, each from word fingerprints of its own."""
+        out = np.zeros((len(self.first) - 1, 2), U64)
+        some = np.diff(self.first) > 0
+        place = (np.arange(len(self.start)) - np.repeat(self.first[:-1], np.diff(self.first))).astype(U64)
+        for k in (0, 1):
+            if some.any():
+                out[some, k] = np.add.reduceat(mix(self.hashes(k) ^ mix(place, 50 + k), 60 + k), self.first[:-1][some])
+        return mix(out, 70)
 
 
 def spans(data: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> Words:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .arrays import ALNUM, U64, Words, buffers, lowered, mix, shingles, slabs, span_hash, spans
+from .arrays import ALNUM, U64, Words, buffers, lowered, mix, shingles, slabs, spans
 from .cluster import bounded_batches, cut
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -49,8 +49,8 @@ PAIR_BYTES = 1 << 20
 SLAB = 1 << 19
 
 
-def _multisets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, fingerprint and multiplicity of each row's distinct shingles; and a 128-bit key of each row's words."""
+def _multisets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
+    """Row, fingerprint and multiplicity of each row's distinct shingles; and the words."""
     words = spans(data, offsets, ALNUM)
     hashes, row = shingles(words, SHINGLE)
     order = np.argsort(hashes ^ mix(row.astype(U64), 5))  # equal (row, hash) pairs stand together
@@ -58,9 +58,7 @@ def _multisets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])
     count = np.diff(np.flatnonzero(np.append(new, True)))
-    word = words.hashes()
-    key = np.column_stack([span_hash(mix(word, k), words.first[:-1], words.first[1:], k) for k in (1, 2)])
-    return row[new], hashes[new], count, key
+    return row[new], hashes[new], count, words
 
 
 def bagminhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int, registers: int = REGISTERS) -> np.ndarray:
@@ -121,7 +119,8 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             data, offsets = buffers(lowered(batch.column("_text")))
             for i, j in slabs(offsets, SLAB):
-                row, element, weight, key = _multisets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                row, element, weight, words = _multisets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                key = words.keys()
                 filled = np.bincount(row, minlength=j - i) > 0
                 # equal texts of a slab are sketched once
                 _, first, same = np.unique(key, axis=0, return_index=True, return_inverse=True)
@@ -151,9 +150,7 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def text_keys(words: Words) -> np.ndarray:
     """The key of each row's words (node); None without words."""
-    word = words.hashes()
-    key = np.column_stack([span_hash(mix(word, k), words.first[:-1], words.first[1:], k) for k in (1, 2)])
-    return np.where(np.diff(words.first) > 0, _key(key).to_numpy(zero_copy_only=False), None)
+    return np.where(np.diff(words.first) > 0, _key(words.keys()).to_numpy(zero_copy_only=False), None)
 
 
 def with_key(docs: DataFrame, text_col: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import ALNUM, SPACE_CUT, buffers, lowered, slabs, span_hash, spans
+from .arrays import ALNUM, SPACE_CUT, buffers, lowered, slabs, spans
 from .cluster import bounded_batches
 from .near_dedup import linked_texts, text_keys
 
@@ -79,26 +79,21 @@ def pack_shard(size: list[int], source: list, cluster: list, capacity: int) -> l
     return [bins.place(int(z), int(a), int(b), capacity) for z, a, b in zip(size, s, c, strict=True)]
 
 
-def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, near: bool) -> DataFrame:
-    """id, source, cluster (a fingerprint of the lower-case letters and digits, with near near_dedup's key of the text; null without any) and n_words of every row."""
+def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """id, source, cluster (near_dedup's key of the text; null without words) and n_words of every row."""
 
     def run(batches):
         for batch in batches:
             data, offsets = buffers(batch.column("_text"))
             words = [np.diff(spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], SPACE_CUT).first) for i, j in slabs(offsets)]
             data, offsets = buffers(lowered(batch.column("_text")))
-            keys, some = [np.zeros(0, object if near else np.uint64)], [np.zeros(0, bool)]
-            for i, j in slabs(offsets):
-                cut = spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], ALNUM)
-                keys.append(text_keys(cut) if near else span_hash(cut.hashes(), cut.first[:-1], cut.first[1:], 1))
-                some.append(np.diff(cut.first) > 0)
-            keys = np.concatenate(keys)
-            cluster = pa.array(keys, pa.binary()) if near else pa.array(keys.view(np.int64), mask=~np.concatenate(some))
+            keys = [text_keys(spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], ALNUM)) for i, j in slabs(offsets)]
+            cluster = pa.array(np.concatenate([*keys, np.zeros(0, object)]), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_source"), cluster, pa.array(np.concatenate([*words, np.zeros(0, np.int64)]))], ["_id", "_source", "cluster", "n_words"])
 
     id_type, source_type = (docs.schema[c].dataType.simpleString() for c in (id_col, source_col))
     rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_source"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, f"_id {id_type}, _source {source_type}, cluster {'binary' if near else 'long'}, n_words long")
+    return rows.mapInArrow(run, f"_id {id_type}, _source {source_type}, cluster binary, n_words long")
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", capacity: int = CAPACITY, near: bool = False) -> DataFrame:
@@ -111,7 +106,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     other columns are ignored.
     """
     bounded_batches(docs.sparkSession)
-    measured = _measured(docs, id_col, text_col, source_col, near)
+    measured = _measured(docs, id_col, text_col, source_col)
     if near:
         linked = linked_texts(docs, id_col, text_col).withColumnRenamed("node", "cluster")
         measured = measured.join(linked, "cluster", "left").withColumn("cluster", F.coalesce("component", "cluster")).drop("component")

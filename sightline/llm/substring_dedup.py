@@ -65,10 +65,9 @@ class Group:
         self.parts, high, low = [], [], []
         for i, j in slabs(offsets):
             cut = spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], SPACE_CUT)
-            hashes = cut.hashes()
             start, _ = windows(cut.first, size)
-            high.append(span_hash(hashes, start, start + size, 1))
-            low.append(span_hash(mix(hashes, 7), start, start + size, 2))
+            high.append(span_hash(cut.hashes(0), start, start + size, 1))
+            low.append(span_hash(cut.hashes(1), start, start + size, 2))
             self.parts.append((cut, start))
         self.high = np.concatenate([*high, np.zeros(0, U64)])
         self.low = np.concatenate([*low, np.zeros(0, U64)])
@@ -225,7 +224,8 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     consecutive words of one row; it counts as repeated if the same words start at any other
     place, in the same row or another. A null or empty text has no words and an empty kept; a row
     may repeat as a whole (each copy counts); a null id is kept as null; other columns are ignored.
-    Equality of windows is equality of 128-bit fingerprints.
+    Equality of windows is equality of 128-bit fingerprints, whose halves come from two independent
+    fingerprints of each word.
     """
     chars = text_size(docs, text_col)
     groups = max(8, -(-chars // GROUP_CHARS))
