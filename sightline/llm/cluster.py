@@ -28,6 +28,13 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """The name, with underscores before it until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
+
+
 def text_size(frame: DataFrame, column: str) -> int:
     """Characters in the column, over all rows; sizes partitions only."""
     return frame.agg(F.sum(F.length(column))).first()[0] or 0

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .arrays import ALNUM, U64, Words, buffers, lowered, mix, shingles, slabs, spans
-from .cluster import bounded_batches, cut
+from .cluster import bounded_batches, cut, fresh
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
@@ -339,8 +339,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
     rows, labels = _rows_and_labels(docs, id_col, text_col, least)
     named = rows.where(F.col("node").isNotNull()).join(labels, "node", "left")
     best = named.groupBy(F.coalesce("component", "node").alias("c")).agg(F.min(F.struct(F.col("_id").isNull().alias("no_id"), "_id", "node")).alias("m"))
-    kept = best.select(F.col("m._id").alias("__kept_id"), F.col("m.node").alias("__kept_node"))
-    keyed = with_key(docs, text_col, "__node")
-    chosen = keyed.join(kept, (F.col("__node") == F.col("__kept_node")) & F.col(id_col).eqNullSafe(F.col("__kept_id")))
-    first = chosen.withColumn("__nth", F.row_number().over(Window.partitionBy("__node").orderBy(text_col)))
-    return first.where("__nth = 1").select(*docs.columns).unionByName(keyed.where(F.col("__node").isNull()).select(*docs.columns))
+    node, kept_id, kept_node, nth = (fresh(n, docs.columns) for n in ("_node", "_kept_id", "_kept_node", "_nth"))
+    kept = best.select(F.col("m._id").alias(kept_id), F.col("m.node").alias(kept_node))
+    keyed = with_key(docs, text_col, node)
+    chosen = keyed.join(kept, (F.col(node) == F.col(kept_node)) & F.col(id_col).eqNullSafe(F.col(kept_id)))
+    first = chosen.withColumn(nth, F.row_number().over(Window.partitionBy(node).orderBy(text_col)))
+    return first.where(F.col(nth) == 1).select(*docs.columns).unionByName(keyed.where(F.col(node).isNull()).select(*docs.columns))

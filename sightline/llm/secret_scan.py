@@ -6,17 +6,23 @@
 3. Postings of an id are brought together and each rule's query is evaluated on them.
 4. Candidates are verified: the rule's expression runs over the whole text of its candidates.
 
-Postings are pre-aggregated per task, so an id that many rows share sends one row per task.
+Postings are pre-aggregated per task, so an id that many rows share sends one row per task. Work
+grows in proportion to a text's length and its number of matches: positions come from prefix sums
+in blocks of BLOCK values, and a masked text is joined once from pieces that are cut out of parts
+of PART code points.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cluster import fresh
+
 try:
     from re import _constants as _c, _parser
 except ImportError:  # before Python 3.11
@@ -53,9 +59,11 @@ ADDED = (
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"sk_live_[A-Za-z0-9]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
-    Rule("url_login", r"[a-z]+://[A-Za-z0-9._~-]+:[A-Za-z0-9._~!$&*+-]+@"),
+    Rule("url_login", r"[a-z]{1,20}://[A-Za-z0-9._~-]+:[A-Za-z0-9._~!$&*+-]+@"),
 )
 _MOST = 16
+BLOCK, PART = 256, 2048
+_NONE = "array<struct<start:bigint,kind:int,end:bigint>>"
 
 
 def _trigrams(word: str) -> Query:
@@ -154,21 +162,68 @@ def candidates(docs: DataFrame, id_col: str, text_col: str, rules: tuple[Rule, .
     return met.select("_id", bits.alias("_rules")).where("_rules != 0")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of the value, which is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _before(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each of the array's numbers, those before it combined (0 for none), block by block."""
+    zero = F.lit(0).cast("bigint")
+
+    def running(xs: Column) -> Column:
+        begin = F.struct(zero.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        step = lambda acc, x: F.struct(combine(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+        return F.aggregate(xs, begin, step, lambda acc: acc["out"])
+
+    def joined(blocks: Column) -> Column:
+        firsts = running(F.transform(blocks, lambda xs: F.aggregate(xs, zero, combine)))
+        return F.flatten(F.zip_with(blocks, firsts, lambda xs, first: F.transform(running(xs), lambda x: combine(first, x))))
+
+    count = F.ceil(F.size(values) / BLOCK).cast("int")
+    cut = lambda all_, n: F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.slice(all_, k * BLOCK + 1, F.lit(BLOCK)))
+    return F.when(count > 0, _let(values, lambda all_: _let(cut(all_, F.ceil(F.size(all_) / BLOCK).cast("int")), joined))).otherwise(F.array().cast("array<bigint>"))
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Array of (start, kind's order, end) of the rule's matches in the text, in code points."""
     p = F.lit(rule.pattern)
-    parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), F.regexp_extract_all(text, p, 0).alias("hit"), F.regexp_extract_all(text, p, rule.group).alias("part"))
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
+    size = lambda x: F.coalesce(F.length(x), F.lit(0)).cast("bigint")
+    rows = F.transform(
+        F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), F.regexp_extract_all(text, p, 0).alias("hit"), F.regexp_extract_all(text, p, rule.group).alias("part")),
+        lambda x: F.struct(size(x["gap"]).alias("gap"), size(x["hit"]).alias("hit"), F.coalesce(F.length(x["part"]), F.lit(-1)).alias("part")),
+    )
+
+    def placed(found: Column) -> Column:
+        begins = _before(F.transform(found, lambda x: x["gap"] + x["hit"]), lambda a, b: a + b)
+        spans = F.zip_with(found, begins, lambda x, at: F.struct((at + x["gap"]).alias("start"), F.lit(order).alias("kind"), (at + x["gap"] + x["hit"]).alias("end"), x["part"].alias("part")))
+        return F.transform(F.filter(spans, lambda s: s["part"] >= rule.least), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+    return F.when(F.regexp_like(text, p), _let(rows, placed)).otherwise(F.array().cast(_NONE))
+
+
+def _found(text: Column, bits: Column, rules: tuple[Rule, ...]) -> Column:
+    """The sorted spans of all rules that scan fully or whose bit is set."""
+    each = [_spans(text, r, k) if trigram_query(r.pattern) is True else F.when(bits.bitwiseAND(F.lit(1 << k)) != 0, _spans(text, r, k)).otherwise(F.array().cast(_NONE)) for k, r in enumerate(rules)]
+    return F.array_sort(F.concat(*each))
+
+
+def _masked(text: Column, found: Column, mask: str) -> Column:
+    """The text with the mask for each of the sorted spans; spans that overlap get one mask."""
+
+    def cut(parts: Column, a: Column, b: Column) -> Column:
+        x, y = F.floor(a / PART).cast("int"), F.floor((b - 1) / PART).cast("int")
+        head = F.substring(F.element_at(parts, x + 1), (a - x * PART + 1).cast("int"), F.least(b - a, F.lit(PART).cast("bigint")).cast("int"))
+        tail = F.substring(F.element_at(parts, y + 1), F.lit(1), (b - y * PART).cast("int"))
+        return F.when(a >= b, F.lit("")).when(x == y, head).otherwise(F.concat(head, F.array_join(F.slice(parts, x + 2, y - x - 1), ""), tail))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
-        span = F.struct(start.cast("bigint").alias("start"), F.lit(order).alias("kind"), end.cast("bigint").alias("end"))
-        new = F.when(F.coalesce(F.length(x["part"]), F.lit(-1)) >= rule.least, F.array(span)).otherwise(none)
-        return F.struct(end.cast("bigint").alias("at"), F.concat(acc["spans"], new).alias("spans"))
+    def joined(parts: Column, spans: Column) -> Column:
+        reached = _before(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        apart = F.filter(F.zip_with(spans, reached, lambda s, at: F.struct(at.alias("at"), s["start"].alias("start"))), lambda x: x["start"] >= x["at"])
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(F.transform(apart, lambda x: F.concat(cut(parts, x["at"], x["start"]), F.lit(mask))), ""), cut(parts, last, F.length(text).cast("bigint")))
 
-    return F.when(F.regexp_like(text, p), F.aggregate(parts, begin, step, lambda acc: acc["spans"])).otherwise(none)
+    return _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), 0), lambda parts: _let(found, lambda spans: joined(parts, spans)))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: tuple[Rule, ...] = BASE, added: tuple[Rule, ...] = ADDED) -> DataFrame:
@@ -182,12 +237,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base:
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
     met = candidates(docs, id_col, text_col, rules).withColumnRenamed("_id", "_cid")
     told = rows.join(met, F.col("_id").eqNullSafe(F.col("_cid")), "left").select("_id", "_text", F.coalesce("_rules", F.lit(0).cast("bigint")).alias("_rules"))
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    found = [
-        _spans(F.col("_text"), r, k) if trigram_query(r.pattern) is True else F.when(F.col("_rules").bitwiseAND(F.lit(1 << k)) != 0, _spans(F.col("_text"), r, k)).otherwise(none)
-        for k, r in enumerate(rules)
-    ]
-    return told.select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), F.array_sort(F.concat(*found)).alias("found"))
+    return told.select(F.col("_id").alias(id_col), F.col("_text").alias(text_col), _found(F.col("_text"), F.col("_rules"), rules).alias("found"))
 
 
 def kind_names(rules: tuple[Rule, ...] = (*BASE, *ADDED)) -> Column:
@@ -203,18 +253,10 @@ def written(found: Column, rules: tuple[Rule, ...] = (*BASE, *ADDED)) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[SECRET]") -> DataFrame:
     """docs with every found secret replaced by the mask; overlapping spans are masked as one. All columns and rows stay; a null text stays null."""
     rules = (*BASE, *ADDED)
-    met = candidates(docs, id_col, text_col, rules).withColumnsRenamed({"_id": "__cid", "_rules": "__rules"})
-    told = docs.join(met, F.col(id_col).eqNullSafe(F.col("__cid")), "left")
-    text, bits = F.coalesce(F.col(text_col).cast("string"), F.lit("")), F.coalesce(F.col("__rules"), F.lit(0).cast("bigint"))
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
-    found = [_spans(text, r, k) if trigram_query(r.pattern) is True else F.when(bits.bitwiseAND(F.lit(1 << k)) != 0, _spans(text, r, k)).otherwise(none) for k, r in enumerate(rules)]
-    told = told.withColumn("__found", F.array_sort(F.concat(*found)))
-    begin = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        plain = F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int")), F.lit(mask))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], plain).otherwise(acc["out"]).alias("out"))
-
-    clean = F.aggregate("__found", begin, step, lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    fixed = F.when(F.size("__found") > 0, clean).otherwise(F.col(text_col))
+    key, bits, found = (fresh(n, docs.columns) for n in ("_cid", "_rules", "_found"))
+    met = candidates(docs, id_col, text_col, rules).withColumnsRenamed({"_id": key, "_rules": bits})
+    told = docs.join(met, F.col(id_col).eqNullSafe(F.col(key)), "left")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    told = told.withColumn(found, _found(text, F.coalesce(F.col(bits), F.lit(0).cast("bigint")), rules))
+    fixed = F.when(F.size(found) > 0, _masked(text, F.col(found), mask)).otherwise(F.col(text_col))
     return told.withColumn(text_col, fixed).select(*docs.columns)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from collections import Counter
@@ -320,6 +321,38 @@ def test_secrets(spark):
     assert secret_scan.scan(docs(spark, [])).count() == 0
 
 
+def masked(t):
+    out, at = [], 0
+    for a, _, b in brute_secrets(t):
+        if a >= at:
+            out += [t[at:a], "[SECRET]"]
+        at = max(at, b)
+    return "".join(out) + t[at:]
+
+
+def test_many_secrets_in_one_text(spark):
+    many = [("b" * 70 + " ").join(f"é₿ token = {k:032x} https://u:p{k}secret=abcdefg@h/ " for k in range(n)) for n in (40, 5000)]
+    rows = [(k, t) for k, t in enumerate([*many, "x" * 5000 + " token=abcdef" + "₿" * 4096 + "token=abcdef", "token=abcdef", "a" * 2048 + "token=abcdef" + "b" * 2036])]
+    df = docs(spark, rows).withColumns({"_cid": F.lit(1), "_found": F.lit("y"), "_rules": F.lit(2)})
+    got = {r.doc_id: [tuple(x) for x in r.found] for r in secret_scan.scan(df).collect()}
+    assert got == {k: brute_secrets(t) for k, t in rows}
+    clean = secret_scan.redact(df)
+    assert clean.columns == df.columns and {r.doc_id: r.text for r in clean.collect()} == {k: masked(t) for k, t in rows}
+
+
+def test_secrets_are_linear(spark):
+    """Twenty times the matches take about twenty times as long, not four hundred times."""
+    took = {}
+    for n in (10_000, 10_000, 200_000):
+        df = docs(spark, [(1, " ".join(f"{k:032x}" for k in range(n)))])
+        start = time.time()
+        r = secret_scan.redact(df).select(F.length("text").alias("n"), F.size(F.split("text", " ")).alias("k")).first()
+        assert (r.n, r.k) == (9 * n - 1, n)
+        assert secret_scan.scan(df).select(F.size("found").alias("k")).first().k == n
+        took[n] = time.time() - start
+    assert took[200_000] < 60 * took[10_000]
+
+
 def test_trigram_queries_hold():
     for r in (*secret_scan.BASE, *secret_scan.ADDED):
         query = secret_scan.trigram_query(r.pattern)
