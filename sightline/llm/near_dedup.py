@@ -15,13 +15,12 @@ one point per shingle.
 Finding links without emitting all pairs of a group:
 1. Texts with equal words are one node, so copies never meet each other again.
 2. In every band bucket each node is paired with the bucket's leader and the pairs are verified.
+   Pairs whose signatures differ in over FAR registers are left to the next step.
 3. Buckets that still hold several components are searched across components. A bucket goes to one
-   task in blocks of BLOCK nodes (a larger one as pairs of blocks); a pair is looked at only in
-   the first bucket that it shares, and not once links found there already connect it. Only links
-   that join components leave the task, so no link between different texts that share a bucket is
-   lost and no group's pairs are listed.
-A pair whose whole signatures differ too much for a similarity of 0.8 (in over FAR registers, four
-standard deviations above the mean) is not verified; all others are, exactly.
+   task in blocks of BLOCK nodes (a larger one as pairs of blocks); each pair that no earlier bucket
+   has and no component connects gets its exact similarity, from products of the block's shingle
+   counts. Only links that join components leave the task, so no link between different texts that
+   share a bucket is lost and no group's pairs are listed.
 
 BANDS x ROWS registers are banded: a pair at 0.8 shares a bucket with probability 0.99997.
 """
@@ -39,12 +38,14 @@ from .cluster import bounded_batches, cut, fresh
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
-REGISTERS = 256
-#: Four bits of each register are compared: at similarity 0.8, 48 registers differ on average, with a deviation of 6.2.
-FAR = 74
+REGISTERS = BANDS * ROWS
+#: Four bits of the first COMPARED registers are compared: at similarity 0.8, 24 differ on average, with a deviation of 4.4.
+COMPARED, FAR = 128, 37
 BLOCK = 512
 #: Bytes of the texts that a task compares at once.
 PAIR_BYTES = 1 << 20
+#: Shingles that a block multiplies at once, and repetitions of a shingle up to which it does.
+COLUMNS, LEVELS = 2048, 4
 #: Bytes of texts that are sketched together.
 SLAB = 1 << 19
 
@@ -104,7 +105,7 @@ def _banded(signature: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         for r in range(ROWS):
             keys = mix(keys + bits[:, r * BANDS : (r + 1) * BANDS], 32 + r)
         keys = mix(keys + np.arange(BANDS, dtype=U64), 40)
-    four = (bits & U64(15)).astype(np.uint8)
+    four = (bits[:, :COMPARED] & U64(15)).astype(np.uint8)
     return keys, four[:, ::2] << 4 | four[:, 1::2]
 
 
@@ -219,7 +220,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _near(a: str, b: str) -> Column:
-    """Whether at most FAR registers differ in their four bits."""
+    """Whether at most FAR of the compared registers differ in their four bits."""
 
     def differing(n: Column, x: Column) -> Column:
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
@@ -234,6 +235,42 @@ def _roots(parent: np.ndarray) -> np.ndarray:
     return parent
 
 
+def _common(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """For each two texts the size of their shingle multisets' intersection; and each multiset's size."""
+    n, parts = len(texts), []
+    _, offsets = buffers(texts)
+    for i, j in slabs(offsets, PAIR_BYTES):
+        row, value, count, _ = _multisets(*buffers(lowered(texts.slice(i, j - i))))
+        parts.append((row + i, value, count))
+    row, value, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+    size = np.bincount(row, weights=count, minlength=n)
+    order = np.argsort(value, kind="stable")
+    row, value, count = row[order], value[order], count[order]
+    new = np.diff(value, prepend=value[:1] ^ U64(1)) != 0
+    column = np.cumsum(new) - 1
+    several = (np.bincount(column) > 1)[column]
+    row, column, count = row[several], column[several], count[several]
+    both, level = np.zeros((n, n), np.float32), 1
+    while len(row):  # the smaller of two counts is the number of levels that both reach
+        edges = np.flatnonzero(np.diff(column, prepend=-1))
+        if level > LEVELS:  # what is left are few shingles that a text repeats often
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(row)], strict=True):
+                r, c = row[a:b], count[a:b] - LEVELS
+                both[np.ix_(r, r)] += np.minimum(c[:, None], c[None, :])
+            break
+        for k in range(0, len(edges), COLUMNS):
+            a, b = edges[k], edges[k + COLUMNS] if k + COLUMNS < len(edges) else len(row)
+            block = np.zeros((n, min(COLUMNS, len(edges) - k)), np.float32)
+            block[row[a:b], np.searchsorted(edges[k : k + COLUMNS], np.arange(a, b), "right") - 1] = 1
+            both += block @ block.T
+        stay = count > level
+        row, column, count = row[stay], column[stay], count[stay]
+        many = np.bincount(column)[column] > 1 if len(column) else np.zeros(0, bool)
+        row, column, count = row[many], column[many], count[many]
+        level += 1
+    return both, size
+
+
 def _joining_links(table: pa.Table, least: float) -> pa.Table:
     """Links between the two blocks of a tile that join different components."""
     n = table.num_rows
@@ -244,28 +281,27 @@ def _joining_links(table: pa.Table, least: float) -> pa.Table:
     half = np.array(table.column("half").to_pylist())
     left, right = (np.arange(n), np.arange(n)) if (half == half[0]).all() and table.column("i")[0] == table.column("j")[0] else (np.flatnonzero(half == 0), np.flatnonzero(half == 1))
     bands = np.frombuffer(b"".join(table.column("bands").to_pylist()), "<i8").reshape(n, BANDS)
-    signature = np.array(table.column("signature").to_pylist(), np.int64).view(np.uint8).reshape(n, -1)
-    four = np.concatenate([signature & 15, signature >> 4], axis=1)
     here = int(np.flatnonzero((bands == table.column("bucket")[0].as_py()).all(axis=0))[0])
-    pairs, alike = [], []
+    open_, pairs = np.zeros(n, bool), []
     for x in left:
         y = right[right > x] if left is right or len(left) == n else right
         y = y[(parent[y] != parent[x]) & ~(bands[y, :here] == bands[x, :here]).any(axis=1)]
-        apart = (four[y] != four[x]).sum(axis=1)
-        pairs.append(np.column_stack([np.full((apart <= FAR).sum(), x), y[apart <= FAR]]))
-        alike.append(apart[apart <= FAR])
-    pairs = np.concatenate([*pairs, np.zeros((0, 2), np.int64)])[np.argsort(np.concatenate([*alike, np.zeros(0, np.int64)]), kind="stable")]
-    text, links = table.column("_text").combine_chunks(), []
-    size = np.diff(buffers(text)[1])
+        pairs.append(np.column_stack([np.full(len(y), x), y]))
+        open_[y] = True
+        open_[x] |= len(y) > 0
+    pairs, links = np.concatenate([*pairs, np.zeros((0, 2), np.int64)]), []
+    if len(pairs):
+        both, size = _common(table.column("_text").combine_chunks().filter(pa.array(open_)))
+        at = np.cumsum(open_) - 1
+        x, y = at[pairs[:, 0]], at[pairs[:, 1]]
+        common = both[x, y].astype(float)
+        pairs = pairs[common >= least * (size[x] + size[y] - common)]
     while len(pairs):
-        few = max(1, int(np.searchsorted(np.cumsum(size[pairs[:128]].sum(axis=1)), PAIR_BYTES)))
-        now, pairs = pairs[:few], pairs[few:]
-        for x, y in now[_similarities(text.take(pa.array(now[:, 0])), text.take(pa.array(now[:, 1]))) >= least].tolist():
-            parent = _roots(parent)
+        for x, y in pairs[:128].tolist():
             if parent[x] != parent[y]:
                 links.append((node[x], node[y]))
                 parent[max(parent[x], parent[y])] = min(parent[x], parent[y])
-        parent = _roots(parent)
+                parent = _roots(parent)
         pairs = pairs[parent[pairs[:, 0]] != parent[pairs[:, 1]]]
     pa.default_memory_pool().release_unused()
     return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
@@ -286,7 +322,7 @@ def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float)
     def spread(batches):
         for batch in batches:
             words = pa.array(np.frombuffer(b"".join(batch.column("signature").to_pylist()), "<i8"))
-            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (REGISTERS // 16))
+            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (COMPARED // 16))
             yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("bands"), pa.ListArray.from_arrays(offsets, words)], ["node", "bands", "signature"])
 
     banded = nodes.mapInArrow(split, "bucket long, node binary")
@@ -306,7 +342,7 @@ def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float)
     mixed = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k")).where("x != y").select("bucket", "k")
     active = now.join(mixed, "bucket").withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), "k").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     tiles = active.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("half"), "node", "component")
-    told = tiles.join(signed, "node").join(content, "node")
+    told = tiles.join(signed.select("node", "bands"), "node").join(content, "node")
     more = cut(told.groupBy("bucket", "i", "j").applyInArrow(lambda table: _joining_links(table, least), "a binary, b binary"))
     if not more.isEmpty():
         # the components so far are stars around their smallest nodes

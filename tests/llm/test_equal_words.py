@@ -1,5 +1,7 @@
 """Different words, lines and word sequences that a polynomial hash would take for equal ones."""
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 
@@ -48,3 +50,20 @@ def test_near_dedup_and_packing_keep_different_texts(spark):
 def test_rules_count_equal_lines_only(spark):
     got = quality_rules.rate(two(spark, [f"{ONE}\n{TWO}", f"{ONE}\n{ONE}"]), None).collect()
     assert [r.n_dup_lines for r in sorted(got, key=lambda r: r.doc_id)] == [0, 1]
+
+
+def test_common_counts():
+    r = np.random.default_rng(4)
+    texts = [" ".join(r.choice(["a", "b", "c"], int(n))) for n in (3, 8, 40, 400, 900, 0)] + ["a " * 300, "a " * 500, "b " * 9]
+    both, size = near_dedup._common(pa.array(texts))
+
+    def five(t):
+        w = t.split()
+        return Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else Counter([tuple(w)] if w else [])
+
+    sets = [five(t) for t in texts]
+    assert size.tolist() == [sum(c.values()) for c in sets]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            if i != j:
+                assert both[i, j] == sum((a & b).values())
