@@ -3,8 +3,13 @@
 A line's features are counts of its characters and words and those of the lines before and after
 it. Forward-backward gives each line's marginal probability of being good; their mean, weighted by
 line length, is the evidence for the document, and a logistic step fitted on the same sample turns
-it into a score. Training maximises the likelihood of the chains in a bounded sample of labelled
-rows (SAMPLE rows, a parameter), where a document's lines bear the document's label.
+it into a score.
+
+Training uses a bounded sample of labelled rows (SAMPLE rows, a parameter). Labels are of documents,
+those of lines are latent: at first each line bears its document's label; then, EM times, the
+expected line labels and neighbour pairs given the document's label (which shifts each line's
+log-odds by FACTOR, no more) become the targets. So a good document may hold bad lines and the
+other way round, and the transitions learn how long good and bad stretches are.
 """
 
 from __future__ import annotations
@@ -20,7 +25,8 @@ from . import linestats as ls
 from .arrays import buffers, slabs
 from .cluster import bounded_batches
 
-SAMPLE, ROUNDS, L2 = 3000, 150, 1e-3
+SAMPLE, ROUNDS, L2 = 3000, 120, 1e-3
+EM, FACTOR = 3, 1.5
 
 
 def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,8 +168,22 @@ class Crf:
         return np.where(np.isnan(mean), self.empty, 1 / (1 + np.exp(-(self.slope * np.nan_to_num(mean) + self.bias))))
 
 
+def _ascend(model: Crf, z: np.ndarray, first: np.ndarray, weight: np.ndarray, target: np.ndarray, pairs: np.ndarray, rounds: int) -> None:
+    """Gradient ascent (Adam) on the expected likelihood of the lines' targets and neighbour pairs."""
+    state = [np.zeros(z.shape[1] + 4), np.zeros(z.shape[1] + 4)]
+    for step in range(1, rounds + 1):
+        marginal, hoped = forward_backward(np.column_stack([np.zeros(len(z)), z @ model.weight]), model.trans, first, weight)
+        g = z.T @ (weight * (target - marginal[:, 1])) - L2 * model.weight
+        grad = np.concatenate([g, (pairs - hoped - L2 * model.trans).ravel()])
+        state[0] = 0.9 * state[0] + 0.1 * grad
+        state[1] = 0.99 * state[1] + 0.01 * grad**2
+        move = 0.1 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
+        model.weight = model.weight + move[:-4]
+        model.trans = model.trans + move[-4:].reshape(2, 2)
+
+
 def train(texts: list[str], good: np.ndarray, rounds: int = ROUNDS) -> Crf:
-    """Gradient ascent (Adam) on the chains' conditional likelihood, both labels weighing alike; then the logistic step."""
+    """The chains with latent line labels, both document labels weighing alike; then the logistic step."""
     data, offsets = buffers(pa.array(texts, pa.string()))
     z, first = _slab_features(data, offsets)
     mean = np.array([c.mean() for c in z.T]) if len(z) else np.zeros(z.shape[1])
@@ -177,18 +197,13 @@ def train(texts: list[str], good: np.ndarray, rounds: int = ROUNDS) -> Crf:
     share = {v: max(1, int((good == v).sum())) for v in (False, True)}
     weight = (np.where(good, 0.5 / share[True], 0.5 / share[False]) / np.maximum(np.diff(first), 1))[row]
     model = Crf(mean, scale, np.zeros(z.shape[1]), np.zeros((2, 2)))
-    state = [np.zeros(z.shape[1] + 4), np.zeros(z.shape[1] + 4)]
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[later], y[later]), weight[later])
-    for step in range(1, rounds + 1):
-        marginal, hoped = forward_backward(np.column_stack([np.zeros(len(z)), z @ model.weight]), model.trans, first, weight)
-        g = z.T @ (weight * (y - marginal[:, 1])) - L2 * model.weight
-        grad = np.concatenate([g, (seen - hoped - 0.02 * model.trans).ravel()])
-        state[0] = 0.9 * state[0] + 0.1 * grad
-        state[1] = 0.99 * state[1] + 0.01 * grad**2
-        move = 0.1 * (state[0] / (1 - 0.9**step)) / (np.sqrt(state[1] / (1 - 0.99**step)) + 1e-8)
-        model.weight = model.weight + move[:-4]
-        model.trans = model.trans + move[-4:].reshape(2, 2)
+    _ascend(model, z, first, weight, y, seen, rounds)
+    shift = FACTOR * (2 * y - 1)
+    for _ in range(EM):
+        hoped, seen = forward_backward(np.column_stack([np.zeros(len(z)), z @ model.weight + shift]), model.trans, first, weight)
+        _ascend(model, z, first, weight, hoped[:, 1], seen, max(1, rounds // 4))
     del z
     seen_mean = model.means(data, offsets)
     full = ~np.isnan(seen_mean)

@@ -221,6 +221,21 @@ def test_classifier_held_out(spark):
     assert quality_crf.score(docs(spark, []), quality_crf.fit(docs(spark, rows), labels.limit(0))).count() == 0
 
 
+def test_transitions_count_in_mixed_texts():
+    good, bad = [text(k, 60) for k in range(60)], ["\n".join(junk(k).split("|")[0] for k in range(j, j + 5)) for j in range(60)]
+    model = quality_crf.train([*good, *bad], np.array([True] * 60 + [False] * 60))
+    moved = []
+    for k in range(20):
+        data, offsets = buffers(pa.array([f"{good[k]}\n{bad[k]}"]))
+        n = sum(1 for x in good[k].split("\n") if x.strip())
+        marginal = model.evidence(data, offsets)[1]
+        assert marginal[:n].mean() > marginal[n:].mean() + 0.3
+        with_, model.trans = model.trans, np.zeros((2, 2))
+        moved.append(np.abs(marginal - model.evidence(data, offsets)[1]).max())
+        model.trans = with_
+    assert np.mean(moved) > 0.02 and with_[0, 0] > with_[0, 1] and with_[1, 1] > with_[1, 0]
+
+
 def test_classifier_sample_and_memory(spark, monkeypatch):
     rows = [(k, text(k, 20) if k % 2 else junk(k)) for k in range(1400)]
     labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
