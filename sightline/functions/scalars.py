@@ -54,7 +54,9 @@ def frame_id(x: Column | str, position: Column | str) -> Column:
 
 
 def floor_div(a: Column | str, b: int) -> Column:
-    return F.floor(c(a) / b).cast("bigint")
+    """Floored division of whole numbers, exact over the whole bigint range."""
+    x = c(a).cast("bigint")
+    return F.call_function("div", x - F.pmod(x, F.lit(b)), F.lit(b)).cast("bigint")
 
 
 def remap_corner(feature_id: Column | str, offset: int) -> Column:
@@ -66,9 +68,15 @@ def remap_corner(feature_id: Column | str, offset: int) -> Column:
 
 
 def natural_key(x: Column | str) -> Column:
-    """Sort key that compares runs of digits as numbers, digits before text."""
+    """Sort key that compares runs of digits as numbers of any length, digits before text."""
     runs = F.regexp_extract_all(c(x), F.lit(r"(\d+|\D+)"), 1)
-    return F.struct(F.transform(runs, lambda t: F.struct((~F.regexp_like(t, F.lit(r"^\d"))).alias("text"), F.coalesce(t.try_cast("bigint"), F.lit(0)).alias("n"), F.when(F.regexp_like(t, F.lit(r"^\d")), "").otherwise(t).alias("s"))).alias("runs"), c(x).alias("raw"))
+
+    def key(t: Column) -> Column:
+        number = F.regexp_like(t, F.lit(r"^\d"))
+        digits = F.regexp_replace(t, "^0+(?=.)", "")
+        return F.struct((~number).alias("text"), F.when(number, F.length(digits)).otherwise(0).alias("n"), F.when(number, digits).otherwise(t).alias("s"))
+
+    return F.struct(F.transform(runs, key).alias("runs"), c(x).alias("raw"))
 
 
 def numeric_first(x: Column | str) -> list[Column]:
@@ -76,46 +84,6 @@ def numeric_first(x: Column | str) -> list[Column]:
     return [n.isNull(), n, c(x)]
 
 
-# quantiles ------------------------------------------------------------------------------------
-
-
-def _sorted(x: Column | str) -> Column:
-    return F.sort_array(F.collect_list(c(x)))
-
-
-def q_lin(x: Column | str, q: float) -> Column:
-    """Linear interpolation at (n - 1) q."""
-    return F.percentile(c(x), q)
-
-
-def q_lins(x: Column | str, *qs: float) -> Column:
-    """Several linear quantiles as an array, from one sorted list of the group."""
-    v, n = _sorted(x), F.count(c(x))
-
-    def at(q: float) -> Column:
-        place = F.lit(q) * (n - 1)
-        low = F.floor(place).cast("int")
-        a, b = F.get(v, low), F.get(v, F.least(low + 1, n.cast("int") - 1))
-        return a + (b - a) * (place - low)
-
-    return F.array(*map(at, qs))
-
-
-def q_hi(x: Column | str) -> Column:
-    """Upper median: element n div 2."""
-    return F.get(_sorted(x), F.floor(F.count(c(x)) / 2).cast("int"))
-
-
-def q_lo(x: Column | str, q: float) -> Column:
-    """Element floor(q (n - 1))."""
-    return F.get(_sorted(x), F.floor(F.lit(q) * (F.count(c(x)) - 1)).cast("int"))
-
-
-def q_fence(x: Column | str, q: float) -> Column:
-    """Element int(q n + 0.5)."""
-    return F.get(_sorted(x), F.floor(F.lit(q) * F.count(c(x)) + 0.5).cast("int"))
-
-
 # losses and geometry --------------------------------------------------------------------------
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from sightline.functions import scalars as S
+from sightline.functions.shared import checkpoint_dir
+from sightline.operators.quantiles import grouped_quantiles
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -122,7 +123,7 @@ def rebase_merge(a: DataFrame, b: DataFrame, id_col: str, multiple: int = 1) ->
 
 def fenced(df: DataFrame, key: str, value: str, factor: float = 1.5, least: int = 8) -> DataFrame:
     """Rows inside [q1 - factor iqr, q3 + factor iqr] of their group; groups under least rows stay whole."""
-    fence = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), S.q_fence(value, 0.25).alias("_q1"), S.q_fence(value, 0.75).alias("_q3"))
+    fence = grouped_quantiles(df, [key], {"_q1": (value, 0.25, "fence"), "_q3": (value, 0.75, "fence")}).withColumnRenamed("n", "_n")
     spread = F.lit(factor) * (F.col("_q3") - F.col("_q1"))
     keep = (F.col("_n") < least) | F.col(value).between(F.col("_q1") - spread, F.col("_q3") + spread)
     return df.join(fence, key).where(keep).drop("_n", "_q1", "_q3")
@@ -130,10 +131,13 @@ def fenced(df: DataFrame, key: str, value: str, factor: float = 1.5, least: int
 
 def mad_gate(df: DataFrame, key: str, value: str, factor: float = 3.0, floor: float = 0.0) -> DataFrame:
     """Per group: median, MAD, the gate max(floor, median + factor 1.4826 MAD), rows kept and their median."""
-    med = df.groupBy(key).agg(F.median(value).alias("med"))
+    med = grouped_quantiles(df, [key], {"med": (value, 0.5)}).select(key, "med")
     dev = df.join(med, key).withColumn("_d", F.abs(F.col(value) - F.col("med")))
-    gate = dev.groupBy(key).agg(F.first("med").alias("med"), F.median("_d").alias("mad")).withColumn("gate", F.greatest(F.lit(floor), F.col("med") + factor * 1.4826 * F.col("mad")))
-    return df.join(gate, key).groupBy(key).agg(F.first("med").alias("med"), F.first("mad").alias("mad"), F.first("gate").alias("gate"), F.count_if(F.col(value) <= F.col("gate")).alias("n_kept"), F.median(F.when(F.col(value) <= F.col("gate"), F.col(value))).alias("kept_median"))
+    mad = grouped_quantiles(dev, [key], {"mad": ("_d", 0.5)}).select(key, "mad")
+    gate = med.join(mad, key).withColumn("gate", F.greatest(F.lit(floor), F.col("med") + factor * 1.4826 * F.col("mad")))
+    inside = df.join(gate, key).withColumn("_in", F.when(F.col(value) <= F.col("gate"), F.col(value)))
+    kept = grouped_quantiles(inside, [key], {"kept_median": ("_in", 0.5)}).join(inside.groupBy(key).agg(F.count("_in").alias("n_kept")), key)
+    return gate.join(kept, key).select(key, "med", "mad", "gate", "n_kept", "kept_median")
 
 
 def greedy_selection(df: DataFrame, key: str, order: list[str], value: str, gap: float, most: int) -> DataFrame:
@@ -165,10 +169,7 @@ def component_labels(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of an undirected graph, component the smallest node: label spreading with pointer jumps."""
     both = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).unionByName(edges.select(F.col(b).alias("a"), F.col(a).alias("b"))).distinct()
     spark = edges.sparkSession
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shared-"))
+    checkpoint_dir(spark)
     both = both.checkpoint()
     labels = both.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")).checkpoint()
     while True:
@@ -181,6 +182,17 @@ def component_labels(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return labels
 
 
+def reachable(edges: DataFrame, starts: DataFrame, node: str = "node", a: str = "a", b: str = "b") -> DataFrame:
+    """The nodes that directed edges lead to from the starts, these included; however long the paths are. Each round goes one edge on from the new nodes alone and ends in a checkpoint."""
+    checkpoint_dir(edges.sparkSession)
+    ways = edges.select(F.col(a).alias("_a"), F.col(b).alias("_b")).distinct().checkpoint()
+    seen = new = starts.select(node).distinct().checkpoint()
+    while not new.isEmpty():
+        new = ways.join(new, F.col("_a") == F.col(node), "left_semi").select(F.col("_b").alias(node)).distinct().join(seen, node, "left_anti").checkpoint()
+        seen = seen.unionByName(new).checkpoint()
+    return seen
+
+
 def quantiles_by(df: DataFrame, sets: list[list[str]], value: str, qs: list[float], others: list[Column]) -> DataFrame:
     """Grouping sets with exact linear quantiles (q0, q1, ...) and other aggregates.
 

@@ -1,34 +1,12 @@
-"""Grouped statistics that hold no group in memory, and joins that are bounded by a grid or a rig."""
+"""Grouped statistics, and joins that are bounded by a grid or a rig."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from sightline.functions import poses as P
-
-
-def grouped_quantiles(rows: DataFrame, keys: list[str], wanted: dict[str, tuple[str, float]]) -> DataFrame:
-    """Per group n (its rows) and the wanted linear quantiles, name -> (column, q), at place q (count - 1) of the column's non-null values.
-
-    Values are counted per group first, so a task gets each value of a group once, and a running
-    count finds the places: sorts can spill and no group is held as an array.
-    """
-    out = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    for column in dict.fromkeys(c for c, _ in wanted.values()):
-        counts = rows.where(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_m"))
-        w = W.partitionBy(*keys)
-        placed = counts.withColumns({"_end": F.sum("_m").over(w.orderBy("_v")), "_all": F.sum("_m").over(w)})
-        found = []
-        for name, (_, q) in ((k, v) for k, v in wanted.items() if v[0] == column):
-            place = F.lit(q) * (F.col("_all") - 1)
-            low = F.floor(place)
-            at = lambda k: F.max(F.when((F.col("_end") > k) & (F.col("_end") - F.col("_m") <= k), F.col("_v")))
-            a, b = at(low), at(F.least(low + 1, F.col("_all") - 1))
-            found.append((a + (b - a) * F.max(place - low)).alias(name))
-        out = out.join(placed.groupBy(*keys).agg(*found), keys, "left")
-    return out
+from sightline.operators.quantiles import grouped_quantiles
 
 
 def metric_scale(grid: DataFrame, gx: str, gy: str, point: list[str], cell: float) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from sightline.functions import scalars as S
 from sightline.operators import relational as R
+from sightline.operators.quantiles import grouped_quantiles, table_quantile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -150,7 +151,8 @@ def residual_worst_topk(spark, sf):
 
 @query(f"WITH {RES} SELECT camera, round(max(residual), 6) AS worst, round(quantile_cont(residual, 0.9), 6) AS p90 FROM r GROUP BY camera ORDER BY worst DESC, p90 DESC, camera LIMIT 20")
 def group_worst_topk(spark, sf):
-    return residuals(spark, sf).groupBy("camera").agg(r6(F.max("residual"), "worst"), r6(S.q_lin("residual", 0.9), "p90")).orderBy(F.desc("worst"), F.desc("p90"), "camera").limit(20)
+    q = grouped_quantiles(residuals(spark, sf), ["camera"], {"worst": ("residual", 1.0), "p90": ("residual", 0.9)})
+    return q.select("camera", r6(F.col("worst"), "worst"), r6(F.col("p90"), "p90")).orderBy(F.desc("worst"), F.desc("p90"), "camera").limit(20)
 
 
 FRAMES = f"""{RES}, pc AS (SELECT frame, camera, count(*) AS n FROM r GROUP BY ALL), fc AS (SELECT frame, count(*) FILTER (WHERE n >= 2) AS cameras FROM pc GROUP BY frame),
@@ -161,7 +163,7 @@ c AS (SELECT frame, cameras, obs, round(med, 6) AS med, round(p90, 6) AS p90, ar
 def frame_candidates(spark, sf):
     r = residuals(spark, sf)
     cams = r.groupBy("frame", "camera").agg(n_rows("n")).groupBy("frame").agg(F.count_if(F.col("n") >= 2).alias("cameras"))
-    f = r.groupBy("frame").agg(n_rows("obs"), S.q_lins("residual", 0.5, 0.9)[0].alias("med"), S.q_lins("residual", 0.5, 0.9)[1].alias("p90"))
+    f = grouped_quantiles(r, ["frame"], {"med": ("residual", 0.5), "p90": ("residual", 0.9)}).withColumnRenamed("n", "obs")
     why = S.reasons((F.col("obs") < 300, "few_observations"), (F.col("cameras") < 90, "few_cameras"), (F.col("med") > 35.5, "median"), (F.col("p90") > 66, "p90"))
     return f.join(cams, "frame").select("frame", "cameras", "obs", r6(F.col("med"), "med"), r6(F.col("p90"), "p90"), F.array_join(why, ",").alias("reasons"))
 
@@ -197,7 +199,8 @@ def overlapping_groups(spark, sf):
 
 @query(f"WITH {RES} SELECT camera, list_sort(list(residual))[1 + count(*) // 2] AS hi_median, list_sort(list(residual))[1 + CAST(floor(0.9 * (count(*) - 1)) AS INT)] AS lo_p90, round(median(residual), 6) AS mid FROM r GROUP BY camera")
 def quantile_flavours(spark, sf):
-    return residuals(spark, sf).groupBy("camera").agg(S.q_hi("residual").alias("hi_median"), S.q_lo("residual", 0.9).alias("lo_p90"), r6(F.median("residual"), "mid"))
+    q = grouped_quantiles(residuals(spark, sf), ["camera"], {"hi_median": ("residual", 0.5, "upper"), "lo_p90": ("residual", 0.9, "lower"), "mid": ("residual", 0.5)})
+    return q.select("camera", "hi_median", "lo_p90", r6(F.col("mid"), "mid"))
 
 
 # coverage -------------------------------------------------------------------------------------
@@ -306,10 +309,11 @@ def lag_pairs(spark, sf):
     return l2.select("event_id", "dt", F.expr("(us + us2) div 2").alias("mid"), r6(F.col("v2") - F.col("value"), "dv"))
 
 
-@query("WITH a AS (SELECT user_id, CAST(ts AS DATE) AS d, max(event_id) AS i FROM events WHERE event_type = 'view' GROUP BY ALL), b AS (SELECT user_id, CAST(ts AS DATE) AS d, max(event_id) AS i FROM events WHERE event_type = 'click' GROUP BY ALL) SELECT a.i AS left_id, b.i AS right_id FROM a JOIN b ON a.user_id = b.user_id AND a.d = b.d")
+@query("SELECT o_orderkey AS left_id, r.i AS right_id FROM orders JOIN (SELECT l_shipdate AS ts, max(l_orderkey) AS i FROM lineitem GROUP BY l_shipdate) r ON r.ts = o_orderdate ORDER BY o_orderkey LIMIT 500")
 def exact_time_pairs(spark, sf):
-    side = lambda kind, name: t(spark, sf, "events").where(F.col("event_type") == kind).groupBy("user_id", F.to_date("ts").alias("d")).agg(F.max("event_id").alias(name))
-    return side("view", "left_id").join(side("click", "right_id"), ["user_id", "d"]).select("left_id", "right_id")
+    """Rows of equal stamps: the last right row of a stamp, in the left rows' order, up to a limit."""
+    right = t(spark, sf, "lineitem").groupBy(F.col("l_shipdate").alias("o_orderdate")).agg(F.max("l_orderkey").alias("right_id"))
+    return t(spark, sf, "orders").join(right, "o_orderdate").select(F.col("o_orderkey").alias("left_id"), "right_id").orderBy("left_id").limit(500)
 
 
 @query("SELECT event_id, count(*) OVER w AS n, round(avg(value) OVER w, 6) AS mean, round(lead(value) OVER o - lag(value) OVER o, 6) AS diff FROM events WINDOW o AS (PARTITION BY user_id ORDER BY ts, event_id), w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)")
@@ -452,7 +456,9 @@ def moments(spark, sf):
 @query("""WITH s AS (SELECT median(l_extendedprice) AS med, max(l_quantity) AS top, count(DISTINCT l_suppkey) AS cams, min(l_discount) AS low FROM lineitem), g AS (SELECT unnest([{'name': 'median', 'value': med, 'op': '<=', 'threshold': 40000.0}, {'name': 'top', 'value': top, 'op': '<', 'threshold': 50.0}, {'name': 'cameras', 'value': CAST(cams AS DOUBLE), 'op': '>=', 'threshold': 10.0}, {'name': 'absent', 'value': CAST(NULL AS DOUBLE), 'op': '>', 'threshold': 0.0}], recursive := true) FROM s)
 SELECT name, round(value, 6) AS value, op, threshold, coalesce(CASE op WHEN '<=' THEN value <= threshold WHEN '<' THEN value < threshold WHEN '>=' THEN value >= threshold ELSE value > threshold END, false) AS passed FROM g""")
 def gate_eval(spark, sf):
-    s = t(spark, sf, "lineitem").agg(F.median("l_extendedprice").alias("med"), F.max("l_quantity").alias("top"), F.countDistinct("l_suppkey").alias("cams"))
+    li = t(spark, sf, "lineitem")
+    med = table_quantile(li, "l_extendedprice", 0.5)
+    s = li.agg(F.lit(med).cast("double").alias("med"), F.max("l_quantity").alias("top"), F.countDistinct("l_suppkey").alias("cams"))
     checks = [("median", F.col("med"), "<=", 40000), ("top", F.col("top"), "<", 50), ("cameras", F.col("cams"), ">=", 10), ("absent", F.lit(None), ">", 0)]
     return R.gates(s, checks).withColumn("value", F.round("value", 6))
 
@@ -544,9 +550,12 @@ def similarity_self_join(spark, sf):
     return x.join(y, same & (d <= radius)).select(F.col("x.vec_id").alias("id_a"), F.col("y.vec_id").alias("id_b"))
 
 
-@query("SELECT label, round(median(CAST(embedding[1] AS DOUBLE)), 6) AS m1, round(median(CAST(embedding[2] AS DOUBLE)), 6) AS m2, round(median(CAST(embedding[3] AS DOUBLE)), 6) AS m3, count(*) AS n FROM embeddings GROUP BY label")
+@query("SELECT label, k AS component, round(median(CAST(v AS DOUBLE)), 6) AS median, count(*) AS n FROM (SELECT label, unnest(range(1, len(embedding) + 1)) AS k, unnest(embedding) AS v FROM embeddings) GROUP BY ALL")
 def component_median(spark, sf):
-    return t(spark, sf, "embeddings").groupBy("label").agg(*(r6(F.median(F.element_at("embedding", k).cast("double")), f"m{k}") for k in (1, 2, 3)), n_rows("n"))
+    """The median of every component of each group's vectors."""
+    long = t(spark, sf, "embeddings").select("label", F.posexplode("embedding").alias("k", "v")).select("label", (F.col("k") + 1).cast("bigint").alias("component"), F.col("v").cast("double").alias("v"))
+    q = grouped_quantiles(long, ["label", "component"], {"median": ("v", 0.5)})
+    return q.select("label", "component", r6(F.col("median"), "median"), "n")
 
 
 NEAR = "g AS (SELECT x.vec_id AS a, y.vec_id AS b FROM e x JOIN e y ON x.label = y.label AND x.vec_id < y.vec_id AND sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b) + (x.c - y.c) * (x.c - y.c)) <= 0.05)"

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window as W
 
 from sightline.functions import kernels as K
 from sightline.functions import scalars as S
+from sightline.operators import relational as R
 from sightline.plans.catalog import E4, PIN, QUERIES, SQL, n_rows, query, r6, t, vec4
 
 SQL["near_duplicate_fold"] = """
@@ -156,10 +157,10 @@ def hypothesis_argmin(spark, sf):
     return r.groupBy(F.col("l_suppkey").alias("camera")).agg(F.min_by("hyp", F.struct(F.round("med", 4), "hyp")).alias("winner"))
 
 
-@query("WITH g AS (SELECT value AS v, (k - 20) * 5.0 AS c FROM events, range(41) r(k) WHERE event_type = 'view') SELECT c AS best FROM g GROUP BY c ORDER BY round(sum(abs(v - c)), 3), c LIMIT 1")
+@query("WITH g AS (SELECT value AS v, (k - 20) * 5.0 AS c FROM events, range(41) r(k)) SELECT c AS best FROM g GROUP BY c ORDER BY round(sum(abs(v - c)), 3), c LIMIT 1")
 def grid_search(spark, sf):
     """One pass: each row adds its loss to all 41 candidates, partial sums are merged."""
-    v = t(spark, sf, "events").where("event_type = 'view'")
+    v = t(spark, sf, "events")
     loss = v.agg(*(F.round(F.sum(F.abs(F.col("value") - (k - 20) * 5.0)), 3).alias(f"k{k}") for k in range(41)))
     best = F.array_min(F.array(*(F.struct(F.col(f"k{k}").alias("loss"), F.lit((k - 20) * 5.0).alias("c")) for k in range(41))))
     return loss.select(best["c"].alias("best"))
@@ -188,18 +189,18 @@ def numeric_first_rank(spark, sf):
     return t(spark, sf, "customer").select("c_name", F.row_number().over(W.partitionBy("c_nationkey").orderBy(*S.numeric_first("c_mktsegment"), F.col("c_custkey"))).cast("bigint").alias("pos"))
 
 
-@query("SELECT doc_id, count(*) AS lines, count(*) FILTER (WHERE regexp_matches(l, '\\d')) AS with_digits, max(try_cast(nullif(regexp_extract(l, '(\\d{1,9})', 1), '') AS BIGINT)) AS largest FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY doc_id")
+@query("SELECT doc_id, count(*) AS lines, count(*) FILTER (WHERE regexp_matches(l, '\\d')) AS with_digits, max(try_cast(nullif(regexp_extract(l, '(\\d+)', 1), '') AS BIGINT)) AS largest FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) GROUP BY doc_id")
 def text_log_scan(spark, sf):
     """Line-wise scan of text logs with a captured number."""
     lines = t(spark, sf, "documents").select("doc_id", F.explode(F.split("text", "\n", -1)).alias("l"))
-    number = F.nullif(F.regexp_extract("l", r"(\d{1,9})", 1), F.lit("")).try_cast("bigint")
+    number = F.nullif(F.regexp_extract("l", r"(\d+)", 1), F.lit("")).try_cast("bigint")
     return lines.groupBy("doc_id").agg(n_rows("lines"), F.count_if(F.regexp_like("l", F.lit(r"\d"))).alias("with_digits"), F.max(number).alias("largest"))
 
 
-@query("WITH d AS (SELECT vec_id, label, unnest(range(8)) AS tag, unnest(list_transform(range(8), lambda k: embedding[4 * k + 1 : 4 * k + 4])) AS corners FROM embeddings), c AS (SELECT *, tag % 3 <> 2 AS valid, len(list_filter(corners, lambda x: abs(x) < 0.25)) = 4 AS whole FROM d) SELECT vec_id, count(*) FILTER (WHERE valid AND whole) AS tags, count(*) FILTER (WHERE NOT valid) AS invalid_id, count(*) FILTER (WHERE valid AND NOT whole) AS malformed FROM c GROUP BY vec_id")
+@query("WITH d AS (SELECT vec_id, label, unnest(range(16)) AS tag, unnest(list_transform(range(16), lambda k: embedding[4 * k + 1 : 4 * k + 4])) AS corners FROM embeddings), c AS (SELECT *, tag % 3 <> 2 AS valid, len(list_filter(corners, lambda x: abs(x) < 0.25)) = 4 AS whole FROM d) SELECT vec_id, count(*) FILTER (WHERE valid AND whole) AS tags, count(*) FILTER (WHERE NOT valid) AS invalid_id, count(*) FILTER (WHERE valid AND NOT whole) AS malformed FROM c GROUP BY vec_id")
 def explode_detections(spark, sf):
-    """Vectors as eight detections of four corners; a detection counts whole or not at all, and every loss is accounted."""
-    tags = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda k: F.struct(k.alias("tag"), F.slice("embedding", k * 4 + 1, 4).alias("corners")))
+    """Vectors as sixteen detections of four corners; a detection counts whole or not at all, and every loss is accounted."""
+    tags = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.struct(k.alias("tag"), F.slice("embedding", k * 4 + 1, 4).alias("corners")))
     d = t(spark, sf, "embeddings").select("vec_id", F.inline(tags))
     valid, whole = F.pmod("tag", F.lit(3)) != 2, F.forall("corners", lambda x: F.abs(x) < 0.25) & (F.size("corners") == 4)
     return d.groupBy("vec_id").agg(F.count_if(valid & whole).alias("tags"), F.count_if(~valid).alias("invalid_id"), F.count_if(valid & ~whole).alias("malformed"))
@@ -208,5 +209,4 @@ def explode_detections(spark, sf):
 @query("WITH RECURSIVE e AS (SELECT n_nationkey AS a, (n_nationkey * 7 + 3) % 25 AS b FROM nation), w(n) AS (SELECT 1 UNION SELECT e.b FROM w JOIN e ON e.a = w.n) SELECT n AS node FROM w")
 def reachability(spark, sf):
     n = t(spark, sf, "nation").select(F.col("n_nationkey").alias("a"), ((F.col("n_nationkey") * 7 + 3) % 25).alias("b"))
-    n.createOrReplaceTempView("sightline_edges")
-    return spark.sql("WITH RECURSIVE w(n, d) AS (SELECT 1, 0 UNION ALL SELECT e.b, d + 1 FROM w JOIN sightline_edges e ON e.a = w.n WHERE d < 25) SELECT DISTINCT n AS node FROM w")
+    return R.reachable(n, n.where("a = 1").select(F.col("a").alias("node")))

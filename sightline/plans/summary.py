@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sightline.operators import summary as Y
+from sightline.operators.quantiles import grouped_quantiles
 from sightline.plans.catalog import BEST, E4, M, RES, best, metrics, n_rows, query, r6, residuals, t, vec4
 
 _FACE = "f AS (SELECT l_orderkey % 500 AS frame, l_partkey % 8 AS face, l_extendedprice / 1000 AS before, l_extendedprice * (1 - l_discount) / 1000 AS after FROM lineitem)"
@@ -15,7 +16,7 @@ _FACE = "f AS (SELECT l_orderkey % 500 AS frame, l_partkey % 8 AS face, l_extend
 def frame_face_quality(spark, sf):
     """Residuals of each frame and face before and after the refinement."""
     li = t(spark, sf, "lineitem").select((F.col("l_orderkey") % 500).alias("frame"), (F.col("l_partkey") % 8).cast("bigint").alias("face"), (F.col("l_extendedprice") / 1000).alias("before"), (F.col("l_extendedprice") * (1 - F.col("l_discount")) / 1000).alias("after"))
-    q = Y.grouped_quantiles(li, ["frame", "face"], {"initial": ("before", 0.5), "final": ("after", 0.5), "final_p90": ("after", 0.9), "final_max": ("after", 1.0)})
+    q = grouped_quantiles(li, ["frame", "face"], {"initial": ("before", 0.5), "final": ("after", 0.5), "final_p90": ("after", 0.9), "final_max": ("after", 1.0)})
     return q.select("frame", "face", "n", *(F.round(c, 9).alias(c) for c in ("initial", "final", "final_p90", "final_max")))
 
 
@@ -49,7 +50,7 @@ def adaptive_inliers(spark, sf):
 def outer_votes(spark, sf):
     """Votes per group: how many, their median centre, median and p90 of their residuals."""
     e = vec4(spark, sf).withColumn("r", F.abs("d"))
-    q = Y.grouped_quantiles(e, ["label"], {"cx": ("a", 0.5), "cy": ("b", 0.5), "cz": ("c", 0.5), "residual_median": ("r", 0.5), "residual_p90": ("r", 0.9)})
+    q = grouped_quantiles(e, ["label"], {"cx": ("a", 0.5), "cy": ("b", 0.5), "cz": ("c", 0.5), "residual_median": ("r", 0.5), "residual_p90": ("r", 0.9)})
     return q.select("label", F.col("n").alias("votes"), *(r6(F.col(c), c) for c in ("cx", "cy", "cz", "residual_median", "residual_p90")))
 
 
@@ -90,7 +91,8 @@ SELECT c_custkey AS camera, c_acctbal > 0 AND coalesce(solved, 0) >= 3 AND coale
 def anchor_usability(spark, sf):
     """Cameras fit to anchor: connected, with enough solved views, and a median error that is not too large; a missing one is infinite."""
     done = F.col("o_orderstatus") == "F"
-    v = t(spark, sf, "orders").groupBy(F.col("o_custkey").alias("camera")).agg(F.count_if(done).alias("solved"), F.median(F.when(done, F.col("o_totalprice"))).alias("med"))
+    o = t(spark, sf, "orders").select(F.col("o_custkey").alias("camera"), F.when(done, F.col("o_totalprice")).alias("error"))
+    v = grouped_quantiles(o, ["camera"], {"med": ("error", 0.5)}).join(o.groupBy("camera").agg(F.count("error").alias("solved")), "camera")
     c = t(spark, sf, "customer").select(F.col("c_custkey").alias("camera"), (F.col("c_acctbal") > 0).alias("connected")).join(v, "camera", "left")
     return c.select("camera", (F.col("connected") & (F.coalesce("solved", F.lit(0)) >= 3) & (F.coalesce("med", F.lit(float("inf"))) <= 250000)).alias("usable"))
 
@@ -166,7 +168,7 @@ def positive_span(spark, sf):
 def capture_summary(spark, sf):
     """Counts, mean, percentiles and maximum of a capture's values."""
     p = t(spark, sf, "part").select(F.col("p_brand").alias("grp"), F.col("p_size").cast("double").alias("v"))
-    q = Y.grouped_quantiles(p, ["grp"], {"p10": ("v", 0.1), "p50": ("v", 0.5), "p90": ("v", 0.9), "p95": ("v", 0.95)})
+    q = grouped_quantiles(p, ["grp"], {"p10": ("v", 0.1), "p50": ("v", 0.5), "p90": ("v", 0.9), "p95": ("v", 0.95)})
     more = p.groupBy("grp").agg(F.count_if(F.col("v") > 0).alias("non_zero"), r6(F.avg("v"), "average"), F.max("v").cast("int").alias("worst"))
     return q.join(more, "grp").select("grp", "n", "non_zero", "average", *(r6(F.col(c), c) for c in ("p10", "p50", "p90", "p95")), "worst")
 
