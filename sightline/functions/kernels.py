@@ -70,3 +70,109 @@ def umeyama(df: DataFrame, key: str, source: list[str], target: list[str]) -> Da
             yield pd.DataFrame(out, columns=[key, "scale", "rotation", "translation"])
 
     return sums.mapInPandas(solve, f"{key} {df.schema[key].dataType.simpleString()}, scale double, rotation array<double>, translation array<double>")
+
+
+def mean_rotation_svd(df: DataFrame, key: str, quaternion: list[str]) -> DataFrame:
+    """Per group the rotation (row-major) nearest to the sum of its rotations' matrices: the nine sums are Spark aggregates."""
+    from sightline.functions import poses as P
+
+    unit = P.unit(tuple(F.col(q) for q in quaternion))
+    entries = df.select(key, *(c.alias(f"m{k}") for k, c in enumerate(P.to_matrix(unit))))
+    sums = entries.groupBy(key).agg(*(F.sum(f"m{k}").alias(f"m{k}") for k in range(9)))
+
+    def solve(batches):
+        for pdf in batches:
+            m = pdf[[f"m{k}" for k in range(9)]].to_numpy().reshape(-1, 3, 3)
+            u, _, vt = np.linalg.svd(m)
+            u[:, :, 2] *= np.sign(np.linalg.det(u) * np.linalg.det(vt))[:, None]
+            yield pd.DataFrame({key: pdf[key], "rotation": [np.round(r.ravel(), 9) for r in u @ vt]})
+
+    return sums.mapInPandas(solve, f"{key} {df.schema[key].dataType.simpleString()}, rotation array<double>")
+
+
+def homography(df: DataFrame, key: str, source: list[str], target: list[str]) -> DataFrame:
+    """Per group of at least four pairs the homography h (row-major, last entry 1) that maps source to target, by direct linear transform.
+
+    The two equations of each pair enter a 9 x 9 matrix of products, which Spark sums; only its
+    least eigenvector is Python's.
+    """
+    x, y, u, v = (F.col(c) for c in (*source, *target))
+    one, o = F.lit(1.0), F.lit(0.0)
+    rows = ((-x, -y, -one, o, o, o, u * x, u * y, u), (o, o, o, -x, -y, -one, v * x, v * y, v))
+    sums = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *(F.sum(sum((r[i] * r[j] for r in rows), o)).alias(f"s_{i}_{j}") for i in range(9) for j in range(i, 9))).where("n >= 4")
+
+    def solve(batches):
+        for pdf in batches:
+            m = np.zeros((len(pdf), 9, 9))
+            for i in range(9):
+                for j in range(i, 9):
+                    m[:, i, j] = m[:, j, i] = pdf[f"s_{i}_{j}"]
+            h = np.linalg.eigh(m)[1][:, :, 0]
+            yield pd.DataFrame({key: pdf[key], "h": list(h / h[:, 8:])})
+
+    return sums.mapInPandas(solve, f"{key} {df.schema[key].dataType.simpleString()}, h array<double>")
+
+
+def _pose_from(x: np.ndarray, uv: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rotation and translation of points seen at normalised pixels: direct linear transform, then Gauss-Newton."""
+    a = np.zeros((2 * len(x), 12))
+    hom = np.column_stack([x, np.ones(len(x))])
+    a[0::2, :4], a[0::2, 8:] = -hom, uv[:, :1] * hom
+    a[1::2, 4:8], a[1::2, 8:] = -hom, uv[:, 1:] * hom
+    m = np.linalg.svd(a)[2][-1].reshape(3, 4)
+    m = m * np.sign(np.mean(hom @ m[2]))
+    u, d, vt = np.linalg.svd(m[:, :3])
+    r, tr = u @ np.diag([1, 1, np.sign(np.linalg.det(u @ vt))]) @ vt, m[:, 3] / d.mean()
+    for _ in range(15):
+        p = x @ r.T + tr
+        e = (p[:, :2] / p[:, 2:] - uv).ravel()
+        j = np.zeros((len(x), 2, 6))
+        inv = 1 / p[:, 2]
+        for k in (0, 1):
+            g = np.zeros((len(x), 3))
+            g[:, k], g[:, 2] = inv, -p[:, k] * inv * inv
+            j[:, k, 3:], j[:, k, :3] = g, np.cross(x @ r.T, g)
+        step = np.linalg.lstsq(j.reshape(-1, 6), -e, rcond=None)[0]
+        w, angle = step[:3], np.linalg.norm(step[:3])
+        k = np.array([[0, -w[2], w[1]], [w[2], 0, -w[0]], [-w[1], w[0], 0]])
+        turn = np.eye(3) + (np.sin(angle) / angle * k + (1 - np.cos(angle)) / angle**2 * k @ k if angle > 1e-12 else k)
+        r, tr = turn @ r, tr + step[3:]
+        if np.linalg.norm(step) < 1e-12:
+            break
+    return r, tr
+
+
+def view_pose(df: DataFrame, key: str, point: list[str], pixel: list[str], least: int = 6, trials: int = 60, reach: float = 0.01) -> DataFrame:
+    """Per view the pose that sees its points at its normalised pixels, robust to wrong pairs: rotation (row-major), translation, inliers, median_error.
+
+    Samples of six pairs vote (seeded, so a view's result is the same in every run); the pose is
+    refined on the best sample's inliers. A view's pairs are those of one image, so a group fits a
+    task. Views with fewer than least pairs, or whose best sample has fewer inliers, are left out.
+    """
+    schema = f"{key} {df.schema[key].dataType.simpleString()}, rotation array<double>, translation array<double>, inliers int, median_error double"
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values([*point, *pixel])
+        x, uv = pdf[point].to_numpy(float), pdf[pixel].to_numpy(float)
+        rng, best = np.random.default_rng(7), np.zeros(len(x), bool)
+        empty = pd.DataFrame({key: [], "rotation": [], "translation": [], "inliers": [], "median_error": []})
+        if len(x) < least:
+            return empty
+
+        def errors(r: np.ndarray, tr: np.ndarray) -> np.ndarray:
+            p = x @ r.T + tr
+            return np.where(p[:, 2] > 0, np.linalg.norm(p[:, :2] / np.where(p[:, 2:] > 0, p[:, 2:], 1) - uv, axis=1), np.inf)
+
+        for _ in range(trials):
+            few = rng.choice(len(x), 6, replace=False)
+            try:
+                good = errors(*_pose_from(x[few], uv[few])) <= reach
+            except np.linalg.LinAlgError:
+                continue
+            best = good if good.sum() > best.sum() else best
+        if best.sum() < 6:
+            return empty
+        r, tr = _pose_from(x[best], uv[best])
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "rotation": [r.ravel()], "translation": [tr], "inliers": [int(best.sum())], "median_error": [float(np.median(errors(r, tr)[best]))]})
+
+    return df.select(key, *point, *pixel).groupBy(key).applyInPandas(solve, schema)

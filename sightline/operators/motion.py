@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sightline.functions import poses as P
+from sightline.operators.quantiles import grouped_quantiles
+from sightline.operators.summary import close_poses
 
 POSE = ("qx", "qy", "qz", "qw", "tx", "ty", "tz")
 #: Cameras of a rig, at most; edges between them are collected to propagate poses.
@@ -120,3 +122,33 @@ def rig_from_edges(edges: DataFrame, reference: int) -> DataFrame:
     return edges.sparkSession.createDataFrame(out, "camera int, reached boolean, step int, " + ", ".join(f"{k} double" for k in POSE))
 
 
+def relative_consensus(votes: DataFrame, reach: float, degrees: float, least: int) -> DataFrame:
+    """Per (target, reference) the vote (frame) that most votes agree with in position and rotation: frame, inliers, middle (their median distance).
+
+    Ties go to the smaller median distance, then the earlier frame; pairs with fewer than least
+    agreeing votes have no row. Votes meet in cells of one reach only.
+    """
+    keyed = votes.withColumns({"_pair": F.struct("target", "reference"), "_id": F.col("frame")})
+    near = close_poses(keyed, "_id", "_pair", ["dx", "dy", "dz"], ["ex", "ey", "ez", "ew"], reach, degrees, kept=["_pair"])
+    both = near.select("_pair", F.col("id_a").alias("frame"), "apart").unionByName(near.select("_pair", F.col("id_b").alias("frame"), "apart")).unionByName(keyed.select("_pair", "frame", F.lit(0.0).alias("apart")))
+    each = grouped_quantiles(both, ["_pair", "frame"], {"middle": ("apart", 0.5)}).where(F.col("n") >= least)
+    best = F.min_by(F.struct("frame", F.col("n").alias("inliers"), "middle"), F.struct(-F.col("n"), F.round("middle", 9), "frame"))
+    return each.groupBy("_pair").agg(best.alias("_b")).select("_pair.target", "_pair.reference", "_b.*")
+
+
+def complete_in_order(known: DataFrame, relatives: DataFrame, order: list[tuple[int, int]], cameras: int) -> DataFrame:
+    """camera, completed and pose of all cameras: known ones, and for each (target, reference) of the configured order the reference's pose times the relative one.
+
+    A pair counts only if its reference is known or was completed by an earlier pair. The order is
+    a configuration of at most MOST_CAMERAS pairs, and relatives has one row for each, so the fold
+    runs on the driver.
+    """
+    if max(cameras, len(order)) > MOST_CAMERAS:
+        raise ValueError(f"a rig has at most {MOST_CAMERAS} cameras")
+    poses = {r.camera: (np.array([r.qx, r.qy, r.qz, r.qw]), np.array([r.tx, r.ty, r.tz])) for r in known.limit(MOST_CAMERAS).collect()}
+    moves = {(r.target, r.reference): (np.array([r.ex, r.ey, r.ez, r.ew]), np.array([r.dx, r.dy, r.dz])) for r in relatives.limit(MOST_CAMERAS).collect()}
+    for target, reference in order:
+        if reference in poses and (target, reference) in moves:
+            poses[target] = _then(poses[reference], moves[target, reference])
+    rows = [(c, c in poses, *([float(x) for x in (*poses[c][0], *poses[c][1])] if c in poses else [None] * 7)) for c in range(cameras)]
+    return known.sparkSession.createDataFrame(rows, "camera int, completed boolean, " + ", ".join(f"{k} double" for k in POSE))

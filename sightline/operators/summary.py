@@ -46,8 +46,8 @@ def pair_overlap(counts: DataFrame, camera: str, frame: str, n: str) -> DataFram
     return both.groupBy(F.col(f"x.{camera}").alias("camera_a"), F.col(f"y.{camera}").alias("camera_b")).agg(F.count(F.lit(1)).alias("common"), F.count_if((a > 0) & (b > 0)).alias("both_seen"), F.sum(a + b).alias("features"))
 
 
-def close_poses(rows: DataFrame, key: str, group: str, point: list[str], turn: list[str] | None, radius: float, degrees: float | None, apart: float = 0.0) -> DataFrame:
-    """Pairs (id_a, id_b) of a group from apart to radius from each other and, with turn, at most degrees apart in rotation. Rows meet only in the cells around them."""
+def close_poses(rows: DataFrame, key: str, group: str, point: list[str], turn: list[str] | None, radius: float, degrees: float | None, apart: float = 0.0, kept: list[str] | None = None) -> DataFrame:
+    """Pairs (id_a, id_b) of a group from apart to radius from each other and, with turn, at most degrees apart in rotation. Rows meet only in the cells around them. kept: columns of the group to keep, and apart, the distance."""
     cells = rows.withColumns({f"_g{k}": F.floor(F.col(k) / radius) for k in point})
     near = cells
     for k in point:
@@ -56,8 +56,10 @@ def close_poses(rows: DataFrame, key: str, group: str, point: list[str], turn: l
     on = (F.col(f"x.{group}") == F.col(f"y.{group}")) & (F.col(f"x.{key}") < F.col(f"y.{key}"))
     for k in point:
         on &= F.col(f"x._h{k}") == F.col(f"y._g{k}")
-    on &= P.norm(tuple(F.col(f"x.{k}") - F.col(f"y.{k}") for k in point)).between(apart, radius)
+    distance = P.norm(tuple(F.col(f"x.{k}") - F.col(f"y.{k}") for k in point))
+    on &= distance.between(apart, radius)
     if turn:
         unit = lambda s: P.unit(tuple(F.col(f"{s}.{k}") for k in turn))
         on &= P.angle(unit("x"), unit("y")) <= degrees
-    return x.join(y, on).select(F.col(f"x.{key}").alias("id_a"), F.col(f"y.{key}").alias("id_b"))
+    more = [F.col(f"x.{k}").alias(k) for k in kept] + [distance.alias("apart")] if kept else []
+    return x.join(y, on).select(F.col(f"x.{key}").alias("id_a"), F.col(f"y.{key}").alias("id_b"), *more)

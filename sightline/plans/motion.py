@@ -157,3 +157,27 @@ def pose_sources(spark, sf):
 def rig_propagation(spark, sf):
     """Camera poses in the frame of camera 0, by the edges in order of priority."""
     return M.rig_from_edges(M.pair_edges(poses(spark, sf), "frame", "cam"), reference=0)
+
+
+_VOTE = f"v AS (SELECT a.frame, b.cam AS target, a.cam AS reference, {', '.join(f'{x} AS d{k}' for k, x in zip('xyz', _REL, strict=True))} FROM p a JOIN p b ON a.frame = b.frame AND b.cam = a.cam + 1)"
+_NEAR = "sqrt((x.dx - y.dx) * (x.dx - y.dx) + (x.dy - y.dy) * (x.dy - y.dy) + (x.dz - y.dz) * (x.dz - y.dz))"
+
+
+@query(f"""WITH {POSES}, {_VOTE}, s AS (SELECT x.target, x.reference, x.frame, count(*) AS inliers, round(median({_NEAR}), 9) AS middle FROM v x JOIN v y ON x.target = y.target AND x.reference = y.reference AND {_NEAR} <= 1.5 GROUP BY ALL)
+SELECT target, reference, frame, inliers, round(middle, 6) AS middle FROM s WHERE inliers >= 2 QUALIFY row_number() OVER (PARTITION BY target, reference ORDER BY inliers DESC, middle, frame) = 1""")
+def relative_consensus(spark, sf):
+    """Per camera pair the frame whose relative position most votes agree with, then the least median distance, then the earliest."""
+    pairs = spark.createDataFrame([(k + 1, k) for k in range(7)], "target int, reference int")
+    votes = M.relative_votes(poses(spark, sf), pairs, "frame", "cam")
+    return M.relative_consensus(votes, 1.5, 180.0, least=2).select("target", "reference", "frame", "inliers", r6(F.col("middle"), "middle"))
+
+
+@query(f"""WITH {POSES}, e AS (SELECT cam, frame, {', '.join(f'q{k}' for k in 'xyzw')}, tx, ty, tz FROM p WHERE frame = 3), c AS (SELECT cam, tx, ty, tz FROM e)
+SELECT CAST(cam AS INT) AS camera, cam < 6 AS completed, CASE WHEN cam < 6 THEN round(tx, 5) END AS tx, CASE WHEN cam < 6 THEN round(ty, 5) END AS ty, CASE WHEN cam < 6 THEN round(tz, 5) END AS tz FROM c""")
+def ordered_completion(spark, sf):
+    """Poses completed pair by pair from relative poses, each from poses that earlier pairs completed: camera 0 is known, 7's reference never is."""
+    p = poses(spark, sf).where("frame = 3")
+    order = [(1, 0), (2, 1), (6, 7), (3, 2), (4, 1), (5, 4)]
+    votes = M.relative_votes(p, spark.createDataFrame(order, "target int, reference int"), "frame", "cam")
+    out = M.complete_in_order(p.where("cam = 0").select(F.col("cam").alias("camera"), *M.POSE), votes, order, 8)
+    return out.select("camera", "completed", *(F.round(c, 5).alias(c) for c in ("tx", "ty", "tz")))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import math
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 from pyspark.sql.window import Window as W
@@ -11,9 +15,17 @@ LINEAGE = ("source_file", "source_offset")
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines with their file and their number in it (from 0), in file order."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), F.posexplode(F.split("value", "\r?\n", -1)).alias("source_offset", "line"))
-    return rows
+    """Lines with their file and their number in it (from 0).
+
+    Long files stay split: lines are numbered within their split, and the splits' line counts, one
+    row each, give each split its first number.
+    """
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), F.col("value").alias("line"))
+    before = F.coalesce(F.sum("_n").over(W.partitionBy("_file").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sizes = rows.groupBy(F.col("source_file").alias("_file"), F.col("_block").alias("_at")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", before)
+    numbered = rows.withColumn("_nth", F.row_number().over(W.partitionBy("source_file", "_block").orderBy("_id")) - 1)
+    both = numbered.join(sizes, (F.col("source_file") == F.col("_file")) & (F.col("_block") == F.col("_at")))
+    return both.select("source_file", (F.col("_nth") + F.col("_before")).cast("int").alias("source_offset"), "line")
 
 
 def read_tsv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -36,11 +48,14 @@ def read_tsv_or_empty(spark: SparkSession, path: str, columns: list[str]) -> Dat
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, strict: bool = True) -> DataFrame:
-    """JSON lines with lineage; blank lines are skipped. A bad line is fatal if strict, else it is dropped."""
-    parsed = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file")).where(F.trim("line") != "")
-    rows = parsed.withColumn("_r", F.from_json("line", schema, {"mode": "FAILFAST" if strict else "PERMISSIVE"})).withColumn("_ok", F.try_parse_json("line").isNotNull())
-    rows = rows if strict else rows.where("_ok")
-    return rows.select("_r.*", "source_file")
+    """JSON lines with source_file and source_line (from 1); blank lines are skipped. A bad line is fatal if strict, with its place in the error, else it is dropped."""
+    lines = _lines(spark, path).where(F.trim("line") != "")
+    parsed = lines.withColumn("_r", F.from_json("line", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE"}))
+    bad = F.col("_r._corrupt_record").isNotNull()
+    place = F.concat(F.col("source_file"), F.lit(" line "), (F.col("source_offset") + 1).cast("string"), F.lit(" is no JSON object"))
+    rows = parsed.where(F.when(bad, F.raise_error(place).cast("boolean")).otherwise(True) if strict else ~bad)
+    fields = [f for f in rows.schema["_r"].dataType.names if f != "_corrupt_record"]
+    return rows.select(*(F.col("_r")[f].alias(f) for f in fields), "source_file", (F.col("source_offset") + 1).alias("source_line"))
 
 
 def count_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -49,6 +64,53 @@ def count_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return lines.agg(F.count(F.lit(1)).alias("scanned"), F.count_if(F.try_parse_json("value").isNull()).alias("malformed"))
 
 
+def read_json_records(spark: SparkSession, path: str, keys: tuple[str, ...], suffixes: tuple[str, ...]) -> DataFrame:
+    """Records of JSON documents by descent: an object with a number under a residual-like key is a record, others are searched.
+
+    One row per record in document order: source_file, place (from 0) and record, the object's
+    scalar fields as text. A file is one document, so it is parsed whole.
+    """
+
+    def numeric(v) -> bool:
+        try:
+            return v is not None and not isinstance(v, bool | list | dict) and math.isfinite(float(v))
+        except ValueError:
+            return False
+
+    def records(x):
+        if isinstance(x, list):
+            for item in x:
+                yield from records(item)
+        elif isinstance(x, dict):
+            if any(numeric(v) for k, v in x.items() if k in keys or k.lower().endswith(suffixes)):
+                yield x
+            else:
+                for v in x.values():
+                    yield from records(v)
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for file, text in zip(pdf["source_file"], pdf["value"], strict=True):
+                for n, r in enumerate(records(json.loads(text))):
+                    out.append((file, n, {k: v if isinstance(v, str) else json.dumps(v) for k, v in r.items() if v is not None and not isinstance(v, list | dict)}))
+            yield pd.DataFrame(out, columns=["source_file", "place", "record"])
+
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    return texts.mapInPandas(run, "source_file string, place int, record map<string,string>")
+
+
+def read_manifest(spark: SparkSession, path: str, columns: list[str], index: str = "camera_index") -> DataFrame:
+    """A camera manifest with its order from 0: by index where all rows have one (ties by row), else by row."""
+    lines = _lines(spark, path)
+    header = lines.where("source_offset = 0").select("source_file", F.split("line", "\t").alias("_h"))
+    named = lines.where("source_offset > 0 and line <> ''").join(F.broadcast(header), "source_file").withColumn("_m", F.map_from_arrays("_h", F.transform(F.split("line", "\t", -1), lambda v: F.nullif(v, F.lit("")))))
+    rows = named.select(*(F.col("_m")[c].alias(c) for c in columns), F.col("source_offset").alias("_row"))
+    whole = W.partitionBy()  # a manifest has one row per camera
+    at = F.when(F.count_if(F.col(index).try_cast("int").isNull()).over(whole) == 0, F.col(index).try_cast("int")).otherwise(0)
+    return rows.withColumn("_at", at).withColumn("place", F.row_number().over(W.orderBy("_at", "_row")) - 1).select("place", *columns)
+
+
 def write_tsv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """The columns (default: all, sorted by name) with a header."""
     df.select(*(columns or sorted(df.columns))).write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="", emptyValue="")
@@ -62,6 +124,18 @@ def write_jsonl(df: DataFrame, path: str, lineage: dict[str, str] | None = None)
     df.select(F.to_json(F.struct(*parts)).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_summary(df: DataFrame, path: str) -> None:
+    """One JSON object per row with its keys sorted, nulls kept."""
+    df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_sfm_images(df: DataFrame, path: str) -> None:
+    """The text model that read_sfm_images reads, from its pose columns, name and points (array of struct x, y, id)."""
+    head = F.concat_ws(" ", *(F.col(c).cast("string") for c in ("image_id", "qw", "qx", "qy", "qz", "tx", "ty", "tz", "camera_id", "name")))
+    points = F.array_join(F.transform("points", lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"), p["id"].cast("string"))), " ")
+    df.select(F.concat_ws("\n", head, points).alias("value")).write.mode("overwrite").text(path)
+
+
 def read_feature_log(spark: SparkSession, path: str) -> DataFrame:
     """(src, features) of lines like '..._src12_...: 345 features'; the last line of a src wins."""
     got = _lines(spark, path).select("source_file", "source_offset", F.nullif(F.regexp_extract("line", r"_src(\d+)_.*?: (\d+) features", 1), F.lit("")).cast("bigint").alias("src"), F.nullif(F.regexp_extract("line", r"_src(\d+)_.*?: (\d+) features", 2), F.lit("")).cast("bigint").alias("features"))
@@ -119,6 +193,40 @@ def simple_yaml(text: str) -> dict:
     return out
 
 
+def yaml_numbers(text: Column, key: str) -> Column:
+    """The numbers of a YAML list, in brackets or one per line, as an array; null without the key."""
+    body = F.regexp_extract(text, rf"(?m)^{key}[ \t]*:[ \t]*((?:\[[^\]]*\])|(?:\s*\n[ \t]*-[ \t]+[-+0-9.eE]+)+)", 1)
+    found = F.regexp_extract_all(F.regexp_replace(body, r"(?m)^[ \t]*-[ \t]+", ""), F.lit(r"([-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?)"), 1)
+    return F.when(body != "", F.transform(found, lambda x: x.cast("double")))
+
+
+def read_points(spark: SparkSession, path: str) -> DataFrame:
+    """feature_id, x, y, z of points files: a flat list points and a map from feature_id to point_index. A length that three doesn't divide is an error."""
+    text = spark.read.text(path, wholetext=True)
+    flat = yaml_numbers(F.col("value"), "points")
+    pair = lambda k: F.transform(F.regexp_extract_all("value", F.lit(rf"{k}[ \t]*:[ \t]*(\d+)"), 1), lambda x: x.cast("int"))
+    checked = F.when(F.size("flat") % 3 != 0, F.raise_error(F.lit("points: size is not divisible by 3")).cast("array<double>")).otherwise(F.col("flat"))
+    rows = text.select(flat.alias("flat"), F.explode(F.arrays_zip(pair("feature_id").alias("f"), pair("point_index").alias("i"))).alias("m")).withColumn("flat", checked)
+    return rows.select(F.col("m.f").alias("feature_id"), *(F.get("flat", F.col("m.i") * 3 + k).alias(n) for k, n in enumerate("xyz")))
+
+
+def read_camera_models(spark: SparkSession, path: str) -> DataFrame:
+    """source_file, type, width, height and parameters of camera model files. A size below 1 is an error."""
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    field = lambda k: F.nullif(F.regexp_extract("value", rf"(?m)^{k}[ \t]*:[ \t]*[\"']?([^\s\"']+)", 1), F.lit(""))
+    size = lambda k: F.when(field(k).try_cast("int") >= 1, field(k).try_cast("int")).otherwise(F.raise_error(F.concat(F.lit(f"invalid {k}: "), F.col("source_file"))).cast("int"))
+    return text.select("source_file", field("type").alias("type"), size("width").alias("width"), size("height").alias("height"), yaml_numbers(F.col("value"), "parameters").alias("parameters"))
+
+
+def intrinsics_paths(listing: DataFrame, cameras: DataFrame, path: str = "path", camera: str = "camera_index") -> DataFrame:
+    """Each camera's file: intrinsics<camera>.yaml, else the first of those that start with intrinsics<camera>_, else null."""
+    name = F.regexp_extract(F.col(path), r"([^/]*)$", 1)
+    of = F.regexp_extract(name, r"^intrinsics(\d+)(?:_.*)?\.yaml$", 1)
+    files = listing.select(F.col(path), of.try_cast("int").alias(camera), name.rlike(r"_").alias("_long")).where(F.col(camera).isNotNull())
+    best = files.groupBy(camera).agg(F.min_by(path, F.struct("_long", path)).alias("intrinsics"))
+    return cameras.join(best, camera, "left")
+
+
 POSE = ("index", "tx", "ty", "tz", "qx", "qy", "qz", "qw")
 
 
