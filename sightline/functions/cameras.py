@@ -82,18 +82,19 @@ def project_radial_spline(x: Column, y: Column, z: Column, p: dict[str, float],
     return p["fx"] * (u + factor * u + dx) + p["cx"], p["fy"] * (v + factor * v + dy) + p["cy"]
 
 
+def grid_place(px: Column, py: Column, grid: list, size: tuple[int, int]) -> tuple[Column, Column]:
+    """Where a pixel lies in the grid of a generic camera, which spans the image; as columns of their own they keep surface() small."""
+    return 1 + px / size[0] * (len(grid[0]) - 3), 1 + py / size[1] * (len(grid) - 3)
+
+
 def unproject_grid(px: Column, py: Column, grid: list, size: tuple[int, int]) -> P.Vector:
-    """The unit direction of a pixel of a generic camera, whose grid of directions spans the image."""
-    width, height = len(grid[0]), len(grid)
-    x, y = 1 + px / size[0] * (width - 3), 1 + py / size[1] * (height - 3)
-    return P.unit(tuple(surface(grid, x, y)))
+    """The unit direction of a pixel of a generic camera, from its grid of directions."""
+    return P.unit(tuple(surface(grid, *grid_place(px, py, grid, size))))
 
 
 def unproject_line(px: Column, py: Column, directions: list, origins: list, size: tuple[int, int]) -> tuple[P.Vector, P.Vector]:
     """The line of a pixel of a non-central camera: its unit direction and a point of it, from two grids."""
-    width, height = len(origins[0]), len(origins)
-    x, y = 1 + px / size[0] * (width - 3), 1 + py / size[1] * (height - 3)
-    return unproject_grid(px, py, directions, size), tuple(surface(origins, x, y))
+    return unproject_grid(px, py, directions, size), tuple(surface(origins, *grid_place(px, py, origins, size)))
 
 
 def field_of_view(a: P.Vector, b: P.Vector) -> Column:

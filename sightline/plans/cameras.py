@@ -80,8 +80,10 @@ def generic_unproject(spark, sf):
     """Directions of a central and lines of a non-central generic camera, from grids of control values."""
     p = t(spark, sf, "part")
     x, y = (F.col("p_partkey") % 640).cast("double"), (F.col("p_size") * 9 % 480).cast("double")
-    d, o = C.unproject_line(x, y, GRID, ORIGINS, SIZE)
-    return p.select("p_partkey", *(r6(c, f"d{k}") for c, k in zip(d, "xyz", strict=True)), *(F.round(c, 12).alias(f"o{k}") for c, k in zip(o, "xyz", strict=True)))
+    at = p.select("p_partkey", *(c.alias(n) for n, c in zip(("gx", "gy"), C.grid_place(x, y, GRID, SIZE), strict=True)))
+    raw = at.select("p_partkey", *(c.alias(f"{n}{k}") for n, g in (("d", GRID), ("o", ORIGINS)) for k, c in zip("xyz", C.surface(g, F.col("gx"), F.col("gy")), strict=True)))
+    d = C.P.unit(tuple(F.col(f"d{k}") for k in "xyz"))
+    return raw.select("p_partkey", *(r6(c, f"d{k}") for c, k in zip(d, "xyz", strict=True)), *(F.round(f"o{k}", 12).alias(f"o{k}") for k in "xyz"))
 
 
 @query("SELECT s_suppkey, round(degrees(2 * atan(320.0 / (200 + s_suppkey))), 5) AS horizontal, round(degrees(2 * atan(240.0 / (200 + s_suppkey))), 5) AS vertical FROM supplier")
