@@ -1,11 +1,14 @@
 """Benchmark decontamination: passages of a text that repeat a benchmark item.
 
-Method: texts are cut into windows as long as the items, and each window gets a 64-bit SimHash of
-its five-word shingles (every occurrence votes once). The items' SimHashes stand in a multi-index
-of BLOCKS blocks: two fingerprints within RADIUS bits agree in some block up to RADIUS // BLOCKS
-bits, and the index holds every such block value, so no item within the radius is missed. At a
-similarity of 0.8 a fingerprint differs by 10 bits on average (standard deviation 3); RADIUS is
-that plus 3.5 deviations. The exact weighted Jaccard similarity of the shingle multisets decides.
+Method: texts are cut into windows as long as the items, and each window gets a SimHash of BITS
+bits of its five-word shingles (every occurrence votes once). The items' SimHashes stand in a
+multi-index of BLOCKS blocks, which lists for each block value the items that differ from it in at
+most NEAR bits. Of two fingerprints within RADIUS bits, at most RADIUS // (NEAR + 1) blocks differ
+in more, so the other AGREE blocks list the item: whoever is listed so often is a candidate, and no
+item within the radius is missed. A random item is listed in 4.6 of 32 blocks, deviation 2.0, and
+so is a candidate with a probability of 0.002. At a similarity of 0.8 a fingerprint differs by 39
+bits on average (deviation 5.7); RADIUS is that plus four deviations. The exact weighted Jaccard
+similarity of the shingle multisets decides.
 
 Items of one to four words are one shingle of all their words and are looked up among the runs of
 as many words, which are equal (similarity 1) or not.
@@ -28,12 +31,16 @@ from .arrays import ALNUM, U64, Words, buffers, lowered, mix, slabs, span_hash,
 from .cluster import bounded_batches
 
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS, BLOCKS = 20, 8
+BITS, RADIUS, NEAR = 256, 62, 2
+BLOCKS = BITS // 8
+AGREE = BLOCKS - RADIUS // (NEAR + 1)
 BLOCK_ITEMS = 4096
 MARKS = 1 << 20
+#: Windows whose fingerprints are held at once.
+CHUNK = 2048
 
 _BYTE = np.arange(256, dtype=np.uint8)
-_NEAR = np.flatnonzero(np.unpackbits(_BYTE[:, None], axis=1).sum(1) <= RADIUS // BLOCKS).astype(np.uint8)
+_NEAR = np.flatnonzero(np.unpackbits(_BYTE[:, None], axis=1).sum(1) <= NEAR).astype(np.uint8)
 
 
 def _shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -43,18 +50,45 @@ def _shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray
 
 
 def _votes(hashes: np.ndarray) -> np.ndarray:
-    """64 bits of each shingle, as a running total."""
-    bits = np.unpackbits(mix(hashes, 3).view(np.uint8).reshape(-1, 8), axis=1)
-    total = np.zeros((len(bits) + 1, 64), np.int32)
+    """BITS bits of each shingle, as a running total."""
+    bits = np.unpackbits(np.column_stack([mix(hashes, 3 + k) for k in range(BITS // 64)]).view(np.uint8), axis=1)
+    total = np.zeros((len(bits) + 1, BITS), np.int32)
     np.cumsum(bits, axis=0, out=total[1:], dtype=np.int32)
     return total
 
 
 def _simhash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Eight bytes each: the bits that more than half of the shingles set."""
+    """BLOCKS bytes each: the bits that more than half of the shingles set."""
     return np.packbits(2 * (total[end] - total[start]) > (end - start)[:, None], axis=1)
 
 
+def _window_prints(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """SimHashes of windows in order of their start; only shingles in some window vote."""
+    low = start[0]
+    cover = np.zeros(int(end.max() - low) + 1, np.int32)
+    np.add.at(cover, start - low, 1)
+    np.add.at(cover, end - low, -1)
+    inside = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
+    return _simhash(_votes(hashes[low + inside]), np.searchsorted(inside, start - low), np.searchsorted(inside, end - 1 - low) + 1)
+
+
+def _listed(index: np.ndarray, prints: np.ndarray) -> np.ndarray:
+    """Bitmaps of the items that at least AGREE blocks list, for each fingerprint: the blocks' bitmaps are added up bit by bit."""
+    sums = [np.zeros((len(prints), index.shape[2]), U64) for _ in range(BLOCKS.bit_length())]
+    for b in range(BLOCKS):
+        carry = index[b, prints[:, b]]
+        for k, x in enumerate(sums):
+            sums[k], carry = x ^ carry, x & carry
+    more, equal = np.zeros_like(sums[0]), ~np.zeros_like(sums[0])
+    for k in reversed(range(len(sums))):
+        if AGREE >> k & 1:
+            equal &= sums[k]
+        else:
+            more |= equal & sums[k]
+            equal &= ~sums[k]
+    return more | equal
+
+
 class Items:
     """A block of benchmark items, with a multi-index for each item length."""
 
@@ -69,8 +103,7 @@ class Items:
         for k in np.flatnonzero((n_words > 0) & (n_words < SHINGLE)).tolist():
             whole = span_hash(words.hashes(), words.first[k : k + 1], words.first[k + 1 : k + 2], 1)
             self.short.setdefault(int(n_words[k]), {}).setdefault(int(whole[0]), []).append(k)
-        total = _votes(hashes)
-        print_ = _simhash(total, first[:-1], first[1:])
+        print_ = _simhash(_votes(hashes), first[:-1], first[1:])
         self.ids = [r[0] for r in self.rows]
         self.counts = [np.unique(hashes[a:b], return_counts=True) for a, b in zip(first, first[1:], strict=False)]
         self.sizes = sorted({int(n) for n in size if n})
@@ -128,12 +161,6 @@ class Items:
         for k, a in enumerate(at.tolist()):
             for n in self.sizes_of[a]:
                 by_size[n].append(k)
-        widest = self.sizes[-1]
-        cover = np.zeros(len(hashes) + 1, np.int32)
-        np.add.at(cover, np.maximum(near - widest + 1, begins), 1)
-        np.add.at(cover, np.minimum(near + widest, ends), -1)
-        needed = np.flatnonzero(np.cumsum(cover[:-1]) > 0)
-        total = _votes(hashes[needed])
         found: dict[tuple[int, int], tuple[float, int]] = {}
         for n, chosen in sorted(by_size.items()):
             k = np.array(chosen)
@@ -147,16 +174,17 @@ class Items:
             end = np.minimum(start + n, first[w_row + 1])
             fit = end - start >= least * n
             start, end, w_row = start[fit], end[fit], w_row[fit]
-            print_ = _simhash(total, np.searchsorted(needed, start), np.searchsorted(needed, end - 1) + 1)
-            bits = np.bitwise_or.reduce([self.index[n][b, print_[:, b]] for b in range(BLOCKS)])
-            # candidates as (window, item of this length) pairs, then the full distance
-            window, item = np.nonzero(np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little")[:, : len(self.of_size[n])])
-            apart = np.unpackbits(print_[window] ^ self.print[n][item], axis=1).sum(1)
-            for w, i in zip(window[apart <= RADIUS].tolist(), self.of_size[n][item[apart <= RADIUS]].tolist(), strict=True):
-                alike = self.similarity(hashes[start[w] : end[w]], i)
-                key = (int(w_row[w]), i)
-                if alike >= least and alike > found.get(key, (0.0, 0))[0]:
-                    found[key] = (alike, int(word[start[w]]))
+            for c in range(0, len(start), CHUNK):
+                s, e, r = start[c : c + CHUNK], end[c : c + CHUNK], w_row[c : c + CHUNK]
+                print_ = _window_prints(hashes, s, e)
+                # candidates as (window, item of this length) pairs, then the full distance
+                window, item = np.nonzero(np.unpackbits(_listed(self.index[n], print_).view(np.uint8), axis=1, bitorder="little")[:, : len(self.of_size[n])])
+                apart = np.unpackbits(print_[window] ^ self.print[n][item], axis=1).sum(1)
+                for w, i in zip(window[apart <= RADIUS].tolist(), self.of_size[n][item[apart <= RADIUS]].tolist(), strict=True):
+                    alike = self.similarity(hashes[s[w] : e[w]], i)
+                    key = (int(r[w]), i)
+                    if alike >= least and alike > found.get(key, (0.0, 0))[0]:
+                        found[key] = (alike, int(word[s[w]]))
         return found
 
 
