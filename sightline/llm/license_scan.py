@@ -2,7 +2,8 @@
 
 Method: texts are cut into blocks of a quarter of a template's n shingles of five words. Each block
 and template has REGISTERS min-hashes, and each is a band of its own; a block that shares a band
-makes the whole text a candidate for the template. A text that holds at least 0.8 of a template,
+makes the whole text a candidate for the template; an index of each band's sorted values finds the
+templates, however many there are. A text that holds at least 0.8 of a template,
 in one stretch or with other words between its parts, has it in blocks whose Jaccard similarities
 with the template add up to 0.8 / 1.25 = 0.64 or more, and a band is shared with a probability of
 that sum, so one of them is with 1 - 0.36 ** 24 (less than 1e-10 is missed). The exact share of
@@ -34,6 +35,10 @@ TEMPLATES = {
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "BSD-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "BSD-3-text": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+    "LGPL-text": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
@@ -59,7 +64,14 @@ class Templates:
         for name, a, b in zip(names, first, first[1:], strict=False):
             if b > a:
                 self.by_size.setdefault(int(b - a), []).append((name, np.unique(hashes[a:b])))
-        self.minima = {n: np.array([[_register(h, r).min() for _, h in group] for r in range(REGISTERS)], U64) for n, group in self.by_size.items()}
+        # the index: for each block size and register the templates' minima in order, and whose they are
+        self.index: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.known = [(name, h) for group in self.by_size.values() for name, h in group]
+        steps = np.array([max(1, n // 4) for n, group in self.by_size.items() for _ in group], np.int64)
+        for step in np.unique(steps).tolist():
+            mine = np.flatnonzero(steps == step)
+            bands = [np.array([_register(self.known[k][1], r).min() for k in mine], U64) for r in range(REGISTERS)]
+            self.index[step] = [(band[order], mine[order]) for band, order in ((band, np.argsort(band)) for band in bands)]
 
     def search(self, data: np.ndarray, offsets: np.ndarray, least: float) -> dict[tuple[int, str], tuple[float, int]]:
         """(row, template) -> containment in the whole row and the first word of the shortest stretch that has all of it."""
@@ -68,31 +80,31 @@ class Templates:
             return {}
         counts = np.diff(first)
         blocks = {}
-        for n in self.by_size:
-            step = max(1, n // 4)
+        for step in self.index:
             per_row = -(-counts // step)
             row = np.repeat(np.arange(len(counts)), per_row)
-            start = first[:-1][row] + step * (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row))
-            blocks[n] = (step, start, row, np.zeros((len(self.by_size[n]), len(start)), bool))
+            blocks[step] = (first[:-1][row] + step * (np.arange(len(row)) - np.repeat(np.cumsum(per_row) - per_row, per_row)), row)
+        candidates = set()
         for r in range(REGISTERS):
             value = _register(hashes, r)
-            low = {1: value}
-            for n, (step, start, _, hit) in blocks.items():
-                if step not in low:
-                    low[step] = np.minimum.reduceat(value, start)
-                for k, least_value in enumerate(self.minima[n][r]):
-                    hit[k] |= low[step] == least_value
+            for step, (start, row) in blocks.items():
+                band, whose = self.index[step][r]
+                low = value if step == 1 else np.minimum.reduceat(value, start)
+                at = np.searchsorted(band, low)
+                hit = np.flatnonzero(band[np.minimum(at, len(band) - 1)] == low)
+                last = np.searchsorted(band, low[hit], "right")
+                for a, b, w in zip(at[hit].tolist(), last.tolist(), row[hit].tolist(), strict=True):
+                    candidates.update((w, k) for k in whose[a:b].tolist())
         found: dict[tuple[int, str], tuple[float, int]] = {}
-        for n, (_, _, row, hit) in blocks.items():
-            for k, (name, template) in enumerate(self.by_size[n]):
-                for w in np.unique(row[hit[k]]).tolist():
-                    held = hashes[first[w] : first[w + 1]]
-                    which = np.minimum(np.searchsorted(template, held), len(template) - 1)
-                    at = np.flatnonzero(template[which] == held)
-                    which = which[at]
-                    share = float(len(np.unique(which)) / len(template))
-                    if share >= least:
-                        found[w, name] = (share, int(word[first[w] + _shortest(at, which)]))
+        for w, k in sorted(candidates):
+            name, template = self.known[k]
+            held = hashes[first[w] : first[w + 1]]
+            which = np.minimum(np.searchsorted(template, held), len(template) - 1)
+            at = np.flatnonzero(template[which] == held)
+            which = which[at]
+            share = float(len(np.unique(which)) / len(template))
+            if share >= least:
+                found[w, name] = (share, int(word[first[w] + _shortest(at, which)]))
         return found
 
 
