@@ -15,6 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the counts of the three base kinds, the digest of the base spans and all spans, per row of documents. A null or empty text has no spans (an empty list and the digest of one); repeated rows each have a row."""
     from .secret_scan import BASE, scan, written
 
     out = scan(_table(spark, sf_dir, "documents"))
@@ -28,18 +29,21 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, main text and its length in code points, per row of pages. Null, empty and textless pages have an empty text and n_chars 0."""
     from .html_text import extract
 
     return extract(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per piece of a document: bin_id, doc_id, piece, start_word, n_words. Near-duplicate classes are the clusters. A null, empty or wordless text is one piece of no words; repeated rows are copies, which never share a bin."""
     from .packing import pack
 
     return pack(_table(spark, sf_dir, "documents"), near=True)
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload length and digest, record type and the page referred to, per row of pages, as read back from the archives. A null html is an empty payload; rows of one id are each a record."""
     from .warc import new_folder, read, write
 
     folder = new_folder(spark)
@@ -48,18 +52,21 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, license, containment and start_word, per row of documents and template that it holds. Texts that are null or have under five words hold none."""
     from .license_scan import scan
 
     return scan(_table(spark, sf_dir, "documents"))
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, similarity and start_word, per row of documents and benchmark item that a window of it repeats. Null and wordless texts and items match nothing."""
     from .decontaminate import find_leaks
 
     return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_removed and the digest of the kept words, per row of documents. A null or wordless text has 0 words and the digest of an empty text; repeated rows count as repeats of each other."""
     from .substring_dedup import remove_repeated_windows
 
     out = remove_repeated_windows(_table(spark, sf_dir, "documents"))
@@ -67,7 +74,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The document columns, and a score learnt without the held-out quarter of the ids."""
+    """doc_id, held_out, score and predicted, per row of documents; the score is learnt without the held-out quarter of the ids. Null and empty texts get the share of label 1 among such training rows; a null doc_id is not held out."""
     from .quality_crf import fit, score
 
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -77,12 +84,14 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and class_id, the smallest doc_id of its near-duplicate class, per row of documents. Null, empty and wordless texts are their own class; a null doc_id keeps its row and its class."""
     from .near_dedup import near_duplicate_classes
 
     return near_duplicate_classes(_table(spark, sf_dir, "documents"))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the rule counts, base_failed, kept and the anomaly score, per row of documents. A null or empty text has counts of 0 and fails; without labelled rows the base rules alone decide."""
     from .quality_rules import fit, rate
 
     docs = _table(spark, sf_dir, "documents")
@@ -134,7 +143,57 @@ FROM d LEFT JOIN g USING (doc_id)
 """
 
 
+OP9_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' ')) END AS ss FROM d WHERE len(w) > 0),
+u AS (SELECT min(doc_id) AS doc_id, ss, sum(1) AS copies FROM s GROUP BY ss),
+c AS (SELECT doc_id, x, count(*) AS n FROM (SELECT doc_id, unnest(ss) AS x FROM u) GROUP BY ALL),
+t AS (SELECT doc_id, sum(n) AS total FROM c GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS shared FROM c a JOIN c b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN t ta ON ta.doc_id = a JOIN t tb ON tb.doc_id = b WHERE shared >= 0.8 * (ta.total + tb.total - shared)),
+g AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(n, m) AS (SELECT doc_id, doc_id FROM u UNION SELECT r.n, g.b FROM r JOIN g ON g.a = r.m),
+k AS (SELECT n, min(m) AS class_id FROM r GROUP BY n)
+SELECT d.doc_id, coalesce(k.class_id, d.doc_id) AS class_id FROM d LEFT JOIN s ON s.doc_id = d.doc_id LEFT JOIN u ON u.ss = s.ss LEFT JOIN k ON k.n = u.doc_id
+"""
+
+
+_CUT = r"regexp_extract_all(lower(coalesce({}, '')), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+_FIVE = "list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' '))"
+
+#: Items of five words and more; the driver's tables have no shorter ones, which tests cover.
+OP7_SQL = f"""
+WITH i AS (SELECT item_id, {_FIVE} AS ss FROM (SELECT item_id, {_CUT.format('text')} AS w FROM benchmark) WHERE len(w) >= 5),
+c AS (SELECT item_id, x, count(*) AS n FROM (SELECT item_id, unnest(ss) AS x FROM i) GROUP BY ALL),
+d AS (SELECT doc_id, {_FIVE} AS ss FROM (SELECT doc_id, {_CUT.format('text')} AS w FROM documents) WHERE len(w) >= 5),
+p AS (SELECT doc_id, unnest(range(len(ss))) AS k, unnest(ss) AS x FROM d),
+h AS (SELECT doc_id, item_id, k, x, n FROM p JOIN c USING (x)),
+v AS (SELECT doc_id, item_id, len(i.ss) AS size, least(len(i.ss), len(d.ss)) AS width, unnest(range(greatest(1, len(d.ss) - len(i.ss) + 1))) AS start FROM (SELECT DISTINCT doc_id, item_id FROM h) JOIN d USING (doc_id) JOIN i USING (item_id)),
+m AS (SELECT doc_id, item_id, start, size, width, x, least(count(*), n) AS shared FROM v JOIN h USING (doc_id, item_id) WHERE k >= start AND k < start + width GROUP BY doc_id, item_id, start, size, width, x, n),
+s AS (SELECT doc_id, item_id, start, CAST(sum(shared) AS DOUBLE) / CAST(size + width - sum(shared) AS DOUBLE) AS similarity FROM m GROUP BY doc_id, item_id, start, size, width)
+SELECT doc_id, item_id, similarity, start AS start_word FROM s WHERE similarity >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+"""
+
+
+def _license_sql() -> str:
+    from .license_scan import TEMPLATES
+
+    rows = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in TEMPLATES.items())
+    return f"""
+WITH i AS (SELECT license, list_distinct({_FIVE}) AS ss FROM (SELECT license, {_CUT.format('text')} AS w FROM (VALUES {rows}) v(license, text)) WHERE len(w) >= 5),
+c AS (SELECT license, unnest(ss) AS x, len(ss) AS size FROM i),
+d AS (SELECT doc_id, {_FIVE} AS ss FROM (SELECT doc_id, {_CUT.format('text')} AS w FROM documents) WHERE len(w) >= 5),
+p AS (SELECT doc_id, unnest(range(len(ss))) AS k, unnest(ss) AS x FROM d),
+h AS (SELECT doc_id, license, k, x, size FROM p JOIN c USING (x)),
+f AS (SELECT doc_id, license, count(DISTINCT x) AS kinds, CAST(count(DISTINCT x) AS DOUBLE) / any_value(size) AS containment FROM h GROUP BY ALL HAVING count(DISTINCT x) >= 0.8 * any_value(size)),
+a AS (SELECT h.doc_id, license, h.k AS first, g.x, min(g.k) AS k FROM h JOIN f USING (doc_id, license) JOIN h g USING (doc_id, license) WHERE g.k >= h.k GROUP BY ALL),
+e AS (SELECT doc_id, license, first, max(k) AS last, count(*) AS kinds FROM a GROUP BY ALL)
+SELECT doc_id, license, containment, first AS start_word FROM e JOIN f USING (doc_id, license, kinds) QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY last - first, first) = 1
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bins of the documents that all stages keep."""
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
@@ -157,4 +216,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secret_scan": _secret_sql(), "op5_warc": OP5_SQL, "op8_substring_dedup": OP8_SQL}
+    return {"op2_secret_scan": _secret_sql(), "op5_warc": OP5_SQL, "op8_substring_dedup": OP8_SQL, "op9_near_dedup": OP9_SQL, "op7_decontaminate": OP7_SQL, "op6_license_scan": _license_sql()}
