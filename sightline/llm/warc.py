@@ -16,11 +16,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import io
 import re
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -35,6 +35,8 @@ SKIPPABLE_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 REVISIT_BYTES = 1000
 SAMPLE_RECORDS, DICTIONARY_BYTES, LEVEL = 400, 32768, 3
+#: Keys that equal payloads spread over; bytes after which an archive is closed; payload bytes of a batch read back.
+SALTS, FILE_BYTES, BATCH_BYTES = 16, 64 << 20, 8 << 20
 DATE = "1970-01-01T00:00:00Z"
 
 
@@ -69,14 +71,18 @@ def train(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
         return b""
 
 
+class Squeezer:
+    """Head and frames of an archive."""
+
+    def __init__(self, dictionary: bytes):
+        self.head = struct.pack("<II", SKIPPABLE_MAGIC, len(dictionary)) + dictionary
+        with_dict = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
+        self.frame = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True, **with_dict).compress
+
+
 def archive(records: Iterator[bytes], dictionary: bytes) -> bytes:
-    out = io.BytesIO()
-    out.write(struct.pack("<II", SKIPPABLE_MAGIC, len(dictionary)) + dictionary)
-    with_dict = {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
-    squeeze = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True, **with_dict)
-    for r in records:
-        out.write(squeeze.compress(r))
-    return out.getvalue()
+    squeezer = Squeezer(dictionary)
+    return b"".join([squeezer.head, *map(squeezer.frame, records)])
 
 
 def _frame_end(data: memoryview, at: int) -> int:
@@ -113,16 +119,24 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _told(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """_id, _url, _payload, _keep: what each page becomes. _keep is null, or the id of its payload's response."""
+    """_id, _url, _payload, _keep: what each page becomes. _keep is null, or the id of its payload's response.
+
+    Responses are found on digests and ids alone. Pages then meet them under one of SALTS keys of
+    their digest, so that copies of one payload spread over as many tasks, and pages too small for
+    a revisit under keys of their own.
+    """
     rows = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), F.encode(F.coalesce(F.col(html_col).cast("string"), F.lit("")), "UTF-8").alias("_payload"))
     rows = rows.withColumn("_same", F.when(F.octet_length("_payload") >= REVISIT_BYTES, F.struct(F.sha1("_payload").alias("h"), F.octet_length("_payload").alias("n"), F.xxhash64("_payload").alias("x"))))
     largest = rows.where(F.col("_same").isNotNull()).groupBy("_same").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("_same", "_keep")
-    return rows.join(largest, "_same", "left").select("_id", "_url", "_payload", "_keep")
+    spread = largest.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.when(F.col("_same").isNull(), F.lit(SALTS) + F.pmod(F.xxhash64("_id", "_url"), F.lit(1 << 30))).otherwise(F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS))).cast("int")
+    return rows.withColumn("_salt", salt).join(spread, ["_same", "_salt"], "left").select("_id", "_url", "_payload", "_keep")
 
 
 def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Archives in the folder (a URI that all executors reach): one row per file, (file, n_records, n_bytes).
 
+    A task writes its records one by one and starts a new file after FILE_BYTES.
     A null html is an empty payload, a null url has no target field, a null id no id field; copies
     of the row with the largest id are all responses; other columns are ignored.
     """
@@ -136,19 +150,30 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
         from pyarrow import fs
 
         system, path = fs.FileSystem.from_uri(folder)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = zip(*(batch.column(c).to_pylist() for c in ("_id", "_url", "_payload", "_keep")), strict=True)
-            data = archive((record(i, u, p, k, k is not None and k != i) for i, u, p, k in rows), dictionary)
-            name = f"{uuid.uuid4().hex}.warc.zst"
+        squeezer = Squeezer(dictionary)
+        rows = (row for batch in batches for row in zip(*(batch.column(c) for c in ("_id", "_url", "_payload", "_keep")), strict=True))
+        for first in rows:
+            name, n, size = f"{uuid.uuid4().hex}.warc.zst", 0, len(squeezer.head)
             with system.open_output_stream(f"{path}/{name}", compression=None) as out:
-                out.write(data)
-            yield pa.RecordBatch.from_pydict({"file": [name], "n_records": [batch.num_rows], "n_bytes": [len(data)]})
+                out.write(squeezer.head)
+                for row in chain([first], rows):
+                    i, u, p, k = (x.as_py() for x in row)
+                    frame = squeezer.frame(record(i, u, p, k, k is not None and k != i))
+                    out.write(frame)
+                    n, size = n + 1, size + len(frame)
+                    if size >= FILE_BYTES:
+                        break
+            yield pa.RecordBatch.from_pydict({"file": [name], "n_records": [n], "n_bytes": [size]})
 
     return cut(told.mapInArrow(run, "file string, n_records long, n_bytes long"))
 
 
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    names = ("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    types = (pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), types, strict=True)], list(names))
+
+
 def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     """One row per record of the files: page_id, url, payload (null for revisits), payload_bytes, payload_digest, record_type, refers_to.
 
@@ -161,7 +186,7 @@ def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for content in batch.column("content"):
-                rows = {k: [] for k in ("page_id", "url", "payload", "payload_bytes", "payload_digest", "record_type", "refers_to")}
+                rows, size = [], 0
                 for r in records_of(content.as_py()):
                     fields, payload = parse(r)
                     digest = base64.b32decode(fields["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
@@ -169,10 +194,13 @@ def read(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
                     if response and hashlib.sha1(payload).hexdigest() != digest:
                         raise ValueError(f"record {fields['WARC-Record-ID']} doesn't match its digest")
                     number = lambda k, f=fields: int(f[k]) if k in f else None
-                    for k, v in zip(rows, (number("X-Page-ID"), fields.get("WARC-Target-URI"), payload if response else None, len(payload) if response else number("X-Payload-Length"), digest, fields["WARC-Type"], number("X-Refers-To-Page-ID")), strict=True):
-                        rows[k].append(v)
-                types = (pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], list(rows))
+                    rows.append((number("X-Page-ID"), fields.get("WARC-Target-URI"), payload if response else None, len(payload) if response else number("X-Payload-Length"), digest, fields["WARC-Type"], number("X-Refers-To-Page-ID")))
+                    size += len(payload) + 200
+                    if size >= BATCH_BYTES:
+                        yield _batch(rows)
+                        rows, size = [], 0
+                if rows:
+                    yield _batch(rows)
 
     return raw.select("content").mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
