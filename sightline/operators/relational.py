@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from sightline.functions.names import fresh
 from sightline.functions.shared import checkpoint_dir
 from sightline.operators.quantiles import grouped_quantiles
 
 
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first by order, which must be total for a stable choice."""
-    return df.withColumn("_nth", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_nth = 1").drop("_nth")
+    nth = fresh("_nth", df.columns)
+    return df.withColumn(nth, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where(F.col(nth) == 1).drop(nth)
 
 
 def frame_gate(best: DataFrame, cameras: DataFrame, camera: str, frame: str, passes: Column, least: int, require_all: bool = True) -> DataFrame:
@@ -35,9 +37,9 @@ def frame_gate(best: DataFrame, cameras: DataFrame, camera: str, frame: str, pas
 
 def stride_limit(df: DataFrame, order: list[Column], stride: int, most: int) -> DataFrame:
     """Every stride-th row in order, at most most of them, with out_index from 0."""
-    nth = F.row_number().over(W.orderBy(*order)) - 1
-    kept = df.withColumn("_n", nth).where(F.pmod("_n", F.lit(stride)) == 0)
-    return kept.withColumn("out_index", F.floor(F.col("_n") / stride).cast("bigint")).where(F.col("out_index") < most).drop("_n")
+    n = fresh("_n", df.columns)
+    kept = df.withColumn(n, F.row_number().over(W.orderBy(*order)) - 1).where(F.pmod(n, F.lit(stride)) == 0)
+    return kept.withColumn("out_index", F.floor(F.col(n) / stride).cast("bigint")).where(F.col("out_index") < most).drop(n)
 
 
 def dense_index(df: DataFrame, key: str, name: str, parts: int = 64) -> DataFrame:
@@ -56,40 +58,42 @@ def dense_index(df: DataFrame, key: str, name: str, parts: int = 64) -> DataFram
 
 def runs(df: DataFrame, keys: list[str], order: Column, positive: Column) -> DataFrame:
     """Per key: number of maximal runs of positive rows, and the longest."""
+    p, run = fresh("_p", df.columns), fresh("_run", df.columns)
     w = W.partitionBy(*keys).orderBy(order)
-    marked = df.withColumn("_p", positive).withColumn("_run", F.row_number().over(w) - F.row_number().over(W.partitionBy(*keys, "_p").orderBy(order)))
-    per = marked.where("_p").groupBy(*keys, "_run").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_runs"), F.max("n").alias("longest_run"))
+    marked = df.withColumn(p, positive).withColumn(run, F.row_number().over(w) - F.row_number().over(W.partitionBy(*keys, p).orderBy(order)))
+    per = marked.where(F.col(p)).groupBy(*keys, run).agg(F.count(F.lit(1)).alias("_length"))
+    return per.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_runs"), F.max("_length").alias("longest_run"))
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, keys: list[str], t: str, right_id: str, tolerance: int | None = None) -> DataFrame:
     """Each left row with the nearest right row of its key, ties to the earlier one; one sort of the union, no pairs."""
-    a = left.withColumns({"_r": F.lit(None).cast(right.schema[t].dataType), "_id": F.lit(None).cast(right.schema[right_id].dataType), "_left": F.lit(1)})
-    b = right.select(*keys, t, F.col(t).alias("_r"), F.col(right_id).alias("_id"), F.lit(0).alias("_left"))
+    r, i, side, b_, f_, pick_ = (fresh(n, [*left.columns, *right.columns]) for n in ("_r", "_id", "_left", "_b", "_f", "_pick"))
+    a = left.withColumns({r: F.lit(None).cast(right.schema[t].dataType), i: F.lit(None).cast(right.schema[right_id].dataType), side: F.lit(1)})
+    b = right.select(*keys, t, F.col(t).alias(r), F.col(right_id).alias(i), F.lit(0).alias(side))
     both = a.unionByName(b, allowMissingColumns=True)
-    hit = F.when(F.col("_left") == 0, F.struct("_r", "_id"))
-    back = W.partitionBy(*keys).orderBy(t, "_left", F.col("_id").desc()).rowsBetween(W.unboundedPreceding, 0)
-    ahead = W.partitionBy(*keys).orderBy(F.col(t).desc(), "_left", F.col("_id").desc()).rowsBetween(W.unboundedPreceding, 0)
-    out = both.withColumns({"_b": F.last(hit, True).over(back), "_f": F.last(hit, True).over(ahead)}).where("_left = 1")
-    db, df_ = F.col(t) - F.col("_b._r"), F.col("_f._r") - F.col(t)
-    pick = F.when(F.col("_f").isNull() | (db <= df_), F.col("_b")).otherwise(F.col("_f"))
-    out = out.withColumn("_pick", pick).withColumns({"match_id": F.col("_pick._id"), "delta": F.abs(F.col(t) - F.col("_pick._r"))})
-    out = out.drop("_r", "_id", "_left", "_b", "_f", "_pick")
+    hit = F.when(F.col(side) == 0, F.struct(F.col(r).alias("at"), F.col(i).alias("id")))
+    back = W.partitionBy(*keys).orderBy(t, side, F.col(i).desc()).rowsBetween(W.unboundedPreceding, 0)
+    ahead = W.partitionBy(*keys).orderBy(F.col(t).desc(), side, F.col(i).desc()).rowsBetween(W.unboundedPreceding, 0)
+    out = both.withColumns({b_: F.last(hit, True).over(back), f_: F.last(hit, True).over(ahead)}).where(F.col(side) == 1)
+    before, after = F.col(t) - F.col(b_)["at"], F.col(f_)["at"] - F.col(t)
+    pick = F.when(F.col(f_).isNull() | (before <= after), F.col(b_)).otherwise(F.col(f_))
+    out = out.withColumn(pick_, pick).withColumns({"match_id": F.col(pick_)["id"], "delta": F.abs(F.col(t) - F.col(pick_)["at"])}).drop(r, i, side, b_, f_, pick_)
     return out.where(F.col("delta") <= tolerance) if tolerance is not None else out
 
 
 def interpolated(left: DataFrame, right: DataFrame, keys: list[str], t: str, value: str) -> DataFrame:
     """Each left row with the right value interpolated linearly at its time; null outside the right range."""
-    a = left.withColumns({"_v": F.lit(None).cast("double"), "_left": F.lit(1)})
-    b = right.select(*keys, t, F.col(value).cast("double").alias("_v"), F.lit(0).alias("_left"))
+    v, side, b_, f_ = (fresh(n, [*left.columns, *right.columns]) for n in ("_v", "_left", "_b", "_f"))
+    a = left.withColumns({v: F.lit(None).cast("double"), side: F.lit(1)})
+    b = right.select(*keys, t, F.col(value).cast("double").alias(v), F.lit(0).alias(side))
     both = a.unionByName(b, allowMissingColumns=True)
-    hit = F.when(F.col("_left") == 0, F.struct(F.col(t).alias("t"), F.col("_v").alias("v")))
-    back = W.partitionBy(*keys).orderBy(t, "_left", F.col("_v")).rowsBetween(W.unboundedPreceding, 0)
-    ahead = W.partitionBy(*keys).orderBy(F.col(t).desc(), "_left", F.col("_v").desc()).rowsBetween(W.unboundedPreceding, 0)
-    out = both.withColumns({"_b": F.last(hit, True).over(back), "_f": F.last(hit, True).over(ahead)}).where("_left = 1")
-    gap = (F.col("_f.t") - F.col("_b.t")).cast("double")
-    share = F.when(gap == 0, 0.0).otherwise((F.col(t) - F.col("_b.t")).cast("double") / gap)
-    return out.withColumn("interpolated", F.col("_b.v") + (F.col("_f.v") - F.col("_b.v")) * share).drop("_v", "_left", "_b", "_f")
+    hit = F.when(F.col(side) == 0, F.struct(F.col(t).alias("t"), F.col(v).alias("v")))
+    back = W.partitionBy(*keys).orderBy(t, side, F.col(v)).rowsBetween(W.unboundedPreceding, 0)
+    ahead = W.partitionBy(*keys).orderBy(F.col(t).desc(), side, F.col(v).desc()).rowsBetween(W.unboundedPreceding, 0)
+    out = both.withColumns({b_: F.last(hit, True).over(back), f_: F.last(hit, True).over(ahead)}).where(F.col(side) == 1)
+    gap = (F.col(f_)["t"] - F.col(b_)["t"]).cast("double")
+    share = F.when(gap == 0, 0.0).otherwise((F.col(t) - F.col(b_)["t"]).cast("double") / gap)
+    return out.withColumn("interpolated", F.col(b_)["v"] + (F.col(f_)["v"] - F.col(b_)["v"]) * share).drop(v, side, b_, f_)
 
 
 def covisible_pairs(views: DataFrame, instant: str, camera: str, domain: DataFrame) -> DataFrame:
@@ -123,10 +127,12 @@ def rebase_merge(a: DataFrame, b: DataFrame, id_col: str, multiple: int = 1) ->
 
 def fenced(df: DataFrame, key: str, value: str, factor: float = 1.5, least: int = 8) -> DataFrame:
     """Rows inside [q1 - factor iqr, q3 + factor iqr] of their group; groups under least rows stay whole."""
-    fence = grouped_quantiles(df, [key], {"_q1": (value, 0.25, "fence"), "_q3": (value, 0.75, "fence")}).withColumnRenamed("n", "_n")
-    spread = F.lit(factor) * (F.col("_q3") - F.col("_q1"))
-    keep = (F.col("_n") < least) | F.col(value).between(F.col("_q1") - spread, F.col("_q3") + spread)
-    return df.join(fence, key).where(keep).drop("_n", "_q1", "_q3")
+    fence = grouped_quantiles(df, [key], {"q1": (value, 0.25, "fence"), "q3": (value, 0.75, "fence")}).select(F.col(key).alias("_key"), F.struct("n", "q1", "q3").alias("_fence"))
+    fence = fence.withColumnsRenamed({n: fresh(n, df.columns) for n in ("_key", "_fence")})
+    k, f = fence.columns
+    spread = F.lit(factor) * (F.col(f)["q3"] - F.col(f)["q1"])
+    keep = (F.col(f)["n"] < least) | F.col(value).between(F.col(f)["q1"] - spread, F.col(f)["q3"] + spread)
+    return df.join(fence, F.col(key).eqNullSafe(F.col(k))).where(keep).select(*df.columns)
 
 
 def mad_gate(df: DataFrame, key: str, value: str, factor: float = 3.0, floor: float = 0.0) -> DataFrame:

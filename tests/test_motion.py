@@ -166,3 +166,18 @@ def test_ingest(spark, tmp_path):
     assert sorted(r.n for r in spark.read.parquet(str(tmp_path / "kept")).collect()) == [0, 1, 2, 3]
     a, b = (spark.createDataFrame([(t, v)], f"t int, {n} int") for t, v, n in ((2, 1, "image"), (1, 5, "imu")))
     assert [(r.t, r.topic, r.image, r.imu) for r in ingest.merged({"image": a, "imu": b}, "t").collect()] == [(1, "imu", None, 5), (2, "image", 1, None)]
+
+
+def test_own_columns_stay(spark):
+    """Columns named like the operators' helpers keep their values."""
+    clash = {n: F.lit(7) for n in ("_n", "_nth", "_p", "_run", "_r", "_id", "_left", "_b", "_f", "_pick", "_v", "_key", "_fence")}
+    df = spark.createDataFrame([(1, k, float(k)) for k in range(12)], "g int, t long, v double").withColumns(clash)
+    outs = [
+        R.best_per_key(df, ["g"], [F.col("t")]), R.stride_limit(df, [F.col("t")], 5, 2), R.fenced(df, "g", "v"),
+        R.nearest_in_time(df, df.where("t % 3 = 0"), ["g"], "t", "t"), R.interpolated(df, df.where("t % 3 = 0"), ["g"], "t", "v"),
+    ]
+    for out, n in zip(outs, (1, 2, 12, 12, 12), strict=True):
+        rows = out.collect()
+        assert len(rows) == n and all(r[c] == 7 for r in rows for c in clash)
+    assert [(r.match_id, r.delta) for r in outs[3].where("t in (4, 5)").orderBy("t").collect()] == [(3, 1), (6, 1)]
+    assert R.runs(df, ["g"], F.col("t"), F.col("v") != 5).first().asDict() == {"g": 1, "n_runs": 2, "longest_run": 6}
