@@ -65,26 +65,28 @@ def span_hash(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int)
     return mix(out)
 
 
-def byte_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
-    """Fingerprint of the bytes data[start:end] of each span; spans don't overlap. Another seed gives an independent one."""
-    if seed not in _places:
-        _places[seed] = mix(np.arange(_PLACES * 256, dtype=U64), 100 + seed)
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seeds: tuple[int, ...]) -> list[np.ndarray]:
+    """For each seed a fingerprint of the bytes data[start:end] of each span; spans don't overlap. Seeds give independent ones."""
+    for seed in seeds:
+        if seed not in _places:
+            _places[seed] = mix(np.arange(_PLACES * 256, dtype=U64), 100 + seed)
     length = end - start
     begin = np.cumsum(length) - length
-    n = int(length.sum())
-    out = np.zeros(len(start), U64)
+    n, some = int(length.sum()), length > 0
+    out = [np.zeros(len(start), U64) for _ in seeds]
     if n:
-        place = np.arange(n)
-        byte = data[place + np.repeat(start - begin, length)]
-        place -= np.repeat(begin, length)
-        value = _places[seed][(place & (_PLACES - 1)) << 8 | byte]
-        if length.max() > _PLACES:
-            far = np.flatnonzero(place >= _PLACES)
-            value[far] *= mix((place[far] // _PLACES).astype(U64), 200 + seed) | U64(1)
-        some = length > 0
-        out[some] = np.add.reduceat(value, begin[some])
+        place = np.arange(n, dtype=np.int32 if len(data) < 2**31 else np.int64)
+        byte = data[place + np.repeat((start - begin).astype(place.dtype), length)]
+        place -= np.repeat(begin.astype(place.dtype), length)
+        far = np.flatnonzero(place >= _PLACES) if length.max() > _PLACES else None
+        cell = (place & (_PLACES - 1)).astype(np.uint16) << np.uint16(8) | byte
+        for k, seed in enumerate(seeds):
+            value = _places[seed].take(cell)
+            if far is not None:
+                value[far] *= mix((place[far] // _PLACES).astype(U64), 200 + seed) | U64(1)
+            out[k][some] = np.add.reduceat(value, begin[some])
     with np.errstate(over="ignore"):
-        return mix(out + length.astype(U64) * U64(0xC2B2AE3D27D4EB4F), seed)
+        return [mix(x + length.astype(U64) * U64(0xC2B2AE3D27D4EB4F), seed) for x, seed in zip(out, seeds, strict=True)]
 
 
 def buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,18 +133,26 @@ class Words:
 
     def hashes(self, seed: int = 0) -> np.ndarray:
         """A fingerprint of each word."""
-        if seed not in self._known:
-            self._known[seed] = byte_hash(self.data, self.start, self.end, seed)
-        return self._known[seed]
+        return self._both((seed,))[0]
+
+    def both(self) -> list[np.ndarray]:
+        """Two independent fingerprints of each word."""
+        return self._both((0, 1))
+
+    def _both(self, seeds: tuple[int, ...]) -> list[np.ndarray]:
+        new = tuple(k for k in seeds if k not in self._known)
+        if new:
+            self._known |= dict(zip(new, byte_hashes(self.data, self.start, self.end, new), strict=True))
+        return [self._known[k] for k in seeds]
 
     def keys(self) -> np.ndarray:
         """A 128-bit fingerprint of each row's word sequence, as two columns, each from word fingerprints of its own."""
         out = np.zeros((len(self.first) - 1, 2), U64)
         some = np.diff(self.first) > 0
         place = (np.arange(len(self.start)) - np.repeat(self.first[:-1], np.diff(self.first))).astype(U64)
-        for k in (0, 1):
+        for k, word in enumerate(self.both()):
             if some.any():
-                out[some, k] = np.add.reduceat(mix(self.hashes(k) ^ mix(place, 50 + k), 60 + k), self.first[:-1][some])
+                out[some, k] = np.add.reduceat(mix(word ^ place * U64(_BASE[k]), 60 + k), self.first[:-1][some])
         return mix(out, 70)
 
 

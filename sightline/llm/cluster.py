@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sightline.functions.names import fresh  # noqa: F401  (the operators take it from here)
+from sightline.functions.shared import checkpoint_dir
 from sightline.functions.ship import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset (tests), a temporary one is set."""
-    context = spark.sparkContext
-    chosen = spark.conf.get("spark.checkpoint.dir", None)
-    now = context._jsc.sc().getCheckpointDir()
-    if chosen is None:
-        chosen = now.get() if now.isDefined() else tempfile.mkdtemp(prefix="shared-")
-    if not now.isDefined():
-        context.setCheckpointDir(chosen)
-    return chosen
+    """The folder that driver and executors share, set for checkpoints."""
+    return checkpoint_dir(spark)
 
 
 def cut(frame: DataFrame) -> DataFrame:
@@ -28,13 +21,6 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
-def fresh(name: str, taken: list[str]) -> str:
-    """The name, with underscores before it until no column has it."""
-    while name.lower() in {t.lower() for t in taken}:
-        name = f"_{name}"
-    return name
-
-
 def text_size(frame: DataFrame, column: str) -> int:
     """Characters in the column, over all rows; sizes partitions only."""
     return frame.agg(F.sum(F.length(column))).first()[0] or 0

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-from .arrays import SPACE_CUT, Words, byte_hash, code_points, spans
+from .arrays import SPACE_CUT, Words, byte_hashes, code_points, spans
 
 
 def _table(chars: bytes) -> np.ndarray:
@@ -76,7 +76,7 @@ def repeated(key: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 
 def line_hashes(lines: Lines) -> np.ndarray:
-    return byte_hash(lines.words.data, lines.start, lines.end, 2)
+    return byte_hashes(lines.words.data, lines.start, lines.end, (2,))[0]
 
 
 def word_chars(words: Words) -> np.ndarray:

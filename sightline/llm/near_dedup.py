@@ -33,14 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .arrays import ALNUM, U64, Words, buffers, lowered, mix, shingles, slabs, spans
+from .arrays import ALNUM, SPACE_CUT, U64, Words, buffers, lowered, mix, shingles, slabs, spans
 from .cluster import bounded_batches, cut, fresh
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 26, 5
 REGISTERS = BANDS * ROWS
 #: Four bits of the first COMPARED registers are compared: at similarity 0.8, 24 differ on average, with a deviation of 4.4.
-COMPARED, FAR = 128, 37
+COMPARED, FAR = 128, 43
 BLOCK = 512
 #: Bytes of the texts that a task compares at once.
 PAIR_BYTES = 1 << 20
@@ -50,9 +50,11 @@ COLUMNS, LEVELS = 2048, 4
 SLAB = 1 << 19
 
 
-def _multisets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
-    """Row, fingerprint and multiplicity of each row's distinct shingles; and the words."""
+def _multisets(data: np.ndarray, offsets: np.ndarray, keyed: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
+    """Row, fingerprint and multiplicity of each row's distinct shingles; and the words, with keyed ready for their keys."""
     words = spans(data, offsets, ALNUM)
+    if keyed:
+        words.both()
     hashes, row = shingles(words, SHINGLE)
     order = np.argsort(hashes ^ mix(row.astype(U64), 5))  # equal (row, hash) pairs stand together
     hashes, row = hashes[order], row[order]
@@ -78,18 +80,24 @@ def bagminhash(row: np.ndarray, element: np.ndarray, weight: np.ndarray, n: int,
         burst = int(np.clip(200_000 // len(doc), 1, 64))
         ticks = tick[:, None] + np.arange(burst, dtype=U64)
         a = mix(seed[:, None] ^ mix(ticks, 23), 24)
-        u = ((a >> U64(11)).astype(float) + 0.5) / 2.0**53
-        steps = -np.log(u) / rate[:, None]
-        steps[:, 0] += time
-        at = np.cumsum(steps, axis=1)  # added one by one, so that equal multisets get equal times whatever the burst
-        b = mix(a, 25)
-        slot = doc[:, None] * registers + ((b >> U64(32)) % U64(registers)).astype(np.int64)
+        at = (a >> U64(11)).astype(float)
+        at += 0.5
+        at *= 2.0**-53
+        np.log(at, out=at)
+        at /= -rate[:, None]
+        at[:, 0] += time
+        np.cumsum(at, axis=1, out=at)  # added one by one, so that equal multisets get equal times whatever the burst
         take = at <= latest[doc][:, None]
         if partial.any():
-            level_at = low[:, None] + np.floor((b & U64(0xFFFFFFFF)).astype(float) / 2.0**32 * rate[:, None])
-            take &= ~partial[:, None] | (level_at < most[:, None])
+            cut = np.flatnonzero(partial)
+            share = (mix(a[cut], 25) & U64(0xFFFFFFFF)).astype(float) / 2.0**32
+            take[cut] &= low[cut, None] + np.floor(share * rate[cut, None]) < most[cut, None]
+        # the eleven bits that the time leaves choose the register
+        slot = ((a & U64(2047)) * U64(registers) >> U64(11)).astype(np.int64)
+        slot += (doc * registers)[:, None]
         np.minimum.at(best, slot[take], at[take])
-        touched = np.unique(doc)
+        touched = np.zeros(n, bool)
+        touched[doc] = True
         latest[touched] = best.reshape(n, registers)[touched].max(axis=1)
         time, tick = at[:, -1], tick + U64(burst)
         stay = time < latest[doc]
@@ -113,14 +121,17 @@ def _key(key: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(key), [None, pa.py_buffer(np.ascontiguousarray(key).tobytes())]).cast(pa.binary())
 
 
-def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, node (16 bytes; null without words), bands and signature (packed) of every row."""
+def _sketch(docs: DataFrame, id_col: str, text_col: str, more: tuple[str, ...] = (), counted: bool = False) -> DataFrame:
+    """id, node (16 bytes; null without words), bands and signature (packed) of every row, its columns more (as _0, _1, ...), and with counted its n_words cut at white space."""
 
     def run(batches):
         for batch in batches:
             data, offsets = buffers(lowered(batch.column("_text")))
+            if counted:
+                raw, at_raw = buffers(batch.column("_text"))
+                n_words = np.concatenate([*(np.diff(spans(raw[at_raw[i] : at_raw[j]], at_raw[i : j + 1] - at_raw[i], SPACE_CUT).first) for i, j in slabs(at_raw)), np.zeros(0, np.int64)])
             for i, j in slabs(offsets, SLAB):
-                row, element, weight, words = _multisets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                row, element, weight, words = _multisets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], True)
                 key = words.keys()
                 filled = np.bincount(row, minlength=j - i) > 0
                 # equal texts of a slab are sketched once
@@ -140,13 +151,17 @@ def _sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         pa.array(np.where(filled, _key(key).to_numpy(zero_copy_only=False), None), pa.binary()),
                         pa.array([packed[size * k : size * (k + 1)] for k in back], pa.binary()),
                         pa.array([bits[k].tobytes() for k in back], pa.binary()),
+                        *(batch.column(name).slice(i, j - i) for name in kept),
+                        *([pa.array(n_words[i:j])] if counted else []),
                     ],
-                    ["_id", "node", "bands", "signature"],
+                    ["_id", "node", "bands", "signature", *kept, *(["n_words"] if counted else [])],
                 )
 
-    id_type = docs.schema[id_col].dataType.simpleString()
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return texts.mapInArrow(run, f"_id {id_type}, node binary, bands binary, signature binary")
+    kept = [f"_{k}" for k in range(len(more))]
+    types = [docs.schema[c].dataType.simpleString() for c in (id_col, *more)]
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *(F.col(c).alias(k) for c, k in zip(more, kept, strict=True)))
+    schema = f"_id {types[0]}, node binary, bands binary, signature binary" + "".join(f", {k} {x}" for k, x in zip(kept, types[1:], strict=True))
+    return texts.mapInArrow(run, schema + (", n_words long" if counted else ""))
 
 
 def text_keys(words: Words) -> np.ndarray:
@@ -307,10 +322,10 @@ def _joining_links(table: pa.Table, least: float) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
 
 
-def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float) -> tuple[DataFrame, DataFrame]:
-    """The rows' (_id, node), and (node, component) for the nodes with a link."""
+def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float, more: tuple[str, ...] = (), counted: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows' (_id, node) with what _sketch adds for more and counted, and (node, component) for the nodes with a link."""
     bounded_batches(docs.sparkSession)
-    sketch = cut(_sketch(docs, id_col, text_col))
+    sketch = cut(_sketch(docs, id_col, text_col, more, counted))
     nodes = sketch.where(F.col("node").isNotNull()).groupBy("node").agg(F.any_value("bands").alias("bands"))
 
     def split(batches):
@@ -347,12 +362,13 @@ def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float)
     if not more.isEmpty():
         # the components so far are stars around their smallest nodes
         labels = components(more.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a != b")))
-    return sketch.select("_id", "node"), labels
+    return sketch.drop("bands", "signature"), labels
 
 
-def linked_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """(node, component) for the text keys that have a near duplicate."""
-    return _rows_and_labels(docs, id_col, text_col, least)[1]
+def counted_classes(docs: DataFrame, id_col: str, text_col: str, more: str, least: float = SIMILARITY) -> DataFrame:
+    """_id, the column more as _0, n_words (cut at white space) and cluster of every row: a key that exactly the texts of its near-duplicate class have, null without words."""
+    rows, labels = _rows_and_labels(docs, id_col, text_col, least, (more,), True)
+    return rows.join(labels, "node", "left").select("_id", "_0", "n_words", F.coalesce("component", "node").alias("cluster"))
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:

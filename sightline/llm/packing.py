@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .arrays import ALNUM, SPACE_CUT, buffers, lowered, slabs, spans
 from .cluster import bounded_batches
-from .near_dedup import linked_texts, text_keys
+from .near_dedup import counted_classes, text_keys
 
 CAPACITY, SHARD_PIECES = 2048, 4000
 _STEP = 128
@@ -106,10 +106,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     other columns are ignored.
     """
     bounded_batches(docs.sparkSession)
-    measured = _measured(docs, id_col, text_col, source_col)
-    if near:
-        linked = linked_texts(docs, id_col, text_col).withColumnRenamed("node", "cluster")
-        measured = measured.join(linked, "cluster", "left").withColumn("cluster", F.coalesce("component", "cluster")).drop("component")
+    measured = counted_classes(docs, id_col, text_col, source_col).withColumnRenamed("_0", "_source") if near else _measured(docs, id_col, text_col, source_col)
     last = F.greatest(F.lit(0), F.ceil(F.col("n_words") / capacity) - 1).cast("int")
     pieces = measured.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
     pieces = pieces.withColumn("start_word", F.col("piece").cast("long") * capacity)

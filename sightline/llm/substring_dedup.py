@@ -24,6 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sightline.functions.ship import ship
+
 from .arrays import SPACE_CUT, U64, buffers, mix, slabs, span_hash, spans, windows
 from .cluster import text_size
 
@@ -66,8 +68,9 @@ class Group:
         for i, j in slabs(offsets):
             cut = spans(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], SPACE_CUT)
             start, _ = windows(cut.first, size)
-            high.append(span_hash(cut.hashes(0), start, start + size, 1))
-            low.append(span_hash(cut.hashes(1), start, start + size, 2))
+            first, second = cut.both()
+            high.append(span_hash(first, start, start + size, 1))
+            low.append(span_hash(second, start, start + size, 2))
             self.parts.append((cut, start))
         self.high = np.concatenate([*high, np.zeros(0, U64)])
         self.low = np.concatenate([*low, np.zeros(0, U64)])
@@ -227,6 +230,7 @@ def remove_repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Equality of windows is equality of 128-bit fingerprints, whose halves come from two independent
     fingerprints of each word.
     """
+    ship(docs.sparkSession)
     chars = text_size(docs, text_col)
     groups = max(8, -(-chars // GROUP_CHARS))
     parts = -(-groups // GROUPS_PER_PARTITION)
