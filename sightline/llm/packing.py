@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import ALNUM, SPACE_CUT, buffers, lowered, slabs, spans
-from .cluster import bounded_batches
+from .cluster import bounded_batches, cut
 from .near_dedup import counted_classes, text_keys
 
 CAPACITY, SHARD_PIECES = 2048, 4000
@@ -107,11 +107,13 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """
     bounded_batches(docs.sparkSession)
     measured = counted_classes(docs, id_col, text_col, source_col).withColumnRenamed("_0", "_source") if near else _measured(docs, id_col, text_col, source_col)
+    measured = cut(measured)
     last = F.greatest(F.lit(0), F.ceil(F.col("n_words") / capacity) - 1).cast("int")
     pieces = measured.withColumn("piece", F.explode(F.sequence(F.lit(0), last)))
     pieces = pieces.withColumn("start_word", F.col("piece").cast("long") * capacity)
     pieces = pieces.withColumn("size", F.least(F.col("n_words") - F.col("start_word"), F.lit(capacity).cast("long")))
-    shards = max(1, -(-docs.count() // SHARD_PIECES))
+    n_pieces = measured.agg(F.sum(F.greatest(F.lit(1), F.ceil(F.col("n_words") / capacity)))).first()[0] or 0
+    shards = max(1, -(-int(n_pieces) // SHARD_PIECES))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("_id", "piece", "cluster"), F.lit(shards)).cast("int"))
 
     def run(table: pa.Table) -> pa.Table:

@@ -77,3 +77,50 @@ def test_query(spark, tables, name):
         order = [[d[0] for d in want.description].index(c) for c in COLUMNS[name]]
         assert sorted(map(tuple, rows), key=repr) == sorted((tuple(x[k] for k in order) for x in want.fetchall()), key=repr)
         assert rows
+
+
+@pytest.fixture(scope="module")
+def empty_tables(spark, tables, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("none")
+    for name in ("documents", "labels", "benchmark", "pages"):
+        spark.read.parquet(f"{tables}/{name}.parquet").limit(0).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", [*COLUMNS, "pipeline"])
+def test_empty(spark, empty_tables, name):
+    assert registry.queries()[name](spark, empty_tables).count() == 0
+
+
+def test_pipeline_without_n_chars(spark, tables, tmp_path):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    docs.drop("n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    bins = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r.doc_id for r in bins.collect()} <= {r.doc_id for r in docs.collect()}
+
+
+def test_packing_takes_the_tightest_free_bin():
+    """Against a search over all bins, on random pieces with conflicts."""
+    from sightline.llm.packing import pack_shard
+
+    for seed in range(20):
+        r = random.Random(seed)
+        pieces = sorted(((r.randint(0, 60), r.choice([None, *range(6)]), r.choice([None, *range(9)])) for _ in range(150)), key=lambda p: -p[0])
+        got = pack_shard(*(list(x) for x in zip(*pieces, strict=True)), 100)
+        left, sources, clusters = [], [], []
+        for (size, s, c), at in zip(pieces, got, strict=True):
+            fit = [k for k in range(len(left)) if left[k] >= size and (left[k] > 0 or not size) and (s is None or s not in sources[k]) and (c is None or c not in clusters[k])]
+            if at == len(left):
+                assert not [k for k in fit if left[k] > 0]
+                left.append(100)
+                sources.append(set())
+                clusters.append(set())
+            else:
+                assert at in fit and left[at] == min(left[k] for k in fit if left[k] > 0 or not size)
+            left[at] -= size
+            sources[at].add(s)
+            clusters[at].add(c)
