@@ -163,12 +163,6 @@ def view_poses(spark, sf):
     return out.select(n.alias("view_id"), *(F.round(F.get("translation", F.lit(i)) + 0.0, 4).alias(f"t{a}") for i, a in enumerate("xyz")), (F.col("median_error") < 1e-6).alias("small_error"))
 
 
-@query()
-def rotation_mean_svd(spark, sf):
-    """The mean rotation of each group, as the rotation nearest to the sum of its matrices."""
-    return K.mean_rotation_svd(vec4(spark, sf), "label", ["a", "b", "c", "d"])
-
-
 @query(f"WITH {RASTER} SELECT count(*) AS n, round(min((x - 25) * v / 100.0), 6) AS lx, round(max((y - 5) * v / 100.0), 6) AS hy, round(avg(v + 2.0), 6) AS mz FROM g WHERE v > 0")
 def depth_cloud(spark, sf):
     """Points of a depth raster, moved by a pose."""

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sightline.functions import kernels as K
+from sightline.functions import poses as P
 from sightline.functions import scalars as S
 from sightline.operators import relational as R
 from sightline.plans.catalog import E4, PIN, QUERIES, SQL, n_rows, query, r6, t, vec4
@@ -37,10 +40,10 @@ def even_sample(spark, sf):
     return e.where(F.array_contains(marks, F.col("i"))).select("user_id", "event_id")
 
 
-@query()
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders ORDER BY md5(concat(o_orderkey, ':7')), o_orderkey LIMIT 100")
 def seeded_sample(spark, sf):
     """100 orders by hash order: the same rows in every run, without a sort of the table."""
-    return t(spark, sf, "orders").orderBy(F.xxhash64("o_orderkey", F.lit(7)), "o_orderkey").limit(100)
+    return t(spark, sf, "orders").orderBy(F.md5(F.concat(F.col("o_orderkey").cast("string"), F.lit(":7")).cast("binary")), "o_orderkey").limit(100)
 
 
 RASTER = "g AS (SELECT CAST(floor(l_quantity) AS BIGINT) AS x, CAST(round(l_discount * 100) AS BIGINT) AS y, count(*) AS v FROM lineitem GROUP BY ALL)"
@@ -116,21 +119,43 @@ def vector_consensus(spark, sf):
     return score.withColumn("_n", F.row_number().over(W.partitionBy("label").orderBy(F.desc("votes"), "cost", "hyp"))).where("_n = 1").select("label", "hyp", "votes")
 
 
-@query()
+def turned(spark, sf):
+    """Each vector turns a fixed rotation a little, once either way, so that the group's mean is the fixed one."""
+    fixed = (F.lit(0.0), F.lit(0.0), F.lit(math.sin(0.3)), F.lit(math.cos(0.3)))
+    small = P.unit((F.col("a") * F.col("way"), F.col("b") * F.col("way"), F.col("c") * F.col("way"), F.lit(1.0)))
+    both = vec4(spark, sf).withColumn("way", F.explode(F.array(F.lit(0.4), F.lit(-0.4))))
+    return both.select("label", *(c.alias(k) for k, c in zip("abcd", P.multiply(fixed, small), strict=True)))
+
+
+@query("SELECT label, 0.0::DOUBLE AS qx, 0.0::DOUBLE AS qy, round(sin(0.3), 6) AS qz, round(cos(0.3), 6) AS qw FROM embeddings GROUP BY label")
 def rotation_mean(spark, sf):
-    return K.mean_rotation(vec4(spark, sf), "label", ["a", "b", "c", "d"])
+    m = K.mean_rotation(turned(spark, sf), "label", ["a", "b", "c", "d"])
+    return m.select("label", *((F.round(k, 6) + 0.0).alias(k) for k in ("qx", "qy", "qz", "qw")))
+
+
+@query("SELECT label, round(cos(0.6), 6) AS m00, round(-sin(0.6), 6) AS m01, round(sin(0.6), 6) AS m10, 1.0::DOUBLE AS m22 FROM embeddings GROUP BY label")
+def rotation_mean_svd(spark, sf):
+    """The mean rotation of each group, as the rotation nearest to the sum of its matrices."""
+    m = K.mean_rotation_svd(turned(spark, sf), "label", ["a", "b", "c", "d"])
+    return m.select("label", *(F.round(F.get("rotation", F.lit(k)), 6).alias(n) for k, n in ((0, "m00"), (1, "m01"), (3, "m10"), (8, "m22"))))
 
 
-@query()
+@query("SELECT label, round(-0.5 / sqrt(1.29), 6) AS nx, round(0.2 / sqrt(1.29), 6) AS ny, round(1 / sqrt(1.29), 6) AS nz FROM embeddings GROUP BY label")
 def plane_normals(spark, sf):
-    return K.plane_normal(vec4(spark, sf), "label", ["a", "b", "c"])
+    """Normals of points on a plane, with as much noise to one side as to the other."""
+    e = vec4(spark, sf).withColumn("side", F.explode(F.array(F.lit(1.0), F.lit(-1.0))))
+    off = F.col("side") * 0.01 * F.col("d")
+    on = e.select("label", (F.col("a") - 0.5 * off).alias("a"), (F.col("b") + 0.2 * off).alias("b"), (0.5 * F.col("a") - 0.2 * F.col("b") + 1 + off).alias("c"))
+    return K.plane_normal(on, "label", ["a", "b", "c"]).select("label", *(r6(F.col(k), k) for k in ("nx", "ny", "nz")))
 
 
-@query()
+@query("SELECT label, 2.0::DOUBLE AS scale, 0.0::DOUBLE AS m00, -1.0::DOUBLE AS m01, 1.0::DOUBLE AS m10, 1.0::DOUBLE AS m22, 1.0::DOUBLE AS tx, -3.0::DOUBLE AS ty, 5.0::DOUBLE AS tz FROM embeddings GROUP BY label")
 def similarity_alignment(spark, sf):
     """Recovers, per group, the transform between the vectors and a scaled, turned, moved copy."""
     e = vec4(spark, sf)
-    return K.umeyama(e.withColumns({"x": -2 * F.col("b") + 1, "y": 2 * F.col("a") - 3, "z": 2 * F.col("c") + 5}), "label", ["a", "b", "c"], ["x", "y", "z"])
+    u = K.umeyama(e.withColumns({"x": -2 * F.col("b") + 1, "y": 2 * F.col("a") - 3, "z": 2 * F.col("c") + 5}), "label", ["a", "b", "c"], ["x", "y", "z"])
+    rotation = (F.round(F.get("rotation", F.lit(k)), 6) + 0.0 for k in (0, 1, 3, 8))
+    return u.select("label", r6(F.col("scale"), "scale"), *(c.alias(n) for n, c in zip(("m00", "m01", "m10", "m22"), rotation, strict=True)), *(r6(F.get("translation", F.lit(k)), f"t{n}") for k, n in enumerate("xyz")))
 
 
 @query(f"WITH {E4}, u AS (SELECT vec_id, a, b, 1 + abs(c) AS z FROM e), q AS (SELECT vec_id, a, b, sqrt(a * a + b * b) AS r, atan2(sqrt(a * a + b * b), z) AS th FROM u) SELECT vec_id, round(500 * (th * (1 + 0.1 * th * th)) / r * a + 320, 6) AS px, round(500 * (th * (1 + 0.1 * th * th)) / r * b + 240, 6) AS py FROM q WHERE r > 0")
