@@ -155,7 +155,7 @@ def view_pose(df: DataFrame, key: str, point: list[str], pixel: list[str], least
         pdf = pdf.sort_values([*point, *pixel])
         x, uv = pdf[point].to_numpy(float), pdf[pixel].to_numpy(float)
         rng, best = np.random.default_rng(7), np.zeros(len(x), bool)
-        empty = pd.DataFrame({key: [], "rotation": [], "translation": [], "inliers": [], "median_error": []})
+        empty = pd.DataFrame({key: pdf[key].iloc[:0], "rotation": pd.Series(dtype=object), "translation": pd.Series(dtype=object), "inliers": pd.Series(dtype="int32"), "median_error": pd.Series(dtype=float)})
         if len(x) < least:
             return empty
 

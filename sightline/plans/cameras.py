@@ -139,27 +139,27 @@ def accuracy_trials(spark, sf):
     return q.crossJoin(F.broadcast(e.agg(F.round(F.avg("e"), 7).alias("mean")))).select(F.col("n").alias("trials"), "mean", F.round("m", 7).alias("upper_median"))
 
 
-@query("SELECT c_nationkey AS view_id, 1.2::DOUBLE AS h00, round(CAST(0.1 + 0.01 * c_nationkey AS DOUBLE), 5) AS h01, 3.0::DOUBLE AS h02, 0.05::DOUBLE AS h20 FROM (SELECT c_nationkey FROM customer GROUP BY c_nationkey HAVING count(*) >= 4)")
+@query("SELECT view AS view_id, 1.2::DOUBLE AS h00, round(CAST(0.1 + 0.01 * view AS DOUBLE), 5) AS h01, 3.0::DOUBLE AS h02, 0.05::DOUBLE AS h20 FROM (SELECT DISTINCT o_custkey % 10 AS view FROM orders)")
 def homographies(spark, sf):
     """The homography of each group of point pairs, recovered from points that one maps."""
-    n = F.col("c_nationkey")
-    c = t(spark, sf, "customer").select(n, (F.col("c_custkey") % 7).cast("double").alias("x"), (F.floor(F.col("c_custkey") / 7) % 5).cast("double").alias("y"))
+    n = F.col("view")
+    c = t(spark, sf, "orders").select((F.col("o_custkey") % 10).alias("view"), "o_orderkey").select(n, (F.col("o_orderkey") % 7).cast("double").alias("x"), (F.floor(F.col("o_orderkey") / 7) % 5).cast("double").alias("y"))
     w = 0.05 * F.col("x") + 0.02 * F.col("y") + 1
     c = c.withColumns({"u": (1.2 * F.col("x") + (0.1 + 0.01 * n) * F.col("y") + 3) / w, "v": (-0.2 * F.col("x") + 0.9 * F.col("y") - 1) / w})
-    h = K.homography(c, "c_nationkey", ["x", "y"], ["u", "v"])
+    h = K.homography(c, "view", ["x", "y"], ["u", "v"])
     return h.select(n.alias("view_id"), *(F.round(F.get("h", F.lit(k)), 5).alias(f"h{k // 3}{k % 3}") for k in (0, 1, 2, 6)))
 
 
-@query("SELECT c_nationkey AS view_id, 0.1::DOUBLE AS tx, -0.2::DOUBLE AS ty, round(CAST(4 + c_nationkey * 0.1 AS DOUBLE), 4) AS tz, true AS small_error FROM (SELECT c_nationkey FROM customer GROUP BY c_nationkey HAVING count(*) >= 30)")
+@query("SELECT view AS view_id, 0.1::DOUBLE AS tx, -0.2::DOUBLE AS ty, round(CAST(4 + view * 0.1 AS DOUBLE), 4) AS tz, true AS small_error FROM (SELECT DISTINCT o_custkey % 10 AS view FROM orders)")
 def view_poses(spark, sf):
     """Poses of views from point and pixel pairs, one pair in ten of which is wrong."""
-    n, k = F.col("c_nationkey"), F.col("c_custkey")
+    n, k = F.col("view"), F.col("o_orderkey")
     x, y, z = (k % 7).cast("double") / 4 - 0.7, (F.floor(k / 7) % 5).cast("double") / 4 - 0.5, (F.floor(k / 35) % 3).cast("double") / 3
-    c = t(spark, sf, "customer").select(n, k, x.alias("x"), y.alias("y"), z.alias("z"))
+    c = t(spark, sf, "orders").select((F.col("o_custkey") % 10).alias("view"), "o_orderkey").select(n, k, x.alias("x"), y.alias("y"), z.alias("z"))
     zc = F.col("z") + 4 + n * 0.1
     wrong = F.when(F.floor(k / 25) % 10 == 0, 0.3).otherwise(0.0)
     c = c.withColumns({"u": (F.col("x") + 0.1) / zc + wrong, "v": (F.col("y") - 0.2) / zc})
-    out = K.view_pose(c, "c_nationkey", ["x", "y", "z"], ["u", "v"], least=30)
+    out = K.view_pose(c, "view", ["x", "y", "z"], ["u", "v"], least=30)
     return out.select(n.alias("view_id"), *(F.round(F.get("translation", F.lit(i)) + 0.0, 4).alias(f"t{a}") for i, a in enumerate("xyz")), (F.col("median_error") < 1e-6).alias("small_error"))
 
 
