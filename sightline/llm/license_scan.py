@@ -22,6 +22,8 @@ from .arrays import ALNUM, U64, buffers, lowered, slabs, span_hash, spans, windo
 from .cluster import bounded_batches
 
 SHINGLE, CONTAINMENT, REGISTERS = 5, 0.8, 24
+#: Slots that tell which values may be in a band.
+MARKS = 1 << 16
 
 # Wording of public license notices.
 TEMPLATES = {
@@ -65,13 +67,17 @@ class Templates:
             if b > a:
                 self.by_size.setdefault(int(b - a), []).append((name, np.unique(hashes[a:b])))
         # the index: for each block size and register the templates' minima in order, and whose they are
-        self.index: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.index: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
         self.known = [(name, h) for group in self.by_size.values() for name, h in group]
         steps = np.array([max(1, n // 4) for n, group in self.by_size.items() for _ in group], np.int64)
         for step in np.unique(steps).tolist():
             mine = np.flatnonzero(steps == step)
             bands = [np.array([_register(self.known[k][1], r).min() for k in mine], U64) for r in range(REGISTERS)]
-            self.index[step] = [(band[order], mine[order]) for band, order in ((band, np.argsort(band)) for band in bands)]
+            self.index[step] = []
+            for band in bands:
+                order, marks = np.argsort(band), np.zeros(MARKS, bool)
+                marks[band & U64(MARKS - 1)] = True
+                self.index[step].append((marks, band[order], mine[order]))
 
     def search(self, data: np.ndarray, offsets: np.ndarray, least: float) -> dict[tuple[int, str], tuple[float, int]]:
         """(row, template) -> containment in the whole row and the first word of the shortest stretch that has all of it."""
@@ -88,12 +94,11 @@ class Templates:
         for r in range(REGISTERS):
             value = _register(hashes, r)
             for step, (start, row) in blocks.items():
-                band, whose = self.index[step][r]
+                marks, band, whose = self.index[step][r]
                 low = value if step == 1 else np.minimum.reduceat(value, start)
-                at = np.searchsorted(band, low)
-                hit = np.flatnonzero(band[np.minimum(at, len(band) - 1)] == low)
-                last = np.searchsorted(band, low[hit], "right")
-                for a, b, w in zip(at[hit].tolist(), last.tolist(), row[hit].tolist(), strict=True):
+                maybe = np.flatnonzero(marks[low & U64(MARKS - 1)])
+                begin, end = (np.searchsorted(band, low[maybe], side) for side in ("left", "right"))
+                for a, b, w in zip(begin.tolist(), end.tolist(), row[maybe].tolist(), strict=True):
                     candidates.update((w, k) for k in whose[a:b].tolist())
         found: dict[tuple[int, str], tuple[float, int]] = {}
         for w, k in sorted(candidates):

@@ -109,7 +109,7 @@ def test_packing_takes_the_tightest_free_bin():
 
     for seed in range(20):
         r = random.Random(seed)
-        pieces = sorted(((r.randint(0, 60), r.choice([None, *range(6)]), r.choice([None, *range(9)])) for _ in range(150)), key=lambda p: -p[0])
+        pieces = sorted(((r.randint(1, 60), r.choice([None, *range(6)]), r.choice([None, *range(9)])) for _ in range(150)), key=lambda p: -p[0])
         got = pack_shard(*(list(x) for x in zip(*pieces, strict=True)), 100)
         left, sources, clusters = [], [], []
         for (size, s, c), at in zip(pieces, got, strict=True):
