@@ -202,3 +202,16 @@ def lowered(column: pa.Array | pa.ChunkedArray) -> pa.Array:
 def code_points(data: np.ndarray) -> np.ndarray:
     """Where a code point starts."""
     return (data & 0xC0) != 0x80
+
+
+def joined(words: Words, stay: np.ndarray) -> list[str]:
+    """Each row's words that stay, joined by one space."""
+    # each word and one space after it, in one buffer; the rows are cut from it
+    begin, length = words.start[stay], (words.end - words.start)[stay]
+    put = np.concatenate(([0], np.cumsum(length + 1)))
+    out = np.full(int(put[-1]), 0x20, np.uint8)
+    source = np.arange(int(length.sum())) + np.repeat(begin - (np.cumsum(length) - length), length)
+    out[np.arange(len(source)) + np.repeat(np.arange(len(length)), length)] = words.data[source]
+    text = out.tobytes()
+    edge = put[np.concatenate(([0], np.cumsum(stay)))[words.first]]
+    return [text[a : max(a, b - 1)].decode() for a, b in zip(edge, edge[1:], strict=False)]

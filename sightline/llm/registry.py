@@ -99,6 +99,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the number of runs, the longest one (ties: smallest start, then period; nulls without runs) and the digests of all runs and of the collapsed words, per row of documents. Tails of a tenth of the texts are made periodic first. Null and wordless texts have no runs and the digests of nothing."""
+    from .periodic_runs import find_runs, with_periodic_tails
+
+    out = find_runs(with_periodic_tails(_table(spark, sf_dir, "documents")))
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"), r["length"].alias("length")))), 1)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    out = out.withColumn("best", F.when(F.size("runs") > 0, best))
+    return out.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def _secret_sql() -> str:
     from .secret_scan import ADDED, BASE
 
@@ -192,6 +208,34 @@ SELECT doc_id, license, containment, first AS start_word FROM e JOIN f USING (do
 """
 
 
+def _runs_sql(levels: int = 16) -> str:
+    """Runs of period q as islands: the windows of 2**k words with 2**(k - 1) < q <= 2**k next recur after exactly q words. Texts of up to 2**(levels + 1) words."""
+    hashes = "l0 AS (SELECT doc_id, i, hash(word) AS h FROM p)"
+    for k in range(1, levels):
+        half = 1 << (k - 1)
+        hashes += f",\nl{k} AS (SELECT doc_id, i, hash(h, m) AS h FROM (SELECT doc_id, i, h, lead(h, {half}) OVER (PARTITION BY doc_id ORDER BY i) AS m FROM l{k - 1}) WHERE m IS NOT NULL)"
+    lags = " UNION ALL ".join(
+        f"SELECT doc_id, i, {1 << k} AS size, d FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id, h ORDER BY i) - i AS d FROM l{k}) WHERE d <= {1 << k} AND 2 * d > {1 << k}" for k in range(levels)
+    )
+    return rf"""
+WITH b AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+  xor(list_reduce(flatten(list_transform(range(length(CAST(doc_id AS VARCHAR))), lambda i: list_concat([CAST(ascii(CAST(doc_id AS VARCHAR)[i + 1]) AS BIGINT)], list_transform(range(8), lambda j: CAST(-1 AS BIGINT))))),
+    lambda acc, x: CASE WHEN x >= 0 THEN xor(acc, x) ELSE xor(acc >> 1, CASE WHEN acc & 1 = 1 THEN 3988292384 ELSE 0 END) END, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT)) AS h FROM documents),
+a AS (SELECT doc_id, w, h, CAST(len(w) AS BIGINT) AS n, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g FROM b),
+d AS (SELECT doc_id, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: w[(CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END) + 1]) ELSE w END AS w FROM a),
+p AS MATERIALIZED (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word FROM d),
+{hashes},
+g AS ({lags}),
+e AS (SELECT doc_id, i, size, d, i - row_number() OVER (PARTITION BY doc_id, d ORDER BY i) AS island FROM g),
+r AS MATERIALIZED (SELECT doc_id, CAST(min(i) AS BIGINT) AS start, CAST(count(*) + d + any_value(size) - 1 AS BIGINT) AS length, CAST(d AS BIGINT) AS period FROM e GROUP BY doc_id, d, island HAVING count(*) + d + any_value(size) - 1 >= greatest(6, 4 * d)),
+t AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS lines, first(start ORDER BY length DESC, start, period) AS start, first(length ORDER BY length DESC, start, period) AS length, first(period ORDER BY length DESC, start, period) AS period FROM r GROUP BY doc_id),
+x AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM p ANTI JOIN x USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN t USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bins of the documents that all stages keep."""
     import corpus_pipeline
@@ -211,9 +255,10 @@ def queries() -> dict[str, Query]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_near_dedup": op9_near_dedup,
         "op10_quality_rules": op10_quality_rules,
+        "op11_periodic_runs": op11_periodic_runs,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secret_scan": _secret_sql(), "op5_warc": OP5_SQL, "op8_substring_dedup": OP8_SQL, "op9_near_dedup": OP9_SQL, "op7_decontaminate": OP7_SQL, "op6_license_scan": _license_sql()}
+    return {"op2_secret_scan": _secret_sql(), "op5_warc": OP5_SQL, "op8_substring_dedup": OP8_SQL, "op9_near_dedup": OP9_SQL, "op7_decontaminate": OP7_SQL, "op6_license_scan": _license_sql(), "op11_periodic_runs": _runs_sql()}

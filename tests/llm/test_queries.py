@@ -21,6 +21,7 @@ COLUMNS = {
     "op8_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op9_near_dedup": ["doc_id", "class_id"],
     "op10_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"],
+    "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
