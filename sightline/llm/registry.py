@@ -115,6 +115,30 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, length and digest of each piece, its document's ids, its sequence and its place there, for all documents in sequences of at most 2,048 ids. A null or empty text is one piece of one id; repeated rows are each a document."""
+    import public_tokenizers
+
+    from .token_packing import pack_tokens
+
+    out = pack_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, component, n, deviation, whitened, explained and identity_error, per usable row of embeddings and component. Rows with a null vector or null or non-finite entries have no rows; whitened is null for a component without variance; deviation is null beyond 63 bits."""
+    from .whitening import fit_whitening, identity_error, whiten
+
+    fit = fit_whitening(_table(spark, sf_dir, "embeddings"))
+    explained = [float(v / fit.trace) if fit.trace > 0 else 0.0 for v in fit.values]
+    parts = F.posexplode(F.zip_with("whitened", F.array(*map(F.lit, explained)).cast("array<double>"), lambda w, e: F.struct(w.alias("whitened"), e.alias("explained")))).alias("at", "v")
+    out = whiten(fit).select("vec_id", F.col("deviation").try_cast("long").alias("deviation"), parts)
+    return out.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(fit.n).cast("long").alias("n"), "deviation", F.col("v.whitened").alias("whitened"),
+        F.col("v.explained").alias("explained"), F.lit(identity_error(fit)).alias("identity_error"),
+    )
+
+
 def _secret_sql() -> str:
     from .secret_scan import ADDED, BASE
 
@@ -256,6 +280,8 @@ def queries() -> dict[str, Query]:
         "op9_near_dedup": op9_near_dedup,
         "op10_quality_rules": op10_quality_rules,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_first_fit_packing": op12_first_fit_packing,
+        "op13_embedding_whitening": op13_embedding_whitening,
         "pipeline": pipeline,
     }
 

@@ -22,6 +22,7 @@ COLUMNS = {
     "op9_near_dedup": ["doc_id", "class_id"],
     "op10_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"],
     "op11_periodic_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
+    "op12_first_fit_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
 }
 
 
@@ -63,7 +64,7 @@ def test_query(spark, tables, name):
     assert got.columns == COLUMNS[name]
     rows = got.collect()
     n = {"documents": spark.read.parquet(f"{tables}/documents.parquet").count(), "pages": 22}
-    if name not in ("op4_best_fit_packing", "op6_license_scan", "op7_decontaminate"):
+    if name not in ("op4_best_fit_packing", "op12_first_fit_packing", "op6_license_scan", "op7_decontaminate"):
         assert len(rows) == n["pages" if name in ("op3_html_text", "op5_warc") else "documents"]
     if name == "op1_quality_classifier":
         assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and r.predicted == int(r.score >= 0.7) and 0 <= r.score <= 1 for r in rows)
