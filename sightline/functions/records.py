@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Residual columns by precedence, and the suffixes that also mark one.
-RESIDUAL_KEYS = ("residual_px", "reprojection_error_px", "error_px", "final_error_px", "residual_norm_px")
+RESIDUAL_KEYS = ("residual_px", "after_residual_px", "residual_norm_px", "reprojection_error_px", "reprojection_residual_px", "error_px", "norm_px", "after_error_px")
 RESIDUAL_SUFFIXES = ("_residual_px", "_error_px", "_norm_px")
 WORKERS = ("w1", "w2", "w3", "w4")
 
@@ -150,12 +148,29 @@ def size_or(pair: Column, width: Column, height: Column, default_width: float, d
     return F.when((a > 0) & (b > 0), struct(a, b)).when((width > 0) & (height > 0), struct(width, height)).otherwise(struct(F.lit(default_width), F.lit(default_height)))
 
 
-def accepted_parameters(mode: Column, pose_accepted: Column, limits: list[tuple[str, Column, float]]) -> Column:
-    """fixed, pose_not_accepted, the first limit that is exceeded (one not positive is off), or accepted."""
-    checks = [(value > most) | value.isNull() for _, value, most in limits if most > 0]
-    names = [name for name, _, most in limits if most > 0]
-    start = F.when(mode == "fixed", "fixed").when(~F.coalesce(pose_accepted, F.lit(False)), "pose_not_accepted")
-    return reduce(lambda acc, x: acc.when(x[0], x[1]), zip(checks, names, strict=True), start).otherwise("accepted")
+def accepted_parameters(mode: Column, pose_accepted: Column, focal: Column, principal: Column, distortion: Column, limits: tuple[float, float, float]) -> Column:
+    """struct(decision, reason): refined parameters are kept if the pose was accepted and no delta exceeds its limit; a limit that is not positive is off, that of distortion counts in mode per_camera_opencv5 only, and a null delta exceeds."""
+    within = [F.coalesce(value <= most, F.lit(False)) if most > 0 else F.lit(True) for value, most in zip((focal, principal, distortion), limits, strict=True)]
+    kept = within[0] & within[1] & ((mode != "per_camera_opencv5") | within[2])
+    said = lambda decision, reason: F.struct(F.lit(decision).alias("decision"), F.lit(reason).alias("reason"))
+    return (
+        F.when(mode == "fixed", said("fixed_prior", "intrinsics_refine_mode_fixed"))
+        .when(~F.coalesce(pose_accepted, F.lit(False)), said("pose_prior_intrinsics_prior", "pose_not_accepted"))
+        .when(kept, said("accepted_refined", "passes_acceptance_gate"))
+        .otherwise(said("rejected_to_prior", "intrinsic_delta_exceeds_acceptance_gate"))
+    )
+
+
+def session_reason(exists: Column, count: Column, contiguous: Column, short: Column, most_short: int) -> Column:
+    """Why a session's camera is usable (ok, tail_trim_k) or not, by precedence."""
+    return (
+        F.when(~exists, "image_dir_missing")
+        .when(count == 0, "no_images")
+        .when(~F.coalesce(contiguous, F.lit(False)), "non_contiguous_or_missing_interior_frames")
+        .when(short == 0, "ok")
+        .when(short <= most_short, F.concat(F.lit("tail_trim_"), short.cast("string")))
+        .otherwise("short_sequence_not_tail_trim")
+    )
 
 
 def tier(n: Column, strong: int, usable: int) -> Column:

@@ -158,15 +158,13 @@ def residual_files(spark, sf):
 @query("SELECT vec_id // 50 AS n_file, CAST(count(*) AS BIGINT) AS points, round(sum(CAST(embedding[1] AS DOUBLE)), 4) AS total FROM embeddings GROUP BY ALL")
 def cloud_files(spark, sf):
     """Point clouds as OBJ vertices, one folder for each 50 points, discovered and read."""
-    e = t(spark, sf, "embeddings").select((F.floor(F.col("vec_id") / 50)).alias("k"), *(_V(k).alias(n) for k, n in ((1, "x"), (2, "y"), (3, "z"))))
+    e = t(spark, sf, "embeddings").select(F.floor(F.col("vec_id") / 50).alias("k"), *(_V(k).alias(n) for k, n in ((1, "x"), (2, "y"), (3, "z"))))
     base = folder(spark, "")
-    for k in range(10):
-        files.write_obj(e.where(F.col("k") == k), f"{base}2024_01_0{k}/cam{k}")
+    files.write_obj(e.withColumns({"time": (F.col("k") % 7).cast("string"), "cam": F.col("k")}), base, ["time", "cam"])
     found = files.discover(spark, base, r"\.txt$")
     rows = spark.read.option("recursiveFileLookup", True).text(base).select(F.col("_metadata.file_path").alias("file"), F.split("value", " ").alias("v"))
-    camera = F.regexp_extract(F.col("file"), "/cam([0-9])/", 1)
-    per = rows.groupBy(camera.cast("bigint").alias("n_file")).agg(n_rows("points"), F.round(F.sum(F.get("v", F.lit(1)).cast("double")), 4).alias("total"))
-    return per.join(found.select(F.regexp_extract("camera", "([0-9])$", 1).cast("bigint").alias("n_file")).distinct(), "n_file")
+    per = rows.groupBy(F.regexp_extract("file", "/cam=([0-9]+)/", 1).cast("bigint").alias("n_file")).agg(n_rows("points"), F.round(F.sum(F.get("v", F.lit(1)).cast("double")), 4).alias("total"))
+    return per.join(found.select(F.regexp_extract("camera", "([0-9]+)$", 1).cast("bigint").alias("n_file")).distinct(), "n_file")
 
 
 @query("SELECT CAST(dense_rank() OVER (ORDER BY o_orderkey) - 1 AS INT) AS imageset_index, CAST(k AS INT) AS camera_index, CAST(o_custkey * 4 + k AS INT) AS feature_id, (o_orderkey * 0.5)::DOUBLE AS x FROM orders, range(2) r(k) WHERE o_orderkey < 40")

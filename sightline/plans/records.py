@@ -105,13 +105,15 @@ def feature_fields(spark, sf):
     return d.groupBy(F.col("f.tag").isNotNull().alias("valid"), F.col("f.face").alias("face"), F.col("f.row").alias("grid_row"), F.col("f.column").alias("grid_col"), F.col("f.corner").alias("corner")).agg(n_rows("n"))
 
 
-@query("""WITH r AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(value AS VARCHAR) END AS residual_px, CASE WHEN event_id % 2 = 0 THEN 'n/a' ELSE CAST(user_id AS VARCHAR) END AS reprojection_error_px, CAST(event_id % 50 AS VARCHAR) AS corner_norm_px FROM events)
-SELECT event_id, 'residual_px' AS by_presence, CASE WHEN event_id % 3 <> 0 THEN 'residual_px' WHEN event_id % 2 = 1 THEN 'reprojection_error_px' ELSE 'corner_norm_px' END AS by_value,
- round(CASE WHEN event_id % 3 <> 0 THEN CAST(residual_px AS DOUBLE) WHEN event_id % 2 = 1 THEN CAST(reprojection_error_px AS DOUBLE) ELSE CAST(corner_norm_px AS DOUBLE) END, 6) AS residual FROM r""")
+@query("""WITH r AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(value AS VARCHAR) END AS after_residual_px, CASE WHEN event_id % 2 = 0 THEN 'n/a' ELSE CAST(user_id AS VARCHAR) END AS residual_norm_px, CASE WHEN event_id % 5 = 0 THEN CAST(event_id AS VARCHAR) END AS reprojection_error_px, CASE WHEN event_id % 7 = 0 THEN 'nan' ELSE '0.5' END AS norm_px, CAST(event_id % 50 AS VARCHAR) AS corner_norm_px FROM events),
+p AS (SELECT *, CASE WHEN event_id % 3 <> 0 THEN 'after_residual_px' WHEN event_id % 2 = 1 THEN 'residual_norm_px' WHEN event_id % 5 = 0 THEN 'reprojection_error_px' WHEN event_id % 7 <> 0 THEN 'norm_px' ELSE 'corner_norm_px' END AS by_value FROM r)
+SELECT event_id, 'after_residual_px' AS by_presence, by_value, round(CAST(CASE by_value WHEN 'after_residual_px' THEN after_residual_px WHEN 'residual_norm_px' THEN residual_norm_px WHEN 'reprojection_error_px' THEN reprojection_error_px WHEN 'norm_px' THEN norm_px ELSE corner_norm_px END AS DOUBLE), 6) AS residual FROM p""")
 def residual_columns(spark, sf):
-    """The residual column by presence in the schema, and per row by the first parsable value, suffixes after names."""
+    """The residual column by presence in the schema, and per row by the first finite value, suffixes after names."""
+    k = F.col("event_id")
     e = t(spark, sf, "events").select(
-        "event_id", F.when(F.col("event_id") % 3 != 0, F.col("value").cast("string")).alias("residual_px"), F.when(F.col("event_id") % 2 == 0, "n/a").otherwise(F.col("user_id").cast("string")).alias("reprojection_error_px"), (F.col("event_id") % 50).cast("string").alias("corner_norm_px")
+        "event_id", (k % 50).cast("string").alias("corner_norm_px"), F.when(k % 7 == 0, "nan").otherwise("0.5").alias("norm_px"), F.when(k % 5 == 0, k.cast("string")).alias("reprojection_error_px"),
+        F.when(k % 2 == 0, "n/a").otherwise(F.col("user_id").cast("string")).alias("residual_norm_px"), F.when(k % 3 != 0, F.col("value").cast("string")).alias("after_residual_px"),
     )
     picked = X.residual_value(e.columns)
     return e.select("event_id", F.lit(X.residual_column(e.columns)).alias("by_presence"), picked["column"].alias("by_value"), r6(picked["value"], "residual"))
@@ -224,13 +226,22 @@ def size_defaults(spark, sf):
     return t(spark, sf, "part").select("p_partkey", out["width"].cast("int").alias("width"), out["height"].cast("int").alias("height"))
 
 
-@query("""SELECT conv_id, CASE WHEN CAST(max(turn) AS BIGINT) + 1 <> count(DISTINCT turn) OR min(turn) <> 0 THEN 'not_contiguous_from_zero' WHEN (SELECT max(n) FROM (SELECT count(*) AS n FROM conversations GROUP BY conv_id)) - count(*) > 3 THEN 'tail_too_short' ELSE 'usable' END AS reason FROM conversations GROUP BY conv_id""")
+@query("""WITH s AS (SELECT conv_id FROM conversations UNION SELECT item_id + 90 FROM benchmark), i AS (SELECT conv_id, true AS there, turn // 2 AS frame, role = 'user' AND length(text) % 5 <> 0 AS image FROM conversations),
+g AS (SELECT s.conv_id, coalesce(bool_or(there), false) AS there, count(*) FILTER (WHERE image) AS n, count(DISTINCT frame) FILTER (WHERE image) AS ids, min(frame) FILTER (WHERE image) AS lo, max(frame) FILTER (WHERE image) AS hi FROM s LEFT JOIN i USING (conv_id) GROUP BY s.conv_id),
+m AS (SELECT *, max(n) OVER () - n AS short FROM g),
+r AS (SELECT conv_id, CAST(n AS BIGINT) AS frames, CAST(short AS BIGINT) AS tail_short, CASE WHEN NOT there THEN 'image_dir_missing' WHEN n = 0 THEN 'no_images' WHEN lo <> 0 OR hi + 1 <> ids THEN 'non_contiguous_or_missing_interior_frames' WHEN short = 0 THEN 'ok' WHEN short <= 2 THEN concat('tail_trim_', short) ELSE 'short_sequence_not_tail_trim' END AS reason FROM m)
+SELECT *, CASE WHEN reason = 'ok' OR reason LIKE 'tail_trim%' THEN 'usable' ELSE 'unusable' END AS status FROM r""")
 def session_gate(spark, sf):
-    """Sessions whose ids run from 0 without a gap and that lack few at the end; the reasons by precedence."""
-    g = t(spark, sf, "conversations").groupBy("conv_id").agg(n_rows("n"), F.min("turn").alias("lo"), F.max("turn").alias("hi"), F.countDistinct("turn").alias("ids"))
-    most = g.agg(F.max("n").alias("most"))
-    contiguous = (F.col("lo") == 0) & (F.col("hi") + 1 == F.col("ids"))
-    return g.crossJoin(F.broadcast(most)).select("conv_id", F.when(~contiguous, "not_contiguous_from_zero").when(F.col("most") - F.col("n") > 3, "tail_too_short").otherwise("usable").alias("reason"))
+    """Listed sessions: is the folder there, has it images, do their ids run from 0 without a gap, and how many are missing at the end; the reasons by precedence."""
+    c = t(spark, sf, "conversations").select("conv_id", F.floor(F.col("turn") / 2).alias("frame"), ((F.col("role") == "user") & (F.length("text") % 5 != 0)).alias("image"))
+    listed = c.select("conv_id").union(t(spark, sf, "benchmark").select(F.col("item_id") + 90)).distinct()
+    frame = F.when(F.col("image"), F.col("frame"))
+    g = c.groupBy("conv_id").agg(F.count(frame).alias("n"), F.min(frame).alias("lo"), F.max(frame).alias("hi"), F.countDistinct(frame).alias("ids"), F.lit(True).alias("there"))
+    g = listed.join(g, "conv_id", "left").withColumns({"n": F.coalesce("n", F.lit(0)), "there": F.coalesce("there", F.lit(False))})
+    short = F.col("most") - F.col("n")
+    reason = X.session_reason(F.col("there"), F.col("n"), (F.col("lo") == 0) & (F.col("hi") + 1 == F.col("ids")), short, 2)
+    out = g.crossJoin(F.broadcast(g.agg(F.max("n").alias("most")))).select("conv_id", F.col("n").alias("frames"), short.alias("tail_short"), reason.alias("reason"))
+    return out.withColumn("status", F.when((F.col("reason") == "ok") | F.col("reason").startswith("tail_trim"), "usable").otherwise("unusable"))
 
 
 @query("""WITH g AS (SELECT c_nationkey AS nation, count(*) AS n, count(*) FILTER (WHERE c_acctbal > 0) AS connected, list(c_name ORDER BY c_name) FILTER (WHERE c_acctbal <= 0) AS lost FROM customer GROUP BY c_nationkey)
@@ -243,14 +254,16 @@ def connectivity_status(spark, sf):
     return out.select("nation", status.alias("status"), F.coalesce("labels", F.lit("")).alias("labels"))
 
 
-@query("""WITH m AS (SELECT s_suppkey, s_acctbal AS d, s_suppkey % 4 AS mode FROM supplier)
-SELECT s_suppkey, CASE WHEN mode = 0 THEN 'fixed' WHEN mode = 1 AND d < 0 THEN 'pose_not_accepted' WHEN abs(d) > 5000 THEN 'focal_delta_exceeds_limit' ELSE 'accepted' END AS decision FROM m""")
+@query("""WITH m AS (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'fixed' WHEN 1 THEN 'per_camera_fxfycxcy' ELSE 'per_camera_opencv5' END AS mode, s_suppkey % 5 <> 0 AS pose, abs(s_acctbal) / 250000 AS focal, s_suppkey % 13 AS principal, (s_suppkey % 10) * 0.03 AS distortion FROM supplier),
+k AS (SELECT *, focal <= 0.02 AND principal <= 8 AND (mode <> 'per_camera_opencv5' OR distortion <= 0.151) AS kept FROM m)
+SELECT s_suppkey, CASE WHEN mode = 'fixed' THEN 'fixed_prior' WHEN NOT pose THEN 'pose_prior_intrinsics_prior' WHEN kept THEN 'accepted_refined' ELSE 'rejected_to_prior' END AS decision,
+  CASE WHEN mode = 'fixed' THEN 'intrinsics_refine_mode_fixed' WHEN NOT pose THEN 'pose_not_accepted' WHEN kept THEN 'passes_acceptance_gate' ELSE 'intrinsic_delta_exceeds_acceptance_gate' END AS reason FROM k""")
 def parameter_acceptance(spark, sf):
     """Refined parameters: fixed mode first, then the pose, then delta limits, of which one that is not positive is off."""
-    s = t(spark, sf, "supplier")
-    mode, d = F.col("s_suppkey") % 4, F.col("s_acctbal")
-    out = X.accepted_parameters(F.when(mode == 0, "fixed").otherwise("refined"), ~((mode == 1) & (d < 0)), [("focal_delta_exceeds_limit", F.abs(d), 5000.0), ("centre_delta_exceeds_limit", F.abs(d), 0.0)])
-    return s.select("s_suppkey", out.alias("decision"))
+    key = F.col("s_suppkey")
+    mode = F.when(key % 4 == 0, "fixed").when(key % 4 == 1, "per_camera_fxfycxcy").otherwise("per_camera_opencv5")
+    out = X.accepted_parameters(mode, key % 5 != 0, F.abs("s_acctbal") / 250000, key % 13, key % 10 * 0.03, (0.02, 8.0, 0.151))
+    return t(spark, sf, "supplier").select("s_suppkey", out["decision"].alias("decision"), out["reason"].alias("reason"))
 
 
 @query("""SELECT s_suppkey, CASE WHEN n >= 50 THEN 'strong' WHEN n >= 10 THEN 'usable' WHEN n > 0 THEN 'weak' ELSE 'inactive' END AS selected, CASE WHEN n >= 500 THEN 'strong' WHEN n >= 50 THEN 'usable' WHEN n > 0 THEN 'weak' ELSE 'inactive' END AS final FROM (SELECT s_suppkey, (s_suppkey * 37 % 101) * (s_suppkey % 12) AS n FROM supplier)""")

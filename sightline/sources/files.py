@@ -247,9 +247,10 @@ def write_poses(df: DataFrame, path: str) -> None:
     df.select(lines.alias("value")).write.mode("overwrite").text(path)
 
 
-def write_obj(df: DataFrame, path: str) -> None:
-    """Points (x, y, z) as vertices."""
-    df.select(F.format_string("v %s %s %s", *(F.col(c).cast("string") for c in "xyz")).alias("value")).write.mode("overwrite").text(path)
+def write_obj(df: DataFrame, path: str, by: list[str] | None = None) -> None:
+    """Points (x, y, z) as vertices; with by, a folder for each value of these columns, nested in their order."""
+    rows = df.select(*(by or []), F.format_string("v %s %s %s", *(F.col(c).cast("string") for c in "xyz")).alias("value"))
+    (rows.repartition(*by) if by else rows).write.mode("overwrite").partitionBy(*(by or [])).text(path)
 
 
 def ply(points: list[tuple], names: tuple[str, ...] = ("x", "y", "z")) -> str:
