@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import buffers, byte_hashes, slabs
-from .cluster import bounded_batches, text_size
+from .cluster import bounded_batches
 
 #: Characters and rows that a group has on average; they bound the memory of its one task.
 GROUP_CHARS = 4_000_000
@@ -28,7 +28,12 @@ _PRINTED = np.zeros(256, bool)
 _PRINTED[0x21:0x7F] = True
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = _PRINTED & ~_LETTER
+_MARK[[*range(0x30, 0x3A)]] = False
+_OPENS = _MARK.copy()
+_OPENS[0x27] = False  # an apostrophe may belong to the letter after it
 _known: dict[str, object] = {}
+_memories: dict[str, Memory] = {}
 
 
 def tokenizer(path: str):
@@ -45,14 +50,20 @@ def tokenizer(path: str):
 def encoded(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Token ids of all rows of UTF-8 data, one after the other, and each row's bounds among them.
 
-    The file's splitting pattern takes a space only at the front of a word or after white space, so a
-    text may be cut before a space that stands between a printed ASCII character and a letter. Equal
-    segments of a slab are encoded once.
+    The file's splitting pattern never joins what these cuts part, all between ASCII characters: before
+    a space or line feed that is alone between printed ones, after such a line feed, between a
+    letter and a mark, and between a mark other than an apostrophe and a letter. So the segments
+    encode as in the whole text, and equal segments are encoded once while a process remembers them.
     """
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     if len(data) > 2:
-        edge[1:-2] |= (data[1:-1] == 0x20) & _PRINTED[data[:-2]] & _LETTER[data[2:]]
+        printed, letter = _PRINTED[data], _LETTER[data]
+        alone = printed[:-2] & printed[2:]
+        feed = alone & (data[1:-1] == 0x0A)
+        edge[1:-2] |= feed | (alone & (data[1:-1] == 0x20))
+        edge[2:-1] |= feed
+        edge[1:-1] |= (letter[:-1] & _MARK[data[1:]]) | (_OPENS[data[:-1]] & letter[1:])
     bound = np.flatnonzero(edge)
     start, end = bound[:-1], bound[1:]
     if not len(start):
@@ -61,16 +72,95 @@ def encoded(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarra
     _, first, which = np.unique(one, return_index=True, return_inverse=True)
     if (two != two[first][which]).any():  # two segments of one fingerprint
         first = which = np.arange(len(start))
-    raw = data.tobytes()
-    ids = [e.ids for e in tokenizer(path).encode_batch_fast([raw[a:b].decode(errors="replace") for a, b in zip(start[first], end[first], strict=True)], add_special_tokens=False)]
-    size = np.array([len(x) for x in ids])
-    flat, begin = np.fromiter((t for x in ids for t in x), np.uint32, int(size.sum())), np.cumsum(size) - size
+    flat, begin, size = _remembered(path, data, start[first], end[first], one[first], two[first])
     count = size[which]
     put = np.concatenate(([0], np.cumsum(count)))
     out = flat[np.arange(put[-1]) + np.repeat(begin[which] - put[:-1], count)]
     return out, put[np.searchsorted(bound, offsets)]
 
 
+class Memory:
+    """Ids of segments seen before by this process, by their 128-bit fingerprint: a table in which a new segment takes the old one's slot, emptied when its ids fill up."""
+
+    slots, most = 1 << 21, 1 << 23
+
+    def __init__(self):
+        self.one, self.two = np.zeros(self.slots, np.uint64), np.zeros(self.slots, np.uint64)
+        self.begin, self.size = np.zeros(self.slots, np.int32), np.full(self.slots, -1, np.int32)
+        self.flat, self.used = np.zeros(self.most, np.uint32), 0
+
+    def get(self, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which are known, and where their ids begin and how many they are."""
+        slot = (one & np.uint64(self.slots - 1)).astype(np.int64)
+        known = (self.one[slot] == one) & (self.two[slot] == two) & (self.size[slot] >= 0)
+        return known, self.begin[slot].astype(np.int64), self.size[slot].astype(np.int64)
+
+    def put(self, one: np.ndarray, two: np.ndarray, flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        if self.used + len(flat) > self.most:
+            self.size[:], self.used = -1, 0
+            if len(flat) > self.most:
+                return
+        slot = (one & np.uint64(self.slots - 1)).astype(np.int64)
+        slot, last = np.unique(slot, return_index=True)
+        self.one[slot], self.two[slot] = one[last], two[last]
+        self.begin[slot], self.size[slot] = begin[last] + self.used, size[last]
+        self.flat[self.used : self.used + len(flat)] = flat
+        self.used += len(flat)
+
+
+def _remembered(path: str, data: np.ndarray, start: np.ndarray, end: np.ndarray, one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As _each, but segments that the process remembers are not encoded again."""
+    memory = _memories.setdefault(path, Memory())
+    known, begin, size = memory.get(one, two)
+    new = np.flatnonzero(~known)
+    old = memory.flat[: memory.used].copy()
+    if not len(new):
+        return old, begin, size
+    flat, at, n = _each(path, data, start[new], end[new])
+    begin[new], size[new] = at + len(old), n
+    memory.put(one[new], two[new], flat, at, n)
+    return np.concatenate((old, flat)), begin, size
+
+
+def _each(path: str, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of the segments one after the other, and where each begins and how many it has.
+
+    A segment of one word or mark stays itself between two line feeds, so such ones are encoded many at
+    a time, as lines of a text whose line feeds, one id each, part their ids again.
+    """
+    feeds = np.concatenate(([0], np.cumsum(data == 0x0A)))
+    second = data[np.minimum(start + 1, len(data) - 1)]
+    plain = _PRINTED[data[end - 1]] & (_PRINTED[data[start]] | ((data[start] == 0x20) & _PRINTED[second] & (end - start > 1))) & (feeds[start] == feeds[end])
+    feed = tokenizer(path).encode("\n", add_special_tokens=False).ids
+    line = np.flatnonzero(plain)
+    length = (end - start)[line]
+    put = np.concatenate(([0], np.cumsum(length + 1)))
+    text = np.full(int(put[-1]), 0x0A, np.uint8)
+    source = np.arange(int(length.sum())) + np.repeat(start[line] - (np.cumsum(length) - length), length)
+    text[np.arange(len(source)) + np.repeat(np.arange(len(line)), length)] = data[source]
+    text = text.tobytes()
+    cuts = [*put[np.unique(np.searchsorted(put, np.arange(0, len(text), 1 << 16)))].tolist(), len(text)]
+    flat = _ids(path, [text[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if b > a])
+    at = np.flatnonzero(flat == feed[0]) if len(feed) == 1 else np.zeros(0, np.int64)
+    if len(at) != len(line):  # a vocabulary without such line feeds: each by itself
+        line, flat, at = line[:0], flat[:0], np.zeros(0, np.int64)
+    begin, size = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+    begin[line] = np.concatenate(([0], at[:-1] + 1))[: len(at)]
+    size[line] = at - begin[line]
+    rest = np.ones(len(start), bool)
+    rest[line] = False
+    rest = np.flatnonzero(rest)
+    ids = [tokenizer(path).encode_batch_fast([data[a:b].tobytes().decode(errors="replace")], add_special_tokens=False)[0].ids for a, b in zip(start[rest], end[rest], strict=True)]
+    size[rest] = [len(x) for x in ids]
+    begin[rest] = len(flat) + np.cumsum(size[rest]) - size[rest]
+    return np.concatenate((flat, np.array([t for x in ids for t in x], np.uint32))), begin, size
+
+
+def _ids(path: str, texts: list[bytes]) -> np.ndarray:
+    found = tokenizer(path).encode_batch_fast([t.decode(errors="replace") for t in texts], add_special_tokens=False)
+    return np.concatenate([np.array(e.ids, np.uint32) for e in found]) if found else np.zeros(0, np.uint32)
+
+
 def first_fit(lengths: list[int], capacity: int) -> list[int]:
     """The bin of each length: the first one with room. A tournament tree over the bins' capacities finds it in log n steps."""
     leaves = 1
@@ -158,7 +248,8 @@ def pack_tokens(
     as tables do. A text in memory takes some 40 bytes a character.
     """
     bounded_batches(docs.sparkSession)
-    n = max(text_size(docs, text_col) // group_chars, docs.count() // group_rows) + 1
+    chars, rows = docs.agg(F.coalesce(F.sum(F.length(text_col)), F.lit(0)), F.count(F.lit(1))).first()
+    n = max(chars // group_chars, rows // group_rows) + 1
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def pieces(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,8 +49,8 @@ TEXTS = ["", "one", " leading", "trailing ", "two  spaces and\n\nlines \n x", "i
 
 def test_segments_encode_as_whole_texts():
     r = random.Random(3)
-    parts = ["word", "it's", " ", "  ", "\n", ",", ".", "9", "é", "中", "\t", "A", " ", "'", "-", "ll", "<|endoftext|>"]
-    texts = TEXTS + ["".join(r.choice(parts) for _ in range(r.randint(0, 80))) for _ in range(1500)]
+    parts = ["word", "it's", " ", " ", "  ", "\n", "\n\n", ",", ".", "(", "'s", "-'", "\u3000", "\xa0", "\r", "9", "é", "中", "\t", "A", " ", "'", "-", "ll", "<|endoftext|>"]
+    texts = TEXTS + ["".join(r.choice(parts) for _ in range(r.randint(0, 80))) for _ in range(4000)]
     raw = [t.encode() for t in texts]
     ids, bound = encoded(PATH, np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
     whole = tokenizer(PATH).encode_batch(texts, add_special_tokens=False)
