@@ -5,8 +5,10 @@ Every function takes and returns DataFrames; nothing is collected.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -16,6 +18,9 @@ from sightline.functions.shared import checkpoint_dir
 from sightline.operators.quantiles import grouped_quantiles
 
 
+_NONE = object()
+
+
 def best_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first by order, which must be total for a stable choice."""
     nth = fresh("_nth", df.columns)
@@ -147,21 +152,42 @@ def mad_gate(df: DataFrame, key: str, value: str, factor: float = 3.0, floor: fl
 
 
 def greedy_selection(df: DataFrame, key: str, order: list[str], value: str, gap: float, most: int) -> DataFrame:
-    """Per key, in order: a row is selected if its value is at least gap from the last selected one, until most are.
+    """Per key, in order: a row is selected if its value is at least gap from the last selected one, until most are. Counts of selected, near_duplicate and max_selected rows.
 
-    A grouped fold: the state after each row depends on all earlier choices of the key.
+    The state after each row depends on all earlier choices of the key. A key's rows lie sorted in one
+    partition, and its state (the last selected value and the counts) passes from batch to batch, so memory
+    doesn't grow with the key. A null value is selected and lets any next one follow.
     """
-    rows = F.sort_array(F.collect_list(F.struct(*order, value)))
-    start = F.struct(F.lit(None).cast("double").alias("last"), F.lit(0).alias("n"), F.lit(0).alias("near"), F.lit(0).alias("full"))
-
-    def step(acc: Column, r: Column) -> Column:
-        full = acc["n"] >= most
-        near = ~full & acc["last"].isNotNull() & (F.abs(r[value].cast("double") - acc["last"]) < gap)
-        take = ~full & ~near
-        return F.struct(F.when(take, r[value].cast("double")).otherwise(acc["last"]).alias("last"), (acc["n"] + take.cast("int")).alias("n"), (acc["near"] + near.cast("int")).alias("near"), (acc["full"] + full.cast("int")).alias("full"))
-
-    folded = df.groupBy(key).agg(F.aggregate(rows, start, step).alias("_s"))
-    return folded.select(key, F.col("_s.n").cast("bigint").alias("selected"), F.col("_s.near").cast("bigint").alias("near_duplicate"), F.col("_s.full").cast("bigint").alias("max_selected"))
+    kept = df.select(F.col(key).alias("_key"), *(F.col(c).alias(f"_o{k}") for k, c in enumerate(order)), F.col(value).cast("double").alias("_value"))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, last, n, near, full = _NONE, None, 0, 0, 0
+        for b in batches:
+            done = []
+            for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if k != now:
+                    if now is not _NONE:
+                        done.append((now, n, near, full))
+                    now, last, n, near, full = k, None, 0, 0, 0
+                if n >= most:
+                    full += 1
+                elif last is not None and v is not None and abs(v - last) < gap:
+                    near += 1
+                else:
+                    last, n = v, n + 1
+            if done:
+                yield counted(done, b.schema.field(0).type)
+            kind = b.schema.field(0).type
+        if now is not _NONE:
+            yield counted([(now, n, near, full)], kind)
+
+    def counted(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+        keys, *counts = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(keys, kind), *(pa.array(c, pa.int64()) for c in counts)], ["_key", "selected", "near_duplicate", "max_selected"])
+
+    ordered = kept.repartition("_key").sortWithinPartitions("_key", *(f"_o{k}" for k in range(len(order)))).select("_key", "_value")
+    out = ordered.mapInArrow(fold, f"_key {df.schema[key].dataType.simpleString()}, selected bigint, near_duplicate bigint, max_selected bigint")
+    return out.withColumnRenamed("_key", key)
 
 
 def gates(df: DataFrame, checks: list[tuple[str, Column, str, float]]) -> DataFrame:
