@@ -7,9 +7,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from sightline.functions.ship import ship
+from sightline.operators import fits as L
+from sightline.operators import fusion as U
 from sightline.operators import refine as R
+from sightline.operators import votes as V
 from sightline.plans.catalog import query, t
 
 #: A rig of cameras with their prior poses and lens, and what some have moved (turn, way) since.
@@ -72,3 +76,120 @@ def delta_refinement(spark, sf):
     falls = all(b < a for a, b in zip(out.costs, out.costs[1:], strict=False))
     told = spark.createDataFrame([(r["camera"], r["observations"], r["active"], bool(n), falls) for r, n in zip(rows, near, strict=True)], "camera int, observations long, active boolean, recovered boolean, cost_falls boolean")
     return told.crossJoin(F.broadcast(out.frames.agg(F.count(F.lit(1)).alias("frames"))))
+
+
+_CURVE = """WITH e AS (SELECT event_id, user_id, value, epoch_us(ts) / 86400e6 AS t, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+p AS (SELECT a.event_id, count(*) AS n, max(b.t) - min(b.t) AS span, sum(b.t - a.t) AS s1, sum((b.t - a.t) ** 2) AS s2, sum((b.t - a.t) ** 3) AS s3, sum((b.t - a.t) ** 4) AS s4, sum(b.value) AS v0, sum(b.value * (b.t - a.t)) AS v1, sum(b.value * (b.t - a.t) ** 2) AS v2 FROM e a JOIN e b ON a.user_id = b.user_id AND abs(a.i - b.i) <= 3 GROUP BY a.event_id),
+q AS (SELECT event_id, n, span, 2 * (n * (s2 * v2 - v1 * s3) - s1 * (s1 * v2 - v1 * s2) + v0 * (s1 * s3 - s2 * s2)) / (n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2)) AS curvature FROM p),
+r AS (SELECT event_id, CASE WHEN count(*) OVER w >= 5 THEN regr_slope(value, t) OVER w END AS slope FROM e WINDOW w AS (PARTITION BY user_id ORDER BY us RANGE BETWEEN 172800000000 PRECEDING AND 172800000000 FOLLOWING))
+SELECT event_id, round(CASE WHEN n >= 5 AND span >= 0.001 THEN curvature END, 3) AS curvature, round(slope, 4) AS slope FROM q JOIN r USING (event_id)"""
+
+
+@query(_CURVE)
+def local_fits(spark, sf):
+    """Per event the curvature of its user's values over the seven events around it, and their slope over the two days before and after."""
+    e = t(spark, sf, "events").select("event_id", "user_id", "value", "ts", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")).withColumn("t", F.col("us") / 86400e6)
+    curvature = L.local_curvature(F.col("t"), [F.col("value")], W.partitionBy("user_id").orderBy("ts", "event_id"), 3)[0]
+    slope = L.local_slope(F.col("t"), [F.col("value")], ["user_id"], F.col("us"), 172_800_000_000)[0]
+    return e.select("event_id", F.round(curvature, 3).alias("curvature"), F.round(slope, 4).alias("slope"))
+
+
+SENSOR = np.array([0.11, -0.07, 0.05, 0.3, -9.7, 0.9, -0.2, 9.6, 1.4, 0.02, -0.05, 0.04, 0.01, 0.03, -0.06])
+
+
+def _capture(k: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number, rotation from sensor to camera, and the pose of the first camera's frame in camera k's."""
+    a, b = 0.4 + k, 0.2 - 0.5 * k
+    turn = np.array([[np.cos(a), -np.sin(a), 0], [np.sin(a), np.cos(a), 0], [0, 0, 1]]) @ np.array([[1, 0, 0], [0, np.cos(b), -np.sin(b)], [0, np.sin(b), np.cos(b)]])
+    prior = np.eye(4)
+    prior[:3, :3], prior[:3, 3] = turn.T, [0.05 * k, -0.02, 0.1]
+    return k, turn, prior
+
+
+@query("SELECT (SELECT count(*) FROM events) AS samples, (SELECT CAST(floor(0.9 * (count(*) - 1)) AS BIGINT) + 1 FROM events) AS inliers, CAST(15 AS INT) AS rank, k.u AS unknown, k.v AS value FROM (SELECT unnest(range(15)) AS u, unnest([%s]) AS v) k" % ", ".join(f"CAST({v} AS DOUBLE)" for v in SENSOR))
+def accelerometer_system(spark, sf):
+    """Where a sensor sits on its rig, and gravity and bias of two captures: 15 unknowns from every event as a motion sample, of which one in twenty is spoilt. The fit to the nine tenths with the least residuals gives them back."""
+    ship(spark)
+    captures = {k: _capture(k) for k in range(2)}
+    build = L.accelerometer_rows(captures, "capture", 2)
+    names = ["capture", "qx", "qy", "qz", "qw", *(f"{a}{k}" for a in "aoli" for k in "xyz")]
+
+    def samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k = np.asarray(b.column(0), np.float64)
+            wave = lambda *speeds: np.stack([np.sin(s * k + s) for s in speeds], 1)
+            q = np.concatenate((wave(1.3, 2.1, 0.7), 1.2 + 0.2 * wave(0.3)), 1)
+            motion = np.concatenate((3 * wave(1.1, 1.7, 2.3), 2 * wave(3.1, 0.9, 1.9), 5 * wave(2.7, 4.1, 1.5)), 1)
+            columns = [pa.array((k % 2).astype(np.int64)), *(pa.array(x) for x in (*(q / np.linalg.norm(q, axis=1, keepdims=True)).T, *motion.T))]
+            zero = pa.array(np.zeros(len(k)))
+            a, y = build(pa.RecordBatch.from_arrays([*columns, zero, zero, zero], names))
+            # the reading that the planted unknowns give: what the right-hand side lacks of it
+            spoilt = 5.0 * (k % 20 == 0)
+            reading = (a @ SENSOR - y).reshape(-1, 3) + np.where(spoilt[:, None] > 0, spoilt[:, None] * (2 + wave(0.5, 0.8, 0.2)), 0.0)
+            reading += 1e-9 * wave(7.7, 8.8, 9.9)
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x) for x in reading.T)], names)
+
+    rows = t(spark, sf, "events").select("event_id").mapInArrow(samples, "capture long, " + ", ".join(f"{n} double" for n in names[1:]))
+    _, fit, told = L.trimmed_least_squares(rows, build, 15, 3, 0.9)
+    counts = told.agg(F.count(F.lit(1)).alias("samples"), F.count_if("inlier").alias("inliers"))
+    found = spark.createDataFrame([(k, round(float(v), 5) + 0.0, fit.rank) for k, v in enumerate(fit.x)], "unknown long, value double, rank int")
+    return found.crossJoin(F.broadcast(counts)).select("samples", "inliers", "rank", "unknown", "value")
+
+
+@query()
+def dataset_fusion(spark, sf):
+    """Detections of the same images by three datasets, fused: every line of an order is a point of the image of the order's year and month, moved a little in each dataset, and some are missing."""
+    li = t(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("filename"), (F.col("l_suppkey") % 8).cast("int").alias("camera"), "l_orderkey", "l_linenumber", "l_partkey")
+    x, y = (F.col("l_partkey") * 7919 % 40_000) / 10.0, (F.col("l_orderkey") * 104_729 + F.col("l_linenumber")) % 30_000 / 10.0
+    parts = []
+    for d in range(3):
+        h = F.pmod(F.xxhash64("l_orderkey", "l_linenumber", F.lit(d)), F.lit(1000))
+        parts.append(li.where(h >= 50 * d).select(F.lit(d).alias("dataset"), "filename", "camera", F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit(2**62)).alias("feature_pos"), (x + h % 7 / 10.0).cast("float").alias("x"), (y + h % 5 / 10.0).cast("float").alias("y"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("feature_id")))
+    features = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    sets = features.where((F.col("dataset") != 2) | ~F.col("filename").endswith("-02")).select("dataset", "filename").distinct()
+    return U.intersect_datasets(features, sets, 3, 3.0)
+
+
+RIG = np.array([[np.cos(c), np.sin(c), 0.2 * c] for c in range(8)])
+ANCHORS = (0, 1, 2, 5)
+_FRAMES = """f AS (SELECT vec_id // 8 AS frame, CAST(vec_id % 8 AS INT) AS label FROM embeddings WHERE NOT ((vec_id // 8) % 7 = 3 AND vec_id % 8 = 1)),
+n AS (SELECT frame, count(*) FILTER (WHERE label IN (0, 1, 2, 5)) AS anchors, array_to_string(list_filter([0, 1, 2, 5], lambda x: NOT list_contains(list(label), x)), ',') AS missing FROM f GROUP BY frame),
+s AS (SELECT frame, missing, CASE WHEN anchors < 4 THEN 'missing_anchors' WHEN frame % 11 = 5 THEN 'bad_anchor_alignment' ELSE 'accepted' END AS status FROM n)"""
+
+
+def _anchored(spark, sf):
+    """Each eight vectors as a frame of eight cameras in a world of its own: turned, scaled and moved; some anchors are missing or off, and camera 6 is off in every fifth frame."""
+    ship(spark)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            vec = np.asarray(b.column(0))
+            frame, label = vec // 8, vec % 8
+            keep = ~((frame % 7 == 3) & (label == 1))
+            frame, label = frame[keep], label[keep]
+            k = frame.astype(np.float64)
+            world = _true_frames(k)
+            centre = RIG[label] + np.where((frame % 5 == 0) & (label == 6), 2.0, 0.0)[:, None] + np.where((frame % 11 == 5) & (label == 0), 3.0, 0.0)[:, None] * [0.0, 0.0, 1.0]
+            centre = R.turned(world[:, :4], centre) * (1.5 + 0.5 * np.sin(k))[:, None] + world[:, 4:]
+            q = R.multiplied(world[:, :4], CAMERAS[label % 6][:, :4])
+            yield pa.RecordBatch.from_arrays([pa.array(frame), pa.array(label.astype(np.int32)), *(pa.array(x) for x in (*centre.T, *q.T)), pa.array(50 + label)], ["frame", "label", *V.CENTRE, *V.QUATERNION, "tracks"])
+
+    images = t(spark, sf, "embeddings").select(F.col("vec_id").cast("long")).mapInArrow(place, "frame long, label int, " + ", ".join(f"{n} double" for n in (*V.CENTRE, *V.QUATERNION)) + ", tracks long")
+    anchors = spark.createDataFrame([(c, *map(float, RIG[c])) for c in ANCHORS], "label int, ax double, ay double, az double")
+    return V.frame_votes(images, anchors, max_rms=0.05, max_norm=10.0, least_tracks=51)
+
+
+@query(f"WITH {_FRAMES} SELECT frame, status, missing, round(CASE WHEN status = 'accepted' THEN 1 / (1.5 + 0.5 * sin(frame)) END, 6) AS scale FROM s")
+def frame_vote_status(spark, sf):
+    """Which frames' anchors align, and the scale of those that do."""
+    return _anchored(spark, sf).frames.select("frame", "status", F.array_join("missing", ",").alias("missing"), F.round(F.when(F.col("status") == "accepted", F.col("scale")), 6).alias("scale"))
+
+
+@query(f"""WITH {_FRAMES}, v AS (SELECT f.label, count(*) AS raw_votes, count(*) FILTER (WHERE NOT (f.label = 6 AND frame % 5 = 0)) AS inlier_votes FROM f JOIN s USING (frame) WHERE status = 'accepted' AND f.label >= 1 GROUP BY f.label)
+SELECT label, raw_votes, inlier_votes, round(cos(label), 6) AS cx, round(sin(label), 6) AS cy, round(0.2 * label, 6)::DOUBLE AS cz, (50 + label)::DOUBLE AS track_median, true AS turned FROM v""")
+def frame_vote_poses(spark, sf):
+    """Each camera's place and rotation in the rig by the votes of the frames that align; votes off the median are left out."""
+    p = V.robust_poses(_anchored(spark, sf).votes, "label", least=3, gate=0.02)
+    planted = spark.createDataFrame([(c, *map(float, CAMERAS[c % 6][:4])) for c in range(8)], "label int, wx double, wy double, wz double, ww double")
+    near = F.abs(F.col("qx") * F.col("wx") + F.col("qy") * F.col("wy") + F.col("qz") * F.col("wz") + F.col("qw") * F.col("ww")) > 1 - 1e-9
+    return p.join(F.broadcast(planted), "label").select("label", "raw_votes", "inlier_votes", *(F.round(k, 6).alias(k) for k in V.CENTRE), "track_median", near.alias("turned"))
