@@ -176,3 +176,23 @@ def depth_cloud(spark, sf):
 def exact_table_quantile(spark, sf):
     """A quantile of a whole table by narrowing ranges."""
     return spark.createDataFrame([(round(table_quantile(t(spark, sf, "lineitem"), "l_extendedprice", 0.37), 6),)], "q double")
+
+
+@query("SELECT p_partkey, kind, CASE WHEN p_partkey % 11 <> 0 THEN round(CAST(p_partkey % 641 AS DOUBLE), 5) END AS px, CASE WHEN p_partkey % 11 <> 0 THEN round(CAST(p_size * 9 % 481 AS DOUBLE), 5) END AS py, p_partkey % 11 <> 0 AS converged FROM part, (SELECT unnest(['central', 'noncentral']) AS kind)")
+def generic_project(spark, sf):
+    """Points on the rays of pixels, borders included, find their pixels again; points behind the camera find none."""
+    from functools import reduce
+
+    from sightline.operators.generic_cameras import Camera, project_generic
+
+    p = t(spark, sf, "part")
+    x, y = (F.col("p_partkey") % 641).cast("double"), (F.col("p_size") * 9 % 481).cast("double")
+    at = p.select("p_partkey", *(c.alias(n) for n, c in zip(("gx", "gy"), C.grid_place(x, y, GRID, SIZE), strict=True)))
+    raw = at.select("p_partkey", *(c.alias(f"{n}{k}") for n, g in (("d", GRID), ("o", ORIGINS)) for k, c in zip("xyz", C.surface(g, F.col("gx"), F.col("gy")), strict=True)))
+    side = F.when(F.col("p_partkey") % 11 == 0, -3.0).otherwise(3.0)
+    out = []
+    for kind, origins in (("central", None), ("noncentral", ORIGINS)):
+        rows = raw.select("p_partkey", F.lit(kind).alias("kind"), *((side * F.col(f"d{k}") + (F.col(f"o{k}") if origins else 0.0)).alias(k) for k in "xyz"))
+        out.append(project_generic(rows, ["x", "y", "z"], Camera(GRID, SIZE, origins)))
+    both = reduce(lambda a, b: a.unionByName(b), out)
+    return both.select("p_partkey", "kind", F.round("px", 5).alias("px"), F.round("py", 5).alias("py"), "converged")
