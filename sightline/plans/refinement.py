@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sightline.functions.ship import ship
+from sightline.operators import calibrate as K
 from sightline.operators import fits as L
 from sightline.operators import fusion as U
 from sightline.operators import refine as R
@@ -193,3 +194,47 @@ def frame_vote_poses(spark, sf):
     planted = spark.createDataFrame([(c, *map(float, CAMERAS[c % 6][:4])) for c in range(8)], "label int, wx double, wy double, wz double, ww double")
     near = F.abs(F.col("qx") * F.col("wx") + F.col("qy") * F.col("wy") + F.col("qz") * F.col("wz") + F.col("qw") * F.col("ww")) > 1 - 1e-9
     return p.join(F.broadcast(planted), "label").select("label", "raw_votes", "inlier_votes", *(F.round(k, 6).alias(k) for k in V.CENTRE), "track_median", near.alias("turned"))
+
+
+def _lenses(count: int) -> np.ndarray:
+    """Focal lengths, principal points and distortion of cameras."""
+    c = np.arange(count)
+    return np.stack((900 + 20.0 * c, 915 + 15.0 * c, 640 + 3.0 * c, 480 - 2.0 * c, -0.12 + 0.02 * c, 0.03 + 0 * c, 0.001 * c, -0.0005 * c, 0.004 + 0 * c), 1)
+
+
+@query("WITH v AS (SELECT DISTINCT o_custkey FROM orders) SELECT CAST(k AS INT) AS camera, (SELECT count(*) FROM v WHERE o_custkey % 4 = k) AS views, (SELECT count(*) * 3 FROM orders WHERE o_custkey % 4 = k) AS observations, true AS recovered, true AS held_out_fits FROM range(4) r(k)")
+def camera_intrinsics(spark, sf):
+    """Four cameras, each customer's orders being points of one view, three for each order: focal lengths within a hundredth of a pixel, principal points and distortion come back, and a tenth that was not used fits."""
+    ship(spark)
+    true = _lenses(4)
+
+    def pose_of(k: np.ndarray) -> np.ndarray:
+        out = _true_frames(k)
+        out[:, :4] = np.stack((0.5 * np.sin(1.3 * k), 0.5 * np.sin(2.1 * k), 0.3 * np.sin(0.7 * k), np.ones(len(k))), 1)
+        out[:, :4] /= np.linalg.norm(out[:, :4], axis=1, keepdims=True)
+        return out
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            k = np.asarray(b.column(0), np.float64)
+            off = 0.02 * np.stack([np.sin(s * k) for s in (5.1, 4.3, 3.7, 2.9, 7.3, 6.1)], 1)
+            yield pa.RecordBatch.from_arrays([pa.array((np.asarray(b.column(0)) % 4).astype(np.int32)), b.column(0), *(pa.array(x) for x in R.moved(off, pose_of(k)).T)], ["camera", "view", *R.POSE])
+
+    def observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            view, o = (np.asarray(b.column(k)) for k in (0, 1))
+            for corner in range(3):
+                x = np.stack((o % 7 * 0.1 + 0.05 * corner - 0.3, o % 5 * 0.1 - 0.2, o % 3 * 0.08 + 0.03 * corner), 1)
+                pose = pose_of(view.astype(np.float64))
+                p = R.turned(pose[:, :4], x) + pose[:, 4:]
+                pixel = R.project(p[:, :2] / p[:, 2:], true[view % 4])[1]
+                yield pa.RecordBatch.from_arrays([pa.array((view % 4).astype(np.int32)), b.column(0), *(pa.array(v) for v in (*x.T, *pixel.T))], ["camera", "view", "x", "y", "z", "u", "v"])
+
+    orders = t(spark, sf, "orders").select(F.col("o_custkey").cast("long").alias("view"), F.col("o_orderkey").cast("long").alias("o"))
+    views = orders.select("view").distinct().mapInArrow(start, "camera int, view long, " + ", ".join(f"{n} double" for n in R.POSE))
+    points = orders.mapInArrow(observed, "camera int, view long, x double, y double, z double, u double, v double")
+    lenses = spark.createDataFrame([(c, 870.0, 870.0, 640.0, 480.0, 0.0, 0.0, 0.0, 0.0, 0.0) for c in range(4)], "camera int, " + ", ".join(f"{n} double" for n in R.LENS))
+    out = K.calibrate(points, views, lenses, steps=12).cameras
+    planted = spark.createDataFrame([(c, *map(float, x)) for c, x in enumerate(true)], "camera int, " + ", ".join(f"w_{n} double" for n in R.LENS))
+    off = F.greatest(*(F.abs(F.col(n) - F.col(f"w_{n}")) * (1 if n in R.LENS[:4] else 100) for n in R.LENS))
+    return out.join(F.broadcast(planted), "camera").select("camera", "views", "observations", (off < 0.01).alias("recovered"), (F.col("holdout_rms") < 1e-3).alias("held_out_fits"))
