@@ -12,7 +12,7 @@ from sightline.functions.records import RESIDUAL_KEYS, RESIDUAL_SUFFIXES
 from sightline.functions.shared import checkpoint_dir
 from sightline.operators import lookups as L
 from sightline.plans.catalog import n_rows, query, r6, t
-from sightline.sources import calib, files
+from sightline.sources import calib, files, sfm
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -182,3 +182,44 @@ def dataset_file(spark, sf):
     spark.dataSource.register(calib.CalibDataSource)
     got = spark.read.format("calib").option("table", "features").load(base)
     return got.select("imageset_index", "camera_index", "feature_id", F.col("x").cast("double").alias("x"))
+
+
+_SEEN = "s AS (SELECT l_orderkey % 400 AS image_id, row_number() OVER (PARTITION BY l_orderkey % 400 ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS idx, l_partkey AS point, l_quantity AS x FROM lineitem)"
+
+
+@query(f"""WITH {_SEEN}, t AS (SELECT point, CASE WHEN point % 50 = 0 THEN image_id + 1000 ELSE image_id END AS image_id, CASE WHEN point % 50 = 1 THEN idx + 100000 WHEN point % 50 = 2 THEN (idx + 1) % 5 ELSE idx END AS idx FROM s),
+j AS (SELECT t.point, CASE WHEN t.image_id >= 1000 THEN 'missing_image' WHEN s.point IS NULL THEN 'missing_observation' WHEN s.point <> t.point THEN 'other_point' ELSE 'ok' END AS status, s.x FROM t LEFT JOIN s ON s.image_id = t.image_id AND s.idx = t.idx)
+SELECT point AS point3d_id, count(*) AS track, count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'missing_image') AS missing_image, count(*) FILTER (WHERE status = 'missing_observation') AS missing_observation, count(*) FILTER (WHERE status = 'other_point') AS other_point, round(coalesce(sum(x) FILTER (WHERE status = 'ok'), 0), 4) AS total FROM j GROUP BY point""")
+def sfm_tracks(spark, sf):
+    """A model of images that see lines of orders and of points with their tracks, written and read; some tracks lead nowhere."""
+    w = W.partitionBy("image_id").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    s = t(spark, sf, "lineitem").withColumn("image_id", F.col("l_orderkey") % 400).select("image_id", (F.row_number().over(w) - 1).alias("idx"), F.col("l_partkey").alias("point"), F.col("l_quantity").alias("x"))
+    pose = {"qw": 1.0, "qx": 0.0, "qy": 0.0, "qz": 0.0, "tx": 0.5, "ty": -1.25, "tz": 2.0}
+    seen = F.transform(F.array_sort(F.collect_list(F.struct("idx", "x", "point"))), lambda o: F.struct(o["x"].alias("x"), F.lit(1.5).alias("y"), o["point"].alias("point3d_id")))
+    images = s.groupBy("image_id").agg(seen.alias("observations")).withColumns({**{k: F.lit(v) for k, v in pose.items()}, "camera_id": F.col("image_id") % 8, "name": F.concat(F.lit("cam/"), F.col("image_id").cast("string"), F.lit(".png"))})
+    image = F.when(F.col("point") % 50 == 0, F.col("image_id") + 1000).otherwise(F.col("image_id"))
+    idx = F.when(F.col("point") % 50 == 1, F.col("idx") + 100_000).when(F.col("point") % 50 == 2, (F.col("idx") + 1) % 5).otherwise(F.col("idx"))
+    points = s.groupBy(F.col("point").alias("point3d_id")).agg(F.collect_list(F.struct(image.alias("image_id"), idx.alias("point2d_idx"))).alias("track")).withColumns({**{k: F.lit(0.25) for k in ("x", "y", "z", "error")}, **{k: F.lit(7) for k in ("red", "green", "blue")}})
+    base = folder(spark, "model")
+    sfm.write_images(images, f"{base}/images.txt")
+    sfm.write_points(points, f"{base}/points3D.txt")
+    got = sfm.track_references(sfm.read_points(spark, f"{base}/points3D.txt"), sfm.read_images(spark, f"{base}/images.txt"))
+    of = lambda k: F.count_if(F.col("status") == k).alias(k)
+    return got.groupBy("point3d_id").agg(n_rows("track"), of("ok"), of("missing_image"), of("missing_observation"), of("other_point"), F.round(F.coalesce(F.sum(F.when(F.col("status") == "ok", F.col("x"))), F.lit(0.0)), 4).alias("total"))
+
+
+@query("SELECT s_suppkey AS camera_id, CASE WHEN s_suppkey % 2 = 0 THEN 'PINHOLE' ELSE 'OPENCV' END AS model, CAST(640 + s_nationkey AS INT) AS width, CAST(480 AS INT) AS height, CASE WHEN s_suppkey % 2 = 0 THEN 2 ELSE 8 END::INT AS parameters, round(s_acctbal, 2) AS first, CAST(dense_rank() OVER (ORDER BY s_nationkey) - 1 AS INT) AS rig, min(s_suppkey) OVER (PARTITION BY s_nationkey) AS ref_camera_id, concat('cam', s_suppkey, '/') AS image_prefix FROM supplier")
+def sfm_cameras_and_rigs(spark, sf):
+    """Cameras with parameters of any number, and a rig for each nation's, written and read."""
+    s = t(spark, sf, "supplier")
+    even = F.col("s_suppkey") % 2 == 0
+    values = F.array_repeat(F.round("s_acctbal", 2), F.when(even, 2).otherwise(8))
+    cameras = s.select(F.col("s_suppkey").alias("camera_id"), F.when(even, "PINHOLE").otherwise("OPENCV").alias("model"), (640 + F.col("s_nationkey")).alias("width"), F.lit(480).alias("height"), values.alias("parameters"))
+    nations = s.groupBy("s_nationkey").agg(F.min("s_suppkey").alias("ref_camera_id"))
+    ranks = nations.select("s_nationkey", "ref_camera_id", (F.dense_rank().over(W.orderBy("s_nationkey")) - 1).alias("rig"))  # one row per nation
+    rigs = s.join(F.broadcast(ranks), "s_nationkey").select("rig", "ref_camera_id", F.col("s_suppkey").alias("camera_id"), F.concat(F.lit("cam"), F.col("s_suppkey").cast("string"), F.lit("/")).alias("image_prefix"))
+    base = folder(spark, "rigs")
+    sfm.write_cameras(cameras, f"{base}/cameras.txt")
+    sfm.write_rigs(rigs, f"{base}/rigs.json")
+    both = sfm.read_cameras(spark, f"{base}/cameras.txt").join(sfm.read_rigs(spark, f"{base}/rigs.json"), "camera_id")
+    return both.select("camera_id", "model", "width", "height", F.size("parameters").alias("parameters"), F.get("parameters", F.lit(0)).alias("first"), "rig", "ref_camera_id", "image_prefix")
