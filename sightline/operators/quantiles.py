@@ -43,6 +43,15 @@ def grouped_quantiles(rows: DataFrame, keys: list[str], wanted: dict[str, tuple]
     return out
 
 
+def counted_median(counts: DataFrame, key: str, value: str, count: str) -> DataFrame:
+    """Per key the median (linear) and n of values that occur count times each; null values don't count."""
+    w = W.partitionBy(key)
+    placed = counts.where(F.col(value).isNotNull()).withColumns({"_end": F.sum(count).over(w.orderBy(value)), "_all": F.sum(count).over(w)})
+    at = lambda k: F.max(F.when((F.col("_end") > k) & (F.col("_end") - F.col(count) <= k), F.col(value)))
+    low, high = at(F.floor((F.col("_all") - 1) / 2)), at(F.floor(F.col("_all") / 2))
+    return placed.groupBy(key).agg(((low + high) / 2).alias("median"), F.max("_all").alias("n"))
+
+
 def table_quantile(rows: DataFrame, column: str, q: float) -> float | None:
     """The linear quantile of a whole table's column, exactly: passes that each narrow the range of values by RANGES, until FEW rows are left to sort."""
     v = rows.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window as W
 
 from sightline.functions.names import fresh
 from sightline.functions.shared import checkpoint_dir
-from sightline.operators.quantiles import grouped_quantiles
+from sightline.operators.quantiles import counted_median, grouped_quantiles
 
 
 _NONE = object()
@@ -141,14 +141,19 @@ def fenced(df: DataFrame, key: str, value: str, factor: float = 1.5, least: int
 
 
 def mad_gate(df: DataFrame, key: str, value: str, factor: float = 3.0, floor: float = 0.0) -> DataFrame:
-    """Per group: median, MAD, the gate max(floor, median + factor 1.4826 MAD), rows kept and their median."""
-    med = grouped_quantiles(df, [key], {"med": (value, 0.5)}).select(key, "med")
-    dev = df.join(med, key).withColumn("_d", F.abs(F.col(value) - F.col("med")))
-    mad = grouped_quantiles(dev, [key], {"mad": ("_d", 0.5)}).select(key, "mad")
-    gate = med.join(mad, key).withColumn("gate", F.greatest(F.lit(floor), F.col("med") + factor * 1.4826 * F.col("mad")))
-    inside = df.join(gate, key).withColumn("_in", F.when(F.col(value) <= F.col("gate"), F.col(value)))
-    kept = grouped_quantiles(inside, [key], {"kept_median": ("_in", 0.5)}).join(inside.groupBy(key).agg(F.count("_in").alias("n_kept")), key)
-    return gate.join(kept, key).select(key, "med", "mad", "gate", "n_kept", "kept_median")
+    """Per group: median, MAD, the gate max(floor, median + factor 1.4826 MAD), rows kept and their median.
+
+    The rows are read and counted by (key, value) once; all medians come from these counts. Rows with a
+    null key are left out, null values aren't kept.
+    """
+    counts = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_m"))
+    med = counted_median(counts, "_k", "_v", "_m").select("_k", F.col("median").alias("med"))
+    off = counts.join(med, "_k").groupBy("_k", F.abs(F.col("_v") - F.col("med")).alias("_d")).agg(F.sum("_m").alias("_m"))
+    mad = counted_median(off, "_k", "_d", "_m").select("_k", F.col("median").alias("mad"))
+    gate = med.join(mad, "_k").withColumn("gate", F.greatest(F.lit(floor), F.col("med") + factor * 1.4826 * F.col("mad")))
+    kept = counted_median(counts.join(gate, "_k").where(F.col("_v") <= F.col("gate")).select("_k", "_v", "_m"), "_k", "_v", "_m")
+    every = counts.select("_k").distinct().join(gate, "_k", "left").join(kept, "_k", "left")
+    return every.select(F.col("_k").alias(key), "med", "mad", "gate", F.coalesce("n", F.lit(0)).alias("n_kept"), F.col("median").alias("kept_median"))
 
 
 def greedy_selection(df: DataFrame, key: str, order: list[str], value: str, gap: float, most: int) -> DataFrame:

@@ -30,6 +30,16 @@ def _number(k: int, kind: str = "double") -> Column:
     return F.get("w", F.lit(k)).try_cast(kind)
 
 
+def _once(x: Column, f) -> Column:
+    """f of x, which is bound as the element of an array of one, so that it isn't worked out for every use."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def _places(size: Column, of: int) -> Column:
+    """0 .. size / of - 1."""
+    return F.sequence(F.lit(0), F.floor(size / of).cast("int") - 1)
+
+
 def read_cameras(spark: SparkSession, path: str) -> DataFrame:
     """camera_id, model, width, height and parameters (array of double)."""
     return _told(spark, path).select(_number(0, "bigint").alias("camera_id"), F.get("w", F.lit(1)).alias("model"), _number(2, "int").alias("width"), _number(3, "int").alias("height"), F.transform(F.slice("w", 5, F.greatest(F.size("w") - 4, F.lit(0))), lambda v: v.try_cast("double")).alias("parameters"))
@@ -47,20 +57,19 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     head = numbered.where("_n % 2 = 0 and trim(line) <> ''").select("source_file", (F.col("_n") + 1).alias("_n"), _words(F.col("line")).alias("w"))
     tail = numbered.where("_n % 2 = 1").select("source_file", "_n", _words(F.col("line")).alias("p"))
     both = head.join(tail, ["source_file", "_n"], "left")
-    place = F.sequence(F.lit(0), F.greatest(F.floor(F.size("p") / 3).cast("int") - 1, F.lit(0)))
-    at = lambda k, j, kind: F.get("p", k * 3 + j).try_cast(kind)
-    seen = F.transform(place, lambda k: F.struct(at(k, 0, "double").alias("x"), at(k, 1, "double").alias("y"), at(k, 2, "bigint").alias("point3d_id")))
+    at = lambda p, k, j, kind: F.get(p, k * 3 + j).try_cast(kind)
+    seen = lambda p: F.transform(_places(F.size(p), 3), lambda k: F.struct(at(p, k, 0, "double").alias("x"), at(p, k, 1, "double").alias("y"), at(p, k, 2, "bigint").alias("point3d_id")))
     none = F.array().cast("array<struct<x: double, y: double, point3d_id: bigint>>")
-    observations = F.when(F.coalesce(F.size("p"), F.lit(0)) >= 3, seen).otherwise(none)
+    observations = _once(F.coalesce("p", F.array().cast("array<string>")), lambda p: F.when(F.size(p) >= 3, seen(p)).otherwise(none))
     return both.select(_number(0, "bigint").alias("image_id"), *(_number(k).alias(n) for k, n in enumerate(POSE, 1)), _number(8, "bigint").alias("camera_id"), F.get("w", F.lit(9)).alias("name"), observations.alias("observations"))
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
     """point3d_id, x, y, z, colour (red, green, blue), error and track (array of image_id, point2d_idx)."""
-    n = F.floor((F.size("w") - 8) / 2).cast("int")
-    track = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda k: F.struct(F.get("w", 8 + k * 2).try_cast("bigint").alias("image_id"), F.get("w", 9 + k * 2).try_cast("int").alias("point2d_idx")))
+    each = lambda w, k: F.struct(F.get(w, 8 + k * 2).try_cast("bigint").alias("image_id"), F.get(w, 9 + k * 2).try_cast("int").alias("point2d_idx"))
     none = F.array().cast("array<struct<image_id: bigint, point2d_idx: int>>")
-    return _told(spark, path).select(_number(0, "bigint").alias("point3d_id"), *(_number(k).alias(c) for k, c in enumerate("xyz", 1)), *(_number(k, "int").alias(c) for k, c in enumerate(("red", "green", "blue"), 4)), _number(7).alias("error"), F.when(n > 0, track).otherwise(none).alias("track"))
+    track = _once(F.col("w"), lambda w: F.when(F.size(w) >= 10, F.transform(_places(F.size(w) - 8, 2), lambda k: each(w, k))).otherwise(none))
+    return _told(spark, path).select(_number(0, "bigint").alias("point3d_id"), *(_number(k).alias(c) for k, c in enumerate("xyz", 1)), *(_number(k, "int").alias(c) for k, c in enumerate(("red", "green", "blue"), 4)), _number(7).alias("error"), track.alias("track"))
 
 
 def read_rigs(spark: SparkSession, path: str) -> DataFrame:
