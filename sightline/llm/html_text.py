@@ -41,7 +41,8 @@ BOILERPLATE_ROLE = {"navigation", "banner", "contentinfo", "complementary", "sea
 BOILERPLATE_WORDS = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent", "cookie", "cookies",
     "disqus", "footer", "gdpr", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "pager", "pagination", "popup", "promo",
-    "promoted", "related", "recommended", "reply", "replies", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget",
+    "promoted", "related", "recommended", "reply", "replies", "responses", "share", "sharing", "sidebar", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "widget",
+    "anzeige", "comentarios", "commentaires", "fusszeile", "kommentare", "publicidad", "publicite", "werbung",
 }
 #: A paragraph ends where one of these opens; a list item, cell or term where its like opens.
 CLOSES_P = BLOCK - {"body", "html", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "li", "dd", "dt", "option", "legend", "summary", "figcaption"}
@@ -61,6 +62,8 @@ NAMED_LEAST = 160
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?。，、；：！？…]")
+#: Headings that open reader comments; these last to the next heading of their rank, or the end of the element.
+_COMMENTS = re.compile(r"(?:\(?\d+\)?\s+)?(?:reader\s+|all\s+|user\s+)?(?:comments?|responses|kommentare?|commentaires?|comentarios?)(?:\s*\(?\d+\)?)?\s*:?|leave a (?:comment|reply)", re.I)
 _SPACE = re.compile(r"\s+")
 _NAME_WORD = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -246,6 +249,8 @@ def main_text(source: str | None) -> str:
         return ""
     elements, texts, parents = parse(source)
     shown = [(t, clean) for t in texts if not t.element.never and (clean := _SPACE.sub(" ", html.unescape(t.raw)).strip())]
+    comments = _comments(shown)
+    shown = [x for x in shown if id(x[0]) not in comments]
     if not shown:
         return ""
     content = content_paths([(t.element.path, t.element.named, clean) for t, clean in shown], parents)
@@ -258,7 +263,7 @@ def main_text(source: str | None) -> str:
     holder = _holder(elements)
     for e in elements:
         e.inside = e is holder or (e.parent is not None and e.parent.inside)
-    inside = [t for t in texts if t.element.inside and not t.element.never]
+    inside = [t for t in texts if t.element.inside and not t.element.never and id(t) not in comments]
     by_path = {t.block for t, _ in shown if t.element.inside and t.element.path in content}
     first, last = min(by_path), max(by_path)
     unnamed = sum(len(clean) for t, clean in shown if t.element.inside and t.element.named == holder.named)
@@ -277,6 +282,24 @@ def main_text(source: str | None) -> str:
     return "\n".join(x for x in lines if x)
 
 
+def _comments(shown: list[tuple[Text, str]]) -> set[int]:
+    """The text nodes, by identity, of reader comments and their headings."""
+    out: set[int] = set()
+    element = rank = None
+    for t, clean in shown:
+        level = int(t.element.tag[1]) if re.fullmatch("h[1-6]", t.element.tag) else None
+        up = t.element
+        while up is not None and up is not element:
+            up = up.parent
+        if element is not None and (up is None or (level is not None and level <= rank)):
+            element = None
+        if element is None and level is not None and level > 1 and _COMMENTS.fullmatch(clean):
+            element, rank = t.element.parent, level
+        if element is not None:
+            out.add(id(t))
+    return out
+
+
 def _title_blocks(shown: list[tuple[Text, str]], holder: Element, first: int) -> set[int]:
     """The block of the last h1 before the content that stands beside its holder, or beside the holder's parent, if these aren't the page's body."""
     beside = [e for e in (holder.parent, holder.parent.parent if holder.parent else None) if e is not None and e.tag not in ("", "html", "body")]

@@ -102,3 +102,26 @@ def test_extract(spark):
     got = sorted(map(tuple, html_text.extract(pages).collect()), key=repr)
     assert got == sorted([(1, "a", WANT), (1, "a", WANT), (2, None, ""), (None, "c", ""), (3, "d", ("word, and word. " * 100_000).strip())], key=repr)
     assert html_text.extract(pages.limit(0)).count() == 0
+
+
+PARTS = "<p>First paragraph, with some words, and more of them. It goes on, and on.</p><p>Second one, of the same kind, with commas, and stops. It ends here.</p>"
+
+
+def test_reader_comments_go():
+    from sightline.llm.html_text import main_text
+
+    want = "Title\nFirst paragraph, with some words, and more of them. It goes on, and on.\nSecond one, of the same kind, with commas, and stops. It ends here."
+    talk = "<p>Ann</p><p>Great text, thanks, I liked it, really. Well done.</p><p>Bob</p><p>No, I disagree, strongly, with all of it. Sorry.</p>"
+    for page in (
+        f"<body><article><h1>Title</h1>{PARTS}<section><h2>Comments</h2>{talk}</section></article></body>",
+        f"<body><article><h1>Title</h1>{PARTS}<h2>12 Comments</h2>{talk}</article></body>",
+        f"<body><article><h1>Title</h1>{PARTS}<div class='responses'>{talk}</div></article></body>",
+        f"<body><article><h1>Title</h1>{PARTS}</article><div><h3>Leave a reply</h3>{talk}</div></body>",
+        f"<body><article><h1>Title</h1>{PARTS}<div id='kommentare'>{talk}</div></article></body>",
+        f"<body><article><h1>Title</h1>{PARTS}</article><div class='fusszeile'><p>Impressum, Datenschutz, und mehr. Alles da.</p></div></body>",
+    ):
+        assert main_text(page) == want, page
+    after = f"<body><article><h1>Title</h1>{PARTS}<section><h2>Kommentare (3)</h2>{talk}</section><h2>Next part</h2>{PARTS}</article></body>"
+    assert main_text(after) == want + "\nNext part\n" + want.split("\n", 1)[1]
+    about = f"<body><article><h1>Comments</h1>{PARTS}<h2>Comments on the method</h2>{PARTS}</article></body>"
+    assert main_text(about) == "Comments\n" + want.split("\n", 1)[1] + "\nComments on the method\n" + want.split("\n", 1)[1]
