@@ -196,3 +196,22 @@ def generic_project(spark, sf):
         out.append(project_generic(rows, ["x", "y", "z"], Camera(GRID, SIZE, origins)))
     both = reduce(lambda a, b: a.unionByName(b), out)
     return both.select("p_partkey", "kind", F.round("px", 5).alias("px"), F.round("py", 5).alias("py"), "converged")
+
+
+_SIDES = {"ax": 1, "ay": 2, "bx": 3, "by": 4, "aw": 5, "ah": 6, "bw": 7, "bh": 8}
+_RECTANGLES = ", ".join(f"abs(CAST(embedding[{k}] AS DOUBLE)) + 0.05 AS {n}" if n[1] in "wh" else f"CAST(embedding[{k}] AS DOUBLE) AS \"{n}\"" for n, k in _SIDES.items())
+
+
+@query(f"""WITH r AS (SELECT vec_id, {_RECTANGLES} FROM embeddings)
+SELECT vec_id, round(greatest(0, least(ax + aw, bx + bw) - greatest(ax, bx)) * greatest(0, least(ay + ah, "by" + bh) - greatest(ay, "by")), 9) AS area FROM r""")
+def clipped_polygons(spark, sf):
+    """How much of one rectangle lies within another, both turned by an angle of their own and clipped as polygons."""
+    from sightline.functions import polygons as G
+
+    e = t(spark, sf, "embeddings")
+    v = {n: F.element_at("embedding", k).cast("double") for n, k in _SIDES.items()}
+    rows = e.select("vec_id", F.cos(F.col("vec_id")).alias("c"), F.sin(F.col("vec_id")).alias("s"), *((F.abs(x) + 0.05 if n[1] in "wh" else x).alias(n) for n, x in v.items()))
+    turned = lambda x, y: F.struct((F.col("c") * x - F.col("s") * y).alias("x"), (F.col("s") * x + F.col("c") * y).alias("y"))
+    corners = lambda k, flip: F.array(*[turned(F.col(f"{k}x") + i * F.col(f"{k}w"), F.col(f"{k}y") + j * F.col(f"{k}h")) for i, j in ((0, 0), (1, 0), (1, 1), (0, 1))][:: -1 if flip else 1])
+    rows = rows.select("vec_id", corners("a", False).alias("a"), corners("b", True).alias("b"))
+    return rows.select("vec_id", F.round(G.polygon_area(G.clip_convex(F.col("a"), F.col("b"))), 9).alias("area"))
