@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sightline.functions import poses as P
+from sightline.functions.shared import checkpoint_dir
 from sightline.operators.quantiles import grouped_quantiles
 
 
@@ -31,8 +32,13 @@ def adaptive_inliers(rows: DataFrame, key: str, value: str, most: float, least:
 
 
 def trimmed_line(rows: DataFrame, key: str, x: str, y: str, q: float) -> DataFrame:
-    """Per group a least-squares line through the rows whose distance from a first such line is at most its q-quantile: kept, slope, intercept."""
-    first = rows.groupBy(key).agg(F.regr_slope(y, x).alias("_s"), F.regr_intercept(y, x).alias("_i"))
+    """Per group a least-squares line through the rows whose distance from a first such line is at most its q-quantile: kept, slope, intercept.
+
+    The first lines are cut from their lineage: their last bits depend on the order in which parts
+    of a sum arrive, and a row at the cut must have the same distance in both of its uses.
+    """
+    checkpoint_dir(rows.sparkSession)
+    first = rows.groupBy(key).agg(F.regr_slope(y, x).alias("_s"), F.regr_intercept(y, x).alias("_i")).checkpoint()
     off = rows.join(first, key).withColumn("_off", F.abs(F.col(y) - F.col("_s") * F.col(x) - F.col("_i")))
     cut = grouped_quantiles(off, [key], {"_cut": ("_off", q)}).select(key, "_cut")
     return off.join(cut, key).where("_off <= _cut").groupBy(key).agg(F.count(F.lit(1)).alias("kept"), F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
