@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from sightline.functions.shared import checkpoint_dir
 
 
 def _products(names: list[str], other: list[str] | None = None) -> list:
@@ -113,8 +118,27 @@ def homography(df: DataFrame, key: str, source: list[str], target: list[str]) ->
     return sums.mapInPandas(solve, f"{key} {df.schema[key].dataType.simpleString()}, h array<double>")
 
 
+def _equations(x: np.ndarray, uv: np.ndarray, r: np.ndarray, tr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Derivatives (2n x 6) of the pixels by a turn and a way of the pose, and what the pixels are off."""
+    p = x @ r.T + tr
+    j = np.zeros((len(x), 2, 6))
+    inv = 1 / p[:, 2]
+    for k in (0, 1):
+        g = np.zeros((len(x), 3))
+        g[:, k], g[:, 2] = inv, -p[:, k] * inv * inv
+        j[:, k, 3:], j[:, k, :3] = g, np.cross(x @ r.T, g)
+    return j.reshape(-1, 6), (p[:, :2] / p[:, 2:] - uv).ravel()
+
+
+def _stepped(step: np.ndarray, r: np.ndarray, tr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    w, angle = step[:3], np.linalg.norm(step[:3])
+    k = np.array([[0, -w[2], w[1]], [w[2], 0, -w[0]], [-w[1], w[0], 0]])
+    turn = np.eye(3) + (np.sin(angle) / angle * k + (1 - np.cos(angle)) / angle**2 * k @ k if angle > 1e-12 else k)
+    return turn @ r, tr + step[3:]
+
+
 def _pose_from(x: np.ndarray, uv: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Rotation and translation of points seen at normalised pixels: direct linear transform, then Gauss-Newton."""
+    """Rotation and translation of a few points seen at normalised pixels: direct linear transform, then Gauss-Newton."""
     a = np.zeros((2 * len(x), 12))
     hom = np.column_stack([x, np.ones(len(x))])
     a[0::2, :4], a[0::2, 8:] = -hom, uv[:, :1] * hom
@@ -124,55 +148,125 @@ def _pose_from(x: np.ndarray, uv: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     u, d, vt = np.linalg.svd(m[:, :3])
     r, tr = u @ np.diag([1, 1, np.sign(np.linalg.det(u @ vt))]) @ vt, m[:, 3] / d.mean()
     for _ in range(15):
-        p = x @ r.T + tr
-        e = (p[:, :2] / p[:, 2:] - uv).ravel()
-        j = np.zeros((len(x), 2, 6))
-        inv = 1 / p[:, 2]
-        for k in (0, 1):
-            g = np.zeros((len(x), 3))
-            g[:, k], g[:, 2] = inv, -p[:, k] * inv * inv
-            j[:, k, 3:], j[:, k, :3] = g, np.cross(x @ r.T, g)
-        step = np.linalg.lstsq(j.reshape(-1, 6), -e, rcond=None)[0]
-        w, angle = step[:3], np.linalg.norm(step[:3])
-        k = np.array([[0, -w[2], w[1]], [w[2], 0, -w[0]], [-w[1], w[0], 0]])
-        turn = np.eye(3) + (np.sin(angle) / angle * k + (1 - np.cos(angle)) / angle**2 * k @ k if angle > 1e-12 else k)
-        r, tr = turn @ r, tr + step[3:]
+        j, e = _equations(x, uv, r, tr)
+        step = np.linalg.lstsq(j, -e, rcond=None)[0]
+        r, tr = _stepped(step, r, tr)
         if np.linalg.norm(step) < 1e-12:
             break
     return r, tr
 
 
-def view_pose(df: DataFrame, key: str, point: list[str], pixel: list[str], least: int = 6, trials: int = 60, reach: float = 0.01) -> DataFrame:
-    """Per view the pose that sees its points at its normalised pixels, robust to wrong pairs: rotation (row-major), translation, inliers, median_error.
+def _errors(x: np.ndarray, uv: np.ndarray, r: np.ndarray, tr: np.ndarray) -> np.ndarray:
+    """Distances of the points' pixels from the seen ones; infinite behind the camera."""
+    p = x @ r.T + tr
+    return np.where(p[:, 2] > 0, np.linalg.norm(p[:, :2] / np.where(p[:, 2:] > 0, p[:, 2:], 1) - uv, axis=1), np.inf)
 
-    Samples of six pairs vote (seeded, so a view's result is the same in every run); the pose is
-    refined on the best sample's inliers. A view's pairs are those of one image, so a group fits a
-    task. Views with fewer than least pairs, or whose best sample has fewer inliers, are left out.
-    """
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, rotation array<double>, translation array<double>, inliers int, median_error double"
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*point, *pixel])
-        x, uv = pdf[point].to_numpy(float), pdf[pixel].to_numpy(float)
-        rng, best = np.random.default_rng(7), np.zeros(len(x), bool)
-        empty = pd.DataFrame({key: pdf[key].iloc[:0], "rotation": pd.Series(dtype=object), "translation": pd.Series(dtype=object), "inliers": pd.Series(dtype="int32"), "median_error": pd.Series(dtype=float)})
-        if len(x) < least:
-            return empty
+#: Different pairs of a view, of which samples are drawn, and of one block of it, at most about.
+_DRAWN, _BLOCK = 512, 20_000
 
-        def errors(r: np.ndarray, tr: np.ndarray) -> np.ndarray:
-            p = x @ r.T + tr
-            return np.where(p[:, 2] > 0, np.linalg.norm(p[:, :2] / np.where(p[:, 2:] > 0, p[:, 2:], 1) - uv, axis=1), np.inf)
 
+def view_pose(df: DataFrame, key: str, point: list[str], pixel: list[str], least: int = 6, trials: int = 60, reach: float = 0.01) -> DataFrame:
+    """Per view the pose that sees its points at its normalised pixels, robust to wrong pairs: rotation (row-major), translation, inliers, median_error.
+
+    Samples of six pairs propose poses (seeded, so a view's result is the same in every run), drawn
+    from up to _DRAWN of the view's different pairs, which are taken by weighted hashes; all pairs
+    vote. The pose that most pairs agree with is refined on these by Gauss-Newton steps. Equal
+    pairs are counted, a view is worked on in blocks, and only its sums are put together, so no
+    task holds a view. Views with fewer than least pairs, or whose best sample has under six
+    inliers, are left out; so are pairs with nulls, and rows without a view.
+    """
+    from sightline.operators.quantiles import counted_median
+
+    checkpoint_dir(df.sparkSession)
+    kind, columns = f"{key} {df.schema[key].dataType.simpleString()}", [*point, *pixel]
+    pairs = df.select(key, *(F.col(c).cast("double").alias(c) for c in columns)).dropna().groupBy(key, *columns).agg(F.count(F.lit(1)).alias("_n"))
+    size = pairs.groupBy(key).agg(F.sum("_n").alias("_all"), F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias("_blocks")).where(F.col("_all") >= least)
+    hashed = F.xxhash64(*columns, F.lit(7))
+    pairs = pairs.join(size, key).withColumn("_block", F.pmod(hashed, "_blocks").cast("int")).drop("_all").checkpoint()
+    # smallest first: an exponential number divided by the pair's count
+    drawn = -F.log((F.pmod(F.xxhash64(*columns, F.lit(11)), F.lit(2**52)) + 1) / float(2**52)) / F.col("_n")
+    few = pairs.withColumn("_at", F.row_number().over(W.partitionBy(key).orderBy(drawn, *columns))).where(F.col("_at") <= _DRAWN)
+
+    def propose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(columns)
+        x, uv, n = pdf[point].to_numpy(float), pdf[pixel].to_numpy(float), pdf["_n"].to_numpy(float)
+        if pdf["_n"].sum() < 6:
+            return pd.DataFrame({key: pdf[key].iloc[:0], "_blocks": pdf["_blocks"].iloc[:0], "_poses": pd.Series(dtype=object)})
+        # where all pairs are here they are drawn by their counts, else the hashes have done that
+        each = np.repeat(np.arange(len(x)), np.minimum(n, 6).astype(int)) if len(x) < 6 else np.arange(len(x))
+        share = n[each] / n[each].sum() if 6 <= len(x) < _DRAWN else None
+        rng, poses = np.random.default_rng(7), []
         for _ in range(trials):
-            few = rng.choice(len(x), 6, replace=False)
+            at = each[rng.choice(len(each), 6, replace=False, p=share)]
             try:
-                good = errors(*_pose_from(x[few], uv[few])) <= reach
+                r, tr = _pose_from(x[at], uv[at])
             except np.linalg.LinAlgError:
                 continue
-            best = good if good.sum() > best.sum() else best
-        if best.sum() < 6:
-            return empty
-        r, tr = _pose_from(x[best], uv[best])
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "rotation": [r.ravel()], "translation": [tr], "inliers": [int(best.sum())], "median_error": [float(np.median(errors(r, tr)[best]))]})
+            if np.isfinite(r).all() and np.isfinite(tr).all():
+                poses.append([*r.ravel(), *tr])
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "_blocks": [pdf["_blocks"].iloc[0]], "_poses": [[float(v) for p in poses for v in p]]})
+
+    proposed = few.select(key, *columns, "_n", "_blocks").groupBy(key).applyInPandas(propose, f"{kind}, _blocks int, _poses array<double>").checkpoint()
+
+    def by_block(state: DataFrame, f: Callable[[pd.DataFrame, np.ndarray], list[tuple]], fields: str) -> DataFrame:
+        """f of each block's pairs and the 12 numbers of each pose that the state has for the view."""
+        names = [key, *(c.split()[0] for c in fields.split(", "))]
+
+        def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            if not len(left) or not len(right):
+                return pd.DataFrame(columns=names)
+            return pd.DataFrame([(left[key].iloc[0], *row) for row in f(left, np.asarray(right["_poses"].iloc[0], float).reshape(-1, 12))], columns=names)
+
+        blocks = state.select(key, "_poses", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+        return pairs.groupBy(key, "_block").cogroup(blocks.groupBy(key, "_block")).applyInPandas(run, f"{kind}, {fields}")
+
+    def place(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return pdf[point].to_numpy(float), pdf[pixel].to_numpy(float), pdf["_n"].to_numpy(np.int64)
+
+    def vote(pdf: pd.DataFrame, poses: np.ndarray) -> list[tuple]:
+        x, uv, n = place(pdf)
+        return [(k, int(n[_errors(x, uv, p[:9].reshape(3, 3), p[9:]) <= reach].sum())) for k, p in enumerate(poses)]
+
+    votes = by_block(proposed, vote, "_k int, _votes long").groupBy(key, "_k").agg(F.sum("_votes").alias("_votes"))
+    best = votes.groupBy(key).agg(F.min_by(F.struct("_k", "_votes"), F.struct(-F.col("_votes"), "_k")).alias("_best")).where("_best._votes >= 6")
+    first = proposed.join(best, key).select(key, "_blocks", F.slice("_poses", F.col("_best._k") * 12 + 1, 12).alias("_poses"), F.col("_best._votes").alias("inliers")).checkpoint()
+
+    def agreed(pdf: pd.DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs that the view's first pose has as inliers."""
+        x, uv, n = place(pdf)
+        good = _errors(x, uv, chosen[:9].reshape(3, 3), chosen[9:]) <= reach
+        return x[good], uv[good], n[good]
+
+    def normal(pdf: pd.DataFrame, poses: np.ndarray) -> list[tuple]:
+        x, uv, n = agreed(pdf, poses[0])
+        if not len(x):
+            return []
+        j, e = _equations(x, uv, poses[1][:9].reshape(3, 3), poses[1][9:])
+        w = np.repeat(n, 2)[:, None]
+        return [(*((j * w).T @ j).ravel(), *((j * w).T @ e))]
+
+    def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out, far = [], []
+            for poses, row in zip(pdf["_poses"], pdf[[f"s{k}" for k in range(42)]].to_numpy(float), strict=True):
+                p = np.asarray(poses, float)
+                step = np.linalg.lstsq(row[:36].reshape(6, 6), -row[36:], rcond=None)[0]
+                r, tr = _stepped(step, p[12:21].reshape(3, 3), p[21:])
+                out.append([float(v) for v in (*p[:12], *r.ravel(), *tr)])
+                far.append(float(np.linalg.norm(step)))
+            yield pd.DataFrame({key: pdf[key], "_blocks": pdf["_blocks"], "inliers": pdf["inliers"], "_poses": out, "_step": far})
+
+    sums, state = [f"s{k}" for k in range(42)], first.withColumn("_poses", F.concat("_poses", "_poses"))
+    for _ in range(15):
+        total = by_block(state, normal, ", ".join(f"{s} double" for s in sums)).groupBy(key).agg(*(F.sum(s).alias(s) for s in sums))
+        state = state.select(key, "_blocks", "inliers", "_poses").join(total, key).mapInPandas(move, f"{kind}, _blocks int, inliers long, _poses array<double>, _step double").checkpoint()
+        if not (state.agg(F.max("_step")).first()[0] or 0.0) > 1e-11:
+            break
+
+    def off(pdf: pd.DataFrame, poses: np.ndarray) -> list[tuple]:
+        x, uv, n = agreed(pdf, poses[0])
+        return list(zip(_errors(x, uv, poses[1][:9].reshape(3, 3), poses[1][9:]).tolist(), n.tolist(), strict=True))
 
-    return df.select(key, *point, *pixel).groupBy(key).applyInPandas(solve, schema)
+    middle = counted_median(by_block(state, off, "_off double, _m long").groupBy(key, "_off").agg(F.sum("_m").alias("_m")), key, "_off", "_m")
+    return state.join(middle, key).select(key, F.slice("_poses", 13, 9).alias("rotation"), F.slice("_poses", 22, 3).alias("translation"), F.col("inliers").cast("int").alias("inliers"), F.col("median").alias("median_error"))
