@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sightline.functions import poses as P
+from sightline.functions.shared import checkpoint_dir
 from sightline.operators.quantiles import grouped_quantiles
 from sightline.operators.summary import close_poses
 
@@ -126,13 +127,22 @@ def relative_consensus(votes: DataFrame, reach: float, degrees: float, least: in
     """Per (target, reference) the vote (frame) that most votes agree with in position and rotation: frame, inliers, middle (their median distance).
 
     Ties go to the smaller median distance, then the earlier frame; pairs with fewer than least
-    agreeing votes have no row. Votes meet in cells of one reach only.
+    agreeing votes have no row. Votes meet in cells of one reach only. They are counted as they
+    meet; distances are put in order only for the votes that most agree with, so what is written
+    grows with the votes, not with their square.
     """
-    keyed = votes.withColumns({"_pair": F.struct("target", "reference"), "_id": F.col("frame")})
-    near = close_poses(keyed, "_id", "_pair", ["dx", "dy", "dz"], ["ex", "ey", "ez", "ew"], reach, degrees, kept=["_pair"])
-    both = near.select("_pair", F.col("id_a").alias("frame"), "apart").unionByName(near.select("_pair", F.col("id_b").alias("frame"), "apart")).unionByName(keyed.select("_pair", "frame", F.lit(0.0).alias("apart")))
-    each = grouped_quantiles(both, ["_pair", "frame"], {"middle": ("apart", 0.5)}).where(F.col("n") >= least)
-    best = F.min_by(F.struct("frame", F.col("n").alias("inliers"), "middle"), F.struct(-F.col("n"), F.round("middle", 9), "frame"))
+    checkpoint_dir(votes.sparkSession)
+    keyed = votes.select(F.struct("target", "reference").alias("_pair"), "frame", *(f"d{k}" for k in "xyz"), *(f"e{k}" for k in "xyzw")).checkpoint()
+    near = close_poses(keyed, "frame", "_pair", ["dx", "dy", "dz"], ["ex", "ey", "ez", "ew"], reach, degrees, kept=["_pair"])
+    both = near.select("_pair", F.explode(F.array("id_a", "id_b")).alias("frame"), "apart")
+    counts = both.groupBy("_pair", "frame").agg(F.count(F.lit(1)).alias("_n"))
+    alone = keyed.groupBy("_pair", "frame").agg(F.count(F.lit(1)).alias("_n"))
+    agreeing = counts.unionByName(alone).groupBy("_pair", "frame").agg(F.sum("_n").alias("_n")).where(F.col("_n") >= least).checkpoint()
+    most = agreeing.groupBy("_pair").agg(F.max("_n").alias("_n"))
+    leaders = agreeing.join(most, ["_pair", "_n"]).select("_pair", "frame").checkpoint()
+    itself = keyed.select("_pair", "frame", F.lit(0.0).alias("apart"))
+    each = grouped_quantiles(both.unionByName(itself).join(leaders, ["_pair", "frame"], "left_semi"), ["_pair", "frame"], {"middle": ("apart", 0.5)})
+    best = F.min_by(F.struct("frame", F.col("n").alias("inliers"), "middle"), F.struct(F.round("middle", 9), "frame"))
     return each.groupBy("_pair").agg(best.alias("_b")).select("_pair.target", "_pair.reference", "_b.*")
 
 
