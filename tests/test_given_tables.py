@@ -9,7 +9,7 @@ from sightline.plans import catalog
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name, table", [("accuracy_trials", "orders"), ("camera_model_files", "customer"), ("missing_table", "customer"), ("model_difference", "lineitem"), ("residual_files", "orders")])
+@pytest.mark.parametrize("name, table", [("accuracy_trials", "orders"), ("camera_model_files", "customer"), ("missing_table", "customer"), ("model_difference", "lineitem"), ("residual_files", "orders"), ("target_geometry", "lineitem")])
 def test_half_a_table_gives_another_result(spark, monkeypatch, name, table):
     def half(spark, sf, asked):
         rows = given(spark, sf, asked)
