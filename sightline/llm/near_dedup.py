@@ -15,8 +15,9 @@ one point per shingle.
 Finding links without emitting all pairs of a group:
 1. Texts with equal words are one node, so copies never meet each other again.
 2. In every band bucket each node is paired with the bucket's leader and the pairs are verified.
-   Pairs whose signatures differ in over FAR registers are left to the next step.
-3. Buckets that still hold several components are searched across components. A bucket goes to one
+   Pairs whose signatures differ in over FAR registers are left to the next step, unless they are all
+   that a bucket holds.
+3. Buckets of more than two nodes that still hold several components are searched across components. A bucket goes to one
    task in blocks of BLOCK nodes (a larger one as pairs of blocks); each pair that no earlier bucket
    has and no component connects gets its exact similarity, from products of the block's shingle
    counts. Only links that join components leave the task, so no link between different texts that
@@ -348,13 +349,13 @@ def _rows_and_labels(docs: DataFrame, id_col: str, text_col: str, least: float,
     signed = cut(signed.mapInArrow(spread, "node binary, bands binary, signature array<long>"))
     content = cut(with_key(docs.select(F.col(text_col).cast("string").alias("_text")), "_text", "node").join(members, "node", "left_semi").groupBy("node").agg(F.min("_text").alias("_text")))
 
-    lead = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("lead"))).alias("y"))
-    stars = buckets.join(lead.select("bucket", "y.lead"), "bucket").where("node != lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
-    stars = stars.join(signed.alias("x"), F.col("a") == F.col("x.node")).join(signed.alias("y"), F.col("b") == F.col("y.node")).where(_near("x", "y")).select("a", "b")
+    lead = buckets.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("lead"))).alias("y"), F.count(F.lit(1)).alias("n"))
+    stars = buckets.join(lead.select("bucket", "y.lead", "n"), "bucket").where("node != lead").groupBy(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).agg(F.min("n").alias("n"))
+    stars = stars.join(signed.alias("x"), F.col("a") == F.col("x.node")).join(signed.alias("y"), F.col("b") == F.col("y.node")).where((F.col("n") == 2) | _near("x", "y")).select("a", "b")
     labels = components(_verified(stars, content, least))
 
     now = buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("k")).where("x != y").select("bucket", "k")
+    mixed = now.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x != y and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("k"))
     active = now.join(mixed, "bucket").withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), "k").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     tiles = active.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("half"), "node", "component")
     told = tiles.join(signed.select("node", "bands"), "node").join(content, "node")

@@ -12,6 +12,8 @@ room and goes on to its successors until one is free of conflicts; only then is
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,53 +24,58 @@ from .cluster import bounded_batches, cut
 from .near_dedup import counted_classes, text_keys
 
 CAPACITY, SHARD_PIECES = 2048, 4000
-_STEP = 128
+_STEP = 512
 
 
 class Bins:
-    """Open bins: slots with bitmaps, and their order by residual capacity."""
+    """Open bins: bitmaps of the slots that hold a source or cluster, and the slots' order by residual capacity."""
 
     def __init__(self, sources: int, clusters: int):
-        self.source = np.zeros((sources // 64 + 1, 64), np.uint64)
-        self.cluster = np.zeros((clusters // 64 + 1, 64), np.uint64)
-        self.residual, self.slot, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        self.source, self.cluster = np.zeros((sources, 64), bool), np.zeros((clusters, 64), bool)
+        self.residual, self.slot, self.open, self.n = np.zeros(64, np.int64), np.zeros(64, np.int64), 0, 0
 
     def place(self, size: int, source: int, cluster: int, capacity: int) -> int:
         """The slot that takes the piece; -1 for a source or cluster means none."""
-        at = int(np.searchsorted(self.residual, size))
-        free, s, c = None, np.uint64(1) << np.uint64(source % 64), np.uint64(1) << np.uint64(cluster % 64)
-        for k in range(at, len(self.slot), _STEP):
-            slots = self.slot[k : k + _STEP]
-            ok = np.ones(len(slots), bool)
-            if source >= 0:
-                ok &= self.source[source // 64, slots] & s == 0
+        residual, slots, free = self.residual, self.slot, None
+        for k in range(int(residual[: self.open].searchsorted(size)), self.open, _STEP):
+            there = slots[k : min(k + _STEP, self.open)]
+            taken = self.source[source].take(there) if source >= 0 else None
             if cluster >= 0:
-                ok &= self.cluster[cluster // 64, slots] & c == 0
-            if ok.any():
-                free = k + int(ok.argmax())
+                held = self.cluster[cluster].take(there)
+                taken = held if taken is None else taken | held
+            first = 0 if taken is None else int(taken.argmin())
+            if taken is None or not taken[first]:
+                free = k + first
                 break
         if free is None:
-            slot, left = self.n, capacity - size
+            slot, left, end = self.n, capacity - size, self.open
             self.n += 1
             if self.n > self.source.shape[1]:
                 self.source, self.cluster = (np.concatenate([x, np.zeros_like(x)], axis=1) for x in (self.source, self.cluster))
+            if self.open == len(residual):
+                self.residual, self.slot = residual, slots = np.concatenate([residual, residual]), np.concatenate([slots, slots])
+            self.open += 1
         else:
-            slot, left = int(self.slot[free]), int(self.residual[free]) - size
-            self.residual, self.slot = np.delete(self.residual, free), np.delete(self.slot, free)
+            slot, left, end = int(slots[free]), int(residual[free]) - size, free
         if source >= 0:
-            self.source[source // 64, slot] |= s
+            self.source[source, slot] = True
         if cluster >= 0:
-            self.cluster[cluster // 64, slot] |= c
-        if left > 0 or size == 0:
-            put = int(np.searchsorted(self.residual, left))
-            self.residual, self.slot = np.insert(self.residual, put, left), np.insert(self.slot, put, slot)
+            self.cluster[cluster, slot] = True
+        if left > 0 or size == 0:  # those with less room than the place that falls vacant are tighter than it
+            put = int(residual[:end].searchsorted(left))
+            residual[put + 1 : end + 1], slots[put + 1 : end + 1] = residual[put:end], slots[put:end]
+            residual[put], slots[put] = left, slot
+        else:
+            self.open -= 1
+            residual[end : self.open], slots[end : self.open] = residual[end + 1 : self.open + 1], slots[end + 1 : self.open + 1]
         return slot
 
 
 def _codes(values: list) -> tuple[np.ndarray, int]:
-    """A number for each distinct value, -1 for null."""
-    known = {v: k for k, v in enumerate(sorted({v for v in values if v is not None}, key=lambda v: (str(type(v)), v)))}
-    return np.array([-1 if v is None else known[v] for v in values], np.int64), len(known)
+    """A number for each value that several have, -1 for null and for a value of its own, which conflicts with none."""
+    several = [v for v, n in Counter(values).items() if n > 1 and v is not None]
+    known = {v: k for k, v in enumerate(several)}
+    return np.array([known.get(v, -1) for v in values], np.int64), len(known)
 
 
 def pack_shard(size: list[int], source: list, cluster: list, capacity: int) -> list[int]:

@@ -412,6 +412,23 @@ def test_packing_parts_near_copies(spark, tmp_path):
     assert len(set(at.values())) == 3 and len({at[41], at[42], at[43]}) == 1
 
 
+def test_packing_has_bitmaps_for_shared_values_only():
+    got, n = packing._codes(["a", "b", None, "a", None, "c", "b"])
+    assert got.tolist() == [0, 1, -1, 0, -1, -1, 1] and n == 2
+    size, rows = [9, 7, 7, 5, 3, 3, 2, 0, 0], ["a", "b", "b", "a", None, "c", "b", "a", "a"]
+    plain, room, held = [], [], []
+    for z, s in zip(size, rows, strict=True):
+        fits = [k for k in range(len(room)) if room[k] >= z and (s is None or s not in held[k]) and (room[k] > 0)]
+        k = min(fits, key=lambda k: room[k]) if fits else len(room)
+        room, held = (room, held) if fits else ([*room, 10], [*held, set()])
+        room[k] -= z
+        held[k].add(s)
+        plain.append(sorted(held[k], key=str))
+    at = packing.pack_shard(size, rows, [None] * len(size), 10)
+    fill = [sum(z for z, k in zip(size, at, strict=True) if k == b) for b in range(max(at) + 1)]
+    assert sorted(fill) == sorted(10 - r for r in room) and max(fill) <= 10
+
+
 def test_best_fit_is_tightest():
     # residuals after 60, 55, 52: 40, 45, 48; a 38 goes to the tightest, one that conflicts with the next goes on to its successor
     assert packing.pack_shard([60, 55, 52, 38, 38], ["a", "b", "c", "d", "b"], [None] * 5, 100) == [0, 1, 2, 0, 2]
